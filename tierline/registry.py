@@ -14,6 +14,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from .functions.timefmt import ISO_MICROS, iso_text
 from .functions.triage import (
@@ -309,7 +310,7 @@ def schema_on_read(spark, sf):
     records = doc_tickets(spark, sf, "n_chars", F.struct("lang", "source").alias("meta")).drop("customer_id")
     landing = scratch_path(spark, "schema-on-read")
     write_landing_files(records, landing, TICKETS_PER_FILE)
-    declared = TICKET.add("meta", "string")
+    declared = StructType(TICKET.fields + [StructField("meta", StringType())])
     return read_json_batch(spark, landing, declared, multi_line=True)
 
 
