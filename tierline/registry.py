@@ -59,7 +59,7 @@ from .sources.synthetic import (
     TICKET_PREFIX,
     tickets_from_rows,
 )
-from .streaming.runner import batches_with_input, drain, run_available_now, start_append, AVAILABLE_NOW
+from .streaming.runner import batch_count, batches_with_input, run_available_now
 from .testbed import (
     DIMENSION_COLUMNS,
     DOC_TICKETS_SQL,
@@ -359,8 +359,8 @@ def silver_available_now(spark, sf):
     stream = event_json_stream(spark, landing, RAW_EVENT, max_files_per_trigger=2)
     query = run_available_now(stream, out, scratch_path(spark, "available-now-ckpt"))
     files = _files_in(spark, landing)
-    if batches_with_input(query) != (files + 1) // 2:
-        raise AssertionError(f"{files} files at 2 per batch ran {batches_with_input(query)} batches")
+    if batch_count(query) != (files + 1) // 2:
+        raise AssertionError(f"{files} files at 2 per batch ran {batch_count(query)} batches")
     return spark.read.schema(RAW_EVENT).parquet(out)
 
 
@@ -432,7 +432,7 @@ def ingest_stamp(spark, sf):
     query = run_available_now(stream, out, scratch_path(spark, "stamp-ckpt"))
     res = spark.read.parquet(out)
     stamps = res.select("ingested_at").distinct().count()
-    if stamps > batches_with_input(query):
+    if stamps > batch_count(query):
         raise AssertionError("more stamps than micro-batches")
     return res.select(*_EVENT_COLUMNS, F.col("ingested_at").isNotNull().alias("has_ingested_at"))
 

@@ -72,9 +72,16 @@ def run_available_now(
 
 
 def batches_with_input(query: StreamingQuery) -> int:
-    """Number of finished micro-batches that read at least one row."""
+    """Number of finished micro-batches that read at least one row, among the
+    recent progress updates Spark keeps (the last 100 by default)."""
     return sum(1 for p in query.recentProgress if p.get("numInputRows", 0) > 0)
 
 
+def batch_count(query: StreamingQuery) -> int:
+    """Micro-batches run on the query's checkpoint so far (ids start at 0)."""
+    last = query.lastProgress
+    return 0 if not last else int(last["batchId"]) + 1
+
+
 def rows_processed(query: StreamingQuery) -> int:
     return sum(int(p.get("numInputRows", 0)) for p in query.recentProgress)
