@@ -60,3 +60,29 @@ def test_parity_smoke(spark, duck, name):
     assert len(rows) == len(orows)
     assert sorted(df.columns) == sorted(rel.columns)
     assert digest(df.columns, rows) == digest(rel.columns, orows)
+
+
+def test_incremental_gold_equals_full(spark, workdir):
+    first = [{"ticket_id": f"T{i}", "customer_id": "CUST-5001", "product_id": "PROD-1001" if i % 2 else "PROD-1002",
+              "review_text": t, "timestamp": "2026-01-02T03:04:05Z"} for i, t in enumerate(REVIEW_TEXTS)]
+    second = [dict(t, ticket_id=t["ticket_id"] + "b", product_id="PROD-1003" if i == 0 else t["product_id"])
+              for i, t in enumerate(first)]
+    second.append({"ticket_id": "N1", "customer_id": "CUST-5002", "product_id": None,
+                   "review_text": "x", "timestamp": "bad"})
+    inc, full = ChainPaths.under(f"{workdir}/inc"), ChainPaths.under(f"{workdir}/full")
+    write_text(inc.landing, "1.json", json.dumps(first))
+    write_text(full.landing, "1.json", json.dumps(first))
+    r1 = run_chain(spark, inc, incremental=True)
+    assert spark.read.parquet(r1.path).count() == 2
+    write_text(inc.landing, "2.json", json.dumps(second))
+    write_text(full.landing, "2.json", json.dumps(second))
+    r_inc = run_chain(spark, inc, incremental=True)
+    r_full = run_chain(spark, full)
+    cols = ["product_id", "total_reviews", "avg_urgency", "avg_urgency_rating",
+            "negative_ticket_count", "positive_ticket_count"]
+    got = sorted(tuple(r) for r in spark.read.parquet(r_inc.path).select(cols).collect())
+    want = sorted(tuple(r) for r in spark.read.parquet(r_full.path).select(cols).collect())
+    assert got == want and len(got) == 3
+    # a rerun without new files publishes nothing new
+    again = run_chain(spark, inc, incremental=True)
+    assert again.path == r_inc.path

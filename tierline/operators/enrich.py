@@ -22,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import scratch_root
+
 SALT = "__salt"
 
 
@@ -63,6 +65,7 @@ def left_enrich(
     """
     keys = [on] if isinstance(on, str) else list(on)
     if snapshot:
+        scratch_root(dim.sparkSession)  # reliable checkpoints need the shared folder
         dim = dim.checkpoint(eager=True)
     rows = None
     if validate_unique or broadcast_max_rows is not None:

@@ -14,7 +14,8 @@ from pyspark.sql import SparkSession
 from ..functions.triage import DEFAULT_OUTCOME, DEFAULT_RULES, Outcome, Rule
 from ..schemas import TICKET
 from .bronze import run_bronze
-from .gold import GoldResult, run_gold
+from ..sinks.snapshots import latest_version
+from .gold import GoldResult, run_gold, run_gold_incremental
 from .silver import run_silver_tickets, silver_tickets, BRONZE_TICKET
 
 
@@ -51,7 +52,11 @@ def run_chain(
     rules: tuple[Rule, ...] = DEFAULT_RULES,
     default: Outcome = DEFAULT_OUTCOME,
     max_files_per_trigger: int | None = None,
+    incremental: bool = False,
 ) -> GoldResult:
+    """Bronze, silver, then gold: a full recomputation over silver (the
+    reference's semantics), or with ``incremental`` a streaming aggregation
+    that only reads silver files added since the last run."""
     run_bronze(
         spark, paths.landing, paths.bronze, f"{paths.checkpoints}/bronze",
         schema=TICKET, max_files_per_trigger=max_files_per_trigger,
@@ -59,6 +64,11 @@ def run_chain(
     run_silver_tickets(
         spark, paths.bronze, paths.silver, f"{paths.checkpoints}/silver", rules, default,
     )
-    return run_gold(
-        spark, paths.silver, paths.gold, silver_schema(spark, rules, default), paths.rejects,
+    schema = silver_schema(spark, rules, default)
+    if not incremental:
+        return run_gold(spark, paths.silver, paths.gold, schema, paths.rejects)
+    run_gold_incremental(
+        spark, paths.silver, paths.gold, f"{paths.checkpoints}/gold", schema, paths.rejects,
     )
+    latest = latest_version(spark, paths.gold)
+    return GoldResult(latest[1] if latest else None, None, None)

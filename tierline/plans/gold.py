@@ -5,13 +5,16 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from ..operators.gold import product_metrics
 from ..operators.keys import split_by_key
 from ..schemas import GOLD_DEFAULTS, GOLD_KEY, GOLD_STAMP, GOLD_TARGET
 from ..sinks.snapshots import evolve, latest_version, publish, upsert
+from ..session import scratch_root
 from ..sources.files import read_parquet_guarded
+from ..streaming.runner import AVAILABLE_NOW, drain
 from .silver import gold_input
 
 
@@ -51,14 +54,69 @@ def run_gold(
     per-product aggregate is checkpointed once (it is small: one row per
     product) and then feeds the rejects output, the upsert and the write.
     """
+    scratch_root(spark)  # reliable checkpoints need the shared folder
     rows = read_parquet_guarded(spark, silver, silver_schema)
-    if rows.isEmpty():
-        return GoldResult(None, None, None)
     staged_all = gold_staged(rows).checkpoint(eager=True)
+    if staged_all.isEmpty():
+        return GoldResult(None, None, None)
+    path, staged, rejects = _publish_staged(spark, staged_all, target_root, rejects_path, "overwrite")
+    return GoldResult(path, staged, rejects)
+
+
+def _publish_staged(spark, staged_all, target_root, rejects_path, rejects_mode):
     staged, rejects = split_by_key(staged_all, GOLD_KEY)
     if rejects_path:
-        rejects.write.mode("append").parquet(rejects_path)
+        rejects.write.mode(rejects_mode).parquet(rejects_path)
     latest = latest_version(spark, target_root)
     target = spark.read.parquet(latest[1]) if latest else spark.createDataFrame([], GOLD_TARGET)
-    path = publish(merge_into_target(target, staged), target_root)
-    return GoldResult(path, staged, rejects)
+    path = publish(merge_into_target(target, staged), target_root, previous=latest)
+    return path, staged, rejects
+
+
+def run_gold_incremental(
+    spark: SparkSession,
+    silver: str,
+    target_root: str,
+    checkpoint: str,
+    silver_schema: StructType,
+    rejects_path: str | None = None,
+    trigger: dict | None = AVAILABLE_NOW,
+    max_files_per_trigger: int | None = None,
+) -> StreamingQuery:
+    """Gold maintained incrementally from a stream of silver files.
+
+    A streaming aggregation keeps per-product state (count, sum, sentiment
+    counts) in the state store under ``checkpoint``; partial aggregation runs
+    before the shuffle as in batch. Each micro-batch emits only the products
+    it touched, with their full totals (update mode), and those rows are
+    upserted into the target as its next version. Work per run grows with the
+    new silver files, not with all of silver; a replayed micro-batch
+    re-publishes the same totals, so the keyed upsert keeps the sink
+    idempotent. Rejects (null product) are written per micro-batch.
+    """
+    reader = spark.readStream.schema(silver_schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
+    metrics = gold_staged(reader.parquet(silver))
+
+    def upsert_batch(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            if batch.isEmpty():
+                return
+            out = f"{rejects_path}/batch={batch_id}" if rejects_path else None
+            _publish_staged(batch.sparkSession, batch, target_root, out, "overwrite")
+        finally:
+            batch.unpersist()
+
+    writer = (
+        metrics.writeStream.outputMode("update")
+        .foreachBatch(upsert_batch)
+        .option("checkpointLocation", checkpoint)
+    )
+    if trigger:
+        writer = writer.trigger(**trigger)
+    query = writer.start()
+    if trigger and trigger.get("availableNow"):
+        drain(query)
+    return query

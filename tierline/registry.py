@@ -618,3 +618,23 @@ def medallion_run(spark, sf):
         *[c for c in cur.columns if c != "last_updated_at"],
         F.col("last_updated_at").isNotNull().alias("has_last_updated_at"),
     )
+
+
+@register("medallion_incremental", medallion_sql())
+def medallion_incremental(spark, sf):
+    """M5 with incremental gold: tickets land in two loads (English texts
+    first, then the other languages); after each load the chain runs again on
+    the same checkpoints and gold only aggregates the new silver files into
+    its per-product state. The final target equals a full recomputation."""
+    root = scratch_path(spark, "medallion-incremental")
+    landing = f"{root}/landing"
+    paths = ChainPaths.under(root, landing)
+    tickets = doc_tickets(spark, sf, F.col("lang"))
+    for load in (F.col("lang") == F.lit("en"), ~(F.col("lang") == F.lit("en")) | F.col("lang").isNull()):
+        write_landing_files(tickets.filter(load).drop("lang"), landing, TICKETS_PER_FILE)
+        result = run_chain(spark, paths, rules=TEXT_RULES, incremental=True)
+    cur = spark.read.parquet(result.path)
+    return cur.select(
+        *[c for c in cur.columns if c != "last_updated_at"],
+        F.col("last_updated_at").isNotNull().alias("has_last_updated_at"),
+    )

@@ -133,16 +133,23 @@ def read_current(spark: SparkSession, root: str, schema: StructType | None = Non
     return reader.parquet(latest[1])
 
 
-def publish(df: DataFrame, root: str) -> str:
+_UNKNOWN = object()
+
+
+def publish(df: DataFrame, root: str, previous=_UNKNOWN) -> str:
     """Write ``df`` as the next version and log it; returns the version path.
 
-    A failed write leaves no log row, so readers keep the previous version.
+    ``previous`` is the ``latest_version`` the caller already read (saves a
+    read of the log). A failed write leaves no log row, so readers keep the
+    previous version.
     """
     spark = df.sparkSession
-    latest = latest_version(spark, root)
+    latest = latest_version(spark, root) if previous is _UNKNOWN else previous
     version = 1 if latest is None else latest[0] + 1
     path = f"{root.rstrip('/')}/version-{version:010d}"
-    df.write.mode("errorifexists").parquet(path)
+    # A folder at this path can only be an unlogged leftover of a failed
+    # attempt (no reader ever sees it), so a retry overwrites it.
+    df.write.mode("overwrite").parquet(path)
     entry = spark.createDataFrame([(version, path)], "version long, path string").withColumn(
         "published_at", F.current_timestamp()
     )
