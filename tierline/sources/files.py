@@ -25,6 +25,7 @@ def read_json_stream(
     multi_line: bool = False,
     max_files_per_trigger: int | None = None,
     corrupt_column: str | None = None,
+    options: dict[str, str] | None = None,
 ) -> DataFrame:
     """Streaming JSON reader with a declared schema (schema on read).
 
@@ -34,11 +35,17 @@ def read_json_stream(
     first top-level value of a file is read). Without it every line is a
     record (an array on one line also expands). An unparsable file or line
     gives a row of nulls, never a failure.
+
+    ``options`` passes further file-source settings, e.g. ``cleanSource`` =
+    ``archive`` with ``sourceArchiveDir`` (or ``delete``) so that a landing
+    folder that grows for years is not listed in full on every trigger.
     """
     reader = spark.readStream.format("json").schema(schema)
     reader = _json_options(reader, multi_line, corrupt_column)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
+    for key, value in (options or {}).items():
+        reader = reader.option(key, value)
     return reader.load(path)
 
 
@@ -59,10 +66,11 @@ def landing_json_stream(
     path: str,
     schema: StructType = TICKET,
     max_files_per_trigger: int | None = None,
+    options: dict[str, str] | None = None,
 ) -> DataFrame:
     """A landing folder of files, each one JSON array of tickets."""
     return read_json_stream(spark, path, schema, multi_line=True,
-                            max_files_per_trigger=max_files_per_trigger)
+                            max_files_per_trigger=max_files_per_trigger, options=options)
 
 
 def event_json_stream(
@@ -71,10 +79,11 @@ def event_json_stream(
     schema: StructType = RAW_EVENT,
     max_files_per_trigger: int | None = 100,
     multi_line: bool = False,
+    options: dict[str, str] | None = None,
 ) -> DataFrame:
     """Raw events, line-delimited JSON, at most 100 files per micro-batch by default."""
     return read_json_stream(spark, path, schema, multi_line=multi_line,
-                            max_files_per_trigger=max_files_per_trigger)
+                            max_files_per_trigger=max_files_per_trigger, options=options)
 
 
 def read_parquet_guarded(
