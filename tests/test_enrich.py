@@ -57,3 +57,13 @@ def test_hot_key_salted(spark):
     out = left_enrich(facts, dim, "user_id", salt_buckets=8)
     assert out.count() == 3000
     assert out.filter("name = 'H'").count() == 1000
+
+
+def test_broadcast_bounded_by_bytes(frames, spark):
+    facts, dim = frames
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        tiny = left_enrich(facts, dim, "user_id", broadcast_max_rows=10, broadcast_max_bytes=9)
+        assert "BroadcastHashJoin" not in tiny._jdf.queryExecution().sparkPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -108,3 +108,11 @@ def test_landing_stream(spark, workdir):
     write_text(land, "a.json", json.dumps(TICKETS, indent=2))
     run_available_now(landing_json_stream(spark, land), f"{workdir}/o", f"{workdir}/c")
     assert spark.read.parquet(f"{workdir}/o").select(F.countDistinct("ticket_id")).collect()[0][0] == 7
+
+
+def test_landing_writer_byte_bound(spark):
+    src = spark.range(0, 50, numPartitions=1).selectExpr("cast(id as string) as ticket_id",
+                                                         "repeat('x', 1000) as review_text")
+    arrays = [json.loads(a[0]) for a in landing_arrays(src, 100, max_bytes_per_file=5000).collect()]
+    assert sum(len(a) for a in arrays) == 50
+    assert all(len(a) <= 4 for a in arrays) and len(arrays) >= 12

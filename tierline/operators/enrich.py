@@ -5,10 +5,11 @@ with null dimension columns, the key appears once and first (USING form).
 
 Physical strategy:
 
-* ``broadcast_max_rows`` set: the dimension's row count is measured once (one
-  small aggregate job that also checks key uniqueness); at or below the bound
-  it is broadcast, so the fact side is never shuffled. Above it the next
-  strategy applies.
+* ``broadcast_max_rows`` set: the dimension's row count and payload bytes
+  are measured once (one small aggregate job that also checks key
+  uniqueness); within both bounds (``broadcast_max_bytes``, 256 MiB by
+  default) it is broadcast, so the fact side is never shuffled. Beyond them
+  the next strategy applies.
 * ``salt_buckets`` > 1: a shuffled join where every fact row draws a salt from
   a hash of its own columns and the dimension is replicated once per salt.
   A hot key is then spread over ``salt_buckets`` tasks. Use it for streams
@@ -27,15 +28,35 @@ from ..session import scratch_root
 SALT = "__salt"
 
 
-def dimension_profile(dim: DataFrame, keys: list[str]) -> tuple[int, int]:
-    """``(rows, largest number of rows sharing one key)`` in one job."""
+# Bytes counted per value of a fixed-width column (a generous upper bound).
+FIXED_WIDTH_BYTES = 16
+
+
+def _row_bytes(dim: DataFrame):
+    """Payload bytes of one row: text and binary by length, the rest fixed."""
+    total = F.lit(0).cast("long")
+    for field in dim.schema.fields:
+        kind = field.dataType.typeName()
+        if kind in ("string", "binary", "varchar", "char"):
+            size = F.coalesce(F.octet_length(F.col(field.name)), F.lit(0))
+        elif kind in ("array", "map", "struct", "variant"):
+            size = F.coalesce(F.length(F.to_json(F.col(field.name))), F.lit(0))
+        else:
+            size = F.lit(FIXED_WIDTH_BYTES)
+        total = total + size.cast("long")
+    return total
+
+
+def dimension_profile(dim: DataFrame, keys: list[str]) -> tuple[int, int, int]:
+    """``(rows, largest number of rows sharing one key, payload bytes)`` in one
+    job, partially aggregated per task before the shuffle."""
     row = (
         dim.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .agg(F.sum("n").alias("rows"), F.max("n").alias("widest"))
+        .agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(dim)).alias("b"))
+        .agg(F.sum("n").alias("rows"), F.max("n").alias("widest"), F.sum("b").alias("bytes"))
         .collect()[0]
     )
-    return int(row["rows"] or 0), int(row["widest"] or 0)
+    return int(row["rows"] or 0), int(row["widest"] or 0), int(row["bytes"] or 0)
 
 
 def _salted_left_join(facts: DataFrame, dim: DataFrame, keys: list[str], buckets: int) -> DataFrame:
@@ -52,6 +73,7 @@ def left_enrich(
     on: str | list[str],
     *,
     broadcast_max_rows: int | None = None,
+    broadcast_max_bytes: int = 256 * 1024 * 1024,
     validate_unique: bool = False,
     salt_buckets: int | None = None,
     snapshot: bool = False,
@@ -67,12 +89,14 @@ def left_enrich(
     if snapshot:
         scratch_root(dim.sparkSession)  # reliable checkpoints need the shared folder
         dim = dim.checkpoint(eager=True)
-    rows = None
+    fits = False
     if validate_unique or broadcast_max_rows is not None:
-        rows, widest = dimension_profile(dim, keys)
+        rows, widest, size = dimension_profile(dim, keys)
         if validate_unique and widest > 1:
             raise ValueError(f"dimension key {keys} is not unique ({widest} rows share one key)")
-    if broadcast_max_rows is not None and rows is not None and rows <= broadcast_max_rows:
+        fits = (broadcast_max_rows is not None and rows <= broadcast_max_rows
+                and size <= broadcast_max_bytes)
+    if fits:
         return facts.join(F.broadcast(dim), on=keys, how="left")
     if salt_buckets and salt_buckets > 1:
         return _salted_left_join(facts, dim, keys, salt_buckets)

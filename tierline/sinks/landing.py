@@ -3,9 +3,9 @@
 A multi-line JSON reader only reads the first top-level value of a file, so
 every file must hold exactly one array. Records are encoded to JSON in the
 JVM; a small per-partition step then joins up to ``records_per_file`` of
-them into one array line, so a batch never leaves its partition (no
-shuffle) and its size is bounded. The text writer puts each line into a
-file of its own.
+them (and about ``max_bytes_per_file`` characters at most) into one array
+line, so a batch never leaves its partition (no shuffle) and its size is
+bounded. The text writer puts each line into a file of its own.
 """
 
 from __future__ import annotations
@@ -16,36 +16,46 @@ from pyspark.sql import functions as F
 RECORD = "record"
 
 
-def _array_lines(records_per_file: int):
+def _array_lines(records_per_file: int, max_bytes_per_file: int):
     def run(batches):
         import pandas as pd
 
         pending: list[str] = []
+        size = 0
         for pdf in batches:
-            pending.extend(pdf[RECORD].tolist())
-            if len(pending) < records_per_file:
-                continue
-            cut = len(pending) - len(pending) % records_per_file
-            lines = [
-                "[" + ",".join(pending[i:i + records_per_file]) + "]"
-                for i in range(0, cut, records_per_file)
-            ]
-            pending = pending[cut:]
-            yield pd.DataFrame({"value": lines})
+            lines = []
+            for rec in pdf[RECORD].tolist():
+                if pending and (len(pending) >= records_per_file or size + len(rec) > max_bytes_per_file):
+                    lines.append("[" + ",".join(pending) + "]")
+                    pending, size = [], 0
+                pending.append(rec)
+                size += len(rec) + 1
+            if lines:
+                yield pd.DataFrame({"value": lines})
         if pending:
             yield pd.DataFrame({"value": ["[" + ",".join(pending) + "]"]})
 
     return run
 
 
-def landing_arrays(df: DataFrame, records_per_file: int = 500, columns: list[str] | None = None) -> DataFrame:
+MAX_BYTES_PER_FILE = 64 * 1024 * 1024
+
+
+def landing_arrays(
+    df: DataFrame,
+    records_per_file: int = 500,
+    columns: list[str] | None = None,
+    max_bytes_per_file: int = MAX_BYTES_PER_FILE,
+) -> DataFrame:
     """One row per future file: a JSON array of up to ``records_per_file``
-    records (null fields are left out and read back as null)."""
+    records and about ``max_bytes_per_file`` characters (a single larger
+    record still gets a file of its own). Null fields are left out and read
+    back as null."""
     if records_per_file < 1:
         raise ValueError("records_per_file must be positive")
     cols = columns or df.columns
     records = df.select(F.to_json(F.struct(*[F.col(c) for c in cols])).alias(RECORD))
-    return records.mapInPandas(_array_lines(records_per_file), "value string")
+    return records.mapInPandas(_array_lines(records_per_file, max_bytes_per_file), "value string")
 
 
 def write_landing_files(
@@ -54,11 +64,12 @@ def write_landing_files(
     records_per_file: int = 500,
     columns: list[str] | None = None,
     mode: str = "append",
+    max_bytes_per_file: int = MAX_BYTES_PER_FILE,
 ) -> None:
     """Write ``df`` into ``path`` as files of one JSON array each. Appending
     adds new files next to the old ones, which a file stream picks up."""
     (
-        landing_arrays(df, records_per_file, columns)
+        landing_arrays(df, records_per_file, columns, max_bytes_per_file)
         .write.mode(mode)
         .option("maxRecordsPerFile", 1)
         .text(path)
