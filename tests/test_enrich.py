@@ -67,3 +67,14 @@ def test_broadcast_bounded_by_bytes(frames, spark):
         assert "BroadcastHashJoin" not in tiny._jdf.queryExecution().sparkPlan().toString()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_hot_group_of_copies_is_spread(spark):
+    facts = spark.range(4000).selectExpr("'hot' as user_id", "'same' as payload")
+    dim = spark.createDataFrame([("hot", "H")], "user_id string, name string")
+    out = left_enrich(facts, dim, "user_id", salt_buckets=8)
+    assert out.count() == 4000 and out.filter("name = 'H'").count() == 4000
+    from pyspark.sql import functions as F
+    from tierline.operators.enrich import SALT, SALT_SEED
+    spread = facts.withColumn(SALT, F.floor(F.rand(SALT_SEED) * 8)).groupBy(SALT).count().collect()
+    assert len(spread) == 8 and max(r["count"] for r in spread) < 1000

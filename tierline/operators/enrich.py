@@ -10,8 +10,8 @@ Physical strategy:
   uniqueness); within both bounds (``broadcast_max_bytes``, 256 MiB by
   default) it is broadcast, so the fact side is never shuffled. Beyond them
   the next strategy applies.
-* ``salt_buckets`` > 1: a shuffled join where every fact row draws a salt from
-  a hash of its own columns and the dimension is replicated once per salt.
+* ``salt_buckets`` > 1: a shuffled join where every fact row draws a random
+  salt and the dimension is replicated once per salt.
   A hot key is then spread over ``salt_buckets`` tasks. Use it for streams
   (adaptive skew splitting does not run inside micro-batches).
 * otherwise the plain join is left to Catalyst and adaptive execution, which
@@ -59,10 +59,16 @@ def dimension_profile(dim: DataFrame, keys: list[str]) -> tuple[int, int, int]:
     return int(row["rows"] or 0), int(row["widest"] or 0), int(row["bytes"] or 0)
 
 
+SALT_SEED = 17
+
+
 def _salted_left_join(facts: DataFrame, dim: DataFrame, keys: list[str], buckets: int) -> DataFrame:
-    salted_facts = facts.withColumn(
-        SALT, F.pmod(F.xxhash64(*[F.col(c) for c in facts.columns]), F.lit(buckets)).cast("int")
-    )
+    # The salt is drawn per row, not hashed from the row's content: a hot key
+    # made of identical copies is spread too. ``rand`` is seeded per input
+    # partition and advances row by row, so a retried task over the same input
+    # draws the same salts; and since every salt value meets exactly one
+    # replica of the dimension, the join result does not depend on the draw.
+    salted_facts = facts.withColumn(SALT, F.floor(F.rand(SALT_SEED) * F.lit(buckets)).cast("int"))
     replicated = dim.withColumn(SALT, F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
     return salted_facts.join(replicated, on=[*keys, SALT], how="left").drop(SALT)
 
