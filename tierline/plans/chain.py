@@ -13,8 +13,8 @@ from pyspark.sql import SparkSession
 
 from ..functions.triage import DEFAULT_OUTCOME, DEFAULT_RULES, Outcome, Rule
 from ..schemas import TICKET
-from .bronze import run_bronze
 from ..sinks.snapshots import latest_version
+from .bronze import run_bronze
 from .gold import GoldResult, run_gold, run_gold_incremental
 from .silver import run_silver_tickets, silver_tickets, BRONZE_TICKET
 
@@ -27,6 +27,7 @@ class ChainPaths:
     gold: str
     checkpoints: str
     rejects: str | None = None
+    silver_rejects: str | None = None
 
     @classmethod
     def under(cls, root: str, landing: str | None = None) -> "ChainPaths":
@@ -38,6 +39,7 @@ class ChainPaths:
             gold=f"{root}/gold",
             checkpoints=f"{root}/checkpoints",
             rejects=f"{root}/rejects",
+            silver_rejects=f"{root}/silver_rejects",
         )
 
 
@@ -63,6 +65,7 @@ def run_chain(
     )
     run_silver_tickets(
         spark, paths.bronze, paths.silver, f"{paths.checkpoints}/silver", rules, default,
+        rejects=paths.silver_rejects, rejects_checkpoint=f"{paths.checkpoints}/silver_rejects",
     )
     schema = silver_schema(spark, rules, default)
     if not incremental:

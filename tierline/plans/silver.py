@@ -10,7 +10,7 @@ from pyspark.sql.types import StructField, StructType, TimestampType
 from ..functions.triage import DEFAULT_OUTCOME, DEFAULT_RULES, Outcome, Rule, with_triage
 from ..operators.columns import parse_timestamp, stamp
 from ..operators.enrich import left_enrich
-from ..operators.keys import require_key
+from ..operators.keys import key_rejects, require_key
 from ..schemas import RAW_EVENT, TICKET
 from ..sources.files import event_json_stream
 from ..streaming.runner import AVAILABLE_NOW, drain, start_append
@@ -47,16 +47,33 @@ def run_silver_events(
     max_files_per_trigger: int | None = 100,
     multi_line: bool = False,
     trigger: dict | None = AVAILABLE_NOW,
+    rejects: str | None = None,
+    rejects_checkpoint: str | None = None,
     **join_options,
 ) -> StreamingQuery:
-    """Raw event JSON files -> silver parquet, drained with ``availableNow``."""
+    """Raw event JSON files -> silver parquet, drained with ``availableNow``.
+
+    With ``rejects`` the rows without an event id are appended there too (with
+    a reason column) by a second stream on its own checkpoint, so both outputs
+    are exactly once and rows in = silver rows + rejects. The source files are
+    then parsed twice; leave it off for feeds where that matters.
+    """
     raw = event_json_stream(spark, source, RAW_EVENT, max_files_per_trigger, multi_line)
     query = start_append(silver_events(raw, dim, **join_options), out, checkpoint, trigger)
+    _start_rejects(raw, "event_id", rejects, rejects_checkpoint or f"{checkpoint}-rejects", trigger)
     if trigger and trigger.get("availableNow"):
         drain(query)
     return query
 
 
+def _start_rejects(raw: DataFrame, key: str, path: str | None, checkpoint: str, trigger) -> None:
+    if not path:
+        return
+    query = start_append(key_rejects(raw, key), path, checkpoint, trigger)
+    if trigger and trigger.get("availableNow"):
+        drain(query)
+
+
 def silver_tickets(
     bronze: DataFrame,
     rules: tuple[Rule, ...] = DEFAULT_RULES,
@@ -79,12 +96,17 @@ def run_silver_tickets(
     default: Outcome = DEFAULT_OUTCOME,
     max_files_per_trigger: int | None = None,
     trigger: dict | None = AVAILABLE_NOW,
+    rejects: str | None = None,
+    rejects_checkpoint: str | None = None,
 ) -> StreamingQuery:
-    """Bronze parquet (as a stream) -> triaged silver parquet."""
+    """Bronze parquet (as a stream) -> triaged silver parquet; unkeyed bronze
+    rows (e.g. from unparsable landing files) optionally go to ``rejects``."""
     reader = spark.readStream.schema(BRONZE_TICKET)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    query = start_append(silver_tickets(reader.parquet(bronze), rules, default), out, checkpoint, trigger)
+    bronze_rows = reader.parquet(bronze)
+    query = start_append(silver_tickets(bronze_rows, rules, default), out, checkpoint, trigger)
+    _start_rejects(bronze_rows, "ticket_id", rejects, rejects_checkpoint or f"{checkpoint}-rejects", trigger)
     if trigger and trigger.get("availableNow"):
         drain(query)
     return query

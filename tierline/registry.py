@@ -638,3 +638,19 @@ def medallion_incremental(spark, sf):
         *[c for c in cur.columns if c != "last_updated_at"],
         F.col("last_updated_at").isNotNull().alias("has_last_updated_at"),
     )
+
+
+@register("silver_event_rejects", f"""
+    select *, 'missing event_id' as reject_reason from ({RAW_EVENTS_SQL}) e where event_id is null""")
+def silver_event_rejects(spark, sf):
+    """P2 in the event stream: rows without an event id land in a rejects
+    output, so rows in = silver rows + rejects."""
+    landing = _land_events(spark, sf, "silver-rejects")
+    root = scratch_path(spark, "silver-rejects")
+    run_silver_events(spark, landing, user_dimension(spark, sf), f"{root}/silver", f"{root}/ckpt",
+                      rejects=f"{root}/rejects", broadcast_max_rows=5_000_000)
+    kept = spark.read.parquet(f"{root}/silver").count()
+    rej = spark.read.parquet(f"{root}/rejects")
+    if kept + rej.count() != table(spark, sf, "events").count():
+        raise AssertionError("rows in differ from silver rows + rejects")
+    return rej.select(*_EVENT_COLUMNS, "reject_reason")
