@@ -28,12 +28,13 @@ def run_bronze(
     schema: StructType = TICKET,
     max_files_per_trigger: int | None = None,
     source_options: dict[str, str] | None = None,
+    partition_by: list[str] | None = None,
 ) -> StreamingQuery:
     """Start the landing -> bronze stream. With the default ``availableNow``
     trigger it returns once every landed file is in bronze; with another
     trigger the running query is returned to the caller."""
     raw = landing_json_stream(spark, landing, schema, max_files_per_trigger, source_options)
-    query = start_append(bronze_frame(raw), bronze, checkpoint, trigger)
+    query = start_append(bronze_frame(raw), bronze, checkpoint, trigger, partition_by=partition_by)
     if trigger and trigger.get("availableNow"):
         drain(query)
     return query

@@ -10,10 +10,11 @@ from pyspark.sql.types import StructType
 
 from ..operators.gold import product_metrics
 from ..operators.keys import split_by_key
-from ..schemas import GOLD_DEFAULTS, GOLD_KEY, GOLD_STAMP, GOLD_TARGET
+from ..schemas import GOLD_DEFAULTS, GOLD_KEY, GOLD_MAX_LENGTH, GOLD_STAMP, GOLD_TARGET
 from ..sinks.snapshots import evolve, latest_version, publish, upsert
 from ..session import scratch_root
 from ..sources.files import read_parquet_guarded
+from ..sources.jdbc import write_jdbc
 from ..streaming.runner import AVAILABLE_NOW, drain
 from .silver import gold_input
 
@@ -120,3 +121,36 @@ def run_gold_incremental(
     if trigger and trigger.get("availableNow"):
         drain(query)
     return query
+
+
+def export_jdbc(
+    spark: SparkSession,
+    target_root: str,
+    url: str,
+    table: str,
+    num_partitions: int = 4,
+    **jdbc_kwargs,
+) -> str:
+    """Publish the current gold version to a serving database table.
+
+    The whole current version replaces the table's rows (``truncate`` keeps
+    the table and its grants), so a retried export converges to the same
+    content: at-least-once delivery of an idempotent snapshot. Text keys are
+    checked against their VARCHAR bound first, and at most
+    ``num_partitions`` connections write concurrently.
+    """
+    latest = latest_version(spark, target_root)
+    if latest is None:
+        raise FileNotFoundError(f"nothing published under {target_root}")
+    write_jdbc(
+        spark.read.parquet(latest[1]).select(*[f.name for f in GOLD_TARGET.fields]),
+        url,
+        table,
+        mode="overwrite",
+        truncate=True,
+        column_types=", ".join(f"{k} VARCHAR({n})" for k, n in GOLD_MAX_LENGTH.items()),
+        max_length=GOLD_MAX_LENGTH,
+        num_partitions=num_partitions,
+        **jdbc_kwargs,
+    )
+    return latest[1]
