@@ -9,7 +9,7 @@ from pyspark.sql.types import StructType
 from ..operators.columns import stamp
 from ..schemas import TICKET
 from ..sources.files import landing_json_stream
-from ..streaming.runner import AVAILABLE_NOW, drain, start_append
+from ..streaming.runner import AVAILABLE_NOW, BATCH_FILES, drain, start_append
 
 BRONZE_STAMP = "ingested_at"
 
@@ -26,7 +26,7 @@ def run_bronze(
     checkpoint: str,
     trigger: dict | None = AVAILABLE_NOW,
     schema: StructType = TICKET,
-    max_files_per_trigger: int | None = None,
+    max_files_per_trigger: int | None = BATCH_FILES,
     source_options: dict[str, str] | None = None,
     partition_by: list[str] | None = None,
 ) -> StreamingQuery:

@@ -13,6 +13,7 @@ from pyspark.sql import SparkSession
 
 from ..functions.triage import DEFAULT_OUTCOME, DEFAULT_RULES, Outcome, Rule
 from ..schemas import TICKET
+from ..streaming.runner import BATCH_FILES
 from ..sinks.snapshots import latest_version
 from .bronze import run_bronze
 from .gold import GoldResult, run_gold, run_gold_incremental
@@ -53,7 +54,7 @@ def run_chain(
     paths: ChainPaths,
     rules: tuple[Rule, ...] = DEFAULT_RULES,
     default: Outcome = DEFAULT_OUTCOME,
-    max_files_per_trigger: int | None = None,
+    max_files_per_trigger: int | None = BATCH_FILES,
     incremental: bool = False,
 ) -> GoldResult:
     """Bronze, silver, then gold: a full recomputation over silver (the

@@ -15,7 +15,7 @@ from ..sinks.snapshots import evolve, latest_version, publish, upsert
 from ..session import scratch_root
 from ..sources.files import read_parquet_guarded
 from ..sources.jdbc import write_jdbc
-from ..streaming.runner import AVAILABLE_NOW, drain
+from ..streaming.runner import AVAILABLE_NOW, BATCH_FILES, drain
 from .silver import gold_input
 
 
@@ -82,7 +82,7 @@ def run_gold_incremental(
     silver_schema: StructType,
     rejects_path: str | None = None,
     trigger: dict | None = AVAILABLE_NOW,
-    max_files_per_trigger: int | None = None,
+    max_files_per_trigger: int | None = BATCH_FILES,
 ) -> StreamingQuery:
     """Gold maintained incrementally from a stream of silver files.
 

@@ -13,7 +13,7 @@ from ..operators.enrich import left_enrich
 from ..operators.keys import key_rejects, require_key
 from ..schemas import RAW_EVENT, TICKET
 from ..sources.files import event_json_stream
-from ..streaming.runner import AVAILABLE_NOW, drain, start_append
+from ..streaming.runner import AVAILABLE_NOW, BATCH_FILES, drain, start_append
 from .bronze import BRONZE_STAMP
 
 BRONZE_TICKET = StructType(TICKET.fields + [StructField(BRONZE_STAMP, TimestampType(), True)])
@@ -94,7 +94,7 @@ def run_silver_tickets(
     checkpoint: str,
     rules: tuple[Rule, ...] = DEFAULT_RULES,
     default: Outcome = DEFAULT_OUTCOME,
-    max_files_per_trigger: int | None = None,
+    max_files_per_trigger: int | None = BATCH_FILES,
     trigger: dict | None = AVAILABLE_NOW,
     rejects: str | None = None,
     rejects_checkpoint: str | None = None,
