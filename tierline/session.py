@@ -21,6 +21,12 @@ DEFAULT_CONF = {
     "spark.ui.showConsoleProgress": "false",
     # Delete reliable-checkpoint files once nothing references them.
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    # Streaming state (incremental gold) in RocksDB: off the JVM heap, so
+    # millions of keys do not pressure executors; changelog checkpointing
+    # uploads only the changes of each micro-batch.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
