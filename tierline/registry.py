@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from .functions.timefmt import ISO_MICROS, iso_text
+from .functions.timefmt import iso_text
 from .functions.triage import (
     DEFAULT_OUTCOME,
     DEFAULT_RULES,
