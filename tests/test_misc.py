@@ -58,3 +58,11 @@ def test_processing_time_trigger_and_archive(spark, workdir):
     assert spark.read.parquet(f"{workdir}/bronze").count() == 4
     archived = [f for _, _, files in os.walk(archive) for f in files]
     assert "a.json" in archived   # processed files leave the landing folder
+
+
+def test_jdbc_write_checks_bounds_before_connecting(spark):
+    from tierline.sources.jdbc import write_jdbc
+    df = spark.createDataFrame([("P" * 300, 1)], "product_id string, total_reviews long")
+    with pytest.raises(ValueError):
+        # the URL is never contacted: the length check fails first
+        write_jdbc(df, "jdbc:unreachable://nowhere/db", "gold", max_length={"product_id": 255})
