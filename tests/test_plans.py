@@ -39,3 +39,24 @@ def test_gold_shuffles_once_after_partial_aggregation(spark):
     plan = _plan(product_metrics(li, sentiment="sentiment", rating=True))
     assert plan.count("Exchange hashpartitioning") == 1
     assert plan.index("partial_count") > plan.index("Exchange hashpartitioning")  # partial below the exchange
+
+
+def test_stream_static_join_broadcasts_in_each_micro_batch(spark, workdir):
+    import json as _json
+    import os
+
+    from tierline.schemas import RAW_EVENT
+    from tierline.sources.files import event_json_stream
+    from tierline.streaming.runner import run_available_now
+
+    os.makedirs(f"{workdir}/ev")
+    with open(f"{workdir}/ev/a.json", "w") as fh:
+        fh.write(_json.dumps([{"event_id": "1", "user_id": "7", "event_type": "click",
+                               "timestamp": "2026-01-02T03:04:05Z", "payload": "{}"}]))
+    stream = event_json_stream(spark, f"{workdir}/ev", RAW_EVENT)
+    joined = silver_events(stream, user_dimension(spark, SF), broadcast_max_rows=1_000_000)
+    query = run_available_now(joined, f"{workdir}/out", f"{workdir}/ck")
+    plan = query._jsq.explainInternal(False)
+    assert "BroadcastHashJoin" in plan and "LeftOuter" in plan
+    assert "Exchange hashpartitioning" not in plan
+    assert spark.read.parquet(f"{workdir}/out").count() == 1
