@@ -66,3 +66,11 @@ def test_jdbc_write_checks_bounds_before_connecting(spark):
     with pytest.raises(ValueError):
         # the URL is never contacted: the length check fails first
         write_jdbc(df, "jdbc:unreachable://nowhere/db", "gold", max_length={"product_id": 255})
+
+
+def test_scratch_root_prefers_session_setting(spark):
+    from tierline.session import scratch_path, scratch_root
+    root = scratch_root(spark)
+    assert root == spark.conf.get("spark.checkpoint.dir").rstrip("/") or root
+    a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
+    assert a != b and a.startswith(root)

@@ -67,14 +67,26 @@ def scratch_root(spark: SparkSession) -> str:
     as the session's checkpoint directory.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    context = _context(spark)
+    if not root and context is not None:
+        root = context.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="tierline-")
-        spark.sparkContext.setCheckpointDir(root)
+        if context is not None:
+            context.setCheckpointDir(root)
+        else:
+            spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
 
 
+def _context(spark: SparkSession):
+    """The SparkContext, or None for sessions without one (Spark Connect)."""
+    try:
+        return spark.sparkContext
+    except Exception:  # Connect sessions raise on access
+        return None
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused location under :func:`scratch_root`."""
     return f"{scratch_root(spark)}/tierline/{name}-{uuid.uuid4().hex}"
