@@ -78,3 +78,11 @@ def test_hot_group_of_copies_is_spread(spark):
     from tierline.operators.enrich import SALT, SALT_SEED
     spread = facts.withColumn(SALT, F.floor(F.rand(SALT_SEED) * 8)).groupBy(SALT).count().collect()
     assert len(spread) == 8 and max(r["count"] for r in spread) < 1000
+
+
+def test_fits_broadcast(spark):
+    from tierline.operators.enrich import fits_broadcast
+    dim = spark.range(100).selectExpr("cast(id as string) as user_id", "repeat('x', 10) as name")
+    assert fits_broadcast(dim, 100, 10_000)
+    assert not fits_broadcast(dim, 99, 10_000)
+    assert not fits_broadcast(dim, 100, 100)

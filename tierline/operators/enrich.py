@@ -62,6 +62,16 @@ def dimension_profile(dim: DataFrame, keys: list[str]) -> tuple[int, int, int]:
 SALT_SEED = 17
 
 
+def fits_broadcast(dim: DataFrame, max_rows: int, max_bytes: int) -> bool:
+    """Whether ``dim`` is within both bounds. The row check reads at most
+    ``max_rows + 1`` rows, so a huge dimension is rejected early without a
+    full scan; only a dimension within the row bound has its bytes summed."""
+    if dim.limit(max_rows + 1).count() > max_rows:
+        return False
+    size = dim.select(F.sum(_row_bytes(dim)).alias("b")).collect()[0]["b"] or 0
+    return int(size) <= max_bytes
+
+
 def _salted_left_join(facts: DataFrame, dim: DataFrame, keys: list[str], buckets: int) -> DataFrame:
     # The salt is drawn per row, not hashed from the row's content: a hot key
     # made of identical copies is spread too. ``rand`` is seeded per input
@@ -96,12 +106,14 @@ def left_enrich(
         scratch_root(dim.sparkSession)  # reliable checkpoints need the shared folder
         dim = dim.checkpoint(eager=True)
     fits = False
-    if validate_unique or broadcast_max_rows is not None:
+    if validate_unique:
         rows, widest, size = dimension_profile(dim, keys)
-        if validate_unique and widest > 1:
+        if widest > 1:
             raise ValueError(f"dimension key {keys} is not unique ({widest} rows share one key)")
         fits = (broadcast_max_rows is not None and rows <= broadcast_max_rows
                 and size <= broadcast_max_bytes)
+    elif broadcast_max_rows is not None:
+        fits = fits_broadcast(dim, broadcast_max_rows, broadcast_max_bytes)
     if fits:
         return facts.join(F.broadcast(dim), on=keys, how="left")
     if salt_buckets and salt_buckets > 1:
