@@ -5,11 +5,12 @@ with null dimension columns, the key appears once and first (USING form).
 
 Physical strategy:
 
-* ``broadcast_max_rows`` set: the dimension's row count and payload bytes
-  are measured once (one small aggregate job that also checks key
-  uniqueness); within both bounds (``broadcast_max_bytes``, 256 MiB by
-  default) it is broadcast, so the fact side is never shuffled. Beyond them
-  the next strategy applies.
+* ``broadcast_max_rows`` set: the dimension is measured once. A bounded probe
+  reads at most ``broadcast_max_rows + 1`` rows, and only within that bound
+  are its payload bytes summed (with ``validate_unique`` one aggregate job
+  gives rows, bytes and key uniqueness together). Within both bounds
+  (``broadcast_max_bytes``, 256 MiB by default) it is broadcast, so the fact
+  side is never shuffled. Beyond them the next strategy applies.
 * ``salt_buckets`` > 1: a shuffled join where every fact row draws a random
   salt and the dimension is replicated once per salt.
   A hot key is then spread over ``salt_buckets`` tasks. Use it for streams
