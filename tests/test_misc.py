@@ -76,3 +76,18 @@ def test_scratch_root_prefers_session_setting(spark):
         assert root == configured.rstrip("/")
     a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
     assert a != b and a.startswith(root)
+
+
+def test_stream_failure_is_raised(spark, workdir):
+    from pyspark.errors import StreamingQueryException
+
+    write_text(f"{workdir}/landing", "a.json", json.dumps([{"ticket_id": "T1"}]))
+    write_text(workdir, "blocker", "a regular file where the bronze folder should go")
+    with pytest.raises(Exception):  # refused at start
+        run_bronze(spark, f"{workdir}/landing", f"{workdir}/blocker/bronze", f"{workdir}/ckpt")
+    # a failure inside a micro-batch surfaces from drain
+    from tierline.sources.files import landing_json_stream
+    from tierline.streaming.runner import run_available_now
+    bad = landing_json_stream(spark, f"{workdir}/landing").select(F.col("ticket_id").cast("int"))
+    with pytest.raises(StreamingQueryException):
+        run_available_now(bad, f"{workdir}/out", f"{workdir}/ck2")
