@@ -64,9 +64,9 @@ def run_gold(
     return GoldResult(path, staged, rejects)
 
 
-def _publish_staged(spark, staged_all, target_root, rejects_path, rejects_mode):
+def _publish_staged(spark, staged_all, target_root, rejects_path, rejects_mode, skip_empty_rejects=False):
     staged, rejects = split_by_key(staged_all, GOLD_KEY)
-    if rejects_path:
+    if rejects_path and not (skip_empty_rejects and rejects.isEmpty()):
         rejects.write.mode(rejects_mode).parquet(rejects_path)
     latest = latest_version(spark, target_root)
     target = spark.read.parquet(latest[1]) if latest else spark.createDataFrame([], GOLD_TARGET)
@@ -106,7 +106,8 @@ def run_gold_incremental(
             if batch.isEmpty():
                 return
             out = f"{rejects_path}/batch={batch_id}" if rejects_path else None
-            _publish_staged(batch.sparkSession, batch, target_root, out, "overwrite")
+            _publish_staged(batch.sparkSession, batch, target_root, out, "overwrite",
+                            skip_empty_rejects=True)
         finally:
             batch.unpersist()
 
