@@ -37,3 +37,12 @@ def test_stamp_and_drop(spark):
     out = drop_columns(stamp(df), "timestamp", "absent")
     assert out.columns == ["a", "ingested_at"]
     assert out.collect()[0]["ingested_at"] is not None
+
+
+def test_fingerprint_is_order_insensitive(spark):
+    from tierline.operators.fingerprint import fingerprint, same_rows
+    a = spark.createDataFrame([(1, "x"), (2, "y"), (2, "y")], "k int, v string")
+    b = spark.createDataFrame([(2, "y"), (1, "x"), (2, "y")], "k int, v string").repartition(3)
+    c = spark.createDataFrame([(1, "x"), (2, "y")], "k int, v string")
+    assert same_rows(a, b) and not same_rows(a, c)
+    assert fingerprint(a)[0] == 3
