@@ -83,6 +83,7 @@ def test_incremental_gold_equals_full(spark, workdir):
     got = sorted(tuple(r) for r in spark.read.parquet(r_inc.path).select(cols).collect())
     want = sorted(tuple(r) for r in spark.read.parquet(r_full.path).select(cols).collect())
     assert got == want and len(got) == 3
+    assert spark.read.parquet(inc.rejects).count() == 1   # the null product, from the second load only
     # a rerun without new files publishes nothing new
     again = run_chain(spark, inc, incremental=True)
     assert again.path == r_inc.path
