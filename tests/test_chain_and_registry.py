@@ -87,3 +87,12 @@ def test_incremental_gold_equals_full(spark, workdir):
     # a rerun without new files publishes nothing new
     again = run_chain(spark, inc, incremental=True)
     assert again.path == r_inc.path
+
+
+def test_gold_on_missing_silver_is_a_no_op(spark, workdir):
+    from tierline.plans.chain import silver_schema
+    from tierline.plans.gold import run_gold, run_gold_incremental
+    from tierline.functions.triage import DEFAULT_OUTCOME, DEFAULT_RULES
+    schema = silver_schema(spark, DEFAULT_RULES, DEFAULT_OUTCOME)
+    assert run_gold(spark, f"{workdir}/none", f"{workdir}/gold", schema).path is None
+    assert run_gold_incremental(spark, f"{workdir}/none", f"{workdir}/gold", f"{workdir}/ck", schema) is None

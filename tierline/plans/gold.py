@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -83,7 +84,7 @@ def run_gold_incremental(
     rejects_path: str | None = None,
     trigger: dict | None = AVAILABLE_NOW,
     max_files_per_trigger: int | None = BATCH_FILES,
-) -> StreamingQuery:
+) -> StreamingQuery | None:
     """Gold maintained incrementally from a stream of silver files.
 
     A streaming aggregation keeps per-product state (count, sum, sentiment
@@ -93,12 +94,18 @@ def run_gold_incremental(
     upserted into the target as its next version. Work per run grows with the
     new silver files, not with all of silver; a replayed micro-batch
     re-publishes the same totals, so the keyed upsert keeps the sink
-    idempotent. Rejects (null product) are written per micro-batch.
+    idempotent. Rejects (null product) are written per micro-batch. A silver
+    folder that does not exist yet is "nothing to do" (returns None).
     """
     reader = spark.readStream.schema(silver_schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    metrics = gold_staged(reader.parquet(silver))
+    try:
+        metrics = gold_staged(reader.parquet(silver))
+    except AnalysisException as exc:
+        if exc.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
     def upsert_batch(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
