@@ -61,3 +61,50 @@ def test_landing_arrays_keep_every_record(spark, rows, per_file):
     assert all(1 <= len(a) <= per_file for a in arrays)
     back = sorted((r["id"], r["body"]) for a in arrays for r in a)
     assert back == sorted(rows)
+
+
+maybe_key = st.one_of(st.none(), st.text(alphabet="ab", max_size=3))
+
+
+@SETTINGS
+@given(st.lists(st.tuples(maybe_key, st.integers(-2**63, 2**63 - 1)), max_size=50))
+def test_keys_split_rows_exactly(spark, rows):
+    from tierline.operators.keys import split_by_key
+    df = spark.createDataFrame(rows or [], "k string, v long")
+    kept, rejects = split_by_key(df, "k")
+    got_kept = sorted((r["k"], r["v"]) for r in kept.collect())
+    got_rej = sorted(r["v"] for r in rejects.collect())
+    assert got_kept == sorted((k, v) for k, v in rows if k is not None)
+    assert got_rej == sorted(v for k, v in rows if k is None)
+
+
+stamps = st.one_of(
+    st.none(),
+    st.datetimes(min_value=__import__("datetime").datetime(1971, 1, 1),
+                 max_value=__import__("datetime").datetime(2100, 1, 1)).map(
+        lambda d: d.replace(microsecond=0).strftime("%Y-%m-%dT%H:%M:%SZ")),
+    st.text(alphabet="0123456789-:TZ /", max_size=20),
+)
+
+
+@SETTINGS
+@given(st.lists(stamps, min_size=1, max_size=40))
+def test_lenient_parse_never_raises_and_round_trips_iso(spark, texts):
+    import datetime as dt
+
+    from tierline.functions.timefmt import iso_text
+    from tierline.operators.columns import parse_timestamp
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, timestamp string")
+    out = parse_timestamp(df, keep_raw=True).withColumn("back", iso_text("event_timestamp")).orderBy("i").collect()
+    for r in out:
+        t = r["timestamp"]
+        iso = t is not None and len(t) == 20 and t.endswith("Z") and t[10] == "T"
+        if iso:
+            try:
+                dt.datetime.strptime(t, "%Y-%m-%dT%H:%M:%SZ")
+            except ValueError:
+                iso = False
+        if iso:
+            assert r["back"] == t
+        elif t is None:
+            assert r["event_timestamp"] is None
