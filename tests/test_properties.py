@@ -1,6 +1,7 @@
 """Property tests: Spark operators against plain-Python statements of their
 semantics, on generated inputs (one Spark job per generated case)."""
 
+import datetime as dt
 import json
 
 from hypothesis import HealthCheck, given, settings
@@ -80,8 +81,7 @@ def test_keys_split_rows_exactly(spark, rows):
 
 stamps = st.one_of(
     st.none(),
-    st.datetimes(min_value=__import__("datetime").datetime(1971, 1, 1),
-                 max_value=__import__("datetime").datetime(2100, 1, 1)).map(
+    st.datetimes(min_value=dt.datetime(1971, 1, 1), max_value=dt.datetime(2100, 1, 1)).map(
         lambda d: d.replace(microsecond=0).strftime("%Y-%m-%dT%H:%M:%SZ")),
     st.text(alphabet="0123456789-:TZ /", max_size=20),
 )
@@ -90,8 +90,6 @@ stamps = st.one_of(
 @SETTINGS
 @given(st.lists(stamps, min_size=1, max_size=40))
 def test_lenient_parse_never_raises_and_round_trips_iso(spark, texts):
-    import datetime as dt
-
     from tierline.functions.timefmt import iso_text
     from tierline.operators.columns import parse_timestamp
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, timestamp string")
