@@ -11,7 +11,7 @@ from tierline.functions.triage import DEFAULT_OUTCOME, DEFAULT_RULES, with_triag
 from tierline.sinks.landing import landing_arrays
 from tierline.sinks.snapshots import upsert
 
-SETTINGS = settings(max_examples=8, deadline=None,
+SETTINGS = settings(max_examples=8, deadline=None, derandomize=True,
                     suppress_health_check=[HealthCheck.function_scoped_fixture, HealthCheck.too_slow])
 
 WORDS = ["battery", "Dies", "BROKE", "broken", "bodies", "confusing", "delayed", "fine", "great", "ok", "x"]
