@@ -37,8 +37,9 @@ NOTES = {
         "Executed micro-batch plan of the streaming aggregation: partial aggregate, one exchange, "
         "merge with the state store (restore/save), final aggregate. A hot product still ships one "
         "row per map task."),
-    "gold upsert (merge)": ("Full outer join on the key; each side is shuffled once by key and the join "
-                            "reuses the aggregation's partitioning (no extra exchange)."),
+    "gold upsert (merge)": ("Staged keys within the broadcast bound: the target is split by a broadcast "
+                            "anti join (survivors) and a broadcast semi join (rows being replaced); the "
+                            "target is never shuffled. Above the bound: one full outer join on the key."),
 }
 
 

@@ -49,8 +49,10 @@ keys = st.sampled_from([f"P{i}" for i in range(12)])
 def test_upsert_is_a_dictionary_merge(spark, target, staged):
     t = spark.createDataFrame(list(target.items()) or [], "product_id string, total_reviews long")
     s = spark.createDataFrame(list(staged.items()) or [], "product_id string, total_reviews long")
-    out = {r["product_id"]: r["total_reviews"] for r in upsert(t, s, "product_id", stamp=None).collect()}
-    assert out == {**target, **staged}
+    for bound in (None, 100):
+        merged = upsert(t, s, "product_id", stamp=None, broadcast_max_rows=bound)
+        out = {r["product_id"]: r["total_reviews"] for r in merged.collect()}
+        assert out == {**target, **staged}
 
 
 @SETTINGS

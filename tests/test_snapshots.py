@@ -12,10 +12,12 @@ def _target(spark):
     return df.withColumn("last_updated_at", F.to_timestamp(F.lit("2020-01-01 00:00:00")))
 
 
-def test_upsert_replace_keep_insert(spark):
+@pytest.mark.parametrize("bound", [None, 10])
+def test_upsert_replace_keep_insert(spark, bound):
     staged = spark.createDataFrame([("B", 1, 1.0), ("C", 2, 3.0)],
                                    "product_id string, total_reviews long, avg_urgency double")
-    out = {r["product_id"]: r for r in upsert(_target(spark), staged, "product_id").collect()}
+    out = {r["product_id"]: r for r in upsert(_target(spark), staged, "product_id",
+                                                broadcast_max_rows=bound).collect()}
     assert (out["A"]["total_reviews"], out["A"]["avg_urgency"]) == (5, 2.0)
     assert str(out["A"]["last_updated_at"]).startswith("2020-01-01")
     assert (out["B"]["total_reviews"], out["B"]["avg_urgency"]) == (1, 1.0)   # replaced, not added
@@ -63,3 +65,20 @@ def test_publish_versions(spark, workdir):
     cur = {r["product_id"]: r["total_reviews"] for r in read_current(spark, root).collect()}
     assert cur == {"A": 1, "B": 2}
     assert spark.read.parquet(p1).count() == 1   # old version untouched
+
+
+def test_broadcast_upsert_does_not_shuffle_target(spark):
+    target = spark.range(1000).selectExpr("cast(id as string) as product_id", "id as total_reviews")
+    staged = spark.createDataFrame([("5", 50), ("x", 1)], "product_id string, total_reviews long")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        small = upsert(target, staged, "product_id", stamp=None, broadcast_max_rows=10)
+        big = upsert(target, staged, "product_id", stamp=None)
+        plan = small._jdf.queryExecution().sparkPlan().toString()
+        assert "BroadcastHashJoin" in plan and "LeftAnti" in plan and "FullOuter" not in plan
+        assert "FullOuter" in big._jdf.queryExecution().sparkPlan().toString()
+        rows = lambda df: sorted(tuple(r) for r in df.collect())
+        assert rows(small) == rows(big)
+        assert dict(rows(small))["5"] == 50 and dict(rows(small))["x"] == 1 and len(rows(small)) == 1001
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

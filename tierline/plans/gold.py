@@ -32,6 +32,10 @@ def gold_staged(silver: DataFrame) -> DataFrame:
     return product_metrics(gold_input(silver), sentiment="sentiment", rating=True)
 
 
+# Staged products up to this many are merged without shuffling the target.
+UPSERT_BROADCAST_ROWS = 5_000_000
+
+
 def merge_into_target(target: DataFrame, staged: DataFrame) -> DataFrame:
     """Upsert ``staged`` into ``target`` and conform to the gold schema.
 
@@ -39,7 +43,8 @@ def merge_into_target(target: DataFrame, staged: DataFrame) -> DataFrame:
     its keys are unique and present by construction.
     """
     current = evolve(target, GOLD_TARGET, GOLD_DEFAULTS, keep_extra=True)
-    merged = upsert(current, staged, GOLD_KEY, GOLD_STAMP, GOLD_DEFAULTS, validate=False)
+    merged = upsert(current, staged, GOLD_KEY, GOLD_STAMP, GOLD_DEFAULTS, validate=False,
+                    broadcast_max_rows=UPSERT_BROADCAST_ROWS)
     return evolve(merged, GOLD_TARGET, GOLD_DEFAULTS, now_columns=(GOLD_STAMP,))
 
 

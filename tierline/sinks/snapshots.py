@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 from pyspark.errors import AnalysisException
 
+from ..operators.enrich import fits_broadcast
 from ..operators.keys import assert_no_null_keys, assert_unique
 
 IN_STAGED = "__in_staged"
@@ -59,6 +60,8 @@ def upsert(
     stamp: str | None = "last_updated_at",
     defaults: dict | None = None,
     validate: bool = True,
+    broadcast_max_rows: int | None = None,
+    broadcast_max_bytes: int = 256 * 1024 * 1024,
 ) -> DataFrame:
     """Insert staged rows; on key conflict replace the staged columns.
 
@@ -68,9 +71,17 @@ def upsert(
     * new keys are inserted, target-only columns get ``defaults`` (else null);
     * ``stamp`` is set to now on every inserted or replaced row.
 
-    One full outer join on the key: both sides are shuffled once by key (or
-    the smaller one broadcast by adaptive execution). ``validate`` refuses
-    null or repeated staged keys before anything is computed.
+    Two plans with the same result:
+
+    * staged keys within ``broadcast_max_rows`` / ``broadcast_max_bytes``
+      (measured, see ``fits_broadcast``): the staged keys are broadcast; the
+      target is split by a broadcast anti join (survivors) and a broadcast
+      semi join (rows being replaced), so the target is never shuffled: the
+      right plan when a micro-batch touches few keys of a large target;
+    * otherwise one full outer join on the key: both sides are shuffled once.
+
+    ``validate`` refuses null or repeated staged keys before anything is
+    computed.
     """
     defaults = defaults or {}
     if validate:
@@ -84,7 +95,10 @@ def upsert(
         F.lit(True).alias(IN_STAGED),
     )
     t = target.withColumn(IN_TARGET, F.lit(True))
-    joined = t.join(s, on=key, how="full_outer")
+    small = broadcast_max_rows is not None and fits_broadcast(
+        staged.select(key), broadcast_max_rows, broadcast_max_bytes
+    )
+    joined = _split_by_staged_keys(t, s, key) if small else t.join(s, on=key, how="full_outer")
     in_staged = F.coalesce(F.col(IN_STAGED), F.lit(False))
     in_target = F.coalesce(F.col(IN_TARGET), F.lit(False))
     out = [F.col(key)]
@@ -106,6 +120,16 @@ def upsert(
     return joined.select(*out)
 
 
+def _split_by_staged_keys(t: DataFrame, s: DataFrame, key: str) -> DataFrame:
+    """The full outer join of ``t`` and ``s`` on ``key``, computed without
+    shuffling ``t``: ``s`` (few keys) is broadcast to split ``t``."""
+    keys = F.broadcast(s.select(key))
+    survivors = t.join(keys, on=key, how="left_anti")
+    replaced = t.join(keys, on=key, how="left_semi")
+    staged_side = s.join(replaced, on=key, how="left")
+    return survivors.unionByName(staged_side, allowMissingColumns=True)
+
+
 def _log_path(root: str) -> str:
     return f"{root.rstrip('/')}/{LOG_DIR}"
 
