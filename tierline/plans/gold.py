@@ -36,7 +36,9 @@ def gold_staged(silver: DataFrame) -> DataFrame:
 UPSERT_BROADCAST_ROWS = 5_000_000
 
 
-def merge_into_target(target: DataFrame, staged: DataFrame) -> DataFrame:
+def merge_into_target(
+    target: DataFrame, staged: DataFrame, broadcast_max_rows: int | None = UPSERT_BROADCAST_ROWS
+) -> DataFrame:
     """Upsert ``staged`` into ``target`` and conform to the gold schema.
 
     ``staged`` comes from a group-by on the key with null keys split off, so
@@ -44,7 +46,7 @@ def merge_into_target(target: DataFrame, staged: DataFrame) -> DataFrame:
     """
     current = evolve(target, GOLD_TARGET, GOLD_DEFAULTS, keep_extra=True)
     merged = upsert(current, staged, GOLD_KEY, GOLD_STAMP, GOLD_DEFAULTS, validate=False,
-                    broadcast_max_rows=UPSERT_BROADCAST_ROWS)
+                    broadcast_max_rows=broadcast_max_rows)
     return evolve(merged, GOLD_TARGET, GOLD_DEFAULTS, now_columns=(GOLD_STAMP,))
 
 

@@ -36,7 +36,7 @@ from .operators.fingerprint import same_rows
 from .operators.keys import key_rejects, require_key
 from .plans.bronze import run_bronze
 from .plans.chain import ChainPaths, run_chain
-from .plans.gold import merge_into_target, run_gold_incremental
+from .plans.gold import UPSERT_BROADCAST_ROWS, merge_into_target, run_gold_incremental
 from .plans.silver import run_silver_events, run_silver_tickets
 from .schemas import GOLD_DEFAULTS, GOLD_TARGET, RAW_EVENT, TICKET
 from .session import scratch_path, use_utc
@@ -526,12 +526,17 @@ _NEW_SQL = _load_metrics_sql(f"l_shipdate >= timestamp '{NEW_LOAD_FROM}'")
     from t where not exists (select 1 from s where s.product_id = t.product_id)""")
 def gold_upsert(spark, sf):
     """K4-K6: publish old-load metrics, upsert the newest load's metrics, read
-    the current version: replaced, surviving and inserted products."""
-    root = scratch_path(spark, "gold-upsert")
+    the current version: replaced, surviving and inserted products (staged
+    keys broadcast, target not shuffled)."""
+    return _gold_upsert(spark, sf, "gold-upsert", UPSERT_BROADCAST_ROWS)
+
+
+def _gold_upsert(spark, sf, name: str, broadcast_max_rows):
+    root = scratch_path(spark, name)
     old = _load_metrics(spark, sf, F.col("l_shipdate") < F.lit(OLD_LOADS_BEFORE).cast("timestamp_ntz"))
     publish(evolve(old, GOLD_TARGET, GOLD_DEFAULTS, now_columns=("last_updated_at",)), root)
     new = _load_metrics(spark, sf, F.col("l_shipdate") >= F.lit(NEW_LOAD_FROM).cast("timestamp_ntz"))
-    publish(merge_into_target(read_current(spark, root), new), root)
+    publish(merge_into_target(read_current(spark, root), new, broadcast_max_rows), root)
     cur = read_current(spark, root)
     return cur.select(
         *[c for c in cur.columns if c != "last_updated_at"],
@@ -539,6 +544,13 @@ def gold_upsert(spark, sf):
     )
 
 
+@register("gold_upsert_shuffled", ORACLES["gold_upsert"])
+def gold_upsert_shuffled(spark, sf):
+    """K4 through the other plan: one full outer join on the key (the path for
+    staged batches above the broadcast bound); same result as gold_upsert."""
+    return _gold_upsert(spark, sf, "gold-upsert-shuffled", None)
+
+
 @register("target_evolve", f"""
     select cast(l_partkey as varchar) as product_id, count(l_orderkey) as total_reviews,
            avg(l_quantity) as avg_urgency, cast(0.00 as decimal(4,2)) as avg_urgency_rating,
