@@ -63,6 +63,17 @@ def dimension_profile(dim: DataFrame, keys: list[str]) -> tuple[int, int, int]:
 SALT_SEED = 17
 
 
+def fits_broadcast(dim: DataFrame, max_rows: int, max_bytes: int) -> bool:
+    """Whether ``dim`` is within both bounds, in one job that reads at most
+    ``max_rows + 1`` rows: a huge dimension is rejected without a full scan."""
+    probe = dim.limit(max_rows + 1)
+    row = probe.agg(F.count(F.lit(1)).alias("n"), F.sum(_row_bytes(dim)).alias("b")).collect()[0]
+    return int(row["n"]) <= max_rows and int(row["b"] or 0) <= max_bytes
+
+
+SALT_SEED = 17
+
+
 def fits_broadcast(dim: DataFrame, max_rows: int, max_bytes: int) -> bool:
     """Whether ``dim`` is within both bounds. The row check reads at most
     ``max_rows + 1`` rows, so a huge dimension is rejected early without a

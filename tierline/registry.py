@@ -535,7 +535,8 @@ def _gold_upsert(spark, sf, name: str, broadcast_max_rows):
     root = scratch_path(spark, name)
     old = _load_metrics(spark, sf, F.col("l_shipdate") < F.lit(OLD_LOADS_BEFORE).cast("timestamp_ntz"))
     publish(evolve(old, GOLD_TARGET, GOLD_DEFAULTS, now_columns=("last_updated_at",)), root)
-    new = _load_metrics(spark, sf, F.col("l_shipdate") >= F.lit(NEW_LOAD_FROM).cast("timestamp_ntz"))
+    # staged metrics are small (one row per product): materialized once, as run_gold does
+    new = _load_metrics(spark, sf, F.col("l_shipdate") >= F.lit(NEW_LOAD_FROM).cast("timestamp_ntz")).checkpoint()
     publish(merge_into_target(read_current(spark, root), new, broadcast_max_rows), root)
     cur = read_current(spark, root)
     return cur.select(
