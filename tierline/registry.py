@@ -332,6 +332,29 @@ def bronze_append(spark, sf):
     return b.select(*TICKET_COLUMNS, F.col("ingested_at").isNotNull().alias("has_ingested_at"))
 
 
+@register("bronze_continuous", ORACLES["bronze_append"])
+def bronze_continuous(spark, sf):
+    """K1, T3 with the default trigger: a running bronze stream picks up files
+    that land while it runs (English tickets first, the rest later)."""
+    landing = scratch_path(spark, "bronze-continuous-landing")
+    bronze = scratch_path(spark, "bronze-continuous-out")
+    tickets = doc_tickets(spark, sf, F.col("lang"))
+    english = F.col("lang") == F.lit("en")
+    write_landing_files(tickets.filter(english).drop("lang"), landing, TICKETS_PER_FILE)
+    query = run_bronze(spark, landing, bronze, scratch_path(spark, "bronze-continuous-ckpt"), trigger=None)
+    try:
+        query.processAllAvailable()
+        later = ~english | F.col("lang").isNull()
+        write_landing_files(tickets.filter(later).drop("lang"), landing, TICKETS_PER_FILE)
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    if query.exception() is not None:
+        raise query.exception()
+    b = spark.read.parquet(bronze)
+    return b.select(*TICKET_COLUMNS, F.col("ingested_at").isNotNull().alias("has_ingested_at"))
+
+
 # ==================================================================== events
 _EVENT_COLUMNS = ["event_id", "user_id", "event_type", "timestamp", "payload"]
 _EVENTS_SQL = f"select * from ({RAW_EVENTS_SQL}) e"
