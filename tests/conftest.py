@@ -15,7 +15,7 @@ SF_SMOKE = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    session = build_session("local[4]", app_name="tierline-tests", shuffle_partitions=8)
+    session = build_session("local[*]", app_name="tierline-tests", shuffle_partitions=8)
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
