@@ -82,3 +82,14 @@ def test_broadcast_upsert_does_not_shuffle_target(spark):
         assert dict(rows(small))["5"] == 50 and dict(rows(small))["x"] == 1 and len(rows(small)) == 1001
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_current_version_as_sql_view(spark, workdir):
+    from tierline.sinks.snapshots import register_current_view
+    root = f"{workdir}/gold"
+    staged = spark.createDataFrame([("A", 3, 2.0), ("B", 1, 5.0)],
+                                   "product_id string, total_reviews long, avg_urgency double")
+    publish(merge_into_target(read_current(spark, root, GOLD_TARGET), staged), root)
+    register_current_view(spark, root, "gold_current")
+    got = spark.sql("select product_id from gold_current where avg_urgency > 3 order by product_id").collect()
+    assert [r[0] for r in got] == ["B"]

@@ -181,6 +181,14 @@ def publish(df: DataFrame, root: str, previous=_UNKNOWN) -> str:
     return path
 
 
+def register_current_view(spark: SparkSession, root: str, name: str, schema: StructType | None = None) -> DataFrame:
+    """Expose the current version as a temporary view, so that SQL (e.g. the
+    dashboard queries a serving database would take) runs on it in Spark."""
+    current = read_current(spark, root, schema)
+    current.createOrReplaceTempView(name)
+    return current
+
+
 def drop_staging(spark: SparkSession, table: str) -> None:
     """Drop a named staging table once its rows were published."""
     spark.sql(f"DROP TABLE IF EXISTS {table}")
