@@ -96,3 +96,18 @@ def test_gold_on_missing_silver_is_a_no_op(spark, workdir):
     schema = silver_schema(spark, DEFAULT_RULES, DEFAULT_OUTCOME)
     assert run_gold(spark, f"{workdir}/none", f"{workdir}/gold", schema).path is None
     assert run_gold_incremental(spark, f"{workdir}/none", f"{workdir}/gold", f"{workdir}/ck", schema) is None
+
+
+def test_unparsable_landing_file_is_rejected_with_its_text(spark, workdir):
+    tickets = [{"ticket_id": "T1", "customer_id": "CUST-5001", "product_id": "PROD-1001",
+                "review_text": "fine", "timestamp": "2026-01-02T03:04:05Z"},
+               {"ticket_id": None, "product_id": "PROD-1001", "review_text": "no id"}]
+    write_text(f"{workdir}/landing", "good.json", json.dumps(tickets))
+    write_text(f"{workdir}/landing", "broken.json", "[{this is not json")
+    paths = ChainPaths.under(workdir)
+    res = run_chain(spark, paths)
+    assert spark.read.parquet(res.path).collect()[0]["total_reviews"] == 1
+    rej = {r["reject_reason"]: r for r in spark.read.parquet(paths.silver_rejects).collect()}
+    assert set(rej) == {"unparsable landing file", "missing ticket_id"}
+    assert rej["unparsable landing file"]["_corrupt_record"].startswith("[{this is not json")
+    assert "_corrupt_record" not in spark.read.parquet(paths.silver).columns

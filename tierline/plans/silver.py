@@ -5,18 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructField, StructType, TimestampType
+from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
 from ..functions.triage import DEFAULT_OUTCOME, DEFAULT_RULES, Outcome, Rule, with_triage
 from ..operators.columns import parse_timestamp, stamp
 from ..operators.enrich import left_enrich
-from ..operators.keys import key_rejects, require_key
-from ..schemas import RAW_EVENT, TICKET
+from ..operators.keys import REASON, key_rejects, require_key
+from ..schemas import CORRUPT, RAW_EVENT, TICKET
 from ..sources.files import event_json_stream
 from ..streaming.runner import AVAILABLE_NOW, BATCH_FILES, drain, start_append
 from .bronze import BRONZE_STAMP
 
-BRONZE_TICKET = StructType(TICKET.fields + [StructField(BRONZE_STAMP, TimestampType(), True)])
+BRONZE_TICKET = StructType(
+    TICKET.fields
+    + [StructField(CORRUPT, StringType(), True), StructField(BRONZE_STAMP, TimestampType(), True)]
+)
+UNPARSABLE = "unparsable landing file"
 
 
 def silver_events(
@@ -69,7 +73,12 @@ def run_silver_events(
 def _start_rejects(raw: DataFrame, key: str, path: str | None, checkpoint: str, trigger) -> None:
     if not path:
         return
-    query = start_append(key_rejects(raw, key), path, checkpoint, trigger)
+    rejects = key_rejects(raw, key)
+    if CORRUPT in raw.columns:
+        rejects = rejects.withColumn(
+            REASON, F.when(F.col(CORRUPT).isNotNull(), F.lit(UNPARSABLE)).otherwise(F.col(REASON))
+        )
+    query = start_append(rejects, path, checkpoint, trigger)
     if trigger and trigger.get("availableNow"):
         drain(query)
 
@@ -81,7 +90,7 @@ def silver_tickets(
 ) -> DataFrame:
     """Keyed tickets with their triage (sentiment, urgency_score, summary),
     the parsed ticket time and the processing time."""
-    kept = require_key(bronze, "ticket_id")
+    kept = require_key(bronze, "ticket_id").drop(CORRUPT)
     triaged = with_triage(kept, "review_text", "triage", rules, default, flatten=True)
     parsed = parse_timestamp(triaged, "timestamp", "ticket_timestamp")
     return stamp(parsed, "processed_at")

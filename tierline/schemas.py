@@ -19,6 +19,9 @@ def _strings(*names: str) -> StructType:
 # One support ticket as it lands: five text fields.
 TICKET = _strings("ticket_id", "customer_id", "product_id", "review_text", "timestamp")
 
+# Column that keeps the raw text of a landing file (or line) that did not parse.
+CORRUPT = "_corrupt_record"
+
 # One raw event as it lands: five text fields, payload kept as JSON text.
 RAW_EVENT = _strings("event_id", "user_id", "event_type", "timestamp", "payload")
 

@@ -67,10 +67,14 @@ def landing_json_stream(
     schema: StructType = TICKET,
     max_files_per_trigger: int | None = None,
     options: dict[str, str] | None = None,
+    corrupt_column: str | None = None,
 ) -> DataFrame:
-    """A landing folder of files, each one JSON array of tickets."""
+    """A landing folder of files, each one JSON array of tickets. With
+    ``corrupt_column`` (which must be a string field of ``schema``) a file
+    that does not parse keeps its text there."""
     return read_json_stream(spark, path, schema, multi_line=True,
-                            max_files_per_trigger=max_files_per_trigger, options=options)
+                            max_files_per_trigger=max_files_per_trigger,
+                            corrupt_column=corrupt_column, options=options)
 
 
 def event_json_stream(
