@@ -26,6 +26,7 @@ def test_silver_events_job(spark, workdir):
                "payload": "{}"}, {"event_id": None, "user_id": "8", "event_type": "view",
                                   "timestamp": "bad", "payload": "{}"}]
     write_text(f"{workdir}/ev", "a.json", json.dumps(events))
+    write_text(f"{workdir}/ev", "b.json", "{broken event line")
     spark.createDataFrame([("7", "Ann")], "user_id string, name string").write.parquet(f"{workdir}/dim")
     args = parser().parse_args(["silver-events", "--source", f"{workdir}/ev", "--out", f"{workdir}/silver",
                                 "--checkpoint", f"{workdir}/ck", "--dimension-parquet", f"{workdir}/dim",
@@ -33,4 +34,6 @@ def test_silver_events_job(spark, workdir):
     assert dispatch(spark, args) == 0
     silver = spark.read.parquet(f"{workdir}/silver").collect()
     assert [(r["event_id"], r["name"]) for r in silver] == [("1", "Ann")]
-    assert spark.read.parquet(f"{workdir}/rejects").count() == 1
+    reasons = sorted(r["reject_reason"] for r in spark.read.parquet(f"{workdir}/rejects").collect())
+    assert reasons == ["missing event_id", "unparsable event line"]
+    assert "_corrupt_record" not in spark.read.parquet(f"{workdir}/silver").columns

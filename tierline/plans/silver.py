@@ -21,6 +21,7 @@ BRONZE_TICKET = StructType(
     + [StructField(CORRUPT, StringType(), True), StructField(BRONZE_STAMP, TimestampType(), True)]
 )
 UNPARSABLE = "unparsable landing file"
+UNPARSABLE_EVENT = "unparsable event line"
 
 
 def silver_events(
@@ -36,7 +37,7 @@ def silver_events(
     Output order: key, remaining event columns, dimension columns,
     ingestion_timestamp, event_timestamp.
     """
-    kept = require_key(raw, event_key)
+    kept = require_key(raw, event_key).drop(CORRUPT)
     joined = left_enrich(kept, dim, key, **join_options)
     stamped = stamp(joined, "ingestion_timestamp")
     return parse_timestamp(stamped, "timestamp", "event_timestamp")
@@ -53,6 +54,7 @@ def run_silver_events(
     trigger: dict | None = AVAILABLE_NOW,
     rejects: str | None = None,
     rejects_checkpoint: str | None = None,
+    keep_corrupt: bool = True,
     **join_options,
 ) -> StreamingQuery:
     """Raw event JSON files -> silver parquet, drained with ``availableNow``.
@@ -62,21 +64,27 @@ def run_silver_events(
     are exactly once and rows in = silver rows + rejects. The source files are
     then parsed twice; leave it off for feeds where that matters.
     """
-    raw = event_json_stream(spark, source, RAW_EVENT, max_files_per_trigger, multi_line)
+    schema = RAW_EVENT
+    if keep_corrupt:
+        schema = StructType(RAW_EVENT.fields + [StructField(CORRUPT, StringType(), True)])
+    raw = event_json_stream(spark, source, schema, max_files_per_trigger, multi_line,
+                            corrupt_column=CORRUPT if keep_corrupt else None)
     query = start_append(silver_events(raw, dim, **join_options), out, checkpoint, trigger)
-    _start_rejects(raw, "event_id", rejects, rejects_checkpoint or f"{checkpoint}-rejects", trigger)
+    _start_rejects(raw, "event_id", rejects, rejects_checkpoint or f"{checkpoint}-rejects", trigger,
+                   UNPARSABLE_EVENT)
     if trigger and trigger.get("availableNow"):
         drain(query)
     return query
 
 
-def _start_rejects(raw: DataFrame, key: str, path: str | None, checkpoint: str, trigger) -> None:
+def _start_rejects(raw: DataFrame, key: str, path: str | None, checkpoint: str, trigger,
+                   unparsable: str = UNPARSABLE) -> None:
     if not path:
         return
     rejects = key_rejects(raw, key)
     if CORRUPT in raw.columns:
         rejects = rejects.withColumn(
-            REASON, F.when(F.col(CORRUPT).isNotNull(), F.lit(UNPARSABLE)).otherwise(F.col(REASON))
+            REASON, F.when(F.col(CORRUPT).isNotNull(), F.lit(unparsable)).otherwise(F.col(REASON))
         )
     query = start_append(rejects, path, checkpoint, trigger)
     if trigger and trigger.get("availableNow"):
