@@ -77,7 +77,9 @@ def upsert(
       (measured, see ``fits_broadcast``): the staged keys are broadcast; the
       target is split by a broadcast anti join (survivors) and a broadcast
       semi join (rows being replaced), so the target is never shuffled: the
-      right plan when a micro-batch touches few keys of a large target;
+      right plan when a micro-batch touches few keys of a large target (for
+      a small target it costs about the same as the join: a size probe and a
+      second target scan instead of a small shuffle);
     * otherwise one full outer join on the key: both sides are shuffled once.
 
     ``validate`` refuses null or repeated staged keys before anything is
