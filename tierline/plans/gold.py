@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
@@ -72,9 +73,9 @@ def run_gold(
     return GoldResult(path, staged, rejects)
 
 
-def _publish_staged(spark, staged_all, target_root, rejects_path, rejects_mode, skip_empty_rejects=False):
+def _publish_staged(spark, staged_all, target_root, rejects_path, rejects_mode):
     staged, rejects = split_by_key(staged_all, GOLD_KEY)
-    if rejects_path and not (skip_empty_rejects and rejects.isEmpty()):
+    if rejects_path:
         rejects.write.mode(rejects_mode).parquet(rejects_path)
     latest = latest_version(spark, target_root)
     target = spark.read.parquet(latest[1]) if latest else spark.createDataFrame([], GOLD_TARGET)
@@ -117,11 +118,14 @@ def run_gold_incremental(
     def upsert_batch(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
-            if batch.isEmpty():
+            # one job over the cached batch: is there anything, and any rejects?
+            seen = batch.agg(
+                F.count(F.lit(1)).alias("rows"), F.count_if(F.col(GOLD_KEY).isNull()).alias("rejects")
+            ).collect()[0]
+            if seen["rows"] == 0:
                 return
-            out = f"{rejects_path}/batch={batch_id}" if rejects_path else None
-            _publish_staged(batch.sparkSession, batch, target_root, out, "overwrite",
-                            skip_empty_rejects=True)
+            out = f"{rejects_path}/batch={batch_id}" if rejects_path and seen["rejects"] else None
+            _publish_staged(batch.sparkSession, batch, target_root, out, "overwrite")
         finally:
             batch.unpersist()
 
