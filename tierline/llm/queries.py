@@ -14,7 +14,7 @@ from pyspark.sql.types import StringType, StructType
 
 from tierline.session import scratch_path
 
-from . import mixing, oracles, sharding
+from . import mixing, oracles, sharding, token_files
 from .common import read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,21 @@ def register(name: str, sql: str | None = None):
     return wrap
 
 
+TOKENIZER = "byte_bpe_50k.json"
+END_ID = 2
+
+
+@register("op4_token_files")
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encode all documents, write their ids in ascending doc_id order as
+    bit-plane shuffled files, and report every document as read back."""
+    import public_tokenizers
+
+    path = scratch_path(spark, "llm-tokens")
+    token_files.write_tokens(read_table(spark, sf_dir, "documents"), path, public_tokenizers.path(TOKENIZER), END_ID)
+    return token_files.read_digests(spark, path)
+
+
 @register("op6_mix_sources", oracles.OP6_SQL)
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mix all documents to the source weights 5, 2, 1, repeating."""
