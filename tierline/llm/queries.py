@@ -14,7 +14,7 @@ from pyspark.sql.types import StringType, StructType
 
 from tierline.session import scratch_path
 
-from . import mixing, oracles, sharding, token_files
+from . import language_id, mixing, oracles, sharding, token_files
 from .common import read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,15 @@ def register(name: str, sql: str | None = None):
     return wrap
 
 
+@register("op3_language_id")
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predict the language of every document, learning from the text and
+    label of the documents that are not held out."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", language_id.held_out().alias("held_out"))
+    model = language_id.train(docs.filter(~F.col("held_out")))
+    return language_id.predict(docs, model, ["doc_id", "held_out"])
+
+
 TOKENIZER = "byte_bpe_50k.json"
 END_ID = 2
 
