@@ -28,6 +28,7 @@ from .common import id_bits, materialize, word_count
 SOURCE_WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
 KEY_RANGES = 4096
+BROADCAST_SOURCES = 100_000
 # Weight of a document by its quality label; the smallest must be 1, which
 # keeps the key ranges evenly filled.
 LABEL_WEIGHTS = {1: 4, 0: 1}
@@ -126,7 +127,7 @@ def mix_plan(
     )
     targets = _with_source(targets, boundary, "left")
 
-    planned = _with_source(units, targets)
+    planned = _with_source(units, _small(targets))
     edge = planned.filter(F.col("range") == F.col("edge"))
     order = Window.partitionBy("source").orderBy("key", F.col("doc_id").asc_nulls_first(), "size") \
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -138,19 +139,27 @@ def mix_plan(
     # The document whose size comes nearest to the gap that is still open.
     gaps = picked.groupBy("source").agg(
         (F.first("rest") - F.sum(F.when(F.col("take"), F.col("words")).otherwise(0))).alias("gap"))
-    left = _with_source(picked.filter(~F.col("take")), gaps) \
+    gaps = materialize(gaps, "mix-gaps")
+    left = _with_source(picked.filter(~F.col("take")), _small(gaps)) \
         .withColumn("off", F.abs(F.col("gap") - F.col("words")))
     filler = (
         left.filter(F.col("off") < F.col("gap")).groupBy("source")
         .agg(F.min(F.struct("off", "key", "doc_id", "size")).alias("f"))
         .select("source", F.col("f.doc_id").alias("f_id"), F.col("f.size").alias("f_size"))
     )
-    picked = _with_source(picked, filler, "left")
+    picked = _with_source(picked, _small(materialize(filler, "mix-fillers")), "left")
     fills = F.col("f_size").isNotNull() & F.col("doc_id").eqNullSafe(F.col("f_id")) & (F.col("size") == F.col("f_size"))
     taken = F.col("epochs") + (F.col("take") | fills).cast("long")
     return picked.select("doc_id", "source", "size", "rows", "source_size", "target", taken.alias("copies"))
 
 
+def _small(sources: DataFrame) -> DataFrame:
+    """Mark a table of one row per source for broadcasting if it is small, so
+    that the rows of a large source are not dealt to one task; with more
+    sources than that the join is left to the optimizer."""
+    return F.broadcast(sources) if sources.count() <= BROADCAST_SOURCES else sources
+
+
 def _with_source(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
     """Join two tables on source, null being a source too."""
     r = right.withColumnRenamed("source", "source_r")
