@@ -14,7 +14,7 @@ from pyspark.sql.types import StringType, StructType
 
 from tierline.session import scratch_path
 
-from . import language_id, mixing, oracles, sharding, token_files
+from . import language_id, mixing, near_dups, oracles, sharding, token_files
 from .common import read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -56,6 +56,12 @@ def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_digests(spark, path)
 
 
+@register("op5_near_duplicates")
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents whose 3-word shingle sets overlap by 85 % or more."""
+    return near_dups.near_duplicates(read_table(spark, sf_dir, "documents"), 3, 85, 100)
+
+
 @register("op6_mix_sources", oracles.OP6_SQL)
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mix all documents to the source weights 5, 2, 1, repeating."""
