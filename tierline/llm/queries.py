@@ -14,7 +14,7 @@ from pyspark.sql.types import StringType, StructType
 
 from tierline.session import scratch_path
 
-from . import language_id, mixing, near_dups, oracles, sharding, token_files
+from . import contamination, language_id, mixing, near_dups, oracles, sharding, token_files
 from .common import read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,14 @@ def register(name: str, sql: str | None = None):
     return wrap
 
 
+@register("op1_benchmark_leaks")
+def op1_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that holds a passage of a benchmark item, with the place
+    and size of the longest agreeing stretch per item."""
+    leaks = contamination.contaminated(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return leaks.drop("text_key")
+
+
 @register("op3_language_id")
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predict the language of every document, learning from the text and

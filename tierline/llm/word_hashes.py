@@ -1,7 +1,7 @@
 """Hashes of words and word shingles of a text, in numpy.
 
-Words are runs of anything but space, TAB, LF, VT, FF and CR, with A-Z
-lower-cased. All words of a text are hashed at once: with the prefix sums of
+Words are runs of anything but space, TAB, LF, VT, FF and CR (or another set
+of gap bytes), with A-Z lower-cased. All words of a text are hashed at once: with the prefix sums of
 byte * q^-i modulo 2^64, the hash of the word from s to e is
 (sum[e] - sum[s]) * q^e, whatever its place in the text.
 """
@@ -14,8 +14,10 @@ _Q = 0x5851F42D4C957F2D
 _Q_INVERSE = pow(_Q, -1, 2**64)
 SLICE_BYTES = 1 << 20
 
-_GAP = np.zeros(256, dtype=bool)
-_GAP[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+SPACES = np.zeros(256, dtype=bool)
+SPACES[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
+# For units of letters and digits only: any other ASCII character is a gap.
+PUNCTUATION = np.array([c < 128 and not chr(c).isalnum() for c in range(256)])
 
 _powers: dict[str, np.ndarray] = {}
 
@@ -36,9 +38,9 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def _slice_words(data: np.ndarray) -> np.ndarray:
+def _slice_words(data: np.ndarray, gaps: np.ndarray) -> np.ndarray:
     gap = np.ones(len(data) + 2, dtype=bool)
-    gap[1:-1] = _GAP[data]
+    gap[1:-1] = gaps[data]
     edges = np.flatnonzero(gap[1:] != gap[:-1])
     begins, ends = edges[::2], edges[1::2]
     sums = np.zeros(len(data) + 1, dtype=np.uint64)
@@ -47,19 +49,20 @@ def _slice_words(data: np.ndarray) -> np.ndarray:
     return mix(h + (ends - begins).astype(np.uint64))
 
 
-def word_hashes(text: str) -> np.ndarray:
-    """One u64 per word, in order. Long texts go slice by slice, cut at gaps."""
+def word_hashes(text: str, gaps: np.ndarray = SPACES) -> np.ndarray:
+    """One u64 per word, in order. ``gaps`` marks the bytes between words. Long
+    texts go slice by slice, cut at gaps."""
     raw = text.encode("utf-8", "surrogatepass").lower()  # bytes: only A-Z change
     data = np.frombuffer(raw, dtype=np.uint8)
     if len(data) <= SLICE_BYTES:
-        return _slice_words(data)
+        return _slice_words(data, gaps)
     parts, at = [], 0
     while at < len(data):
         end = min(at + SLICE_BYTES, len(data))
-        while end < len(data) and not _GAP[data[end]]:
-            more = np.flatnonzero(_GAP[data[end:end + SLICE_BYTES]])
+        while end < len(data) and not gaps[data[end]]:
+            more = np.flatnonzero(gaps[data[end:end + SLICE_BYTES]])
             end = end + int(more[0]) if len(more) else min(end + SLICE_BYTES, len(data))
-        parts.append(_slice_words(data[at:end]))
+        parts.append(_slice_words(data[at:end], gaps))
         at = end
     return np.concatenate(parts)
 
