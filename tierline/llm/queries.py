@@ -14,7 +14,7 @@ from pyspark.sql.types import StringType, StructType
 
 from tierline.session import scratch_path
 
-from . import contamination, language_id, mixing, near_dups, oracles, sharding, token_files
+from . import contamination, language_id, mixing, near_dups, oracles, personal_data, secret_scan, sharding, spans, token_files
 from .common import read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -80,6 +80,18 @@ def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
+@register("op7_personal_data")
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document: exact patterns plus tagged spans."""
+    return spans.find_spans(read_table(spark, sf_dir, "documents"), personal_data.PersonalData())
+
+
+@register("op8_secrets")
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document: exact patterns plus tagged spans."""
+    return spans.find_spans(read_table(spark, sf_dir, "documents"), secret_scan.Secrets())
+
+
 @register("op9_extendible_shards", oracles.OP9_SQL)
 def op9_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write all documents into shards of at most 64 MiB of text and report,
