@@ -5,9 +5,9 @@ exact confirmation on full shingle sets.
    digest of the whole set and a MinHash signature. Texts with the same set
    form a class; the class member with the smallest doc_id stands for it, so
    thousands of copies cost one row from here on.
-2. Signatures are cut into bands; documents that agree on a band are
-   candidates. A pair at similarity 0.8 shares no band of ``BANDS`` x
-   ``BAND_ROWS`` with a probability under 1e-6.
+2. Signatures are cut into bands of 5; documents that agree on a band are
+   candidates. There are so many bands that a pair at the threshold shares none
+   with a probability under ``MISS_PROBABILITY``.
 3. Candidate pairs are compared signature batch by batch. After each batch the
    posterior of the similarity (uniform prior, so a Beta distribution) is
    known, and a pair is pruned once the probability that it reaches the
@@ -16,12 +16,13 @@ exact confirmation on full shingle sets.
    components of the confirmed links are found by alternating star steps.
 
 No bucket is expanded into all its pairs. Star rounds first pair each document
-with one member of its buckets and merge what is confirmed; rounds go on while
-the pairs left would be many. Then every pair of documents that share a band
-but are still in different components is compared, each bucket pairing only
-what is outside its largest component with the rest. So a group of thousands of
-near copies costs about one comparison per member, and no link between
-different texts is lost to a cap.
+with one member of its buckets and merge what is confirmed, so a group of
+thousands of near copies costs about one comparison per member. What shares a
+band but is still in different components is then compared pair by pair, after
+two exact bounds: shingles that no other candidate has cannot be shared, which
+limits the similarity of any pair; so only pairs whose bound reaches the
+threshold are formed, and one side of such a pair always has few own shingles.
+No link between different texts is lost to a cap.
 
 Defined results: a null or empty text, or one without words, has an empty set
 and is linked with nothing; a text with fewer words than a shingle has one
@@ -32,7 +33,7 @@ columns are ignored; an empty table gives no rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from hashlib import blake2b
 from math import comb
 
@@ -44,24 +45,38 @@ from pyspark.sql import functions as F
 from .common import materialize, small_batches
 from .word_hashes import shingle_hashes, word_hashes
 
-BANDS, BAND_ROWS = 28, 4
-HASHES = BANDS * BAND_ROWS
-BATCH_HASHES = 16
+BAND_ROWS = 5
 MISS_PROBABILITY = 1e-6
-STAR_ROUNDS = 4
-# Candidate pairs per banded row up to which the remaining pairs are compared
-# outright instead of after one more star round. It only orders the work.
+BATCH_HASHES = 20
+# Star rounds go on while more pairs than this per banded row are left and the
+# last round took away a fifth of them. It only orders the work.
 PAIRS_PER_ROW = 4
+STAR_ROUNDS = 6
 # Ids up to which the documents with candidates are picked by a broadcast
 # (at most 64 MB); beyond that, by a shuffled join.
 BROADCAST_IDS = 4_000_000
 SLICE_SHINGLES = 4096
 
+MOST_BANDS = 64
+# Length of the signatures for what star rounds leave open; one byte a hash.
+LONG_HASHES = 960
+LONG_BATCHES = (64, 160, 320, 640, LONG_HASHES)
+# Rows of a bucket that are compared with each other in one step.
+BLOCK_ROWS = 512
 _rng = np.random.default_rng(20_240_501)
-_XOR = _rng.integers(0, 2**32, HASHES, dtype=np.uint32)[:, None]
-_ODD = _rng.integers(0, 2**31, HASHES, dtype=np.uint32)[:, None] * np.uint32(2) + np.uint32(1)
+_XOR = _rng.integers(0, 2**32, LONG_HASHES, dtype=np.uint32)[:, None]
+_ODD = _rng.integers(0, 2**31, LONG_HASHES, dtype=np.uint32)[:, None] * np.uint32(2) + np.uint32(1)
 _BAND_ODD = _rng.integers(0, 2**62, BAND_ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_BAND_SEED = _rng.integers(0, 2**63, BANDS, dtype=np.uint64)
+_BAND_SEED = _rng.integers(0, 2**63, MOST_BANDS, dtype=np.uint64)
+
+
+def band_count(threshold: float) -> int:
+    """The fewest bands that miss a pair at the threshold with a probability
+    under ``MISS_PROBABILITY`` (24 at 0.85, 35 at 0.8)."""
+    n = int(np.ceil(np.log(MISS_PROBABILITY) / np.log1p(-threshold**BAND_ROWS)))
+    if n > MOST_BANDS:
+        raise ValueError(f"threshold {threshold} needs {n} bands; {MOST_BANDS} are defined")
+    return n
 
 
 # ------------------------------------------------------------------ texts
@@ -71,18 +86,18 @@ def shingle_set(text: str | None, shingle_words: int) -> np.ndarray:
     return np.unique(shingle_hashes(word_hashes(text), shingle_words)) if text else np.empty(0, dtype=np.uint64)
 
 
-def signature(shingles: np.ndarray) -> np.ndarray:
+def signature(shingles: np.ndarray, hashes: int) -> np.ndarray:
     """MinHash values (u32) of a non-empty set."""
-    low = np.full(HASHES, 0xFFFFFFFF, dtype=np.uint32)
+    low = np.full(hashes, 0xFFFFFFFF, dtype=np.uint32)
     short = (shingles >> np.uint64(32)).astype(np.uint32)
     for at in range(0, len(short), SLICE_SHINGLES):
-        values = short[None, at:at + SLICE_SHINGLES] ^ _XOR
-        values *= _ODD
+        values = short[None, at:at + SLICE_SHINGLES] ^ _XOR[:hashes]
+        values *= _ODD[:hashes]
         np.minimum(low, values.min(axis=1), out=low)
     return low
 
 
-def profiles(docs: DataFrame, shingle_words: int) -> DataFrame:
+def profiles(docs: DataFrame, shingle_words: int, hashes: int) -> DataFrame:
     """(doc_id, n_shingles, digest, signature) of every row."""
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -91,7 +106,7 @@ def profiles(docs: DataFrame, shingle_words: int) -> DataFrame:
                 s = shingle_set(text, shingle_words)
                 sizes.append(len(s))
                 digests.append(blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
-                signatures.append(signature(s).tobytes() if len(s) else None)
+                signatures.append(signature(s, hashes).tobytes() if len(s) else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()),
                  pa.array(signatures, pa.binary())], names=["doc_id", "n_shingles", "digest", "signature"])
@@ -101,57 +116,58 @@ def profiles(docs: DataFrame, shingle_words: int) -> DataFrame:
         profile, "doc_id long, n_shingles long, digest binary, signature binary")
 
 
-def bands(classes: DataFrame) -> DataFrame:
+def bands(classes: DataFrame, n_bands: int) -> DataFrame:
     """(key, node, size): one row per class and band."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             rows = np.frombuffer(b"".join(batch.column(2).to_pylist()), dtype=np.uint32)
-            rows = rows.reshape(-1, BANDS, BAND_ROWS).astype(np.uint64)
-            keys = (rows * _BAND_ODD).sum(axis=2, dtype=np.uint64) + _BAND_SEED
+            rows = rows.reshape(-1, n_bands, BAND_ROWS).astype(np.uint64)
+            keys = (rows * _BAND_ODD).sum(axis=2, dtype=np.uint64) + _BAND_SEED[:n_bands]
             keys = (keys ^ (keys >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
             keys = (keys ^ (keys >> np.uint64(29))).view(np.int64).reshape(-1)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys), pa.array(np.repeat(batch.column(0).to_numpy(), BANDS)),
-                 pa.array(np.repeat(batch.column(1).to_numpy(), BANDS))], names=["key", "node", "size"])
+                [pa.array(keys), pa.array(np.repeat(batch.column(0).to_numpy(), n_bands)),
+                 pa.array(np.repeat(batch.column(1).to_numpy(), n_bands))], names=["key", "node", "size"])
 
     return classes.select("node", "size", "signature").mapInArrow(cut, "key long, node long, size long")
 
 
 # ------------------------------------------------------------ verification
 
-def least_matches(threshold: float, miss: float = MISS_PROBABILITY) -> list[int]:
-    """For each batch end n, the fewest matches of n hashes at which the
-    posterior probability of reaching the threshold is at least ``miss``.
+def least_matches(threshold: float, batches: Iterable[int], miss: float = MISS_PROBABILITY) -> list[tuple[int, int]]:
+    """(n, m) for each batch end n: the fewest matches m of n hashes at which
+    the posterior probability of reaching the threshold is at least ``miss``.
 
     With a uniform prior the posterior after m of n matches is
     Beta(m + 1, n - m + 1), whose tail above t is P(Binomial(n + 1, t) <= m).
     """
     least = []
-    for n in range(BATCH_HASHES, HASHES + 1, BATCH_HASHES):
+    for n in batches:
         tail, m = 0.0, -1
         while tail < miss:
             m += 1
             tail += comb(n + 1, m) * threshold**m * (1 - threshold) ** (n + 1 - m)
-        least.append(m)
+        least.append((n, m))
     return least
 
 
-def prune(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
+def prune(pairs: DataFrame, classes: DataFrame, threshold: float, hashes: int) -> DataFrame:
     """The pairs (a, b) that survive the sequential comparison of signatures."""
-    least = least_matches(threshold)
+    least = least_matches(threshold, [*range(BATCH_HASHES, hashes, BATCH_HASHES), hashes])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            left, right = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.uint32).reshape(-1, HASHES)
+            left, right = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.uint32).reshape(-1, hashes)
                            for c in (2, 3))
             alive = np.arange(batch.num_rows)
             matches = np.zeros(batch.num_rows, dtype=np.int64)
-            for k, fewest in enumerate(least):
-                part = slice(k * BATCH_HASHES, (k + 1) * BATCH_HASHES)
+            done = 0
+            for n, fewest in least:
+                part, done = slice(done, n), n
                 matches = matches + (left[alive, part] == right[alive, part]).sum(axis=1)
                 stays = matches >= fewest
                 alive, matches = alive[stays], matches[stays]
@@ -168,8 +184,9 @@ def confirm(pairs: DataFrame, sets: DataFrame, numerator: int, denominator: int)
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept = []
+            left, right = ((c.offsets.to_numpy(), c.values.to_numpy()) for c in (batch.column(2), batch.column(3)))
             for r in range(batch.num_rows):
-                x, y = (np.frombuffer(batch.column(c)[r].as_buffer(), dtype=np.uint64) for c in (2, 3))
+                x, y = (values[at[r]:at[r + 1]] for at, values in (left, right))
                 both = len(x) + len(y) - len(np.union1d(x, y))
                 if denominator * both >= numerator * (len(x) + len(y) - both):
                     kept.append(r)
@@ -186,13 +203,15 @@ def shingle_sets(docs: DataFrame, nodes: DataFrame, shingle_words: int) -> DataF
     """(node, shingles): the full sets of the documents ``nodes``."""
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingle_set(t, shingle_words).tobytes() for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["node", "shingles"])
+            sets = [shingle_set(t, shingle_words).view(np.int64) for t in batch.column(1).to_pylist()]
+            ends = np.cumsum([0, *map(len, sets)], dtype=np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, np.int64), *sets])))
+            yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=["node", "shingles"])
 
     if nodes.count() <= BROADCAST_IDS:
         nodes = F.broadcast(nodes)
     texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(nodes, "node", "left_semi")
-    return texts.mapInArrow(build, "node long, shingles binary").dropDuplicates(["node", "shingles"])
+    return texts.mapInArrow(build, "node long, shingles array<long>")
 
 
 # -------------------------------------------------------------- components
@@ -215,7 +234,6 @@ def components(links: DataFrame) -> DataFrame:
         low = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("low"))
         large = both.filter(F.col("b") > F.col("a")).join(low, "a") \
             .select(F.col("b").alias("a"), F.col("low").alias("b")).distinct()
-        large = materialize(large, "components")
         low = large.groupBy("a").agg(F.min("b").alias("low"))
         small = large.join(low, "a")
         small = small.select("a", F.col("low").alias("b")) \
@@ -241,90 +259,197 @@ def near_duplicates(
     is the one that is kept.
     """
     threshold = numerator / denominator
+    n_bands = band_count(threshold)
+    hashes = n_bands * BAND_ROWS
     small_batches(docs.sparkSession)
-    rows = materialize(profiles(docs, shingle_words), "dups-profiles")
+    rows = materialize(profiles(docs, shingle_words, hashes), "dups-profiles")
     linkable = rows.filter((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     classes = materialize(
         linkable.groupBy("digest").agg(F.min(F.struct("doc_id", "n_shingles", "signature")).alias("c"))
         .select("digest", F.col("c.doc_id").alias("node"), F.col("c.n_shingles").alias("size"),
                 F.col("c.signature").alias("signature")), "dups-classes")
-
-    def similar_size(x, y):
-        """A pair of sizes that can reach the threshold at all."""
-        return F.least(x, y) * denominator >= F.greatest(x, y) * numerator
-
-    banded = bands(classes)
+    banded = bands(classes, n_bands)
     buckets = banded.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1).select("key")
     shared = materialize(banded.join(buckets, "key"), "dups-shared")
     n_shared = shared.count()
-    sets = None
+    named = None
     if n_shared:
         nodes = materialize(shared.select("node").distinct(), "dups-nodes")
         sets = materialize(shingle_sets(docs, nodes, shingle_words), "dups-sets")
 
-    def verify(pairs: DataFrame, name: str) -> DataFrame:
-        survivors = materialize(prune(pairs, classes, threshold), f"dups-survivors-{name}")
-        return materialize(confirm(survivors, sets, numerator, denominator), f"dups-links-{name}")
-
-    links = None
-    named = shared.select(F.col("node")).limit(0).withColumn("component", F.col("node"))
-    for r in range(STAR_ROUNDS if n_shared else 0):
-        tagged = _tag(shared, named)
-        order = F.col("node") if r == 0 else F.xxhash64(F.lit(r), "node")
-        centre = (
-            tagged.groupBy("key")
-            .agg(F.min(F.struct(order.alias("h"), "node", "size", "component")).alias("c"),
-                 F.min("component").alias("lo"), F.max("component").alias("hi"))
-            .filter(F.col("lo") != F.col("hi"))
-            .select("key", F.col("c.h").alias("h"), F.col("c.node").alias("centre"),
-                    F.col("c.size").alias("c_size"), F.col("c.component").alias("c_component"))
-        )
-        pairs = (
-            tagged.join(centre, "key")
-            .filter((F.col("component") != F.col("c_component")) & similar_size(F.col("size"), F.col("c_size")))
-            .groupBy("node").agg(F.min(F.struct("h", "centre")).alias("c"))
-            .select(F.col("c.centre").alias("a"), F.col("node").alias("b"))
-        )
-        found = verify(pairs, f"star-{r}")
-        links = found if links is None else links.unionByName(found)
-        named = materialize(components(links), f"dups-named-{r}")
-        open_pairs = _open_pairs(_tag(shared, named))
-        if open_pairs <= PAIRS_PER_ROW * n_shared:
-            break
-
-    if n_shared and open_pairs:
-        tagged = _tag(shared, named)
-        per_key = (
-            tagged.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
-            .groupBy("key").agg(F.max(F.struct("n", "component")).alias("top"), F.count(F.lit(1)).alias("parts"))
-            .filter(F.col("parts") > 1).select("key", F.col("top.component").alias("main"))
-        )
-        mixed = materialize(tagged.join(per_key, "key"), "dups-mixed")
-        x = mixed.filter(F.col("component") != F.col("main")).alias("x")
-        y = mixed.alias("y")
-        pairs = x.join(
-            y,
-            (F.col("x.key") == F.col("y.key")) & (F.col("x.component") != F.col("y.component"))
-            & ((F.col("y.component") == F.col("y.main")) | (F.col("x.node") < F.col("y.node")))
-            & similar_size(F.col("x.size"), F.col("y.size")),
-        ).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
-        links = links.unionByName(verify(pairs, "rest"))
-        named = materialize(components(links), "dups-named")
-
-    members = classes.select("digest", "node").join(named, "node", "left") \
-        .select("digest", F.coalesce("component", "node").alias("component_id"))
-    out = rows.join(members, "digest", "left")
+        def verify(pairs: DataFrame, name: str) -> DataFrame:
+            survivors = materialize(prune(pairs, classes, threshold, hashes), f"dups-survivors-{name}")
+            return materialize(confirm(survivors, sets, numerator, denominator), f"dups-links-{name}")
+
+        links, before = None, None
+        for r in range(STAR_ROUNDS):
+            found = verify(_star_pairs(_tag(shared, named), r, numerator, denominator), f"star-{r}")
+            links = found if links is None else links.unionByName(found)
+            named = materialize(components(links), f"dups-named-{r}")
+            left = _open_pairs(_tag(shared, named))
+            if left <= PAIRS_PER_ROW * n_shared or before is not None and left > 0.8 * before:
+                break
+            before = left
+        if left:
+            rest = materialize(_rest_pairs(_tag(shared, named), sets, numerator, denominator), "dups-survivors-rest")
+            links = links.unionByName(materialize(confirm(rest, sets, numerator, denominator), "dups-links-rest"))
+            named = materialize(components(links), "dups-named")
+
+    members = classes.select("digest", "node", F.col("node").alias("component_id"))
+    if named is not None:
+        members = classes.select("digest", "node").join(named, "node", "left") \
+            .select("digest", F.coalesce("component", "node").alias("component_id"))
+    out = rows.join(members.select("digest", "component_id"), "digest", "left")
     component = F.coalesce("component_id", "doc_id")
     return out.select("doc_id", "n_shingles", component.alias("component_id"),
                       F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 
-def _tag(shared: DataFrame, named: DataFrame) -> DataFrame:
+def _tag(shared: DataFrame, named: DataFrame | None) -> DataFrame:
+    if named is None:
+        return shared.withColumn("component", F.col("node"))
     return shared.join(named, "node", "left").withColumn("component", F.coalesce("component", "node"))
 
 
+def _similar_size(x, y, numerator: int, denominator: int):
+    """Whether sets of these sizes can reach the threshold at all."""
+    return F.least(x, y) * denominator >= F.greatest(x, y) * numerator
+
+
+def _star_pairs(tagged: DataFrame, r: int, numerator: int, denominator: int) -> DataFrame:
+    """(a, b): each node b with one centre a of its buckets that is in another
+    component. Centres are the smallest nodes, in later rounds by another hash."""
+    order = F.col("node") if r == 0 else F.xxhash64(F.lit(r), "node")
+    centre = (
+        tagged.groupBy("key")
+        .agg(F.min(F.struct(order.alias("h"), "node", "size", "component")).alias("c"),
+             F.min("component").alias("lo"), F.max("component").alias("hi"))
+        .filter(F.col("lo") != F.col("hi"))
+        .select("key", F.col("c.h").alias("h"), F.col("c.node").alias("centre"),
+                F.col("c.size").alias("c_size"), F.col("c.component").alias("c_component"))
+    )
+    return (
+        tagged.join(centre, "key")
+        .filter((F.col("component") != F.col("c_component"))
+                & _similar_size(F.col("size"), F.col("c_size"), numerator, denominator))
+        .groupBy("node").agg(F.min(F.struct("h", "centre")).alias("c"))
+        .select(F.col("c.centre").alias("a"), F.col("node").alias("b"))
+    )
+
+
 def _open_pairs(tagged: DataFrame) -> int:
-    """How many pairs the last step would compare, from counts per bucket."""
+    """How many pairs share a bucket and are in different components, at most."""
     per_key = tagged.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n")) \
         .groupBy("key").agg(F.sum("n").alias("all"), F.max("n").alias("top"))
     return per_key.agg(F.sum((F.col("all") - F.col("top")) * F.col("all"))).first()[0] or 0
+
+
+def _rest_pairs(tagged: DataFrame, sets: DataFrame, numerator: int, denominator: int) -> DataFrame:
+    """The pairs (a, b) that share a bucket, are in different components, can
+    reach the threshold and survive the comparison of long signatures.
+
+    With u(x) shingles of x that no other candidate has, a pair shares at most
+    i = min(|x| - u(x), |y| - u(y)) and has at least i + u(x) + u(y) together.
+    It follows that the one with the smaller u is *light*: twice its u fits
+    into the allowed difference, so every such pair has a light side.
+    """
+    several = tagged.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")) \
+        .filter("lo != hi").select("key")
+    mixed = materialize(tagged.join(several, "key"), "dups-mixed")
+    candidates = mixed.select("node").distinct()
+    single = (
+        sets.join(candidates, "node", "left_semi").select("node", F.explode("shingles").alias("shingle"))
+        .groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node")).filter(F.col("n") == 1)
+        .groupBy("node").agg(F.count(F.lit(1)).alias("own"))
+    )
+    slack = denominator - numerator
+    common = F.col("size") - F.col("own")
+    mixed = (
+        mixed.join(materialize(single, "dups-own"), "node", "left").withColumn("own", F.coalesce("own", F.lit(0)))
+        .filter(F.col("own") * numerator <= common * slack)
+        .withColumn("light", F.col("own") * 2 * numerator <= common * slack)
+    )
+    mixed = materialize(mixed, "dups-open")
+
+    long_signatures = materialize(
+        _long_signatures(sets.join(mixed.select("node").distinct(), "node", "left_semi")), "dups-long")
+    return _compare_blocks(mixed, long_signatures, numerator, denominator)
+
+
+def _long_signatures(sets: DataFrame) -> DataFrame:
+    """(node, long_signature): one byte of each of ``LONG_HASHES`` MinHash values."""
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, values = batch.column(1).offsets.to_numpy(), batch.column(1).values.to_numpy().view(np.uint64)
+            rows = [(signature(values[at[r]:at[r + 1]], LONG_HASHES) >> np.uint32(13)).astype(np.uint8).tobytes()
+                    for r in range(batch.num_rows)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.binary())],
+                                             names=["node", "long_signature"])
+
+    return sets.select("node", "shingles").mapInArrow(build, "node long, long_signature binary")
+
+
+def _compare_blocks(rows: DataFrame, signatures: DataFrame, numerator: int, denominator: int) -> DataFrame:
+    """The pairs (a, b) of each bucket that pass the size bounds and survive
+    the sequential comparison of long signatures. A large bucket is cut into
+    blocks by a hash of the node, and every two of its blocks meet in a step
+    of their own, so neither a task nor a shuffle ever holds its pairs."""
+    counts = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("light").alias("any_light")) \
+        .filter("n > 1 and any_light").select("key", F.ceil(F.col("n") / BLOCK_ROWS).cast("int").alias("blocks"))
+    block = F.pmod(F.xxhash64(F.lit("block"), "node"), F.col("blocks")).cast("int")
+    steps = (
+        rows.join(counts, "key").withColumn("block", block)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .withColumn("first", F.least("block", "other")).withColumn("second", F.greatest("block", "other"))
+        .join(signatures, "node")
+        .select("key", "first", "second", "block", "node", "size", "own", "component", "light", "long_signature")
+        .repartition("key", "first", "second").sortWithinPartitions("key", "first", "second")
+    )
+    # One byte also agrees by chance, once in 256 times.
+    threshold = numerator / denominator
+    least = least_matches(threshold + (1 - threshold) / 256, LONG_BATCHES)
+    slack = denominator - numerator
+
+    def step(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        first, second, block, node, size, own, component, light = (
+            rows.column(c).to_numpy() for c in range(1, 9))
+        signature_rows = np.frombuffer(b"".join(rows.column(9).to_pylist()), dtype=np.uint8).reshape(-1, LONG_HASHES)
+        within = first[0] == second[0]
+        for x in np.flatnonzero(light):
+            # A pair of two light rows is met from both; the smaller node has it.
+            meets = (component != component[x]) & (~light | (node > node[x]))
+            if not within:
+                meets &= block != block[x]
+            most = np.minimum(size - own, size[x] - own[x])
+            meets &= (own + own[x]) * numerator <= most * slack
+            meets &= np.minimum(size, size[x]) * denominator >= np.maximum(size, size[x]) * numerator
+            alive = np.flatnonzero(meets)
+            matches, done = np.zeros(len(alive), dtype=np.int64), 0
+            for n, fewest in least:
+                if not len(alive):
+                    break
+                matches = matches + (signature_rows[alive, done:n] == signature_rows[x, done:n]).sum(axis=1)
+                done = n
+                alive, matches = alive[matches >= fewest], matches[matches >= fewest]
+            if len(alive):
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.minimum(node[alive], node[x])), pa.array(np.maximum(node[alive], node[x]))],
+                    names=["a", "b"])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            table = table if held is None else pa.concat_tables([held, table])
+            marks = np.stack([table.column(c).to_numpy() for c in range(3)])
+            cuts = np.flatnonzero((marks[:, 1:] != marks[:, :-1]).any(axis=0)) + 1
+            begin = 0
+            for cut in cuts.tolist():
+                if cut - begin > 1:
+                    yield from step(table.slice(begin, cut - begin))
+                begin = cut
+            held = table.slice(begin)
+        if held is not None and held.num_rows > 1:
+            yield from step(held)
+
+    return steps.mapInArrow(compare, "a long, b long").distinct()
