@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -53,14 +54,23 @@ CHUNK_SCHEMA = ("shard int, chunk int, start long, n_ids long, doc_ids array<lon
 
 # ---------------------------------------------------------------- encoding
 
+# White space other than a space or line break: texts with it go whole.
+_OTHER_GAPS = [chr(c) for c in range(0x3001) if chr(c).isspace() and chr(c) not in " \n"] + ["\u180e", "\u200b", "\ufeff"]
+_DOUBLE_GAPS = ("  ", "\n\n", " \n", "\n ")
+_TAILS = ".,;:!?%$&*#|"
+# Letters up to here are letters in every version of Unicode.
+_LAST_LETTER = "\u024f"
+
+
 class WordEncoder:
     """Encodes texts with a tokenizer whose words are independent of each other.
 
     Byte-level BPE never merges across a single space or line break between
-    two other characters, so the ids of a text are the ids of its words in a
-    row. Each distinct word goes through the library once and is remembered.
-    Texts with other white space, or with a special token in them, go through
-    the library whole.
+    two other characters, nor between letters and the marks after them, so the
+    ids of a text are the ids of its words in a row. Each distinct word goes
+    through the library once and is remembered. Texts with other white space,
+    or with a special token in them, go through the library whole; so does
+    everything if a probe shows that the tokenizer works differently.
     """
 
     def __init__(self, tokenizer_file: str):
@@ -68,62 +78,101 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(tokenizer_file)
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.line_break = self._whole("\n")
-        self.by_word = len(self.line_break) == 1 and self._splits_at_words()
         self.cache: dict[str, bytes] = {}
+        self.tails: dict[str, bytes] = {}
+        self.line_break = self._whole("\n")
+        self.by_word = len(self.line_break) == 4 and self._splits_at_words()
 
-    def _whole(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4").tobytes()
 
     def _splits_at_words(self) -> bool:
         """Whether this tokenizer treats words as independent (a probe)."""
-        probe = ["\nAb", " cd", "\nEf", " 12", " g.h"]
-        parts = [self._whole(p) for p in probe]
-        return np.array_equal(self._whole("".join(probe)), np.concatenate(parts)) and \
-            all(len(p) > 1 and p[0] == self.line_break[0] for p in (parts[0], parts[2]))
+        probe = "Ab cd, éfg.\nEf 12 g.h ijk!!\nLmñ op"
+        try:
+            return self._by_word([probe]) == [self._whole(probe)]
+        except ValueError:  # a byte-level letter that the model does not know
+            return False
 
     def _plain(self, text: str) -> bool:
-        words = text.split()
-        gaps = len(words) - 1
-        return (gaps >= 0 and text.count(" ") + text.count("\n") == gaps
-                and sum(map(len, words)) + gaps == len(text)
-                and not any(s in text for s in self.specials))
+        """Only single spaces and line breaks, none at the ends."""
+        return (not text[0].isspace() and not text[-1].isspace()
+                and not any(g in text for g in _DOUBLE_GAPS) and not any(g in text for g in _OTHER_GAPS)
+                and not any(t in text for t in self.specials))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        out: list[bytes] = [b""] * len(texts)
+        plain = [i for i, t in enumerate(texts) if self.by_word and t and self._plain(t)]
+        out = [b""] * len(texts)
+        for i, ids in zip(plain, self._by_word([texts[i] for i in plain])):
+            out[i] = ids
+        for i in set(range(len(texts))).difference(plain):
+            out[i] = self._whole(texts[i]) if texts[i] else b""
+        return out
+
+    def _by_word(self, texts: list[str]) -> list[bytes]:
         pieces: list[str] = []
-        ends: list[tuple[int, int]] = []
-        for i, text in enumerate(texts):
-            if self.by_word and self._plain(text):
-                # A leading line break gives the first word the same form as
-                # the first word of a line; its id is cut off again.
-                pieces += f"\n{text}".replace("\n", " \n").split(" ")[1:]
-                ends.append((i, len(pieces)))
-            elif text:
-                out[i] = self._whole(text).tobytes()
+        ends: list[int] = []
+        for text in texts:
+            # A leading line break gives the first word the same form as the
+            # first word of a line; its id is cut off again.
+            pieces += f"\n{text}".replace("\n", " \n").split(" ")[1:]
+            ends.append(len(pieces))
         found = list(map(self.cache.get, pieces))
-        missing = [k for k, ids in enumerate(found) if ids is None]
-        if missing:
+        if None in found:
+            missing = [k for k, ids in enumerate(found) if ids is None]
             self._learn(list(dict.fromkeys(pieces[k] for k in missing)))
             for k in missing:
                 found[k] = self.cache[pieces[k]]
-        begin = 0
-        for i, end in ends:
-            out[i] = b"".join(found[begin:end])[4:]
+        out, begin = [], 0
+        for end in ends:
+            out.append(b"".join(found[begin:end])[4:])
             begin = end
         if len(self.cache) > CACHE_WORDS:
             self.cache.clear()
         return out
 
     def _learn(self, words: list[str]) -> None:
-        """Encode new words in one text, one per line, and cut it at the breaks."""
-        text = "".join(w if w[0] == "\n" else f"\n {w}" for w in words)
-        ids = self._whole(text)
-        raw, at = ids.tobytes(), np.flatnonzero(ids == self.line_break[0]) * 4
+        """Put new words into the cache. Words of letters, with or without
+        marks after them, go straight to the library's model; the others are
+        encoded in one text, one per line, and cut at the line breaks."""
+        model, cache, rest = self.tokenizer.model, self.cache, []
+        for word in words:
+            stem = word.rstrip(_TAILS)
+            letters = stem[1:] if word[0] == "\n" else stem
+            if not letters.isalpha() or max(letters) > _LAST_LETTER:
+                rest.append(word)
+                continue
+            ids = cache.get(stem)
+            if ids is None:
+                form = letters if letters.isascii() else letters.encode().decode("latin-1").translate(_BYTE_LETTERS)
+                line = word[0] == "\n"
+                ids = array("I", [t.id for t in model.tokenize(form if line else _SPACE_LETTER + form)]).tobytes()
+                cache[stem] = ids = self.line_break + ids if line else ids
+            if len(stem) < len(word):
+                tail = word[len(stem):]
+                if tail not in self.tails:
+                    self.tails[tail] = self._whole(tail)
+                cache[word] = ids + self.tails[tail]
+        if not rest:
+            return
+        raw = self._whole("".join(w if w[0] == "\n" else f"\n {w}" for w in rest))
+        at = np.flatnonzero(np.frombuffer(raw, dtype="<u4") == int.from_bytes(self.line_break, "little")) * 4
         begins, ends = at.tolist(), [*at[1:].tolist(), len(raw)]
-        for word, b, e in zip(words, begins, ends, strict=True):
-            self.cache[word] = raw[b:e] if word[0] == "\n" else raw[b + 4:e]
+        for word, b, e in zip(rest, begins, ends, strict=True):
+            cache[word] = raw[b:e] if word[0] == "\n" else raw[b + 4:e]
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that byte-level BPE writes for each byte: printable Latin-1
+    stays, the other bytes follow from U+0100 on, in order."""
+    kept = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in kept]
+    return {b: chr(b) if b in kept else chr(256 + others.index(b)) for b in range(256)}
+
+
+_BYTE_LETTERS = _byte_letters()
+_SPACE_LETTER = _BYTE_LETTERS[32]
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
