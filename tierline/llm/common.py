@@ -37,7 +37,7 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     later passes do not scan or recompute the texts.
     """
     path = scratch_path(df.sparkSession, f"llm-{name}")
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

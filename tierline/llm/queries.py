@@ -14,8 +14,8 @@ from pyspark.sql.types import StringType, StructType
 
 from tierline.session import scratch_path
 
-from . import contamination, language_id, mixing, near_dups, oracles, personal_data, secret_scan, sharding, spans, token_files
-from .common import read_table
+from . import contamination, language_id, mixing, near_dups, oracles, personal_data, secret_scan, sharding, simhash, spans, token_files
+from .common import materialize, read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -106,3 +106,16 @@ def op9_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "shard", (F.length("shard") - 1).alias("depth"), "n_bytes", "shard_bytes", "shard_docs",
         (F.col("shard_bytes") > sharding.LIMIT_BYTES).alias("oversized"),
     )
+
+
+@register("op10_simhash")
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and their edited texts. For the documents
+    whose id is divisible by 100, ``n_near`` counts the other documents with a
+    fingerprint within 3 of 128 bits; null for the rest."""
+    rows = materialize(simhash.neighbour_fingerprints(read_table(spark, sf_dir, "documents")), "simhash-rows")
+    asked = F.col("doc_id") % 100 == 0
+    near = simhash.count_near(rows.select("fingerprint"), rows.filter(asked))
+    found = rows.filter(asked).join(near, "fingerprint").withColumn("n_near", F.col("n_near") - 1)
+    rest = rows.filter(~F.coalesce(asked, F.lit(False))).withColumn("n_near", F.lit(None).cast("long"))
+    return found.select(*rest.columns).unionByName(rest)

@@ -38,7 +38,7 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def _slice_words(data: np.ndarray, gaps: np.ndarray) -> np.ndarray:
+def _slice_words(data: np.ndarray, gaps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     gap = np.ones(len(data) + 2, dtype=bool)
     gap[1:-1] = gaps[data]
     edges = np.flatnonzero(gap[1:] != gap[:-1])
@@ -46,12 +46,18 @@ def _slice_words(data: np.ndarray, gaps: np.ndarray) -> np.ndarray:
     sums = np.zeros(len(data) + 1, dtype=np.uint64)
     np.cumsum(data.astype(np.uint64) * _power("down", _Q_INVERSE, len(data)), out=sums[1:])
     h = (sums[ends] - sums[begins]) * _power("up", _Q, len(data) + 1)[ends]
-    return mix(h + (ends - begins).astype(np.uint64))
+    sizes = ends - begins
+    return mix(h + sizes.astype(np.uint64)), sizes
 
 
 def word_hashes(text: str, gaps: np.ndarray = SPACES) -> np.ndarray:
-    """One u64 per word, in order. ``gaps`` marks the bytes between words. Long
-    texts go slice by slice, cut at gaps."""
+    """One u64 per word, in order. ``gaps`` marks the bytes between words."""
+    return sized_word_hashes(text, gaps)[0]
+
+
+def sized_word_hashes(text: str, gaps: np.ndarray = SPACES) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and length in bytes of each word. Long texts go slice by slice, cut
+    at gaps."""
     raw = text.encode("utf-8", "surrogatepass").lower()  # bytes: only A-Z change
     data = np.frombuffer(raw, dtype=np.uint8)
     if len(data) <= SLICE_BYTES:
@@ -64,7 +70,7 @@ def word_hashes(text: str, gaps: np.ndarray = SPACES) -> np.ndarray:
             end = end + int(more[0]) if len(more) else min(end + SLICE_BYTES, len(data))
         parts.append(_slice_words(data[at:end], gaps))
         at = end
-    return np.concatenate(parts)
+    return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
 
 
 _PLACE = mix(np.arange(1, 65, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
