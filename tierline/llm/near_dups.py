@@ -35,7 +35,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 from hashlib import blake2b
-from math import comb
+from math import lgamma, log
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize, small_batches
-from .word_hashes import shingle_hashes, word_hashes
+from .word_hashes import mix, shingle_hashes, word_hashes
 
 BAND_ROWS = 5
 MISS_PROBABILITY = 1e-6
@@ -58,9 +58,10 @@ BROADCAST_IDS = 4_000_000
 SLICE_SHINGLES = 4096
 
 MOST_BANDS = 64
-# Length of the signatures for what star rounds leave open; one byte a hash.
-LONG_HASHES = 960
-LONG_BATCHES = (64, 160, 320, 640, LONG_HASHES)
+# Length of the signatures for what star rounds leave open; one bit a hash,
+# compared in words of 64.
+LONG_HASHES = 7680
+LONG_BATCHES = (512, 1280, 2560, 5120, LONG_HASHES)
 # Rows of a bucket that are compared with each other in one step.
 BLOCK_ROWS = 512
 _rng = np.random.default_rng(20_240_501)
@@ -116,6 +117,12 @@ def profiles(docs: DataFrame, shingle_words: int, hashes: int) -> DataFrame:
         profile, "doc_id long, n_shingles long, digest binary, signature binary")
 
 
+def band_keys(signatures: np.ndarray) -> np.ndarray:
+    """The bucket keys (i64) of signatures, one column per band."""
+    rows = signatures.reshape(len(signatures), -1, BAND_ROWS).astype(np.uint64)
+    return mix((rows * _BAND_ODD).sum(axis=2, dtype=np.uint64) + _BAND_SEED[:rows.shape[1]]).view(np.int64)
+
+
 def bands(classes: DataFrame, n_bands: int) -> DataFrame:
     """(key, node, size): one row per class and band."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -123,10 +130,7 @@ def bands(classes: DataFrame, n_bands: int) -> DataFrame:
             if not batch.num_rows:
                 continue
             rows = np.frombuffer(b"".join(batch.column(2).to_pylist()), dtype=np.uint32)
-            rows = rows.reshape(-1, n_bands, BAND_ROWS).astype(np.uint64)
-            keys = (rows * _BAND_ODD).sum(axis=2, dtype=np.uint64) + _BAND_SEED[:n_bands]
-            keys = (keys ^ (keys >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
-            keys = (keys ^ (keys >> np.uint64(29))).view(np.int64).reshape(-1)
+            keys = band_keys(rows.reshape(-1, n_bands * BAND_ROWS)).reshape(-1)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(keys), pa.array(np.repeat(batch.column(0).to_numpy(), n_bands)),
                  pa.array(np.repeat(batch.column(1).to_numpy(), n_bands))], names=["key", "node", "size"])
@@ -145,11 +149,10 @@ def least_matches(threshold: float, batches: Iterable[int], miss: float = MISS_P
     """
     least = []
     for n in batches:
-        tail, m = 0.0, -1
-        while tail < miss:
-            m += 1
-            tail += comb(n + 1, m) * threshold**m * (1 - threshold) ** (n + 1 - m)
-        least.append((n, m))
+        m = np.arange(n + 2)
+        ways = np.array([lgamma(n + 2) - lgamma(i + 1) - lgamma(n + 2 - i) for i in m])
+        tail = np.cumsum(np.exp(ways + m * log(threshold) + (n + 1 - m) * log(1 - threshold)))
+        least.append((n, int(np.argmax(tail >= miss))))
     return least
 
 
@@ -291,7 +294,7 @@ def near_duplicates(
                 break
             before = left
         if left:
-            rest = materialize(_rest_pairs(_tag(shared, named), sets, numerator, denominator), "dups-survivors-rest")
+            rest = materialize(_rest_pairs(_tag(shared, named), classes, sets, numerator, denominator), "dups-survivors-rest")
             links = links.unionByName(materialize(confirm(rest, sets, numerator, denominator), "dups-links-rest"))
             named = materialize(components(links), "dups-named")
 
@@ -344,7 +347,7 @@ def _open_pairs(tagged: DataFrame) -> int:
     return per_key.agg(F.sum((F.col("all") - F.col("top")) * F.col("all"))).first()[0] or 0
 
 
-def _rest_pairs(tagged: DataFrame, sets: DataFrame, numerator: int, denominator: int) -> DataFrame:
+def _rest_pairs(tagged: DataFrame, classes: DataFrame, sets: DataFrame, numerator: int, denominator: int) -> DataFrame:
     """The pairs (a, b) that share a bucket, are in different components, can
     reach the threshold and survive the comparison of long signatures.
 
@@ -371,22 +374,26 @@ def _rest_pairs(tagged: DataFrame, sets: DataFrame, numerator: int, denominator:
     )
     mixed = materialize(mixed, "dups-open")
 
-    long_signatures = materialize(
-        _long_signatures(sets.join(mixed.select("node").distinct(), "node", "left_semi")), "dups-long")
+    chosen = mixed.select("node").distinct()
+    long_signatures = materialize(_long_signatures(
+        sets.join(chosen, "node", "left_semi").join(classes.select("node", "signature"), "node")), "dups-long")
     return _compare_blocks(mixed, long_signatures, numerator, denominator)
 
 
 def _long_signatures(sets: DataFrame) -> DataFrame:
-    """(node, long_signature): one byte of each of ``LONG_HASHES`` MinHash values."""
+    """(node, keys, long_signature): the band keys, and the lowest bit of each
+    of ``LONG_HASHES`` MinHash values."""
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at, values = batch.column(1).offsets.to_numpy(), batch.column(1).values.to_numpy().view(np.uint64)
-            rows = [(signature(values[at[r]:at[r + 1]], LONG_HASHES) >> np.uint32(13)).astype(np.uint8).tobytes()
+            rows = [np.packbits((signature(values[at[r]:at[r + 1]], LONG_HASHES) >> np.uint32(13)) & np.uint32(1)).tobytes()
                     for r in range(batch.num_rows)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.binary())],
-                                             names=["node", "long_signature"])
+            keys = [band_keys(np.frombuffer(x, dtype=np.uint32)[None])[0].tobytes() for x in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary()), pa.array(rows, pa.binary())],
+                                             names=["node", "keys", "long_signature"])
 
-    return sets.select("node", "shingles").mapInArrow(build, "node long, long_signature binary")
+    return sets.select("node", "shingles", "signature").mapInArrow(
+        build, "node long, keys binary, long_signature binary")
 
 
 def _compare_blocks(rows: DataFrame, signatures: DataFrame, numerator: int, denominator: int) -> DataFrame:
@@ -402,18 +409,20 @@ def _compare_blocks(rows: DataFrame, signatures: DataFrame, numerator: int, deno
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .withColumn("first", F.least("block", "other")).withColumn("second", F.greatest("block", "other"))
         .join(signatures, "node")
-        .select("key", "first", "second", "block", "node", "size", "own", "component", "light", "long_signature")
+        .select("key", "first", "second", "block", "node", "size", "own", "component", "light",
+                "keys", "long_signature")
         .repartition("key", "first", "second").sortWithinPartitions("key", "first", "second")
     )
-    # One byte also agrees by chance, once in 256 times.
-    threshold = numerator / denominator
-    least = least_matches(threshold + (1 - threshold) / 256, LONG_BATCHES)
+    # Single bits also agree by chance, half of the time.
+    least = least_matches((1 + numerator / denominator) / 2, LONG_BATCHES)
     slack = denominator - numerator
 
     def step(rows: pa.Table) -> Iterator[pa.RecordBatch]:
         first, second, block, node, size, own, component, light = (
             rows.column(c).to_numpy() for c in range(1, 9))
-        signature_rows = np.frombuffer(b"".join(rows.column(9).to_pylist()), dtype=np.uint8).reshape(-1, LONG_HASHES)
+        keys = np.frombuffer(b"".join(rows.column(9).to_pylist()), dtype=np.int64).reshape(len(node), -1)
+        bits = np.frombuffer(b"".join(rows.column(10).to_pylist()), dtype=np.uint64).reshape(-1, LONG_HASHES // 64)
+        here = int(np.flatnonzero((keys == rows.column(0)[0].as_py()).all(axis=0))[0])
         within = first[0] == second[0]
         for x in np.flatnonzero(light):
             # A pair of two light rows is met from both; the smaller node has it.
@@ -424,11 +433,14 @@ def _compare_blocks(rows: DataFrame, signatures: DataFrame, numerator: int, deno
             meets &= (own + own[x]) * numerator <= most * slack
             meets &= np.minimum(size, size[x]) * denominator >= np.maximum(size, size[x]) * numerator
             alive = np.flatnonzero(meets)
+            # A pair belongs to the first bucket that it shares.
+            alive = alive[~(keys[alive, :here] == keys[x, :here]).any(axis=1)]
             matches, done = np.zeros(len(alive), dtype=np.int64), 0
             for n, fewest in least:
                 if not len(alive):
                     break
-                matches = matches + (signature_rows[alive, done:n] == signature_rows[x, done:n]).sum(axis=1)
+                differ = np.bitwise_count(bits[alive, done // 64:n // 64] ^ bits[x, done // 64:n // 64])
+                matches = matches + (n - done) - differ.sum(axis=1, dtype=np.int64)
                 done = n
                 alive, matches = alive[matches >= fewest], matches[matches >= fewest]
             if len(alive):
