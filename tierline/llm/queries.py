@@ -14,7 +14,7 @@ from pyspark.sql.types import StringType, StructType
 
 from tierline.session import scratch_path
 
-from . import contamination, language_id, mixing, near_dups, oracles, personal_data, secret_scan, sharding, simhash, spans, token_files
+from . import contamination, language_id, licenses, mixing, near_dups, oracles, personal_data, secret_scan, sharding, simhash, spans, token_files
 from .common import materialize, read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +40,12 @@ def op1_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.drop("text_key")
 
 
+@register("op2_licenses")
+def op2_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The licence families of every document."""
+    return licenses.document_licenses(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @register("op3_language_id")
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predict the language of every document, learning from the text and
