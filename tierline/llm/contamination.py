@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, small_batches
+from .common import free_name, materialize, small_batches
 from .word_hashes import PUNCTUATION, mix, word_hashes
 
 MASKS = ("11110011", "11010111")
@@ -191,11 +191,11 @@ def overlap(region: np.ndarray, item: np.ndarray, diagonal: int) -> tuple[int, i
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the documents that a benchmark item contaminates."""
-    bad = contaminated(docs, benchmark).select(
-        F.col("doc_id").alias("leak_doc_id"), F.col("text_key").alias("leak_text_key")).distinct()
+    doc_id, text_key = free_name(docs, "leak_doc_id"), free_name(docs, "leak_text_key")
+    bad = contaminated(docs, benchmark).select(F.col("doc_id").alias(doc_id), F.col("text_key").alias(text_key)).distinct()
     bad = materialize(bad, "leaks-documents")
     kept = docs.join(
         bad,
-        F.col("doc_id").cast("long").eqNullSafe(F.col("leak_doc_id")) & (F.xxhash64("text") == F.col("leak_text_key")),
+        F.col("doc_id").cast("long").eqNullSafe(F.col(doc_id)) & (F.xxhash64("text") == F.col(text_key)),
         "left_anti")
     return kept.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -285,15 +285,18 @@ def train(labelled: DataFrame) -> Model:
 
 
 def predict(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
-    """The columns ``keep`` of ``docs`` with ``lang_pred`` and ``score``."""
+    """The columns ``keep`` of ``docs``, which must not have these names, with
+    ``lid_lang`` and ``lid_score``."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)
-    source = docs.select(*[F.col(f"`{c}`") for c in keep], F.col("text").alias("lid_text"))
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:-1])
+    columns = [F.col(f"`{c}`") for c in keep] + ([] if "text" in keep else [F.col("text")])
+    source = docs.select(*columns)
+    place = source.columns.index("text")
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in source.schema.fields[:len(keep)])
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(batch.num_columns - 1).to_pylist()
+            texts = batch.column(place).to_pylist()
             names, scores = [UNDETERMINED] * len(texts), np.zeros(len(texts))
             for at in range(0, len(texts), 64):
                 x = features([t or "" for t in texts[at:at + 64]])
@@ -303,11 +306,11 @@ def predict(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
                     for k, language, value in zip(found.tolist(), languages, values.tolist()):
                         names[at + k], scores[at + k] = language, value
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:-1], pa.array(names, pa.string()), pa.array(scores, pa.float64())],
-                names=[*keep, "lang_pred", "score"])
+                [*batch.columns[:len(keep)], pa.array(names, pa.string()), pa.array(scores, pa.float64())],
+                names=[*keep, "lid_lang", "lid_score"])
 
     small_batches(spark)
-    return source.mapInArrow(label, f"{fields}, lang_pred string, score double")
+    return source.mapInArrow(label, f"{fields}, lid_lang string, lid_score double")
 
 
 def held_out() -> Column:

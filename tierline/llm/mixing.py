@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import id_bits, materialize, word_count
+from .common import free_name, id_bits, materialize, word_count
 
 SOURCE_WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
@@ -171,14 +171,15 @@ def _with_source(left: DataFrame, right: DataFrame, how: str = "inner") -> DataF
 def apply_mix(docs: DataFrame, plan: DataFrame) -> DataFrame:
     """The mixed corpus: every document row repeated as often as the plan says,
     with the columns of ``docs``."""
+    doc_id, source, size, copies, copy = (free_name(docs, n) for n in
+                                          ("mix_doc_id", "mix_source", "mix_size", "mix_copies", "mix_copy"))
     p = plan.filter(F.col("copies") > 0).select(
-        F.col("doc_id").alias("p_doc_id"), F.col("source").alias("p_source"),
-        F.col("size").alias("p_size"), F.col("copies").alias("p_copies"))
+        F.col("doc_id").alias(doc_id), F.col("source").alias(source), F.col("size").alias(size),
+        F.col("copies").cast("int").alias(copies))
     joined = docs.join(
         p,
-        F.col("doc_id").eqNullSafe(F.col("p_doc_id"))
-        & F.col("source").eqNullSafe(F.col("p_source"))
-        & (word_count("text") == F.col("p_size")),
+        F.col("doc_id").eqNullSafe(F.col(doc_id)) & F.col("source").eqNullSafe(F.col(source))
+        & (word_count("text") == F.col(size)),
     )
-    repeated = joined.withColumn("p_copy", F.explode(F.sequence(F.lit(1), F.col("p_copies").cast("int"))))
+    repeated = joined.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies))))
     return repeated.select(*[F.col(f"`{c}`") for c in docs.columns])

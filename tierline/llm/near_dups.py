@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, small_batches
+from .common import free_name, materialize, small_batches
 from .word_hashes import mix, shingle_hashes, word_hashes
 
 BAND_ROWS = 5
@@ -308,6 +308,24 @@ def near_duplicates(
                       F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 
+def keep_one(docs: DataFrame, shingle_words: int = 5, numerator: int = 80, denominator: int = 100) -> DataFrame:
+    """``docs`` with one document of each group; rows that repeat both doc_id
+    and text count as one, other rows are kept or dropped by their doc_id."""
+    rows = materialize(near_duplicates(docs, shingle_words, numerator, denominator)
+                       .select("doc_id", "kept"), "dups-kept")
+    name = free_name(docs, "dup_doc_id")
+    dropped = rows.filter(~F.col("kept")).select(F.col("doc_id").alias(name)).distinct()
+    repeated = rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 and doc_id is not null") \
+        .select(F.col("doc_id").alias(name))
+    of_row = F.col("doc_id").cast("long") == F.col(name)
+    left = docs.join(dropped, of_row, "left_anti")
+    if not repeated.isEmpty():
+        repeated = materialize(repeated, "dups-repeated")
+        left = left.join(repeated, of_row, "left_anti").unionByName(
+            left.join(repeated, of_row, "left_semi").dropDuplicates(["doc_id", "text"]))
+    return left.select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def _tag(shared: DataFrame, named: DataFrame | None) -> DataFrame:
     if named is None:
         return shared.withColumn("component", F.col("node"))

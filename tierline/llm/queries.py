@@ -52,7 +52,8 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     label of the documents that are not held out."""
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", language_id.held_out().alias("held_out"))
     model = language_id.train(docs.filter(~F.col("held_out")))
-    return language_id.predict(docs, model, ["doc_id", "held_out"])
+    return language_id.predict(docs, model, ["doc_id", "held_out"]) \
+        .withColumnsRenamed({"lid_lang": "lang_pred", "lid_score": "score"})
 
 
 TOKENIZER = "byte_bpe_50k.json"

@@ -10,18 +10,17 @@ Defined results: a null text has 0 bytes; a null id hashes like ''; repeated
 ids share a hash and so a shard; a shard that 60 bits cannot split (one
 document above the limit, or copies of one id) stays as it is and is marked
 ``oversized``; an empty table gives no shards; all columns are kept in the
-files. The helper columns are dropped, so clashing names in the input are
-refused by Spark rather than overwritten: they carry the prefix ``shard``.
+files, and where the input has a column ``shard``, the new one gets another name.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_bits, materialize
+from .common import free_name, id_bits, materialize
 
 LIMIT_BYTES = 64 * 1024 * 1024
 HASH_BITS = 60
@@ -29,7 +28,7 @@ ROUND_BITS = 12
 SEED = "shard"
 
 
-def _hash_bits() :
+def _hash_bits() -> Column:
     """The 60 hash bits of a document as a string of 0 and 1."""
     return F.lpad(F.bin(id_bits("doc_id", SEED, HASH_BITS // 4)), HASH_BITS, "0")
 
@@ -74,19 +73,22 @@ def build_directory(docs: DataFrame, limit_bytes: int = LIMIT_BYTES) -> list[Dat
 
 
 def assign_shards(docs: DataFrame, directory: list[DataFrame]) -> DataFrame:
-    """``docs`` with the column ``shard``, looked up by hash prefix."""
-    out = docs.withColumn("shard_bits", _hash_bits())
+    """``docs`` with the column ``shard`` last, looked up by hash prefix (with
+    underscores added to the name if ``docs`` has such a column)."""
+    bits, shard = free_name(docs, "shard_bits"), free_name(docs, "shard")
+    out = docs.withColumn(bits, _hash_bits())
     found = []
     for i, level in enumerate(directory):
-        bits = (i + 1) * ROUND_BITS
-        cells = level.select(F.col("cell").alias(f"shard_cell_{i}"), F.col("shard").alias(f"shard_leaf_{i}"))
-        out = out.join(cells, F.substring("shard_bits", 1, bits) == F.col(f"shard_cell_{i}"), "left")
-        found.append(F.col(f"shard_leaf_{i}"))
-    out = out.withColumn("shard", reduce(lambda a, b: F.coalesce(a, b), found))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns], "shard")
+        cell, leaf = free_name(docs, f"shard_cell_{i}"), free_name(docs, f"shard_leaf_{i}")
+        cells = level.select(F.col("cell").alias(cell), F.col("shard").alias(leaf))
+        out = out.join(cells, F.substring(bits, 1, (i + 1) * ROUND_BITS) == F.col(cell), "left")
+        found.append(F.col(leaf))
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns],
+                      reduce(lambda a, b: F.coalesce(a, b), found).alias(shard))
 
 
 def write_shards(docs: DataFrame, path: str, limit_bytes: int = LIMIT_BYTES) -> None:
     """Write ``docs`` as one folder of Parquet files per shard under ``path``."""
     sharded = assign_shards(docs, build_directory(docs, limit_bytes))
-    sharded.repartition(F.col("shard")).write.partitionBy("shard").parquet(path)
+    shard = sharded.columns[-1]
+    sharded.repartition(F.col(shard)).write.partitionBy(shard).parquet(path)
