@@ -5,14 +5,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from conftest import write_text
-from tierline.operators.keys import split_by_key
 from tierline.plans.bronze import run_bronze
+from tierline.plans.chain import ChainPaths, run_chain
+from tierline.plans.silver import run_silver_events
 from tierline.schemas import RAW_EVENT, TICKET
 from tierline.sinks.landing import landing_arrays, write_landing_files
 from tierline.sources.files import (
     event_json_stream, landing_json_stream, read_json_batch, read_parquet_guarded,
 )
-from tierline.streaming.runner import batches_with_input, run_available_now
+from tierline.streaming.runner import batches_with_input, processing_time, run_available_now
 
 TICKETS = [
     {"ticket_id": f"T{i}", "customer_id": "CUST-5000", "product_id": "PROD-1001",
@@ -21,15 +22,48 @@ TICKETS = [
 ]
 
 
-def test_corrupt_file_and_two_arrays(spark, workdir):
-    land = f"{workdir}/landing"
-    write_text(land, "a.json", json.dumps(TICKETS[:3], indent=2))
-    write_text(land, "b.json", "this is not json")
-    write_text(land, "c.json", json.dumps(TICKETS[3:5]) + "\n" + json.dumps(TICKETS[5:]))
-    rows = read_json_batch(spark, land, TICKET, multi_line=True)
-    kept, rejects = split_by_key(rows, "ticket_id")
-    assert sorted(r["ticket_id"] for r in kept.collect()) == ["T0", "T1", "T2", "T3", "T4"]
-    assert rejects.count() == 1  # the unparsable file: one all-null row, routed to rejects
+def test_no_landed_ticket_disappears(spark, workdir):
+    """Two arrays in a file, a broken file and a broken tail: rows in = rows
+    out + rejects, and rejects keep the whole text."""
+    paths = ChainPaths.under(workdir)
+    write_text(paths.landing, "a.json", json.dumps(TICKETS[:2], indent=2))
+    write_text(paths.landing, "b.json", "this is not json")
+    two = json.dumps(TICKETS[2:4]) + "\n" + json.dumps(TICKETS[4:6])
+    write_text(paths.landing, "c.json", two)
+    write_text(paths.landing, "d.json", json.dumps(TICKETS[6]))
+    write_text(paths.landing, "e.json", " \n")
+    run_chain(spark, paths)
+    silver = spark.read.parquet(paths.silver)
+    assert sorted(r["ticket_id"] for r in silver.collect()) == ["T0", "T1", "T6"]
+    rejects = {r["_corrupt_record"]: r["reject_reason"] for r in spark.read.parquet(paths.silver_rejects).collect()}
+    assert rejects == {"this is not json": "unparsable landing file", two: "unparsable landing file"}
+
+
+def test_no_event_line_disappears(spark, workdir):
+    event = {"event_id": "1", "user_id": "7", "event_type": "click", "timestamp": "x", "payload": "{}"}
+    lines = [json.dumps(event), json.dumps(event) + json.dumps(event), json.dumps([event, event]), "", "{broken"]
+    write_text(f"{workdir}/ev", "a.json", "\n".join(lines))
+    dim = spark.createDataFrame([("7", "Ann")], "user_id string, name string")
+    run_silver_events(spark, f"{workdir}/ev", dim, f"{workdir}/silver", f"{workdir}/ck", rejects=f"{workdir}/rejects")
+    assert spark.read.parquet(f"{workdir}/silver").count() == 3
+    rejects = spark.read.parquet(f"{workdir}/rejects").collect()
+    assert sorted(r["_corrupt_record"] for r in rejects) == sorted([lines[1], lines[4]])
+    assert {r["reject_reason"] for r in rejects} == {"unparsable event line"}
+
+
+def test_both_event_streams_are_stopped(spark, workdir):
+    event = {"event_id": None, "user_id": "7", "event_type": "click", "timestamp": "x", "payload": "{}"}
+    write_text(f"{workdir}/ev", "a.json", json.dumps(event))
+    dim = spark.createDataFrame([("7", "Ann")], "user_id string, name string")
+    before = len(spark.streams.active)
+    streams = run_silver_events(spark, f"{workdir}/ev", dim, f"{workdir}/silver", f"{workdir}/ck",
+                                rejects=f"{workdir}/rejects", trigger=processing_time("1 second"))
+    assert len(spark.streams.active) == before + 3
+    for _ in range(2):  # landed first, then read
+        streams.processAllAvailable()
+    streams.stop()
+    assert len(spark.streams.active) == before and streams.exception() is None
+    assert spark.read.parquet(f"{workdir}/rejects").count() == 1
 
 
 def test_pretty_array_needs_multiline(spark, workdir):

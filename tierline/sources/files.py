@@ -2,20 +2,40 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructType
 
 from ..schemas import RAW_EVENT, TICKET
 
 
-def _json_options(reader, multi_line: bool, corrupt_column: str | None):
-    reader = reader.option("multiLine", multi_line).option("mode", "PERMISSIVE")
-    if corrupt_column:
-        reader = reader.option("columnNameOfCorruptRecord", corrupt_column)
-    return reader
+def parse_json_values(texts: DataFrame, schema: StructType, corrupt_column: str | None = None) -> DataFrame:
+    """Rows of ``schema`` from the column ``value``, each a whole file or line
+    that holds one JSON object or one array of objects.
+
+    The text is parsed inside brackets, so anything after the first value
+    (a second array, a broken tail) makes the whole text unparsable instead of
+    disappearing. An unparsable text gives one row of nulls; with
+    ``corrupt_column``, a string field of ``schema``, that row keeps the text.
+    Blank texts hold no rows.
+    """
+    fields = StructType([f for f in schema.fields if f.name != corrupt_column])
+    wrapped = F.concat(F.lit("["), F.col("value"), F.lit("]"))
+    arrays = F.flatten(F.from_json(wrapped, ArrayType(ArrayType(fields))))
+    parsed = (
+        texts.select("value", F.coalesce(arrays, F.from_json(wrapped, ArrayType(fields))).alias("rows"))
+        .filter((F.trim("value") != "") & (F.coalesce(F.size("rows"), F.lit(1)) != 0))
+        .select("value", F.col("rows").isNull().alias("bad"), F.explode_outer("rows").alias("row"))
+    )
+    text = F.when(F.col("bad"), F.col("value"))
+    return parsed.select(*[
+        text.alias(f.name) if f.name == corrupt_column else F.col(f"row.`{f.name}`").alias(f.name)
+        for f in schema.fields])
+
+
+def _texts(reader, path: str, multi_line: bool):
+    return reader.format("text").option("wholetext", multi_line).load(path).select("value")
 
 
 def read_json_stream(
@@ -31,22 +51,19 @@ def read_json_stream(
 
     Only declared fields are kept, all as declared; a missing field is null,
     a nested object read as string is its JSON text. With ``multi_line`` a
-    file holds one JSON value (an array gives one row per element; only the
-    first top-level value of a file is read). Without it every line is a
-    record (an array on one line also expands). An unparsable file or line
-    gives a row of nulls, never a failure.
+    file is one JSON object or array; without it every line is. See
+    :func:`parse_json_values` for what does not parse.
 
     ``options`` passes further file-source settings, e.g. ``cleanSource`` =
     ``archive`` with ``sourceArchiveDir`` (or ``delete``) so that a landing
     folder that grows for years is not listed in full on every trigger.
     """
-    reader = spark.readStream.format("json").schema(schema)
-    reader = _json_options(reader, multi_line, corrupt_column)
+    reader = spark.readStream
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     for key, value in (options or {}).items():
         reader = reader.option(key, value)
-    return reader.load(path)
+    return parse_json_values(_texts(reader, path, multi_line), schema, corrupt_column)
 
 
 def read_json_batch(
@@ -57,8 +74,7 @@ def read_json_batch(
     corrupt_column: str | None = None,
 ) -> DataFrame:
     """Bounded counterpart of :func:`read_json_stream`."""
-    reader = _json_options(spark.read.format("json").schema(schema), multi_line, corrupt_column)
-    return reader.load(path)
+    return parse_json_values(_texts(spark.read, path, multi_line), schema, corrupt_column)
 
 
 def landing_json_stream(
@@ -99,19 +115,22 @@ def read_parquet_guarded(
 ) -> DataFrame:
     """Parquet scan that treats missing folders as empty instead of failing.
 
-    Each path is resolved on its own (a missing one raises ``PATH_NOT_FOUND``
-    at definition time, even with a schema); the existing ones are unioned, so
-    every file is listed once and scanned in parallel. With none left the
+    Missing paths are found at definition time (``PATH_NOT_FOUND``) and left
+    out; the others are one scan, however many they are. With none left the
     result is an empty frame of ``schema``: "nothing to do" stays a no-op.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    frames = []
-    for p in paths:
-        try:
-            frames.append(spark.read.schema(schema).parquet(p))
-        except AnalysisException as exc:
-            if exc.getCondition() != "PATH_NOT_FOUND":
-                raise
-    if not frames:
+    there = [p for p in paths if _exists(spark, p, schema)]
+    if not there:
         return spark.createDataFrame([], schema)
-    return reduce(lambda a, b: a.unionByName(b), frames)
+    return spark.read.schema(schema).parquet(*there)
+
+
+def _exists(spark: SparkSession, path: str, schema: StructType) -> bool:
+    try:
+        spark.read.schema(schema).parquet(path)
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
