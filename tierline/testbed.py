@@ -4,13 +4,13 @@ Each adapter exists twice: as a Spark DataFrame and as SQL text for an
 independent engine (DuckDB) reading the same parquet tables, so that a query
 and its oracle share only the input, never the engine.
 
-* EV  - ``events`` as raw text events. Two kinds of damage as a real feed
-        would carry them: ``error`` events arrive without an event id, and
-        events with ``value < 5`` come from a client that writes the time as
-        ``MM/dd/yyyy HH:mm:ss`` (not ISO, so lenient parsing yields null).
-* DIM - ``customer`` as the user dimension: customers in good standing
-        (``c_acctbal >= 0``), keyed by ``user_id`` text. Events of the other
-        users stay unmatched.
+* EV  - ``events`` as raw text events, as a real feed would carry them:
+        ``error`` events arrive without an event id, events with ``value < 5``
+        come from a client that writes the time as ``MM/dd/yyyy HH:mm:ss`` (not
+        ISO, so lenient parsing yields null), events with ``value >= 100`` are
+        of guests whose id no dimension has, and those below 1 have no user.
+* DIM - ``customer`` as the user dimension, every customer, keyed by
+        ``user_id`` text.
 * TK  - ``documents`` as tickets: ``source`` is the product, the text the
         review, the time derived from the document id.
 * LB  - TK joined with ``labels``: ``quality`` as urgency, ``toxic`` as
@@ -44,7 +44,9 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
     return e.select(
         F.when(F.col("event_type") != F.lit("error"), F.col("event_id").cast("string")).alias("event_id"),
-        F.col("user_id").cast("string").alias("user_id"),
+        F.when(F.col("value") >= F.lit(100.0), F.concat(F.lit("guest-"), F.col("user_id").cast("string")))
+        .when(F.col("value") >= F.lit(1.0), F.col("user_id").cast("string"))
+        .alias("user_id"),
         F.col("event_type"),
         F.when(F.col("value") < F.lit(5.0), F.date_format("ts", LEGACY_TIME))
         .otherwise(F.date_format("ts", ISO_MICROS))
@@ -55,7 +57,8 @@ def raw_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 RAW_EVENTS_SQL = f"""
     select case when event_type <> 'error' then cast(event_id as varchar) end as event_id,
-           cast(user_id as varchar) as user_id,
+           case when value >= 100.0 then 'guest-' || cast(user_id as varchar)
+                when value >= 1.0 then cast(user_id as varchar) end as user_id,
            event_type,
            case when value < 5.0 then strftime(ts, '{LEGACY_TIME_SQL}')
                 else strftime(ts, '{ISO_MICROS_SQL}') end as "timestamp",
@@ -66,7 +69,7 @@ RAW_EVENTS_SQL = f"""
 # ---------------------------------------------------------------- DIM
 def user_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer")
-    return c.filter(F.col("c_acctbal") >= F.lit(0.0)).select(
+    return c.select(
         F.col("c_custkey").cast("string").alias("user_id"),
         "c_name", "c_nationkey", "c_acctbal", "c_mktsegment",
     )
@@ -74,7 +77,7 @@ def user_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 USER_DIMENSION_SQL = """
     select cast(c_custkey as varchar) as user_id, c_name, c_nationkey, c_acctbal, c_mktsegment
-    from customer where c_acctbal >= 0.0"""
+    from customer"""
 
 DIMENSION_COLUMNS = ["c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
 
