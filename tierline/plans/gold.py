@@ -7,17 +7,16 @@ from dataclasses import dataclass
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ..operators.gold import product_metrics
 from ..operators.keys import split_by_key
 from ..schemas import GOLD_DEFAULTS, GOLD_KEY, GOLD_MAX_LENGTH, GOLD_STAMP, GOLD_TARGET
-from ..sinks.snapshots import evolve, latest_version, publish, upsert
+from ..sinks.snapshots import evolve, latest_version, publish, published_batch, upsert
 from ..session import scratch_root
 from ..sources.files import read_parquet_guarded
 from ..sources.jdbc import write_jdbc
-from ..streaming.runner import AVAILABLE_NOW, BATCH_FILES, drain
+from ..streaming.runner import AVAILABLE_NOW, BATCH_FILES, Streams, start_append
 from .silver import gold_input
 
 
@@ -60,27 +59,27 @@ def run_gold(
 ) -> GoldResult:
     """Aggregate silver tickets and publish the next target version.
 
-    Missing or empty silver is "nothing to do": no version is published. The
-    per-product aggregate is checkpointed once (it is small: one row per
-    product) and then feeds the rejects output, the upsert and the write.
+    Missing or empty silver is "nothing to do": no version is published.
+    Tickets without a product cannot be keyed; they go to ``rejects_path``
+    one by one, with the reason. The per-product aggregate is checkpointed
+    once (it is small: one row per product) and then feeds the upsert.
     """
     scratch_root(spark)  # reliable checkpoints need the shared folder
     rows = read_parquet_guarded(spark, silver, silver_schema)
-    staged_all = gold_staged(rows).checkpoint(eager=True)
-    if staged_all.isEmpty():
-        return GoldResult(None, None, None)
-    path, staged, rejects = _publish_staged(spark, staged_all, target_root, rejects_path, "overwrite")
-    return GoldResult(path, staged, rejects)
+    keyed, rejects = split_by_key(rows, GOLD_KEY)
+    staged = gold_staged(keyed).checkpoint(eager=True)
+    if rejects_path and not rows.isEmpty():
+        rejects.write.mode("overwrite").parquet(rejects_path)
+    if staged.isEmpty():
+        return GoldResult(None, None, rejects)
+    return GoldResult(_publish_staged(spark, staged, target_root), staged, rejects)
 
 
-def _publish_staged(spark, staged_all, target_root, rejects_path, rejects_mode):
-    staged, rejects = split_by_key(staged_all, GOLD_KEY)
-    if rejects_path:
-        rejects.write.mode(rejects_mode).parquet(rejects_path)
+def _publish_staged(spark, staged, target_root, through_batch=None) -> str:
     latest = latest_version(spark, target_root)
     target = spark.read.parquet(latest[1]) if latest else spark.createDataFrame([], GOLD_TARGET)
-    path = publish(merge_into_target(target, staged), target_root, previous=latest)
-    return path, staged, rejects
+    return publish(merge_into_target(target, staged), target_root, previous=latest, through_batch=through_batch,
+                   key=GOLD_KEY)
 
 
 def run_gold_incremental(
@@ -92,54 +91,75 @@ def run_gold_incremental(
     rejects_path: str | None = None,
     trigger: dict | None = AVAILABLE_NOW,
     max_files_per_trigger: int | None = BATCH_FILES,
-) -> StreamingQuery | None:
+) -> Streams | None:
     """Gold maintained incrementally from a stream of silver files.
 
     A streaming aggregation keeps per-product state (count, sum, sentiment
     counts) in the state store under ``checkpoint``; partial aggregation runs
     before the shuffle as in batch. Each micro-batch emits only the products
-    it touched, with their full totals (update mode), and those rows are
-    upserted into the target as its next version. Work per run grows with the
-    new silver files, not with all of silver; a replayed micro-batch
-    re-publishes the same totals, so the keyed upsert keeps the sink
-    idempotent. Rejects (null product) are written per micro-batch. A silver
-    folder that does not exist yet is "nothing to do" (returns None).
+    it touched, with their full totals (update mode). A drain writes them as
+    small per-batch deltas and merges the newest row of each product into the
+    target once, at its end, so a backlog of many micro-batches rewrites the
+    target once; a delta that a failed run left behind is merged by the next.
+    With a continuous trigger every micro-batch is merged. A replayed
+    micro-batch brings the same totals, so the merge is idempotent.
+
+    Tickets without a product are appended to ``rejects_path`` one by one by a
+    second stream. A silver folder that does not exist yet is "nothing to do"
+    (returns None).
     """
     reader = spark.readStream.schema(silver_schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     try:
-        metrics = gold_staged(reader.parquet(silver))
+        rows = reader.parquet(silver)
     except AnalysisException as exc:
         if exc.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
+    keyed, rejects = split_by_key(rows, GOLD_KEY)
+    deltas = f"{checkpoint.rstrip('/')}-deltas"
+    drains = bool(trigger and trigger.get("availableNow"))
 
-    def upsert_batch(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            # one job over the cached batch: is there anything, and any rejects?
-            seen = batch.agg(
-                F.count(F.lit(1)).alias("rows"), F.count_if(F.col(GOLD_KEY).isNull()).alias("rejects")
-            ).collect()[0]
-            if seen["rows"] == 0:
-                return
-            out = f"{rejects_path}/batch={batch_id}" if rejects_path and seen["rejects"] else None
-            _publish_staged(batch.sparkSession, batch, target_root, out, "overwrite")
-        finally:
-            batch.unpersist()
+    def keep_batch(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{deltas}/batch={batch_id}")
+        if not drains:
+            _merge_deltas(spark, deltas, target_root)
 
     writer = (
-        metrics.writeStream.outputMode("update")
-        .foreachBatch(upsert_batch)
+        gold_staged(keyed).writeStream.outputMode("update")
+        .foreachBatch(keep_batch)
         .option("checkpointLocation", checkpoint)
     )
     if trigger:
         writer = writer.trigger(**trigger)
-    query = writer.start()
-    if trigger and trigger.get("availableNow"):
-        drain(query)
-    return query
+    streams = Streams(writer.start())
+    if rejects_path:
+        streams.add(lambda: start_append(rejects, rejects_path, f"{checkpoint.rstrip('/')}-rejects", trigger))
+    if drains:
+        streams.drain()
+        _merge_deltas(spark, deltas, target_root)
+    return streams
+
+
+def _merge_deltas(spark: SparkSession, deltas: str, target_root: str) -> None:
+    """Merge the micro-batches that no published version holds yet, the newest
+    row of each product."""
+    done = published_batch(spark, target_root)
+    schema = StructType([*gold_staged_schema(spark).fields, StructField("batch", LongType())])
+    rows = read_parquet_guarded(spark, deltas, schema).filter(F.col("batch") > done)
+    last = rows.agg(F.max("batch")).first()[0]
+    if last is None:
+        return
+    columns = [c for c in rows.columns if c != "batch"]
+    newest = rows.groupBy(GOLD_KEY).agg(F.max_by(F.struct(*columns), "batch").alias("r")).select("r.*")
+    _publish_staged(spark, newest.checkpoint(eager=True), target_root, through_batch=last)
+
+
+def gold_staged_schema(spark: SparkSession) -> StructType:
+    """Schema of :func:`gold_staged`, derived from the transform itself."""
+    empty = spark.createDataFrame([], "ticket_id string, product_id string, urgency_score double, sentiment string")
+    return gold_staged(empty).schema
 
 
 def export_jdbc(
@@ -153,8 +173,9 @@ def export_jdbc(
     """Publish the current gold version to a serving database table.
 
     The whole current version replaces the table's rows (``truncate`` keeps
-    the table and its grants), so a retried export converges to the same
-    content: at-least-once delivery of an idempotent snapshot. Text keys are
+    the table and its grants). The table is emptied first and then filled
+    partition by partition, not in one transaction: readers can see it empty
+    or half filled, and after a failure it stays so until a retry succeeds. Text keys are
     checked against their VARCHAR bound first, and at most
     ``num_partitions`` connections write concurrently.
     """

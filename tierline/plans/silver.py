@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
 from ..functions.triage import DEFAULT_OUTCOME, DEFAULT_RULES, Outcome, Rule, with_triage
@@ -13,7 +12,7 @@ from ..operators.enrich import left_enrich
 from ..operators.keys import REASON, key_rejects, require_key
 from ..schemas import CORRUPT, RAW_EVENT, TICKET
 from ..sources.files import event_json_stream
-from ..streaming.runner import AVAILABLE_NOW, BATCH_FILES, drain, start_append
+from ..streaming.runner import AVAILABLE_NOW, BATCH_FILES, Streams, drain, start_append
 from .bronze import BRONZE_STAMP
 
 BRONZE_TICKET = StructType(
@@ -56,39 +55,45 @@ def run_silver_events(
     rejects_checkpoint: str | None = None,
     keep_corrupt: bool = True,
     **join_options,
-) -> StreamingQuery:
+) -> Streams:
     """Raw event JSON files -> silver parquet, drained with ``availableNow``.
 
-    With ``rejects`` the rows without an event id are appended there too (with
-    a reason column) by a second stream on its own checkpoint, so both outputs
-    are exactly once and rows in = silver rows + rejects. The source files are
-    then parsed twice; leave it off for feeds where that matters.
+    With ``rejects`` the rows without an event id, and the lines that do not
+    parse, are appended there too (with a reason and the text). The lines are
+    then parsed once, by a first stream that lands every row as parquet under
+    ``{checkpoint}-landed``; silver and rejects are streams over that, so both
+    are exactly once and rows in = silver rows + rejects. The queries returned
+    are drained, stopped and fail together.
     """
     schema = RAW_EVENT
     if keep_corrupt:
         schema = StructType(RAW_EVENT.fields + [StructField(CORRUPT, StringType(), True)])
     raw = event_json_stream(spark, source, schema, max_files_per_trigger, multi_line,
                             corrupt_column=CORRUPT if keep_corrupt else None)
-    query = start_append(silver_events(raw, dim, **join_options), out, checkpoint, trigger)
-    _start_rejects(raw, "event_id", rejects, rejects_checkpoint or f"{checkpoint}-rejects", trigger,
-                   UNPARSABLE_EVENT)
-    if trigger and trigger.get("availableNow"):
-        drain(query)
-    return query
-
-
-def _start_rejects(raw: DataFrame, key: str, path: str | None, checkpoint: str, trigger,
-                   unparsable: str = UNPARSABLE) -> None:
-    if not path:
-        return
+    drains = bool(trigger and trigger.get("availableNow"))
+    if not rejects:
+        streams = Streams(start_append(silver_events(raw, dim, **join_options), out, checkpoint, trigger))
+        return streams.drain() if drains else streams
+    root = checkpoint.rstrip("/")
+    landed = f"{root}-landed"
+    landing = start_append(raw, landed, f"{root}-landing", trigger)
+    if drains:
+        drain(landing)
+    rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", BATCH_FILES).parquet(landed)
+    streams = Streams(landing)
+    streams.add(lambda: start_append(silver_events(rows, dim, **join_options), out, checkpoint, trigger))
+    streams.add(lambda: start_append(_rejected(rows, "event_id", UNPARSABLE_EVENT), rejects,
+                                     rejects_checkpoint or f"{root}-rejects", trigger))
+    return streams.drain() if drains else streams
+
+
+def _rejected(raw: DataFrame, key: str, unparsable: str) -> DataFrame:
     rejects = key_rejects(raw, key)
     if CORRUPT in raw.columns:
         rejects = rejects.withColumn(
             REASON, F.when(F.col(CORRUPT).isNotNull(), F.lit(unparsable)).otherwise(F.col(REASON))
         )
-    query = start_append(rejects, path, checkpoint, trigger)
-    if trigger and trigger.get("availableNow"):
-        drain(query)
+    return rejects
 
 
 def silver_tickets(
@@ -115,18 +120,18 @@ def run_silver_tickets(
     trigger: dict | None = AVAILABLE_NOW,
     rejects: str | None = None,
     rejects_checkpoint: str | None = None,
-) -> StreamingQuery:
+) -> Streams:
     """Bronze parquet (as a stream) -> triaged silver parquet; unkeyed bronze
     rows (e.g. from unparsable landing files) optionally go to ``rejects``."""
     reader = spark.readStream.schema(BRONZE_TICKET)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     bronze_rows = reader.parquet(bronze)
-    query = start_append(silver_tickets(bronze_rows, rules, default), out, checkpoint, trigger)
-    _start_rejects(bronze_rows, "ticket_id", rejects, rejects_checkpoint or f"{checkpoint}-rejects", trigger)
-    if trigger and trigger.get("availableNow"):
-        drain(query)
-    return query
+    streams = Streams(start_append(silver_tickets(bronze_rows, rules, default), out, checkpoint, trigger))
+    if rejects:
+        streams.add(lambda: start_append(_rejected(bronze_rows, "ticket_id", UNPARSABLE), rejects,
+                                         rejects_checkpoint or f"{checkpoint}-rejects", trigger))
+    return streams.drain() if trigger and trigger.get("availableNow") else streams
 
 
 def gold_input(silver: DataFrame) -> DataFrame:

@@ -3,16 +3,23 @@
 Parquet folders cannot be updated in place and overwriting the folder being
 read destroys it, so a keyed table is a series of immutable version folders
 plus an append-only log. A version becomes current only after its data
-commit succeeded and its log row was written; readers always take the
-highest logged version. One writer at a time.
+commit succeeded and its log entry was created; readers always take the
+highest logged version. Every attempt writes a folder of its own, and a log
+entry is created only if its number is free, so of two writers that started
+from the same version one fails and destroys nothing.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
+from datetime import datetime, timezone
+
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
-from pyspark.errors import AnalysisException
 
 from ..operators.enrich import fits_broadcast
 from ..operators.keys import assert_no_null_keys, assert_unique
@@ -21,7 +28,9 @@ IN_STAGED = "__in_staged"
 IN_TARGET = "__in_target"
 STAGED_PREFIX = "__s_"
 LOG_DIR = "_versions"
-LOG_SCHEMA = "version long, path string, published_at timestamp"
+LOG_SCHEMA = "version long, path string, published_at timestamp, through_batch long"
+# Versions that are kept; older folders are removed after a publish.
+KEEP_VERSIONS = 3
 
 
 def evolve(
@@ -136,16 +145,27 @@ def _log_path(root: str) -> str:
     return f"{root.rstrip('/')}/{LOG_DIR}"
 
 
-def latest_version(spark: SparkSession, root: str) -> tuple[int, str] | None:
-    """``(version, path)`` of the current version, or None if nothing was published."""
+def _log(spark: SparkSession, root: str) -> DataFrame | None:
     try:
-        log = spark.read.schema(LOG_SCHEMA).json(_log_path(root))
+        return spark.read.schema(LOG_SCHEMA).json(_log_path(root))
     except AnalysisException as exc:
         if exc.getCondition() == "PATH_NOT_FOUND":
             return None
         raise
-    row = log.orderBy(F.col("version").desc()).select("version", "path").limit(1).collect()
-    return (int(row[0]["version"]), row[0]["path"]) if row else None
+
+
+def latest_version(spark: SparkSession, root: str) -> tuple[int, str] | None:
+    """``(version, path)`` of the current version, or None if nothing was published."""
+    log = _log(spark, root)
+    row = None if log is None else log.agg(F.max(F.struct("version", "path")).alias("v")).first()["v"]
+    return (int(row["version"]), row["path"]) if row else None
+
+
+def published_batch(spark: SparkSession, root: str) -> int:
+    """The last micro-batch that a published version holds, or -1."""
+    log = _log(spark, root)
+    last = None if log is None else log.agg(F.max("through_batch")).first()[0]
+    return -1 if last is None else int(last)
 
 
 def read_current(spark: SparkSession, root: str, schema: StructType | None = None) -> DataFrame:
@@ -159,38 +179,80 @@ def read_current(spark: SparkSession, root: str, schema: StructType | None = Non
     return reader.parquet(latest[1])
 
 
+class ConcurrentPublish(RuntimeError):
+    """Another writer has published the version this one was based on."""
+
+
 _UNKNOWN = object()
 
 
-def publish(df: DataFrame, root: str, previous=_UNKNOWN) -> str:
+def publish(
+    df: DataFrame,
+    root: str,
+    previous=_UNKNOWN,
+    through_batch: int | None = None,
+    key: str | None = None,
+    keep_versions: int = KEEP_VERSIONS,
+) -> str:
     """Write ``df`` as the next version and log it; returns the version path.
 
-    ``previous`` is the ``latest_version`` the caller already read (saves a
-    read of the log). A failed write leaves no log row, so readers keep the
-    previous version.
+    ``previous`` is the ``latest_version`` the caller already read; a version
+    published meanwhile raises :class:`ConcurrentPublish` and stays as it is.
+    A failed attempt leaves no log entry, so readers keep the previous
+    version. With ``key``, null or repeated keys in the written version refuse
+    the publish. Only the last ``keep_versions`` versions are kept.
     """
     spark = df.sparkSession
     latest = latest_version(spark, root) if previous is _UNKNOWN else previous
     version = 1 if latest is None else latest[0] + 1
-    path = f"{root.rstrip('/')}/version-{version:010d}"
-    # A folder at this path can only be an unlogged leftover of a failed
-    # attempt (no reader ever sees it), so a retry overwrites it.
-    df.write.mode("overwrite").parquet(path)
-    entry = spark.createDataFrame([(version, path)], "version long, path string").withColumn(
-        "published_at", F.current_timestamp()
-    )
-    entry.coalesce(1).write.mode("append").json(_log_path(root))
+    path = f"{root.rstrip('/')}/version-{version:010d}-{uuid.uuid4().hex[:12]}"
+    df.write.parquet(path)
+    if key:
+        written = spark.read.parquet(path).select(key)
+        assert_no_null_keys(written, key, what="target")
+        assert_unique(written, key, what="target")
+    _create_log_entry(spark, root, {
+        "version": version, "path": path, "through_batch": through_batch,
+        "published_at": datetime.now(timezone.utc).isoformat(),
+    })
+    _drop_old_versions(spark, root, version - keep_versions)
     return path
 
 
+def _file_system(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def _create_log_entry(spark: SparkSession, root: str, entry: dict) -> None:
+    """Create the entry's file, which fails if its number is taken."""
+    fs, where = _file_system(spark, f"{_log_path(root)}/{entry['version']:010d}.json")
+    try:
+        out = fs.create(where, False)
+    except Py4JJavaError as exc:
+        if "FileAlreadyExists" in str(exc.java_exception.getClass().getName()) or fs.exists(where):
+            raise ConcurrentPublish(f"version {entry['version']} of {root} exists") from exc
+        raise
+    try:
+        out.write(bytearray((json.dumps(entry) + "\n").encode()))
+    finally:
+        out.close()
+
+
+def _drop_old_versions(spark: SparkSession, root: str, up_to: int) -> None:
+    """Remove the folders of logged versions up to a number; their log entries
+    stay as the history."""
+    if up_to < 1:
+        return
+    old = _log(spark, root).filter(F.col("version").between(up_to - 1, up_to)).select("path").collect()
+    for row in old:  # two at most: each publish removes what became old
+        fs, where = _file_system(spark, row["path"])
+        fs.delete(where, True)
+
+
 def register_current_view(spark: SparkSession, root: str, name: str, schema: StructType | None = None) -> DataFrame:
     """Expose the current version as a temporary view, so that SQL (e.g. the
     dashboard queries a serving database would take) runs on it in Spark."""
     current = read_current(spark, root, schema)
     current.createOrReplaceTempView(name)
     return current
-
-
-def drop_staging(spark: SparkSession, table: str) -> None:
-    """Drop a named staging table once its rows were published."""
-    spark.sql(f"DROP TABLE IF EXISTS {table}")

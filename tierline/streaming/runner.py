@@ -63,6 +63,45 @@ def drain(query: StreamingQuery, timeout_s: float | None = None) -> StreamingQue
     return query
 
 
+class Streams:
+    """A main query and the queries that belong to it (its rejects): drained,
+    stopped and failing together. Other attributes are the main query's."""
+
+    def __init__(self, main: StreamingQuery):
+        self.queries = [main]
+
+    def add(self, start) -> None:
+        """Start another query; if that fails, the others are stopped."""
+        try:
+            self.queries.append(start())
+        except Exception:
+            self.stop()
+            raise
+
+    def drain(self, timeout_s: float | None = None) -> "Streams":
+        try:
+            for query in self.queries:
+                drain(query, timeout_s)
+        except Exception:
+            self.stop()
+            raise
+        return self
+
+    def processAllAvailable(self) -> None:
+        for query in self.queries:
+            query.processAllAvailable()
+
+    def stop(self) -> None:
+        for query in self.queries:
+            query.stop()
+
+    def exception(self):
+        return next((e for q in self.queries if (e := q.exception()) is not None), None)
+
+    def __getattr__(self, name: str):
+        return getattr(self.queries[0], name)
+
+
 def run_available_now(
     stream: DataFrame,
     path: str,
@@ -86,7 +125,3 @@ def batch_count(query: StreamingQuery) -> int:
     """Micro-batches run on the query's checkpoint so far (ids start at 0)."""
     last = query.lastProgress
     return 0 if not last else int(last["batchId"]) + 1
-
-
-def rows_processed(query: StreamingQuery) -> int:
-    return sum(int(p.get("numInputRows", 0)) for p in query.recentProgress)
