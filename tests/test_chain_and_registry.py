@@ -6,15 +6,17 @@ import pytest
 from conftest import SF_SMOKE, write_text
 from tierline.plans.chain import ChainPaths, run_chain
 from tierline.registry import ORACLES, QUERIES
-from tierline.sources.synthetic import REVIEW_TEXTS
 
 import __spark_entry__ as spark_entry
 from scripts.parity import TABLES, digest
 
+# Two satisfied, two delayed, two broken: mean urgency 3.
+TEXTS = ["fine kettle", "a confusing lamp", "the battery is flat", "delayed twice", "good value", "it broke"]
+
 
 def test_chain_on_templates(spark, workdir):
     tickets = [{"ticket_id": f"T{i}", "customer_id": "CUST-5001", "product_id": "PROD-1001",
-                "review_text": t, "timestamp": "2026-01-02T03:04:05Z"} for i, t in enumerate(REVIEW_TEXTS)]
+                "review_text": t, "timestamp": "2026-01-02T03:04:05Z"} for i, t in enumerate(TEXTS)]
     tickets.append({"ticket_id": "T-null", "customer_id": "CUST-5002", "product_id": None,
                     "review_text": "fine", "timestamp": "bad"})
     write_text(f"{workdir}/landing", "batch_1.json", json.dumps(tickets, indent=2))
@@ -43,6 +45,18 @@ def test_every_query_has_an_oracle():
     assert set(ORACLES) == set(QUERIES)
 
 
+def test_iso_round_trip_in_another_session_zone(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    query = QUERIES["iso_timestamp_roundtrip"].__wrapped__
+    rows = query(spark, SF_SMOKE)
+    try:
+        zoned = rows.selectExpr("iso_text", "ts")
+        assert zoned.filter("iso_text != concat(replace(substring(cast(ts as string), 1, 19), ' ', 'T'), "
+                            "'.', rpad(split_part(cast(ts as string), '.', 2), 6, '0'), 'Z')").count() == 0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 @pytest.fixture(scope="module")
 def duck():
     con = duckdb.connect()
@@ -64,7 +78,7 @@ def test_parity_smoke(spark, duck, name):
 
 def test_incremental_gold_equals_full(spark, workdir):
     first = [{"ticket_id": f"T{i}", "customer_id": "CUST-5001", "product_id": "PROD-1001" if i % 2 else "PROD-1002",
-              "review_text": t, "timestamp": "2026-01-02T03:04:05Z"} for i, t in enumerate(REVIEW_TEXTS)]
+              "review_text": t, "timestamp": "2026-01-02T03:04:05Z"} for i, t in enumerate(TEXTS)]
     second = [dict(t, ticket_id=t["ticket_id"] + "b", product_id="PROD-1003" if i == 0 else t["product_id"])
               for i, t in enumerate(first)]
     second.append({"ticket_id": "N1", "customer_id": "CUST-5002", "product_id": None,

@@ -31,7 +31,7 @@ def test_generator_ids_and_picks(spark):
     r = fixed.agg(F.min("customer_id"), F.max("customer_id"), F.countDistinct("product_id"),
                   F.countDistinct("review_text"), F.first("timestamp")).collect()[0]
     assert r[0] >= "CUST-5000" and r[1] <= "CUST-9999"
-    assert r[2] == len(PRODUCTS) and r[3] == 6 and r[4] == "2026-01-02T03:04:05Z"
+    assert r[2] == len(PRODUCTS) and r[3] >= 40 and r[4] == "2026-01-02T03:04:05Z"
     rand = tickets_from_rows(rows, "id", "t", random_ids=True)
     assert rand.select(F.countDistinct("ticket_id")).collect()[0][0] == 2000
 

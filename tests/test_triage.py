@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 from tierline.functions.triage import (
     DEFAULT_RULES, parse_triage_json, to_triage_json, triage, with_triage,
 )
-from tierline.sources.synthetic import REVIEW_TEXTS
+from tierline.sources.synthetic import OPENINGS, VERDICTS, tickets_from_rows
 
 
 def _triage(spark, texts):
@@ -12,12 +12,15 @@ def _triage(spark, texts):
     return [(r["sentiment"], r["urgency_score"]) for r in rows]
 
 
-def test_six_templates(spark):
-    got = _triage(spark, REVIEW_TEXTS)
-    assert got == [("Positive", 1), ("Negative", 3), ("Negative", 5),
-                   ("Negative", 3), ("Positive", 1), ("Negative", 5)]
-    assert sum(u for _, u in got) / len(got) == 3.0
-    assert sum(s == "Negative" for s, _ in got) == 4
+def test_generated_reviews_fire_every_rule(spark):
+    tickets = tickets_from_rows(spark.range(2000), "id", None)
+    rows = with_triage(tickets.select("review_text"), "review_text", flatten=True).distinct().collect()
+    outcomes = {(r["sentiment"], r["urgency_score"]) for r in rows}
+    assert outcomes == {("Negative", 5), ("Negative", 3), ("Positive", 1)}
+    for r in rows:
+        expected = next((rule.outcome for rule in DEFAULT_RULES if any(k in r["review_text"] for k in rule.keywords)), None)
+        assert r["urgency_score"] == (expected.urgency_score if expected else 1)
+    assert len(rows) >= 5 * len(VERDICTS) > len(OPENINGS)
 
 
 def test_substring_case_order_and_null(spark):

@@ -126,8 +126,3 @@ def parse_triage_json(json_text: Column) -> Column:
     """Parse triage JSON back into the struct; malformed text gives a struct of
     nulls, null gives null."""
     return F.from_json(json_text, TRIAGE_DDL)
-
-
-def rules_from_pairs(pairs, default: Outcome = DEFAULT_OUTCOME) -> tuple[Rule, ...]:
-    """Build rules from ``[(keywords, (sentiment, urgency, summary)), ...]``."""
-    return tuple(Rule(tuple(kws), Outcome(*out)) for kws, out in pairs)

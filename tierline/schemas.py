@@ -16,6 +16,8 @@ def _strings(*names: str) -> StructType:
     return StructType([StructField(n, StringType(), True) for n in names])
 
 
+# Column names and types of the tiers are the data contract.
+
 # One support ticket as it lands: five text fields.
 TICKET = _strings("ticket_id", "customer_id", "product_id", "review_text", "timestamp")
 
@@ -35,15 +37,6 @@ TRIAGE = StructType(
 )
 TRIAGE_DDL = "sentiment string, urgency_score int, summary string"
 
-# Input of the gold aggregation.
-GOLD_INPUT = StructType(
-    [
-        StructField("ticket_id", StringType(), False),
-        StructField("product_id", StringType(), False),
-        StructField("urgency_score", DoubleType(), True),
-    ]
-)
-
 # The gold target: union of the two target shapes (job and migration).
 GOLD_TARGET = StructType(
     [

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.picks import pick_from, pick_int
 from ..functions.timefmt import iso_text
+from ..functions.triage import DEFAULT_RULES
 
 # Product ids, customer id range and id prefixes of generated tickets.
 PRODUCTS = [
@@ -23,18 +24,24 @@ CUSTOMER_LOW, CUSTOMER_HIGH = 5000, 9999
 TICKET_PREFIX = "TCK-"
 CUSTOMER_PREFIX = "CUST-"
 
-# Review texts: our own sentences, carrying the triage keywords of the six
-# reference templates (two positive ones without any keyword).
-REVIEW_TEXTS = [
-    "Wonderful purchase, it does everything I hoped for and more.",
-    "Works in the end, but the first-time configuration was confusing.",
-    "The battery dies before lunch every single day, please fix it.",
-    "My parcel was delayed for a week and support never answered.",
-    "Solid build and fair price, I would buy it again.",
-    "It broke the first time I switched it on, I want my money back.",
+# A review is an opening, a thing and a verdict, each picked by the row id.
+# Some verdicts quote a keyword of the default triage rules, so every rule fires.
+OPENINGS = ["After two weeks of use,", "To be honest,", "For the money,", "As a gift for my uncle,"]
+THINGS = ["the kettle", "this lamp", "my new backpack", "the desk fan", "that router"]
+VERDICTS = [
+    "does its job well.",
+    "is worth every cent.",
+    "looks better than in the catalogue.",
+    *[f"earns the remark '{word}' from me." for rule in DEFAULT_RULES for word in rule.keywords],
 ]
 
-SALT_CUSTOMER, SALT_PRODUCT, SALT_TEXT = 11, 23, 37
+SALT_CUSTOMER, SALT_PRODUCT = 11, 23
+TEXT_PARTS = ((37, OPENINGS), (41, THINGS), (43, VERDICTS))
+
+
+def review_text(rid: Column) -> Column:
+    """A review composed from the row id."""
+    return F.concat_ws(" ", *[pick_from(rid, salt, values) for salt, values in TEXT_PARTS])
 
 
 def tickets_from_rows(
@@ -47,10 +54,10 @@ def tickets_from_rows(
     """Tickets with the landing schema, one per row of ``df``.
 
     ``random_ids`` uses ``uuid()`` for the ticket id (not repeatable);
-    otherwise the id is derived from ``id_col``.
+    otherwise the id is derived from ``id_col``. ``texts`` replaces the
+    composed reviews by picks from a list.
     """
     rid: Column = F.col(id_col)
-    texts = texts or REVIEW_TEXTS
     ticket_id = F.uuid() if random_ids else F.concat(F.lit(TICKET_PREFIX), rid.cast("string"))
     ts = iso_text(F.col(time_col)) if time_col else iso_text(F.current_timestamp())
     return df.select(
@@ -60,6 +67,6 @@ def tickets_from_rows(
             pick_int(rid, SALT_CUSTOMER, CUSTOMER_LOW, CUSTOMER_HIGH).cast("string"),
         ).alias("customer_id"),
         pick_from(rid, SALT_PRODUCT, PRODUCTS).alias("product_id"),
-        pick_from(rid, SALT_TEXT, texts).alias("review_text"),
+        (pick_from(rid, TEXT_PARTS[-1][0], texts) if texts else review_text(rid)).alias("review_text"),
         ts.alias("timestamp"),
     )
