@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from .functions.timefmt import iso_text
+from .functions.timefmt import epoch_seconds, iso_text
 from .functions.triage import (
     DEFAULT_OUTCOME,
     DEFAULT_RULES,
@@ -38,9 +38,9 @@ from .plans.bronze import run_bronze
 from .plans.chain import ChainPaths, run_chain
 from .plans.gold import UPSERT_BROADCAST_ROWS, merge_into_target, run_gold_incremental
 from .plans.silver import run_silver_events, run_silver_tickets
-from .schemas import GOLD_DEFAULTS, GOLD_TARGET, RAW_EVENT, TICKET
+from .schemas import CORRUPT, GOLD_DEFAULTS, GOLD_KEY, GOLD_TARGET, RAW_EVENT, TICKET
 from .session import scratch_path, use_utc
-from .sinks.landing import write_landing_files
+from .sinks.landing import landing_arrays, write_landing_files
 from .sinks.snapshots import evolve, publish, read_current
 from .sources.files import (
     event_json_stream,
@@ -53,10 +53,9 @@ from .sources.synthetic import (
     CUSTOMER_LOW,
     CUSTOMER_PREFIX,
     PRODUCTS,
-    REVIEW_TEXTS,
     SALT_CUSTOMER,
     SALT_PRODUCT,
-    SALT_TEXT,
+    TEXT_PARTS,
     TICKET_PREFIX,
     tickets_from_rows,
 )
@@ -92,14 +91,14 @@ TEXT_RULES = (
     Rule(("ment", "ung"), FRICTION),
 )
 
-# Records per landing file for the two landed feeds.
-TICKETS_PER_FILE = 100
-EVENTS_PER_FILE = 1000
+# Landed feeds: at least this many files, however small the table; beyond
+# that, files are filled up to the landing writer's byte bound.
+LANDING_PARTS = 8
+# Micro-batches that a rate-limited drain takes, whatever the number of files.
+DRAIN_BATCHES = 4
 
-# Upsert scenario: the published target holds metrics of the old loads, the
-# staged rows are metrics of the newest load.
-OLD_LOADS_BEFORE = "1996-01-01"
-NEW_LOAD_FROM = "2001-06-01"
+# Upsert scenario: three loads by shipping date, applied in order.
+LOAD_BORDERS = ("1996-01-01", "2001-06-01")
 
 
 def register(name: str, sql: str | None = None):
@@ -110,6 +109,7 @@ def register(name: str, sql: str | None = None):
 
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__
+        run.__wrapped__ = fn
         QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = sql
@@ -243,7 +243,7 @@ def _synthetic_sql() -> str:
                % {CUSTOMER_HIGH - CUSTOMER_LOW + 1} as varchar) as customer_id,
            {_sql_list(PRODUCTS)}[1 + ({lehmer_sql('o_orderkey', SALT_PRODUCT)}) % {len(PRODUCTS)}]
                as product_id,
-           {_sql_list(REVIEW_TEXTS)}[1 + ({lehmer_sql('o_orderkey', SALT_TEXT)}) % {len(REVIEW_TEXTS)}]
+           {" || ' ' || ".join(f"{_sql_list(v)}[1 + ({lehmer_sql('o_orderkey', n)}) % {len(v)}]" for n, v in TEXT_PARTS)}
                as review_text,
            strftime(o_orderdate, '{ISO_SECONDS_SQL}') as "timestamp"
     from orders"""
@@ -270,15 +270,19 @@ def triage_templates(spark, sf):
 
 
 # ============================================================ landing / bronze
+def _land(rows: DataFrame, landing: str) -> None:
+    write_landing_files(rows.repartition(LANDING_PARTS), landing, records_per_file=1_000_000)
+
+
 def _land_tickets(spark, sf, name: str) -> str:
     landing = scratch_path(spark, f"{name}-landing")
-    write_landing_files(doc_tickets(spark, sf), landing, TICKETS_PER_FILE)
+    _land(doc_tickets(spark, sf), landing)
     return landing
 
 
 def _land_events(spark, sf, name: str) -> str:
     landing = scratch_path(spark, f"{name}-landing")
-    write_landing_files(raw_events(spark, sf), landing, EVENTS_PER_FILE)
+    _land(raw_events(spark, sf), landing)
     return landing
 
 
@@ -310,7 +314,7 @@ def schema_on_read(spark, sf):
     dropped, a nested object declared as string is its JSON text."""
     records = doc_tickets(spark, sf, "n_chars", F.struct("lang", "source").alias("meta")).drop("customer_id")
     landing = scratch_path(spark, "schema-on-read")
-    write_landing_files(records, landing, TICKETS_PER_FILE)
+    _land(records, landing)
     declared = StructType(TICKET.fields + [StructField("meta", StringType())])
     return read_json_batch(spark, landing, declared, multi_line=True)
 
@@ -340,12 +344,12 @@ def bronze_continuous(spark, sf):
     bronze = scratch_path(spark, "bronze-continuous-out")
     tickets = doc_tickets(spark, sf, F.col("lang"))
     english = F.col("lang") == F.lit("en")
-    write_landing_files(tickets.filter(english).drop("lang"), landing, TICKETS_PER_FILE)
+    _land(tickets.filter(english).drop("lang"), landing)
     query = run_bronze(spark, landing, bronze, scratch_path(spark, "bronze-continuous-ckpt"), trigger=None)
     try:
         query.processAllAvailable()
         later = ~english | F.col("lang").isNull()
-        write_landing_files(tickets.filter(later).drop("lang"), landing, TICKETS_PER_FILE)
+        _land(tickets.filter(later).drop("lang"), landing)
         query.processAllAvailable()
     finally:
         query.stop()
@@ -375,32 +379,40 @@ def _files_in(spark, path: str) -> int:
     return spark.read.format("binaryFile").load(path).select("path").count()
 
 
+def _rate_limit(files: int) -> int:
+    """Files per micro-batch that drain ``files`` in about DRAIN_BATCHES."""
+    return max(1, -(-files // DRAIN_BATCHES))
+
+
 @register("silver_available_now", _EVENTS_SQL)
 def silver_available_now(spark, sf):
-    """Drain-and-stop honours the rate limit: 2 files per batch."""
+    """Drain-and-stop honours the rate limit: a quarter of the files per batch."""
     landing = _land_events(spark, sf, "available-now")
     out = scratch_path(spark, "available-now-out")
-    stream = event_json_stream(spark, landing, RAW_EVENT, max_files_per_trigger=2)
-    query = run_available_now(stream, out, scratch_path(spark, "available-now-ckpt"))
     files = _files_in(spark, landing)
-    if batch_count(query) != (files + 1) // 2:
-        raise AssertionError(f"{files} files at 2 per batch ran {batch_count(query)} batches")
+    limit = _rate_limit(files)
+    stream = event_json_stream(spark, landing, RAW_EVENT, max_files_per_trigger=limit)
+    query = run_available_now(stream, out, scratch_path(spark, "available-now-ckpt"))
+    if batch_count(query) != -(-files // limit):
+        raise AssertionError(f"{files} files at {limit} per batch ran {batch_count(query)} batches")
     return spark.read.schema(RAW_EVENT).parquet(out)
 
 
 @register("rate_limit_invariance", _EVENTS_SQL)
 def rate_limit_invariance(spark, sf):
-    """T4: one file per batch and 100 files per batch give the same rows."""
+    """T4: a quarter of the files per batch and all of them give the same rows."""
     landing = _land_events(spark, sf, "rate-limit")
+    files = _files_in(spark, landing)
+    small, large = _rate_limit(files), files + 1
     outs = {}
-    for limit in (1, 100):
+    for limit in (small, large):
         out = scratch_path(spark, f"rate-limit-{limit}")
         stream = event_json_stream(spark, landing, RAW_EVENT, max_files_per_trigger=limit)
         run_available_now(stream, out, scratch_path(spark, f"rate-limit-{limit}-ckpt"))
         outs[limit] = spark.read.schema(RAW_EVENT).parquet(out)
-    if not same_rows(outs[1], outs[100]):
+    if not same_rows(outs[small], outs[large]):
         raise AssertionError("result depends on the rate limit")
-    return outs[1]
+    return outs[small]
 
 
 @register("require_key", f"{_EVENTS_SQL} where event_id is not null")
@@ -452,7 +464,8 @@ def ingest_stamp(spark, sf):
     """P1, F6 in a stream: each micro-batch gets its own stamp, none is null."""
     landing = _land_events(spark, sf, "stamp")
     out = scratch_path(spark, "stamp-out")
-    stream = stamp(event_json_stream(spark, landing, RAW_EVENT, max_files_per_trigger=1))
+    limit = _rate_limit(_files_in(spark, landing))
+    stream = stamp(event_json_stream(spark, landing, RAW_EVENT, max_files_per_trigger=limit))
     query = run_available_now(stream, out, scratch_path(spark, "stamp-ckpt"))
     res = spark.read.parquet(out)
     stamps = res.select("ingested_at").distinct().count()
@@ -475,8 +488,9 @@ def batch_left_join(spark, sf):
 
 @register("salted_left_join", _JOIN_SQL)
 def salted_left_join(spark, sf):
-    """J1 with salting for a hot key: 8 salts, the dimension replicated 8 times."""
-    return left_enrich(raw_events(spark, sf), user_dimension(spark, sf), "user_id", salt_buckets=8)
+    """J1 with salting: null keys and measured hot keys are spread over 8 salts,
+    and only the hot keys' dimension rows are replicated."""
+    return left_enrich(raw_events(spark, sf), user_dimension(spark, sf), "user_id", salt_buckets=8, hot_share=0.001)
 
 
 @register("stream_static_left_join", _JOIN_SQL)
@@ -532,35 +546,34 @@ def _load_metrics(spark, sf, cond) -> DataFrame:
     return gold_ops.product_metrics(rows, rating=True)
 
 
-_OLD_SQL = _load_metrics_sql(f"l_shipdate < timestamp '{OLD_LOADS_BEFORE}'")
-_NEW_SQL = _load_metrics_sql(f"l_shipdate >= timestamp '{NEW_LOAD_FROM}'")
+_LOADS_SQL = [_load_metrics_sql(where) for where in (
+    f"l_shipdate < timestamp '{LOAD_BORDERS[0]}'",
+    f"l_shipdate >= timestamp '{LOAD_BORDERS[0]}' and l_shipdate < timestamp '{LOAD_BORDERS[1]}'",
+    f"l_shipdate >= timestamp '{LOAD_BORDERS[1]}' or l_shipdate is null")]
 
 
 @register("gold_upsert", f"""
-    with t as ({_OLD_SQL}), s as ({_NEW_SQL})
+    with loads as ({' union all '.join(f'select *, {i} as load from ({q}) t{i}' for i, q in enumerate(_LOADS_SQL))})
     select product_id, total_reviews, avg_urgency, avg_urgency_rating,
            cast(0 as bigint) as negative_ticket_count, cast(0 as bigint) as positive_ticket_count,
            true as has_last_updated_at
-    from s
-    union all
-    select product_id, total_reviews, avg_urgency, avg_urgency_rating,
-           cast(0 as bigint) as negative_ticket_count, cast(0 as bigint) as positive_ticket_count,
-           true as has_last_updated_at
-    from t where not exists (select 1 from s where s.product_id = t.product_id)""")
+    from loads qualify row_number() over (partition by product_id order by load desc) = 1""")
 def gold_upsert(spark, sf):
-    """K4-K6: publish old-load metrics, upsert the newest load's metrics, read
-    the current version: replaced, surviving and inserted products (staged
-    keys broadcast, target not shuffled)."""
+    """K4-K5: three loads that cover all order lines, upserted in order; the
+    current version has each product's metrics of its latest load: replaced,
+    surviving and inserted products (staged keys broadcast, target not shuffled)."""
     return _gold_upsert(spark, sf, "gold-upsert", UPSERT_BROADCAST_ROWS)
 
 
 def _gold_upsert(spark, sf, name: str, broadcast_max_rows):
     root = scratch_path(spark, name)
-    old = _load_metrics(spark, sf, F.col("l_shipdate") < F.lit(OLD_LOADS_BEFORE).cast("timestamp_ntz"))
-    publish(evolve(old, GOLD_TARGET, GOLD_DEFAULTS, now_columns=("last_updated_at",)), root)
-    # staged metrics are small (one row per product): materialized once, as run_gold does
-    new = _load_metrics(spark, sf, F.col("l_shipdate") >= F.lit(NEW_LOAD_FROM).cast("timestamp_ntz")).checkpoint()
-    publish(merge_into_target(read_current(spark, root), new, broadcast_max_rows), root)
+    first, second = (F.lit(d).cast("timestamp_ntz") for d in LOAD_BORDERS)
+    shipped = F.col("l_shipdate")
+    for load in (shipped < first, (shipped >= first) & (shipped < second), (shipped >= second) | shipped.isNull()):
+        # staged metrics are small (one row per product): materialized once, as run_gold does
+        staged = _load_metrics(spark, sf, load).checkpoint()
+        publish(merge_into_target(read_current(spark, root, GOLD_TARGET), staged, broadcast_max_rows), root,
+                key=GOLD_KEY)
     cur = read_current(spark, root)
     return cur.select(
         *[c for c in cur.columns if c != "last_updated_at"],
@@ -648,7 +661,7 @@ def medallion_run(spark, sf):
     """M5: the whole chain, landing -> bronze -> silver -> gold -> published target."""
     root = scratch_path(spark, "medallion")
     landing = f"{root}/landing"
-    write_landing_files(doc_tickets(spark, sf), landing, TICKETS_PER_FILE)
+    _land(doc_tickets(spark, sf), landing)
     result = run_chain(spark, ChainPaths.under(root, landing), rules=TEXT_RULES)
     cur = spark.read.parquet(result.path)
     return cur.select(
@@ -668,7 +681,7 @@ def medallion_incremental(spark, sf):
     paths = ChainPaths.under(root, landing)
     tickets = doc_tickets(spark, sf, F.col("lang"))
     for load in (F.col("lang") == F.lit("en"), ~(F.col("lang") == F.lit("en")) | F.col("lang").isNull()):
-        write_landing_files(tickets.filter(load).drop("lang"), landing, TICKETS_PER_FILE)
+        _land(tickets.filter(load).drop("lang"), landing)
         result = run_chain(spark, paths, rules=TEXT_RULES, incremental=True)
     cur = spark.read.parquet(result.path)
     return cur.select(
@@ -726,3 +739,68 @@ def gold_incremental_loads(spark, sf):
         *[c for c in cur.columns if c != "last_updated_at"],
         F.col("last_updated_at").isNotNull().alias("has_last_updated_at"),
     )
+
+
+# ============================================================ rejects, ids
+@register("landing_rejects", """
+    select 'DOC-' || cast(doc_id as varchar) as ticket_id,
+           case when lang in ('de', 'fr') then 'unparsable landing file' else 'kept' end as outcome
+    from documents""")
+def landing_rejects(spark, sf):
+    """S1, M1, M4 on a damaged feed: German tickets land in files of two arrays,
+    French ones in files that break off; every landed ticket is either in
+    silver or, with its file's text, in the rejects."""
+    root = scratch_path(spark, "landing-rejects")
+    tickets = doc_tickets(spark, sf, F.col("lang"))
+    damage = {"de": F.concat("value", F.lit("\n"), "value"),
+              "fr": F.expr("substring(value, 1, char_length(value) - 2)")}
+    known = F.coalesce(F.col("lang").isin(*damage), F.lit(False))
+    _land(tickets.filter(~known).drop("lang"), f"{root}/landing")
+    for lang, broken in damage.items():
+        arrays = landing_arrays(tickets.filter(F.col("lang") == lang).drop("lang").repartition(LANDING_PARTS), 1_000_000)
+        arrays.select(broken.alias("value")).write.mode("append").option("maxRecordsPerFile", 1) \
+            .option("lineSep", "\n").text(f"{root}/landing")
+    run_bronze(spark, f"{root}/landing", f"{root}/bronze", f"{root}/ckpt/bronze")
+    run_silver_tickets(spark, f"{root}/bronze", f"{root}/silver", f"{root}/ckpt/silver", TEXT_RULES,
+                       rejects=f"{root}/rejects")
+    kept = spark.read.parquet(f"{root}/silver").select("ticket_id", F.lit("kept").alias("outcome"))
+    ids = F.explode(F.array_distinct(F.regexp_extract_all(CORRUPT, F.lit('"ticket_id":"(DOC-[0-9]+)"'), F.lit(1))))
+    lost = spark.read.parquet(f"{root}/rejects").select(ids.alias("ticket_id"), F.col("reject_reason").alias("outcome"))
+    return kept.unionByName(lost)
+
+
+@register("gold_rejects", """
+    select 'DOC-' || cast(doc_id as varchar) as ticket_id, cast(null as varchar) as product_id,
+           'missing product_id' as reject_reason
+    from documents where lang = 'es'""")
+def gold_rejects(spark, sf):
+    """M3: tickets without a product leave gold as tickets, once each, over two
+    loads of incremental gold (Spanish tickets carry no product)."""
+    root = scratch_path(spark, "gold-rejects")
+    rows = doc_tickets(spark, sf, F.col("lang")).select(
+        "ticket_id", F.when(~F.col("lang").eqNullSafe(F.lit("es")), F.col("product_id")).alias("product_id"),
+        F.lit(1.0).alias("urgency_score"), F.lit("Positive").alias("sentiment"), "timestamp")
+    border = F.lit("2024-01-01T08")
+    schema = rows.drop("timestamp").schema
+    for load in (F.col("timestamp") < border, F.col("timestamp") >= border):
+        rows.filter(load).drop("timestamp").write.mode("append").parquet(f"{root}/silver")
+        run_gold_incremental(spark, f"{root}/silver", f"{root}/gold", f"{root}/ckpt", schema, f"{root}/rejects")
+    return spark.read.parquet(f"{root}/rejects").select("ticket_id", "product_id", "reject_reason")
+
+
+@register("random_ticket_ids", """
+    select count(*) as tickets, count(*) as distinct_ids, count(*) as uuid_shaped from orders""")
+def random_ticket_ids(spark, sf):
+    """F8: random ids are distinct and have the shape of a uuid."""
+    tickets = tickets_from_rows(table(spark, sf, "orders"), "o_orderkey", "o_orderdate", random_ids=True)
+    shape = "^[0-9a-f]{8}-[0-9a-f]{4}-4[0-9a-f]{3}-[89ab][0-9a-f]{3}-[0-9a-f]{12}$"
+    return tickets.groupBy("ticket_id").agg(F.count(F.lit(1)).alias("n")).agg(
+        F.sum("n").alias("tickets"), F.count(F.lit(1)).alias("distinct_ids"),
+        F.sum(F.when(F.col("ticket_id").rlike(shape), F.col("n")).otherwise(0)).alias("uuid_shaped"))
+
+
+@register("event_epoch_seconds", """
+    select event_id, cast(floor(epoch(ts)) as bigint) as epoch_seconds from events""")
+def event_epoch_seconds(spark, sf):
+    """event times as seconds since the epoch."""
+    return table(spark, sf, "events").select("event_id", epoch_seconds(F.col("ts")).alias("epoch_seconds"))

@@ -63,19 +63,19 @@ def scratch_root(spark: SparkSession) -> str:
 
     On a cluster this is the folder named by ``spark.checkpoint.dir`` (a
     distributed file system every executor can reach). Only when the session
-    has none, as in local tests, a temporary folder is created and registered
-    as the session's checkpoint directory.
+    has none and runs on a ``local`` master, as in tests, a temporary folder
+    is created and registered as the session's checkpoint directory; on a
+    cluster that would be each machine's own disk, so it is refused there.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     context = _context(spark)
     if not root and context is not None:
         root = context.getCheckpointDir()
     if not root:
+        if context is None or not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="tierline-")
-        if context is not None:
-            context.setCheckpointDir(root)
-        else:
-            spark.conf.set("spark.checkpoint.dir", root)
+        context.setCheckpointDir(root)
     return root.rstrip("/")
 
 

@@ -1,11 +1,10 @@
 """Landing-zone writer: files that each hold one JSON array of records.
 
-A multi-line JSON reader only reads the first top-level value of a file, so
-every file must hold exactly one array. Records are encoded to JSON in the
-JVM; a small per-partition step then joins up to ``records_per_file`` of
-them (and about ``max_bytes_per_file`` characters at most) into one array
-line, so a batch never leaves its partition (no shuffle) and its size is
-bounded. The text writer puts each line into a file of its own.
+Records are encoded to JSON in the JVM; a small per-partition step then joins
+up to ``records_per_file`` of them (and ``max_bytes_per_file`` bytes at most)
+into one array line, column-wise on Arrow arrays, so a batch never leaves its
+partition (no shuffle) and its size is bounded. The text writer puts each line
+into a file of its own.
 """
 
 from __future__ import annotations
@@ -18,22 +17,34 @@ RECORD = "record"
 
 def _array_lines(records_per_file: int, max_bytes_per_file: int):
     def run(batches):
-        import pandas as pd
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
 
-        pending: list[str] = []
-        size = 0
-        for pdf in batches:
-            lines = []
-            for rec in pdf[RECORD].tolist():
-                if pending and (len(pending) >= records_per_file or size + len(rec) > max_bytes_per_file):
-                    lines.append("[" + ",".join(pending) + "]")
-                    pending, size = [], 0
-                pending.append(rec)
-                size += len(rec) + 1
-            if lines:
-                yield pd.DataFrame({"value": lines})
-        if pending:
-            yield pd.DataFrame({"value": ["[" + ",".join(pending) + "]"]})
+        def lines(records: pa.Array, cuts: list[int]) -> pa.RecordBatch:
+            """One line per stretch between two cuts."""
+            lists = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), records)
+            joined = pc.binary_join_element_wise("[", pc.binary_join(lists, ","), "]", "")
+            return pa.RecordBatch.from_arrays([joined], names=["value"])
+
+        held = pa.array([], pa.string())
+        for batch in batches:
+            held = pa.concat_arrays([held, batch.column(0)])
+            ends = np.cumsum(pc.binary_length(held).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
+            cuts = [0]
+            while True:
+                begin = cuts[-1]
+                before = int(ends[begin - 1]) if begin else 0
+                fits = int(np.searchsorted(ends, before + max_bytes_per_file, side="right"))
+                end = max(begin + 1, min(begin + records_per_file, fits))
+                if end >= len(held):  # more may come
+                    break
+                cuts.append(end)
+            if len(cuts) > 1:
+                yield lines(held.slice(0, cuts[-1]), cuts)
+                held = held.slice(cuts[-1])
+        if len(held):
+            yield lines(held, [0, len(held)])
 
     return run
 
@@ -48,14 +59,14 @@ def landing_arrays(
     max_bytes_per_file: int = MAX_BYTES_PER_FILE,
 ) -> DataFrame:
     """One row per future file: a JSON array of up to ``records_per_file``
-    records and about ``max_bytes_per_file`` characters (a single larger
+    records and ``max_bytes_per_file`` bytes (a single larger
     record still gets a file of its own). Null fields are left out and read
     back as null."""
     if records_per_file < 1:
         raise ValueError("records_per_file must be positive")
     cols = columns or df.columns
     records = df.select(F.to_json(F.struct(*[F.col(c) for c in cols])).alias(RECORD))
-    return records.mapInPandas(_array_lines(records_per_file, max_bytes_per_file), "value string")
+    return records.mapInArrow(_array_lines(records_per_file, max_bytes_per_file), "value string")
 
 
 def write_landing_files(
