@@ -24,7 +24,7 @@ def test_dimension_is_pruned_and_broadcast(spark):
     dim = user_dimension(spark, SF)
     plan = _plan(left_enrich(raw_events(spark, SF), dim, "user_id", broadcast_max_rows=1_000_000))
     assert "BroadcastHashJoin" in plan and "LeftOuter" in plan
-    assert "ReadSchema: struct<c_custkey:bigint,c_name:string,c_nationkey:bigint,c_acctbal:double,c_mktsegment:string>" in plan
+    assert "ReadSchema: struct<c_custkey:bigint,c_name:string,c_nationkey:int,c_acctbal:double,c_mktsegment:string>" in plan
 
 
 def test_silver_event_plan_has_one_exchange_at_most(spark):
