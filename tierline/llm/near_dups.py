@@ -60,8 +60,8 @@ SLICE_SHINGLES = 4096
 MOST_BANDS = 64
 # Length of the signatures for what star rounds leave open; one bit a hash,
 # compared in words of 64.
-LONG_HASHES = 7680
-LONG_BATCHES = (512, 1280, 2560, 5120, LONG_HASHES)
+LONG_HASHES = 3840
+LONG_BATCHES = (512, 1280, 2560, LONG_HASHES)
 # Rows of a bucket that are compared with each other in one step.
 BLOCK_ROWS = 512
 _rng = np.random.default_rng(20_240_501)
@@ -399,14 +399,15 @@ def _rest_pairs(tagged: DataFrame, classes: DataFrame, sets: DataFrame, numerato
 
 
 def _long_signatures(sets: DataFrame) -> DataFrame:
-    """(node, keys, long_signature): the band keys, and the lowest bit of each
-    of ``LONG_HASHES`` MinHash values."""
+    """(node, keys, long_signature): the low halves of the band keys, and one
+    bit of each of ``LONG_HASHES`` MinHash values."""
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at, values = batch.column(1).offsets.to_numpy(), batch.column(1).values.to_numpy().view(np.uint64)
             rows = [np.packbits((signature(values[at[r]:at[r + 1]], LONG_HASHES) >> np.uint32(13)) & np.uint32(1)).tobytes()
                     for r in range(batch.num_rows)]
-            keys = [band_keys(np.frombuffer(x, dtype=np.uint32)[None])[0].tobytes() for x in batch.column(2).to_pylist()]
+            keys = [band_keys(np.frombuffer(x, dtype=np.uint32)[None])[0].astype(np.int32).tobytes()
+                    for x in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.binary()), pa.array(rows, pa.binary())],
                                              names=["node", "keys", "long_signature"])
 
@@ -419,8 +420,9 @@ def _compare_blocks(rows: DataFrame, signatures: DataFrame, numerator: int, deno
     the sequential comparison of long signatures. A large bucket is cut into
     blocks by a hash of the node, and every two of its blocks meet in a step
     of their own, so neither a task nor a shuffle ever holds its pairs."""
-    counts = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("light").alias("any_light")) \
-        .filter("n > 1 and any_light").select("key", F.ceil(F.col("n") / BLOCK_ROWS).cast("int").alias("blocks"))
+    counts = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("light").alias("any_light"),
+                                      F.min("component").alias("lo"), F.max("component").alias("hi")) \
+        .filter("any_light and lo != hi").select("key", F.ceil(F.col("n") / BLOCK_ROWS).cast("int").alias("blocks"))
     block = F.pmod(F.xxhash64(F.lit("block"), "node"), F.col("blocks")).cast("int")
     steps = (
         rows.join(counts, "key").withColumn("block", block)
@@ -438,9 +440,9 @@ def _compare_blocks(rows: DataFrame, signatures: DataFrame, numerator: int, deno
     def step(rows: pa.Table) -> Iterator[pa.RecordBatch]:
         first, second, block, node, size, own, component, light = (
             rows.column(c).to_numpy() for c in range(1, 9))
-        keys = np.frombuffer(b"".join(rows.column(9).to_pylist()), dtype=np.int64).reshape(len(node), -1)
+        keys = np.frombuffer(b"".join(rows.column(9).to_pylist()), dtype=np.int32).reshape(len(node), -1)
         bits = np.frombuffer(b"".join(rows.column(10).to_pylist()), dtype=np.uint64).reshape(-1, LONG_HASHES // 64)
-        here = int(np.flatnonzero((keys == rows.column(0)[0].as_py()).all(axis=0))[0])
+        here = int(np.flatnonzero((keys == np.int64(rows.column(0)[0].as_py()).astype(np.int32)).all(axis=0))[0])
         within = first[0] == second[0]
         for x in np.flatnonzero(light):
             # A pair of two light rows is met from both; the smaller node has it.
