@@ -156,7 +156,7 @@ def least_matches(threshold: float, batches: Iterable[int], miss: float = MISS_P
     return least
 
 
-def prune(pairs: DataFrame, classes: DataFrame, threshold: float, hashes: int) -> DataFrame:
+def prune(pairs: DataFrame, candidates: DataFrame, threshold: float, hashes: int) -> DataFrame:
     """The pairs (a, b) that survive the sequential comparison of signatures."""
     least = least_matches(threshold, [*range(BATCH_HASHES, hashes, BATCH_HASHES), hashes])
 
@@ -177,8 +177,8 @@ def prune(pairs: DataFrame, classes: DataFrame, threshold: float, hashes: int) -
             kept = pa.array(alive)
             yield pa.RecordBatch.from_arrays([batch.column(0).take(kept), batch.column(1).take(kept)], names=["a", "b"])
 
-    a = classes.select(F.col("node").alias("a"), F.col("signature").alias("sig_a"))
-    b = classes.select(F.col("node").alias("b"), F.col("signature").alias("sig_b"))
+    a = candidates.select(F.col("node").alias("a"), F.col("signature").alias("sig_a"))
+    b = candidates.select(F.col("node").alias("b"), F.col("signature").alias("sig_b"))
     return pairs.join(a, "a").join(b, "b").select("a", "b", "sig_a", "sig_b").mapInArrow(compare, "a long, b long")
 
 
@@ -211,8 +211,6 @@ def shingle_sets(docs: DataFrame, nodes: DataFrame, shingle_words: int) -> DataF
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, np.int64), *sets])))
             yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=["node", "shingles"])
 
-    if nodes.count() <= BROADCAST_IDS:
-        nodes = F.broadcast(nodes)
     texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(nodes, "node", "left_semi")
     return texts.mapInArrow(build, "node long, shingles array<long>")
 
@@ -278,10 +276,12 @@ def near_duplicates(
     named = None
     if n_shared:
         nodes = materialize(shared.select("node").distinct(), "dups-nodes")
+        nodes = F.broadcast(nodes) if nodes.count() <= BROADCAST_IDS else nodes
         sets = materialize(shingle_sets(docs, nodes, shingle_words), "dups-sets")
+        candidates = materialize(classes.select("node", "signature").join(nodes, "node", "left_semi"), "dups-candidates")
 
         def verify(pairs: DataFrame, name: str) -> DataFrame:
-            survivors = materialize(prune(pairs, classes, threshold, hashes), f"dups-survivors-{name}")
+            survivors = materialize(prune(pairs, candidates, threshold, hashes), f"dups-survivors-{name}")
             return materialize(confirm(survivors, sets, numerator, denominator), f"dups-links-{name}")
 
         links, before = None, None
@@ -294,7 +294,7 @@ def near_duplicates(
                 break
             before = left
         if left:
-            rest = materialize(_rest_pairs(_tag(shared, named), classes, sets, numerator, denominator), "dups-survivors-rest")
+            rest = materialize(_rest_pairs(_tag(shared, named), candidates, sets, numerator, denominator), "dups-survivors-rest")
             links = links.unionByName(materialize(confirm(rest, sets, numerator, denominator), "dups-links-rest"))
             named = materialize(components(links), "dups-named")
 
@@ -365,7 +365,7 @@ def _open_pairs(tagged: DataFrame) -> int:
     return per_key.agg(F.sum((F.col("all") - F.col("top")) * F.col("all"))).first()[0] or 0
 
 
-def _rest_pairs(tagged: DataFrame, classes: DataFrame, sets: DataFrame, numerator: int, denominator: int) -> DataFrame:
+def _rest_pairs(tagged: DataFrame, candidates: DataFrame, sets: DataFrame, numerator: int, denominator: int) -> DataFrame:
     """The pairs (a, b) that share a bucket, are in different components, can
     reach the threshold and survive the comparison of long signatures.
 
@@ -377,9 +377,8 @@ def _rest_pairs(tagged: DataFrame, classes: DataFrame, sets: DataFrame, numerato
     several = tagged.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")) \
         .filter("lo != hi").select("key")
     mixed = materialize(tagged.join(several, "key"), "dups-mixed")
-    candidates = mixed.select("node").distinct()
     single = (
-        sets.join(candidates, "node", "left_semi").select("node", F.explode("shingles").alias("shingle"))
+        sets.join(mixed.select("node").distinct(), "node", "left_semi").select("node", F.explode("shingles").alias("shingle"))
         .groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node")).filter(F.col("n") == 1)
         .groupBy("node").agg(F.count(F.lit(1)).alias("own"))
     )
@@ -394,7 +393,7 @@ def _rest_pairs(tagged: DataFrame, classes: DataFrame, sets: DataFrame, numerato
 
     chosen = mixed.select("node").distinct()
     long_signatures = materialize(_long_signatures(
-        sets.join(chosen, "node", "left_semi").join(classes.select("node", "signature"), "node")), "dups-long")
+        sets.join(chosen, "node", "left_semi").join(candidates, "node")), "dups-long")
     return _compare_blocks(mixed, long_signatures, numerator, denominator)
 
 
