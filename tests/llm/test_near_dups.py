@@ -52,8 +52,7 @@ def near_copies(seed, groups, members, change):
     return rows
 
 
-@pytest.mark.parametrize("k,numerator", [(3, 85), (5, 80)])
-@pytest.mark.parametrize("groups,members,change", [(60, 6, 0.06), (2, 150, 0.12)])
+@pytest.mark.parametrize("k,numerator,groups,members,change", [(3, 85, 60, 6, 0.06), (5, 80, 2, 150, 0.12)])
 def test_components_equal_brute_force(spark, k, numerator, groups, members, change):
     rows = near_copies(groups * k, groups, members, change)
     got = nd.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), k, numerator, 100).collect()

@@ -288,15 +288,17 @@ def near_duplicates(
         for r in range(STAR_ROUNDS):
             found = verify(_star_pairs(_tag(shared, named), r, numerator, denominator), f"star-{r}")
             links = found if links is None else links.unionByName(found)
-            named = materialize(components(links), f"dups-named-{r}")
+            if not found.isEmpty():
+                named = materialize(components(links), f"dups-named-{r}")
             left = _open_pairs(_tag(shared, named))
             if left <= PAIRS_PER_ROW * n_shared or before is not None and left > 0.8 * before:
                 break
             before = left
         if left:
             rest = materialize(_rest_pairs(_tag(shared, named), candidates, sets, numerator, denominator), "dups-survivors-rest")
-            links = links.unionByName(materialize(confirm(rest, sets, numerator, denominator), "dups-links-rest"))
-            named = materialize(components(links), "dups-named")
+            found = materialize(confirm(rest, sets, numerator, denominator), "dups-links-rest")
+            if not found.isEmpty():
+                named = materialize(components(links.unionByName(found)), "dups-named")
 
     members = classes.select("digest", "node", F.col("node").alias("component_id"))
     if named is not None:
