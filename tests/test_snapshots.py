@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 
 from tierline.plans.gold import merge_into_target, run_gold, run_gold_incremental
 from tierline.schemas import GOLD_DEFAULTS, GOLD_TARGET
-from tierline.sinks.snapshots import ConcurrentPublish, evolve, latest_version, publish, read_current, upsert
+from tierline.sinks.snapshots import (
+    ConcurrentPublish, evolve, latest_entry, latest_version, publish, publish_merge, read_current, upsert,
+)
 from tierline.streaming.runner import batch_count
 
 
@@ -153,4 +155,30 @@ def test_gold_rejects_are_tickets_written_once(spark, workdir):
         rows = spark.read.parquet(f"{workdir}/{path}").collect()
         assert sorted(r["ticket_id"] for r in rows) == ["a", "c", "d"]
         assert {r["reject_reason"] for r in rows} == {"missing product_id"}
-    assert spark.read.parquet(result.path).count() == 1
+    assert result.path and read_current(spark, f"{workdir}/gold-full").count() == 1
+
+
+def test_merges_rewrite_only_touched_buckets(spark, workdir):
+    root = f"{workdir}/gold"
+    schema = spark.createDataFrame([], "product_id string, total_reviews long").schema
+
+    def merge(target, staged):
+        return upsert(target, staged, "product_id", stamp=None)
+
+    everything = spark.range(200).selectExpr("concat('P', id) as product_id", "id as total_reviews")
+    publish_merge(everything, root, "product_id", merge, schema, buckets=16)
+    before = latest_entry(spark, root)["buckets"]
+    expected = {f"P{i}": i for i in range(200)}
+    for n in range(4):
+        staged = spark.createDataFrame([(f"P{n}", -n), (f"new{n}", n)], schema)
+        path = publish_merge(staged, root, "product_id", merge, schema, buckets=16)
+        after = latest_entry(spark, root)["buckets"]
+        changed = {b for b in after if after[b] != before.get(b)}
+        assert 1 <= len(changed) <= 2 and all(after[b].startswith(path) for b in changed)
+        before = after
+        expected |= {f"P{n}": -n, f"new{n}": n}
+        assert {r[0]: r[1] for r in read_current(spark, root).collect()} == expected
+    publish_merge(staged, root, "product_id", merge, schema, buckets=8)  # another number: rewritten once
+    assert {r[0]: r[1] for r in read_current(spark, root).collect()} == expected
+    live = set(latest_entry(spark, root)["buckets"].values())
+    assert all(os.path.isdir(p) for p in live)

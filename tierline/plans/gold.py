@@ -12,7 +12,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 from ..operators.gold import product_metrics
 from ..operators.keys import split_by_key
 from ..schemas import GOLD_DEFAULTS, GOLD_KEY, GOLD_MAX_LENGTH, GOLD_STAMP, GOLD_TARGET
-from ..sinks.snapshots import evolve, latest_version, publish, published_batch, upsert
+from ..sinks.snapshots import evolve, latest_version, publish_merge, published_batch, read_current, upsert
 from ..session import scratch_root
 from ..sources.files import read_parquet_guarded
 from ..sources.jdbc import write_jdbc
@@ -22,6 +22,9 @@ from .silver import gold_input
 
 @dataclass
 class GoldResult:
+    """``path`` holds the buckets the run rewrote; the whole current version
+    is read with ``sinks.snapshots.read_current``."""
+
     path: str | None
     staged: DataFrame | None
     rejects: DataFrame | None
@@ -72,14 +75,11 @@ def run_gold(
         rejects.write.mode("overwrite").parquet(rejects_path)
     if staged.isEmpty():
         return GoldResult(None, None, rejects)
-    return GoldResult(_publish_staged(spark, staged, target_root), staged, rejects)
+    return GoldResult(_publish_staged(staged, target_root), staged, rejects)
 
 
-def _publish_staged(spark, staged, target_root, through_batch=None) -> str:
-    latest = latest_version(spark, target_root)
-    target = spark.read.parquet(latest[1]) if latest else spark.createDataFrame([], GOLD_TARGET)
-    return publish(merge_into_target(target, staged), target_root, previous=latest, through_batch=through_batch,
-                   key=GOLD_KEY)
+def _publish_staged(staged: DataFrame, target_root: str, through_batch: int | None = None) -> str:
+    return publish_merge(staged, target_root, GOLD_KEY, merge_into_target, GOLD_TARGET, through_batch)
 
 
 def run_gold_incremental(
@@ -99,8 +99,8 @@ def run_gold_incremental(
     before the shuffle as in batch. Each micro-batch emits only the products
     it touched, with their full totals (update mode). A drain writes them as
     small per-batch deltas and merges the newest row of each product into the
-    target once, at its end, so a backlog of many micro-batches rewrites the
-    target once; a delta that a failed run left behind is merged by the next.
+    target once, at its end, so a backlog of many micro-batches rewrites each
+    touched bucket of the target once; a delta that a failed run left behind is merged by the next.
     With a continuous trigger every micro-batch is merged. A replayed
     micro-batch brings the same totals, so the merge is idempotent.
 
@@ -153,7 +153,7 @@ def _merge_deltas(spark: SparkSession, deltas: str, target_root: str) -> None:
         return
     columns = [c for c in rows.columns if c != "batch"]
     newest = rows.groupBy(GOLD_KEY).agg(F.max_by(F.struct(*columns), "batch").alias("r")).select("r.*")
-    _publish_staged(spark, newest.checkpoint(eager=True), target_root, through_batch=last)
+    _publish_staged(newest.checkpoint(eager=True), target_root, through_batch=last)
 
 
 def gold_staged_schema(spark: SparkSession) -> StructType:
@@ -183,7 +183,7 @@ def export_jdbc(
     if latest is None:
         raise FileNotFoundError(f"nothing published under {target_root}")
     write_jdbc(
-        spark.read.parquet(latest[1]).select(*[f.name for f in GOLD_TARGET.fields]),
+        read_current(spark, target_root).select(*[f.name for f in GOLD_TARGET.fields]),
         url,
         table,
         mode="overwrite",

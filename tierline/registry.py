@@ -11,6 +11,7 @@ Values that vary per run (arrival stamps) are returned as ``has_*`` flags.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,7 +42,7 @@ from .plans.silver import run_silver_events, run_silver_tickets
 from .schemas import CORRUPT, GOLD_DEFAULTS, GOLD_KEY, GOLD_TARGET, RAW_EVENT, TICKET
 from .session import scratch_path, use_utc
 from .sinks.landing import landing_arrays, write_landing_files
-from .sinks.snapshots import evolve, publish, read_current
+from .sinks.snapshots import evolve, publish, publish_merge, read_current
 from .sources.files import (
     event_json_stream,
     landing_json_stream,
@@ -572,8 +573,8 @@ def _gold_upsert(spark, sf, name: str, broadcast_max_rows):
     for load in (shipped < first, (shipped >= first) & (shipped < second), (shipped >= second) | shipped.isNull()):
         # staged metrics are small (one row per product): materialized once, as run_gold does
         staged = _load_metrics(spark, sf, load).checkpoint()
-        publish(merge_into_target(read_current(spark, root, GOLD_TARGET), staged, broadcast_max_rows), root,
-                key=GOLD_KEY)
+        publish_merge(staged, root, GOLD_KEY, partial(merge_into_target, broadcast_max_rows=broadcast_max_rows),
+                      GOLD_TARGET)
     cur = read_current(spark, root)
     return cur.select(
         *[c for c in cur.columns if c != "last_updated_at"],
@@ -662,8 +663,9 @@ def medallion_run(spark, sf):
     root = scratch_path(spark, "medallion")
     landing = f"{root}/landing"
     _land(doc_tickets(spark, sf), landing)
-    result = run_chain(spark, ChainPaths.under(root, landing), rules=TEXT_RULES)
-    cur = spark.read.parquet(result.path)
+    paths = ChainPaths.under(root, landing)
+    run_chain(spark, paths, rules=TEXT_RULES)
+    cur = read_current(spark, paths.gold)
     return cur.select(
         *[c for c in cur.columns if c != "last_updated_at"],
         F.col("last_updated_at").isNotNull().alias("has_last_updated_at"),
@@ -682,8 +684,8 @@ def medallion_incremental(spark, sf):
     tickets = doc_tickets(spark, sf, F.col("lang"))
     for load in (F.col("lang") == F.lit("en"), ~(F.col("lang") == F.lit("en")) | F.col("lang").isNull()):
         _land(tickets.filter(load).drop("lang"), landing)
-        result = run_chain(spark, paths, rules=TEXT_RULES, incremental=True)
-    cur = spark.read.parquet(result.path)
+        run_chain(spark, paths, rules=TEXT_RULES, incremental=True)
+    cur = read_current(spark, paths.gold)
     return cur.select(
         *[c for c in cur.columns if c != "last_updated_at"],
         F.col("last_updated_at").isNotNull().alias("has_last_updated_at"),
