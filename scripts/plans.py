@@ -27,10 +27,11 @@ NOTES = {
     "gold_product_metrics": "Column-pruned scan, partial aggregate before the only exchange.",
     "gold_staged_row": "All five gold measures in one aggregation; labels broadcast by size.",
     "triage_rules": "One fused projection: lower-cased once, rules as one CASE WHEN, no Python.",
-    "batch_left_join": "Dimension filter pushed into its scan; broadcast (size checked) so the facts are never shuffled.",
-    "salted_left_join": ("Join on (key, salt) against the dimension replicated per salt. The replicated "
-                         "dimension is still small here, so Catalyst broadcasts it; above the broadcast "
-                         "bound this becomes a sort-merge join where a hot key is spread over the salts."),
+    "batch_left_join": "Dimension pruned in its scan; broadcast (size checked) so the facts are never shuffled.",
+    "salted_left_join": ("Above the broadcast bound (automatic broadcasting is off for this plan): a sort-merge "
+                         "join on (key, salt). Null keys and the measured hot keys, a broadcast of at most "
+                         "1 / share rows, are spread by a hash of the row; the dimension's rows are replicated "
+                         "for the hot keys only."),
     "silver_events (per micro-batch)": "Key filter, broadcast left join, stamp and parse in one stage.",
     "silver_tickets (per micro-batch)": "Key filter and triage in one stage.",
     "incremental gold (streaming micro-batch)": (
@@ -49,7 +50,9 @@ def plans(spark, sf):
     yield "triage_rules", QUERIES["triage_rules"](spark, sf)
     yield "batch_left_join", left_enrich(raw_events(spark, sf), user_dimension(spark, sf), "user_id",
                                          broadcast_max_rows=5_000_000)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     yield "salted_left_join", QUERIES["salted_left_join"](spark, sf)
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     yield "silver_events (per micro-batch)", silver_events(
         raw_events(spark, sf), user_dimension(spark, sf), broadcast_max_rows=5_000_000)
     bronze = doc_tickets(spark, sf).withColumn("ingested_at", F.current_timestamp())
