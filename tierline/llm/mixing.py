@@ -29,6 +29,9 @@ SOURCE_WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
 KEY_RANGES = 4096
 BROADCAST_SOURCES = 100_000
+# Rows of a plan up to which it is broadcast (about 100 bytes each), so that
+# the texts are not shuffled; beyond that, the join is.
+BROADCAST_PLAN = 500_000
 # Weight of a document by its quality label; the smallest must be 1, which
 # keeps the key ranges evenly filled.
 LABEL_WEIGHTS = {1: 4, 0: 1}
@@ -176,6 +179,7 @@ def apply_mix(docs: DataFrame, plan: DataFrame) -> DataFrame:
     p = plan.filter(F.col("copies") > 0).select(
         F.col("doc_id").alias(doc_id), F.col("source").alias(source), F.col("size").alias(size),
         F.col("copies").cast("int").alias(copies))
+    p = F.broadcast(p) if plan.count() <= BROADCAST_PLAN else p
     joined = docs.join(
         p,
         F.col("doc_id").eqNullSafe(F.col(doc_id)) & F.col("source").eqNullSafe(F.col(source))

@@ -55,6 +55,9 @@ STAR_ROUNDS = 6
 # Ids up to which the documents with candidates are picked by a broadcast
 # (at most 64 MB); beyond that, by a shuffled join.
 BROADCAST_IDS = 4_000_000
+# Candidate pairs up to which they are broadcast (16 bytes each), so that only
+# the signatures and sets of these pairs move; beyond that, joins are shuffled.
+BROADCAST_PAIRS = 1_000_000
 SLICE_SHINGLES = 4096
 
 MOST_BANDS = 64
@@ -177,9 +180,17 @@ def prune(pairs: DataFrame, candidates: DataFrame, threshold: float, hashes: int
             kept = pa.array(alive)
             yield pa.RecordBatch.from_arrays([batch.column(0).take(kept), batch.column(1).take(kept)], names=["a", "b"])
 
-    a = candidates.select(F.col("node").alias("a"), F.col("signature").alias("sig_a"))
-    b = candidates.select(F.col("node").alias("b"), F.col("signature").alias("sig_b"))
-    return pairs.join(a, "a").join(b, "b").select("a", "b", "sig_a", "sig_b").mapInArrow(compare, "a long, b long")
+    return _with_both(pairs, candidates, "signature").mapInArrow(compare, "a long, b long")
+
+
+def _with_both(pairs: DataFrame, table: DataFrame, column: str) -> DataFrame:
+    """(a, b, x, y): the pairs with ``column`` of both nodes."""
+    few = pairs.count() <= BROADCAST_PAIRS
+    left = pairs.select("a").distinct()
+    x = table.join(F.broadcast(left) if few else left, F.col("node") == F.col("a"), "left_semi") \
+        .select(F.col("node").alias("a"), F.col(column).alias("x"))
+    y = table.select(F.col("node").alias("b"), F.col(column).alias("y"))
+    return y.join(F.broadcast(pairs) if few else pairs, "b").join(x, "a").select("a", "b", "x", "y")
 
 
 def confirm(pairs: DataFrame, sets: DataFrame, numerator: int, denominator: int) -> DataFrame:
@@ -196,10 +207,7 @@ def confirm(pairs: DataFrame, sets: DataFrame, numerator: int, denominator: int)
             rows = pa.array(kept, pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), batch.column(1).take(rows)], names=["a", "b"])
 
-    a = sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a"))
-    b = sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b"))
-    return pairs.join(b, "b").join(a, "a").select("a", "b", "set_a", "set_b") \
-        .mapInArrow(check, "a long, b long").distinct()
+    return _with_both(pairs, sets, "shingles").mapInArrow(check, "a long, b long").distinct()
 
 
 def shingle_sets(docs: DataFrame, nodes: DataFrame, shingle_words: int) -> DataFrame:
@@ -281,6 +289,7 @@ def near_duplicates(
         candidates = materialize(classes.select("node", "signature").join(nodes, "node", "left_semi"), "dups-candidates")
 
         def verify(pairs: DataFrame, name: str) -> DataFrame:
+            pairs = materialize(pairs, f"dups-pairs-{name}")
             survivors = materialize(prune(pairs, candidates, threshold, hashes), f"dups-survivors-{name}")
             return materialize(confirm(survivors, sets, numerator, denominator), f"dups-links-{name}")
 
