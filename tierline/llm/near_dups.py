@@ -52,8 +52,8 @@ BATCH_HASHES = 20
 # last round took away a fifth of them. It only orders the work.
 PAIRS_PER_ROW = 4
 STAR_ROUNDS = 6
-# Ids up to which the documents with candidates are picked by a broadcast
-# (at most 64 MB); beyond that, by a shuffled join.
+# Ids up to which rows are picked by a broadcast (16 bytes each); beyond that,
+# by a shuffled join.
 BROADCAST_IDS = 4_000_000
 # Candidate pairs up to which they are broadcast (16 bytes each), so that only
 # the signatures and sets of these pairs move; beyond that, joins are shuffled.
@@ -183,6 +183,11 @@ def prune(pairs: DataFrame, candidates: DataFrame, threshold: float, hashes: int
     return _with_both(pairs, candidates, "signature").mapInArrow(compare, "a long, b long")
 
 
+def few(ids: DataFrame) -> DataFrame:
+    """``ids``, marked for broadcasting if they are few enough."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
+
+
 def _with_both(pairs: DataFrame, table: DataFrame, column: str) -> DataFrame:
     """(a, b, x, y): the pairs with ``column`` of both nodes."""
     few = pairs.count() <= BROADCAST_PAIRS
@@ -284,7 +289,7 @@ def near_duplicates(
     named = None
     if n_shared:
         nodes = materialize(shared.select("node").distinct(), "dups-nodes")
-        nodes = F.broadcast(nodes) if nodes.count() <= BROADCAST_IDS else nodes
+        nodes = few(nodes)
         sets = materialize(shingle_sets(docs, nodes, shingle_words), "dups-sets")
         candidates = materialize(classes.select("node", "signature").join(nodes, "node", "left_semi"), "dups-candidates")
 
@@ -325,7 +330,7 @@ def keep_one(docs: DataFrame, shingle_words: int = 5, numerator: int = 80, denom
     rows = materialize(near_duplicates(docs, shingle_words, numerator, denominator)
                        .select("doc_id", "kept"), "dups-kept")
     name = free_name(docs, "dup_doc_id")
-    dropped = rows.filter(~F.col("kept")).select(F.col("doc_id").alias(name)).distinct()
+    dropped = few(materialize(rows.filter(~F.col("kept")).select(F.col("doc_id").alias(name)).distinct(), "dups-dropped"))
     repeated = rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 and doc_id is not null") \
         .select(F.col("doc_id").alias(name))
     of_row = F.col("doc_id").cast("long") == F.col(name)
@@ -389,7 +394,7 @@ def _rest_pairs(tagged: DataFrame, candidates: DataFrame, sets: DataFrame, numer
         .filter("lo != hi").select("key")
     mixed = materialize(tagged.join(several, "key"), "dups-mixed")
     single = (
-        sets.join(mixed.select("node").distinct(), "node", "left_semi").select("node", F.explode("shingles").alias("shingle"))
+        sets.join(few(mixed.select("node").distinct()), "node", "left_semi").select("node", F.explode("shingles").alias("shingle"))
         .groupBy("shingle").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node")).filter(F.col("n") == 1)
         .groupBy("node").agg(F.count(F.lit(1)).alias("own"))
     )
@@ -402,7 +407,7 @@ def _rest_pairs(tagged: DataFrame, candidates: DataFrame, sets: DataFrame, numer
     )
     mixed = materialize(mixed, "dups-open")
 
-    chosen = mixed.select("node").distinct()
+    chosen = few(mixed.select("node").distinct())
     long_signatures = materialize(_long_signatures(
         sets.join(chosen, "node", "left_semi").join(candidates, "node")), "dups-long")
     return _compare_blocks(mixed, long_signatures, numerator, denominator)
