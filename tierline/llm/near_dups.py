@@ -190,12 +190,12 @@ def few(ids: DataFrame) -> DataFrame:
 
 def _with_both(pairs: DataFrame, table: DataFrame, column: str) -> DataFrame:
     """(a, b, x, y): the pairs with ``column`` of both nodes."""
-    few = pairs.count() <= BROADCAST_PAIRS
+    small = pairs.count() <= BROADCAST_PAIRS
     left = pairs.select("a").distinct()
-    x = table.join(F.broadcast(left) if few else left, F.col("node") == F.col("a"), "left_semi") \
+    x = table.join(F.broadcast(left) if small else left, F.col("node") == F.col("a"), "left_semi") \
         .select(F.col("node").alias("a"), F.col(column).alias("x"))
     y = table.select(F.col("node").alias("b"), F.col(column).alias("y"))
-    return y.join(F.broadcast(pairs) if few else pairs, "b").join(x, "a").select("a", "b", "x", "y")
+    return y.join(F.broadcast(pairs) if small else pairs, "b").join(x, "a").select("a", "b", "x", "y")
 
 
 def confirm(pairs: DataFrame, sets: DataFrame, numerator: int, denominator: int) -> DataFrame:
