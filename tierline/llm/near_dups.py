@@ -58,7 +58,8 @@ BROADCAST_IDS = 4_000_000
 # Candidate pairs up to which they are broadcast (16 bytes each), so that only
 # the signatures and sets of these pairs move; beyond that, joins are shuffled.
 BROADCAST_PAIRS = 1_000_000
-SLICE_SHINGLES = 4096
+# Shingles x hashes that are computed at a time (a few MB).
+SLICE_CELLS = 1 << 19
 
 MOST_BANDS = 64
 # Length of the signatures for what star rounds leave open; one bit a hash,
@@ -94,8 +95,9 @@ def signature(shingles: np.ndarray, hashes: int) -> np.ndarray:
     """MinHash values (u32) of a non-empty set."""
     low = np.full(hashes, 0xFFFFFFFF, dtype=np.uint32)
     short = (shingles >> np.uint64(32)).astype(np.uint32)
-    for at in range(0, len(short), SLICE_SHINGLES):
-        values = short[None, at:at + SLICE_SHINGLES] ^ _XOR[:hashes]
+    step = max(64, SLICE_CELLS // hashes)
+    for at in range(0, len(short), step):
+        values = short[None, at:at + step] ^ _XOR[:hashes]
         values *= _ODD[:hashes]
         np.minimum(low, values.min(axis=1), out=low)
     return low
