@@ -63,3 +63,41 @@ def test_query_counts_near_documents(spark, sf, documents):
 def test_no_rows(spark, no_docs):
     assert sh.neighbour_fingerprints(no_docs).count() == 0
     assert sh.fingerprint("") == sh.fingerprint(" \n") == bytes(16)
+
+
+def test_lightly_edited_copies_are_neighbours(spark, documents):
+    texts = [r.text for r in documents.filter("length(text) > 1000").orderBy("doc_id").limit(60).collect()]
+    rows = []
+    for i, text in enumerate(texts):
+        words = text.split(" ")
+        words[len(words) // 2] = "exchanged"
+        rows += [(i, sh.fingerprint(text).hex()), (1000 + i, sh.fingerprint(" ".join(words)).hex())]
+    df = spark.createDataFrame(rows, "doc_id long, fingerprint string")
+    got = {(r.query_id, r.doc_id): r.distance for r in sh.near_documents(df, df.filter("doc_id < 1000")).collect()}
+    bits = {d: int(f, 16) for d, f in rows}
+    want = {(q, d): (bits[q] ^ bits[d]).bit_count() for q in range(len(texts)) for d in bits if d != q}
+    assert got == {k: v for k, v in want.items() if v <= sh.RADIUS}
+    assert sum((i, 1000 + i) in got for i in range(len(texts))) >= 0.9 * len(texts)
+
+
+def test_search_is_whole_at_wide_radii_and_in_parts(spark, monkeypatch):
+    rng = np.random.default_rng(7)
+    base = rng.integers(0, 2, 128)
+    points = np.stack([base.copy() for _ in range(400)])
+    for p in points:
+        p[rng.choice(128, int(rng.integers(0, 14)), replace=False)] ^= 1
+    rows = [(i, np.packbits(p).tobytes().hex()) for i, p in enumerate(points)]
+    df = spark.createDataFrame(rows, "doc_id long, fingerprint string")
+    for radius, limit in ((11, 500_000), (11, 0), (12, 500_000)):
+        monkeypatch.setattr(sh, "BROADCAST_KEYS", limit)
+        monkeypatch.setattr(sh, "PART_PAIRS", 50)
+        got = {(r.query_id, r.doc_id): r.distance for r in sh.near_documents(df, df.limit(50), radius).collect()}
+        d = (points[:50, None] != points[None]).sum(axis=2)
+        assert got == {(q, i): d[q, i] for q in range(50) for i in range(400) if q != i and d[q, i] <= radius}
+
+
+def test_query_returns_neighbours(spark, sf, documents):
+    prints = {r.doc_id: int(sh.fingerprint(r.text or "").hex(), 16) for r in documents.collect()}
+    got = {(r.query_id, r.doc_id): r.distance for r in QUERIES["op10_simhash_neighbours"](spark, sf).collect()}
+    assert got == {(q, d): (x ^ y).bit_count() for q, x in prints.items() if q % 100 == 0
+                   for d, y in prints.items() if d != q and (x ^ y).bit_count() <= 11}

@@ -119,10 +119,24 @@ def op9_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprints of all documents and their edited texts. For the documents
     whose id is divisible by 100, ``n_near`` counts the other documents with a
-    fingerprint within 3 of 128 bits; null for the rest."""
+    fingerprint within 3 of 128 bits, ``n_near_edits`` those within 11; null for
+    the rest."""
     rows = materialize(simhash.neighbour_fingerprints(read_table(spark, sf_dir, "documents")), "simhash-rows")
     asked = F.col("doc_id") % 100 == 0
-    near = simhash.count_near(rows.select("fingerprint"), rows.filter(asked))
-    found = rows.filter(asked).join(near, "fingerprint").withColumn("n_near", F.col("n_near") - 1)
-    rest = rows.filter(~F.coalesce(asked, F.lit(False))).withColumn("n_near", F.lit(None).cast("long"))
+    pairs = simhash.near(rows.select("fingerprint"), rows.filter(asked))
+    copies = F.when(F.col("distance") <= simhash.COPY_RADIUS, F.col("rows"))
+    near = pairs.groupBy(F.col("query").alias("fingerprint")).agg(
+        (F.sum(copies) - 1).alias("n_near"), (F.sum("rows") - 1).alias("n_near_edits"))
+    found = rows.filter(asked).join(near, "fingerprint")
+    rest = rows.filter(~F.coalesce(asked, F.lit(False))) \
+        .withColumns({c: F.lit(None).cast("long") for c in ("n_near", "n_near_edits")})
     return found.select(*rest.columns).unionByName(rest)
+
+
+@register("op10_simhash_neighbours")
+def op10_simhash_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The neighbours within 11 of 128 bits of the documents whose id is
+    divisible by 100, by id, with their distance."""
+    rows = materialize(
+        simhash.neighbour_fingerprints(read_table(spark, sf_dir, "documents")).select("doc_id", "fingerprint"), "simhash-rows")
+    return simhash.near_documents(rows, rows.filter(F.col("doc_id") % 100 == 0))

@@ -4,11 +4,17 @@ The terms of a text are its words and word pairs. Each votes with the signs of
 the 128 bits of its hash, weighted by word length (short words say little); the
 fingerprint keeps the sign of each sum. Likeness is the share of equal bits.
 
-Search uses permuted block tables: the 32 hex digits are cut into ``radius + 2``
-blocks, so two fingerprints within the radius agree on at least two blocks. For
-every pair of blocks there is a table keyed by these two, and candidates that
-share a key are compared bit by bit. Equal fingerprints are one row with a
-count, so a large group of copies is one entry in each table.
+Search uses block tables: the 32 hex digits are cut into so many blocks that
+two fingerprints within the radius differ by at most one bit in some block (six
+blocks for a radius of 11). Each fingerprint is in the tables once per block,
+and a query probes every block as it is and with each single bit flipped, so
+all neighbours are candidates; they are compared bit by bit. Equal fingerprints
+are one row with a count, so a large group of copies is one entry in each
+table. Where the probes are too many to broadcast, block keys with many pairs
+are cut into parts.
+
+The radius is measured on lightly edited copies (README): 3 bits hold half of
+the copies with one replaced word, 11 bits 95 %.
 
 Defined results: a null text is empty; a text without words has the
 fingerprint of zeros; equal texts have equal fingerprints; rows that repeat a
@@ -21,7 +27,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 from functools import reduce
 from hashlib import sha256
-from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -33,9 +38,13 @@ from .word_hashes import mix, shingle_hashes, sized_word_hashes
 
 BITS = 128
 DIGITS = BITS // 4
-RADIUS = 3
+# Bits within which lightly edited copies stay, and bits of (almost) equal texts.
+RADIUS = 11
+COPY_RADIUS = 3
 # Query keys up to which the search broadcasts them (about 100 bytes each).
 BROADCAST_KEYS = 500_000
+# Candidate pairs of one block key above which it is cut into parts.
+PART_PAIRS = 2_000_000
 
 _SIGNS = ((np.arange(256)[:, None] >> np.arange(8)) & 1) * 2.0 - 1.0
 _SALTS = mix(np.arange(1, BITS // 64 + 1, dtype=np.uint64))
@@ -155,33 +164,95 @@ def _batch(rows: list[tuple], types: list, names: list[str]) -> pa.RecordBatch:
 
 # ------------------------------------------------------------------ search
 
-def _keys(radius: int) -> Column:
-    """The keys of a fingerprint in all block tables."""
-    n = radius + 2
+def _blocks(radius: int) -> tuple[list[tuple[int, int]], int]:
+    """(begin, digits) of the blocks, of 32 bits at most, and the most bits by
+    which some block differs (0 or 1)."""
+    n = max(4, radius // 2 + 1)
     edges = [round(i * DIGITS / n) for i in range(n + 1)]
-    blocks = [F.substring("fingerprint", edges[i] + 1, edges[i + 1] - edges[i]) for i in range(n)]
-    return F.array(*[F.xxhash64(F.lit(t), blocks[i], blocks[j]) for t, (i, j) in enumerate(combinations(range(n), 2))])
+    return [(b, e - b) for b, e in zip(edges, edges[1:])], radius // n
 
 
-def _distance(x: str, y: str) -> Column:
-    """Differing bits of two fingerprints, eight hex digits at a time."""
-    def part(name: str, at: int) -> Column:
-        return F.conv(F.substring(name, at, 8), 16, 10).cast("long")
+def _number(name: str, begin: int, digits: int) -> Column:
+    return F.conv(F.substring(name, begin + 1, digits), 16, 10).cast("long")
 
-    return reduce(lambda a, b: a + b, [F.bit_count(part(x, at).bitwiseXOR(part(y, at))) for at in range(1, DIGITS, 8)])
+
+def _keys(name: str, radius: int) -> list[Column]:
+    """The key of a fingerprint in each block table."""
+    return [_number(name, b, d) + F.lit(t << 32) for t, (b, d) in enumerate(_blocks(radius)[0])]
+
+
+def _probes(name: str, radius: int) -> Column:
+    """The keys a query asks for: its own and, if need be, those one bit off."""
+    blocks, off = _blocks(radius)
+    flips = [F.array(F.lit(0).cast("long"), *[F.lit(1 << i).cast("long") for i in range(4 * d * off)]) for _, d in blocks]
+
+    def flipped(key: Column, bits: Column) -> Column:
+        return F.transform(bits, lambda bit: key.bitwiseXOR(bit))
+
+    return F.concat(*[flipped(k, f) for k, f in zip(_keys(name, radius), flips)])
+
+
+def _halves(name: str, prefix: str) -> list[Column]:
+    return [F.shiftleft(_number(name, at, 8), 32).bitwiseOR(_number(name, at + 8, 8)).alias(f"{prefix}{at}") for at in (0, 16)]
+
+
+def near(fingerprints: DataFrame, queries: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """(query, fingerprint, distance, rows): for each distinct fingerprint of
+    ``queries``, all distinct ones of ``fingerprints`` within the radius (its
+    own included), how many bits differ and how many rows have it."""
+    if not 0 <= radius < 2 * DIGITS:
+        raise ValueError(f"radius {radius} is not within 0 and {2 * DIGITS - 1}")
+    table = fingerprints.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("rows"))
+    wanted = queries.select(F.col("fingerprint").alias("query")).distinct()
+    probes = materialize(
+        wanted.select("query", *_halves("query", "q"), F.explode(_probes("query", radius)).alias("key")), "simhash-queries")
+    entries = table.select("fingerprint", "rows", *_halves("fingerprint", "f"),
+                           F.explode(F.array(*_keys("fingerprint", radius))).alias("key"))
+    if probes.count() <= BROADCAST_KEYS:
+        candidates = entries.join(F.broadcast(probes), "key")
+    else:
+        candidates = _join_in_parts(materialize(entries, "simhash-entries"), probes)
+    distance = reduce(lambda a, b: a + b, [F.bit_count(F.col(f"q{at}").bitwiseXOR(F.col(f"f{at}"))) for at in (0, 16)])
+    return (
+        candidates.select("query", "fingerprint", distance.cast("int").alias("distance"), "rows")
+        .filter(F.col("distance") <= radius).distinct()
+    )
+
+
+def _join_in_parts(entries: DataFrame, probes: DataFrame) -> DataFrame:
+    """Join by key, where the entries of a key with many pairs are dealt to
+    parts, and its probes go to each of them."""
+    def sizes(rows: DataFrame, name: str) -> DataFrame:
+        return rows.groupBy("key").agg(F.count(F.lit(1)).alias(name))
+
+    hot = (
+        sizes(entries, "n_entries").join(sizes(probes, "n_probes"), "key")
+        .filter(F.col("n_entries") * F.col("n_probes") > PART_PAIRS)
+        .select("key", F.least("n_entries", F.ceil(F.col("n_entries") * F.col("n_probes") / PART_PAIRS)).cast("int").alias("parts"))
+    )
+    hot = F.broadcast(materialize(hot, "simhash-hot"))
+    parts = F.coalesce("parts", F.lit(1))
+    dealt = entries.join(hot, "key", "left").withColumn("part", F.pmod(F.xxhash64("fingerprint"), parts).cast("int"))
+    asked = probes.join(hot, "key", "left").withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1)))
+    return dealt.drop("parts").join(asked.drop("parts"), ["key", "part"])
+
+
+def near_documents(rows: DataFrame, queries: DataFrame, radius: int = RADIUS) -> DataFrame:
+    """(query_id, doc_id, distance): for each document of ``queries``, every
+    other document of ``rows`` within the radius. Both have doc_id and
+    fingerprint; rows that repeat a doc_id and fingerprint count once, and a
+    document is no neighbour of its own id."""
+    found = materialize(near(rows, queries, radius).drop("rows"), "simhash-near")
+    asked = queries.select(F.col("doc_id").alias("query_id"), F.col("fingerprint").alias("query")).distinct()
+    return (
+        rows.select("doc_id", "fingerprint").distinct().join(found, "fingerprint").join(asked, "query")
+        .filter(~F.col("doc_id").eqNullSafe(F.col("query_id")))
+        .groupBy("query_id", "doc_id").agg(F.min("distance").alias("distance"))
+    )
 
 
 def count_near(fingerprints: DataFrame, queries: DataFrame, radius: int = RADIUS) -> DataFrame:
     """(fingerprint, n_near): for each distinct fingerprint of ``queries``, how
     many rows of ``fingerprints`` lie within the radius (itself included)."""
-    table = fingerprints.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("rows"))
-    wanted = queries.select("fingerprint").distinct()
-    keys = materialize(wanted.select(F.col("fingerprint").alias("query"), F.explode(_keys(radius)).alias("key")),
-                       "simhash-queries")
-    if keys.count() <= BROADCAST_KEYS:
-        keys = F.broadcast(keys)
-    pairs = (
-        table.select("fingerprint", "rows", F.explode(_keys(radius)).alias("key")).join(keys, "key")
-        .filter(_distance("query", "fingerprint") <= radius).select("query", "fingerprint", "rows").distinct()
-    )
+    pairs = near(fingerprints, queries, radius)
     return pairs.groupBy("query").agg(F.sum("rows").alias("n_near")).withColumnRenamed("query", "fingerprint")
