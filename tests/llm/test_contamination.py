@@ -81,3 +81,28 @@ def test_edges(spark, edge_docs, no_docs):
     assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 3, 4, 5, 5, 6, 7, 8, 9]
     assert c.contaminated(no_docs, items).count() == 0
     assert c.decontaminate(edge_docs, items.limit(0)).count() == 12
+
+
+def test_short_masks_hit_every_allowed_exchange():
+    for length in range(1, c.WINDOW):
+        bad_words = length - c.needed(length)[1]
+        for bad in combinations(range(length), bad_words):
+            assert any(all(mask[i] == "0" for i in bad) for mask in c.masks_of(length))
+        assert all(len(mask) == length for mask in c.masks_of(length))
+
+
+def test_short_items_with_every_exchange(spark):
+    items, docs, want = [], [], set()
+    for length in range(1, c.WINDOW):
+        words = [f"i{length}w{j}" for j in range(length)]
+        items.append((length, " ".join(words)))
+        allowed = length - c.needed(length)[1]
+        for n in range(allowed + 2):
+            for bad in combinations(range(length), n):
+                text = ["x" if j in bad else w for j, w in enumerate(words)]
+                docs.append((len(docs), " ".join(["before", "it", *text, "after"])))
+                if n <= allowed:
+                    want.add((docs[-1][0], length))
+    rows = c.contaminated(spark.createDataFrame(docs, "doc_id long, text string").repartition(4),
+                          spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in rows} == want

@@ -3,11 +3,15 @@
 A seed is a fixed mask over 8 successive words, of which 6 count and 2 are
 ignored, so it still matches where a word was exchanged. The two masks are
 chosen so that any window of 13 words with at most two exchanged words is hit
-by one of them at some place (a test tries all such windows). Test items and
-training texts are hashed under every mask at every place and joined by hash;
-around each hit the words are compared on the diagonal, and a document is
-contaminated by an item if some window of 13 words agrees in at least 11 (for
-shorter items: of all their words, in 80 %).
+by one of them at some place (a test tries all such windows). Items of 8 to 12
+words have masks over all their words, chosen by length so that every allowed
+pattern of exchanged words is hit (a test tries all); shorter items have one
+mask that counts every word. Test items and training texts are hashed under
+every mask at every place and joined by hash; around each hit the words are
+compared on the diagonal, and a document is contaminated by an item if some
+window of 13 words agrees in at least 11 (for items of 8 to 12 words: of all
+their words, in 80 %; for shorter ones: in all). Masks of short items cost
+nothing where the benchmark has no item of that length.
 
 Words are runs of letters and digits, lower-cased, so punctuation, case and
 spacing do not hide a copy.
@@ -17,7 +21,7 @@ at most 2 MB however large the benchmark is; it only spares the join those
 training hashes that no test item has, and grows less selective, not wrong.
 Of the texts, only the neighbourhoods of hits leave the scan.
 
-Defined results: null and empty texts or items, and items shorter than a mask,
+Defined results: null and empty texts or items, and items without a word,
 contaminate nothing; a null doc_id can be contaminated and is told apart by its
 text; rows that repeat a doc_id and text count once; ties between places go to
 the first one; other columns are ignored; empty tables give no rows.
@@ -26,6 +30,7 @@ the first one; other columns are ignored; empty tables give no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -48,23 +53,46 @@ def words_of(text: str | None) -> np.ndarray:
     return word_hashes(text.lower(), PUNCTUATION) if text else np.empty(0, dtype=np.uint64)
 
 
-def seed_hashes(words: np.ndarray) -> np.ndarray:
-    """Hashes of shape (masks, places): one row per mask."""
-    places = len(words) - SPAN + 1
-    out = np.zeros((len(MASKS), max(places, 0)), dtype=np.uint64)
-    if places <= 0:
-        return out
-    for m, mask in enumerate(MASKS):
-        for j, bit in enumerate(mask):
-            if bit == "1":
-                out[m] = (out[m] ^ words[j:j + places]) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(2 * j + 1)
-        out[m] = mix(out[m] + np.uint64(m))
-    return out
-
-
 def needed(length: int) -> tuple[int, int]:
     """(window, fewest equal words) for an item of ``length`` words."""
-    return (WINDOW, LEAST_EQUAL) if length >= WINDOW else (length, int(np.ceil(SHORT_SHARE * length)))
+    if length >= WINDOW:
+        return WINDOW, LEAST_EQUAL
+    return length, int(np.ceil(SHORT_SHARE * length)) if length >= SPAN else length
+
+
+def _short_masks(length: int) -> tuple[str, ...]:
+    """Masks over all words of an item below a window: greedily those that
+    miss most of the exchange patterns left, until each pattern is missed by
+    the counted words of some mask."""
+    exchanged = length - needed(length)[1]
+    if not exchanged:
+        return ("1" * length,)
+    ignored = length - (6 if exchanged == 1 else 5)
+    left = {frozenset(bad) for bad in combinations(range(length), exchanged)}
+    out = []
+    while left:
+        best = max(combinations(range(length), ignored), key=lambda gaps: sum(bad <= set(gaps) for bad in left))
+        left = {bad for bad in left if not bad <= set(best)}
+        out.append("".join("0" if i in best else "1" for i in range(length)))
+    return tuple(out)
+
+
+SHORT_MASKS = {n: _short_masks(n) for n in range(1, WINDOW)}
+
+
+def masks_of(length: int) -> tuple[str, ...]:
+    """The masks of an item of ``length`` words."""
+    return MASKS if length >= WINDOW else SHORT_MASKS.get(length, ())
+
+
+def seed_hashes(words: np.ndarray, mask: str) -> np.ndarray:
+    """The hash of every place under a mask."""
+    places = max(len(words) - len(mask) + 1, 0)
+    out = np.zeros(places, dtype=np.uint64)
+    for j, bit in enumerate(mask):
+        if bit == "1":
+            out = (out ^ words[j:j + places]) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(2 * j + 1)
+    return mix(out + np.uint64(int(mask, 2) << 4 | len(mask)))
 
 
 def test_items(benchmark: DataFrame) -> DataFrame:
@@ -72,8 +100,8 @@ def test_items(benchmark: DataFrame) -> DataFrame:
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             words = [words_of(t) for t in batch.column(1).to_pylist()]
-            seeds = [[{"hash": h, "place": p} for row in seed_hashes(w).view(np.int64) for p, h in enumerate(row.tolist())]
-                     for w in words]
+            seeds = [[{"hash": h, "place": p} for mask in masks_of(len(w))
+                      for p, h in enumerate(seed_hashes(w, mask).view(np.int64).tolist())] for w in words]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([w.tobytes() for w in words], pa.binary()),
                  pa.array(seeds, pa.list_(pa.struct([("hash", pa.int64()), ("place", pa.int32())])))],
@@ -104,6 +132,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     items = materialize(test_items(benchmark), "leaks-items")
     seeds = items.select("item_id", F.explode("seeds").alias("s")).select("item_id", "s.hash", F.col("s.place").alias("item_place"))
     table = spark.sparkContext.broadcast(_bit_table(seeds))
+    length = F.least(F.octet_length("words") / 8, F.lit(WINDOW)).cast("int")
+    masks = sorted({mask for r in items.select(length.alias("n")).distinct().collect() for mask in masks_of(r["n"])})
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The neighbourhoods of places whose hash may be a test seed."""
@@ -112,19 +142,23 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
             rows = []
             for doc_id, key, text in zip(*(batch.column(c).to_pylist() for c in range(3))):
                 words = words_of(text)
-                hashes = seed_hashes(words)
-                slots = hashes >> shift
-                hit = (table.value[slots >> np.uint64(6)] >> (slots & low)) & np.uint64(1) != 0
-                places = np.flatnonzero(hit.any(axis=0))
-                if not len(places):
+                at, seen = [], []
+                for mask in masks:
+                    hashes = seed_hashes(words, mask)
+                    slots = hashes >> shift
+                    hit = np.flatnonzero((table.value[slots >> np.uint64(6)] >> (slots & low)) & np.uint64(1))
+                    at.append(hit)
+                    seen.append(hashes[hit].view(np.int64))
+                if not sum(map(len, at)):
                     continue
+                places, hashes = np.concatenate(at), np.concatenate(seen)
+                order = np.argsort(places, kind="stable")
+                places, hashes = places[order], hashes[order]
                 cuts = np.flatnonzero(np.diff(places) > SPAN + 2 * WINDOW) + 1
-                for group in np.split(places, cuts):
+                for group, keys in zip(np.split(places, cuts), np.split(hashes, cuts)):
                     begin = max(0, int(group[0]) - WINDOW)
                     end = min(len(words), int(group[-1]) + SPAN + WINDOW)
-                    found = [{"hash": int(h), "place": int(p) - begin}
-                             for m in range(len(MASKS)) for p, h in
-                             zip(group[hit[m, group]], hashes[m, group[hit[m, group]]].view(np.int64))]
+                    found = [{"hash": h, "place": p - begin} for p, h in zip(group.tolist(), keys.tolist())]
                     rows.append((doc_id, key, begin, words[begin:end].tobytes(), found))
             columns = list(zip(*rows)) or [[]] * 5
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(),
