@@ -106,3 +106,17 @@ def test_short_items_with_every_exchange(spark):
     rows = c.contaminated(spark.createDataFrame(docs, "doc_id long, text string").repartition(4),
                           spark.createDataFrame(items, "item_id long, text string")).collect()
     assert {(r.doc_id, r.item_id) for r in rows} == want
+
+
+def test_typography_and_unspaced_scripts_do_not_hide_a_copy(spark):
+    plain = "\"Well\", she said - it's the old captain's house... and nobody has lived there since the great storm"
+    typeset = "\u201cWell\u201d,\u00a0she said\u2014it\u2019s the\u202fold captain\u2019s house\u2026and nobody has\u3000lived there\u2013since the great storm"
+    chinese = "\u4eba\u6709\u60b2\u6b22\u79bb\u5408\u6708\u6709\u9634\u6674\u5706\u7f3a\u6b64\u4e8b\u53e4\u96be\u5168"
+    thai = "\u0e17\u0e35\u0e48\u0e19\u0e35\u0e48\u0e40\u0e1b\u0e47\u0e19\u0e1a\u0e49\u0e32\u0e19"
+    items = spark.createDataFrame([(1, plain), (2, chinese), (3, thai)], "item_id long, text string")
+    docs = [(1, typeset), (2, "\u524d\u6587\u3002" + chinese[:8] + "\uff0c" + chinese[8:] + "\u3002\u540e\u6587"),
+            (3, "\u0e01\u0e02" + thai + "\u0e01"), (4, "\u6708\u6709\u9634\u6674"), (5, "caf\u00e9 \u00e9t\u00e9")]
+    rows = c.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), items).collect()
+    assert {(r.doc_id, r.item_id) for r in rows} == {(1, 1), (2, 2), (3, 3)}
+    assert (c.words_of(plain) == c.words_of(typeset)).all()
+    assert len(c.words_of("e\u0301te\u0301 2\u6708ab\u6708 _\ud800x")) == 6

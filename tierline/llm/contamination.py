@@ -13,8 +13,10 @@ window of 13 words agrees in at least 11 (for items of 8 to 12 words: of all
 their words, in 80 %; for shorter ones: in all). Masks of short items cost
 nothing where the benchmark has no item of that length.
 
-Words are runs of letters and digits, lower-cased, so punctuation, case and
-spacing do not hide a copy.
+Words are runs of letters, marks and digits, lower-cased, so punctuation, case
+and spacing of any script do not hide a copy. Of scripts written without
+spaces (Chinese, Japanese, Thai and the like) each letter with its marks is a
+word.
 
 The join is prepared by a bit table of fixed size over the test hashes. It is
 at most 2 MB however large the benchmark is; it only spares the join those
@@ -38,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import free_name, materialize, small_batches
-from .word_hashes import PUNCTUATION, mix, word_hashes
+from .word_hashes import PUNCTUATION, mix, spaced_words, word_hashes
 
 MASKS = ("11110011", "11010111")
 WINDOW, LEAST_EQUAL = 13, 11
@@ -50,7 +52,7 @@ SPAN = len(MASKS[0])
 
 
 def words_of(text: str | None) -> np.ndarray:
-    return word_hashes(text.lower(), PUNCTUATION) if text else np.empty(0, dtype=np.uint64)
+    return word_hashes(spaced_words(text.lower()), PUNCTUATION) if text else np.empty(0, dtype=np.uint64)
 
 
 def needed(length: int) -> tuple[int, int]:

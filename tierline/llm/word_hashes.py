@@ -8,6 +8,8 @@ byte * q^-i modulo 2^64, the hash of the word from s to e is
 
 from __future__ import annotations
 
+import unicodedata
+
 import numpy as np
 
 _Q = 0x5851F42D4C957F2D
@@ -19,6 +21,45 @@ SPACES[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 # For units of letters and digits only: any other ASCII character is a gap.
 PUNCTUATION = np.array([c < 128 and not chr(c).isalnum() for c in range(256)])
 
+# Code points of scripts written without spaces between words.
+_UNSPACED = [(0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x1950, 0x19DF), (0x1A20, 0x1AAF), (0x1B00, 0x1B7F),
+             (0x3005, 0x3007), (0x3021, 0x3029), (0x3031, 0x303C), (0x3040, 0x312F), (0x31A0, 0x31BF), (0x31F0, 0x31FF),
+             (0x3400, 0x4DBF), (0x4E00, 0xA4CF), (0xA980, 0xA9FF), (0xAA60, 0xAA7F), (0xF900, 0xFAFF), (0xFF66, 0xFF9F),
+             (0x16FE0, 0x18DFF), (0x1AFF0, 0x1B2FF), (0x20000, 0x3FFFF)]
+_GAP, _WORD, _MARK, _ALONE = range(4)
+_kinds: list[np.ndarray] = []
+
+
+def _kind_table() -> np.ndarray:
+    """The kind of every code point; made once per process."""
+    if not _kinds:
+        of = {"L": _WORD, "N": _WORD, "M": _MARK}
+        table = np.array([of.get(unicodedata.category(chr(c))[0], _GAP) for c in range(0x110000)], dtype=np.uint8)
+        for begin, end in _UNSPACED:
+            part = table[begin:end + 1]
+            digit = np.array([unicodedata.category(chr(c)) == "Nd" for c in range(begin, end + 1)])
+            part[(part == _WORD) & ~digit] = _ALONE
+        _kinds.append(table)
+    return _kinds[0]
+
+
+def spaced_words(text: str) -> str:
+    """``text`` with a space for every code point that is no letter, mark or
+    digit, and spaces around each letter of the scripts written without."""
+    if text.isascii():
+        return text
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    kinds = _kind_table()[points]
+    points = np.where(kinds == _GAP, np.uint32(0x20), points)
+    if (kinds == _ALONE).any():
+        # A mark belongs to the letter before it.
+        base = np.maximum.accumulate(np.where(kinds == _MARK, 0, np.arange(len(kinds))))
+        after = np.concatenate([[False], kinds[base[:-1]] == _ALONE])
+        cut = (kinds == _ALONE) | (after & (kinds == _WORD))
+        points = np.insert(points, np.flatnonzero(cut), np.uint32(0x20))
+    return points.tobytes().decode("utf-32-le")
+
+
 _powers: dict[str, np.ndarray] = {}
 
 
