@@ -10,8 +10,6 @@ if ROOT not in sys.path:
 
 from tierline.session import build_session  # noqa: E402
 
-SF_SMOKE = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -25,9 +23,3 @@ def spark():
 def workdir():
     """A fresh local folder per test (tests only; jobs use the shared scratch root)."""
     return tempfile.mkdtemp(prefix="tierline-test-")
-
-
-def write_text(path, name, content):
-    os.makedirs(path, exist_ok=True)
-    with open(os.path.join(path, name), "w") as fh:
-        fh.write(content)

@@ -3,7 +3,7 @@ import json
 import duckdb
 import pytest
 
-from conftest import SF_SMOKE, write_text
+from helpers import SF_SMOKE, write_text
 from tierline.plans.chain import ChainPaths, run_chain
 from tierline.registry import ORACLES, QUERIES
 from tierline.sinks.snapshots import read_current

@@ -1,6 +1,6 @@
 import json
 
-from conftest import write_text
+from helpers import write_text
 from tierline.cli import dispatch, parser
 from tierline.sinks.snapshots import read_current
 

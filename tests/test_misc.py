@@ -5,7 +5,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import write_text
+from helpers import write_text
 from tierline.functions.timefmt import epoch_seconds, iso_text
 from tierline.plans.bronze import run_bronze
 from tierline.sources.jdbc import jdbc_options

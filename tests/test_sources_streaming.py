@@ -4,7 +4,7 @@ import os
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from conftest import write_text
+from helpers import write_text
 from tierline.plans.bronze import run_bronze
 from tierline.plans.chain import ChainPaths, run_chain
 from tierline.plans.silver import run_silver_events
