@@ -81,3 +81,63 @@ join (select h2.bits, min(s2.depth) as depth
       group by h2.bits) leaf on h.bits = leaf.bits
 join sums s on s.depth = leaf.depth and s.prefix = substr(h.bits, 1, leaf.depth::int)
 """
+
+OP11_SQL = """
+with recursive crc as (
+    select list_transform(range(256), lambda i: list_reduce(range(8),
+               lambda c, j: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, i)) as steps
+), runs as (
+    select doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as run, count(*) as times
+    from (select doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]{6,}')) as run from documents)
+    group by all
+), coded as (
+    select doc_id, run, times, hex(encode(coalesce(cast(doc_id as varchar), '') || ':' || run)) as code from runs
+), hashed as (
+    select run, times,
+           xor(list_reduce(list_transform(range(length(code) // 2), lambda i: cast('0x' || substr(code, 2 * i::bigint + 1, 2) as bigint)),
+                           lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) as h
+    from coded, crc
+), spelled as (
+    select case when h % 199 = 0 then substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) else run end as word, times
+    from hashed
+), words as (
+    select word, sum(times)::bigint as n from spelled where length(word) >= 6 group by word having sum(times) >= 5
+), shorter as (
+    select word, n, pos, substr(word, 1, pos) || substr(word, pos + 2) as rest
+    from (select word, n, unnest(range(length(word))) as pos from words)
+), near as (
+    select a.word, a.n, b.word as near, b.n as near_n from shorter a join words b on a.rest = b.word
+    union
+    select b.word, b.n, a.word, a.n from shorter a join words b on a.rest = b.word
+    union
+    select a.word, a.n, b.word, b.n from shorter a join shorter b on a.pos = b.pos and a.rest = b.rest and a.word <> b.word
+), best as (
+    select word, near, near_n, count(*) over (partition by word) as n_near
+    from near qualify row_number() over (partition by word order by near_n desc, near) = 1
+), formed as (
+    select w.word, w.n, coalesce(b.n_near, 0)::bigint as n_near,
+           case when b.near_n >= 5 * w.n then b.near end as form, case when b.near_n >= 5 * w.n then b.near_n end as form_n
+    from words w left join best b on w.word = b.word
+), followed as (
+    select word, coalesce(form, word) as root from formed
+    union
+    select f.word, g.form from followed f join formed g on f.root = g.word where g.form is not null
+)
+select f.word, f.form, r.root, f.n, f.n_near, f.form_n
+from formed f
+join (select r.word, r.root from followed r join formed g on r.root = g.word where g.form is null) r on f.word = r.word
+"""
+
+OP12_SQL = """
+with payloads as (
+    select page_id, coalesce(html, '') as payload, sha1(coalesce(html, '')) as code from pages
+), firsts as (
+    select page_id, strlen(payload)::bigint as payload_bytes, code, min(page_id) over (partition by code) as first_id from payloads
+)
+select page_id, payload_bytes,
+       array_to_string(list_transform(range(32), lambda k: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           ((cast('0x' || substr(code, (k // 8)::bigint * 10 + 1, 10) as bigint) >> (35 - 5 * (k % 8))) & 31) + 1, 1)), '') as payload_digest,
+       case when page_id is not distinct from first_id then 'response' else 'revisit' end as record_type,
+       case when page_id is distinct from first_id then first_id end as refers_to
+from firsts
+"""

@@ -14,8 +14,11 @@ from pyspark.sql.types import StringType, StructType
 
 from tierline.session import scratch_path
 
-from . import contamination, language_id, licenses, mixing, near_dups, oracles, personal_data, secret_scan, sharding, simhash, spans, token_files
-from .common import materialize, read_table
+from . import (
+    contamination, language_id, licenses, mixing, near_dups, oracles, personal_data, secret_scan, sharding, simhash,
+    spans, spelling, token_files, warc, word_runs,
+)
+from .common import WORD_PATTERN, materialize, read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -140,3 +143,65 @@ def op10_simhash_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = materialize(
         simhash.neighbour_fingerprints(read_table(spark, sf_dir, "documents")).select("doc_id", "fingerprint"), "simhash-rows")
     return simhash.near_documents(rows, rows.filter(F.col("doc_id") % 100 == 0))
+
+
+# One run in so many loses a letter before words are counted.
+TYPO_EVERY = 199
+
+
+def with_typos(runs: DataFrame) -> DataFrame:
+    """The runs of :func:`spelling.letter_runs`, with a letter dropped from
+    those whose checksum with the document's id says so."""
+    key = F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.col("run"))
+    hashed = runs.withColumn("h", F.crc32(key.cast("binary")))
+    dropped = spelling.drop_letter(F.col("run"), F.col("h") % F.length("run"))
+    return hashed.select("doc_id", F.when(F.col("h") % TYPO_EVERY == 0, dropped).otherwise(F.col("run")).alias("run"))
+
+
+@register("op11_spelling_variants", oracles.OP11_SQL)
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The words of all documents with their more frequent forms."""
+    runs = with_typos(spelling.letter_runs(read_table(spark, sf_dir, "documents"), 6))
+    return spelling.spelling_groups(spelling.count_words(runs, 6, 5), 5)
+
+
+@register("op12_warc", oracles.OP12_SQL)
+def op12_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write all pages as WARC files and report every record as read back."""
+    path = scratch_path(spark, "llm-warc")
+    pages = read_table(spark, sf_dir, "pages")
+    warc.write_warc(pages.select("page_id", "url", F.col("html").cast("binary").alias("payload")), path)
+    return warc.read_warc(spark, path).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", F.col("refers_to_page_id").alias("refers_to"))
+
+
+def with_repeats(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): in one document of ten, by the checksum of its id, the
+    words from some place on are replaced by repetitions of the first of them.
+    Documents without an id stay as they are."""
+    h = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(1))
+    picked = docs.select("doc_id", "text", h.alias("h")).withColumn(
+        "words", F.when(F.col("h") % 10 == 0, F.regexp_extract_all("text", F.lit(WORD_PATTERN), F.lit(0))))
+    n, g = F.size("words"), F.floor(F.col("h") / 10).cast("long")
+    a = (g % n).cast("int")
+    p = 1 + F.floor((n - a) / (3 + g % 8)).cast("int")
+    placed = picked.withColumns({"a": F.when(n > 0, a), "p": F.when(n > 0, p)})
+    word = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.element_at(
+        "words", 1 + F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p"))))
+    return placed.select("doc_id", F.when(n > 0, F.array_join(word, " ")).otherwise(F.col("text")).alias("text"))
+
+
+@register("op13_repeated_runs")
+def op13_repeated_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The periodic runs of words of every document: their number, the longest,
+    and digests of all of them and of the text without repetitions."""
+    found = word_runs.collapse_runs(with_repeats(read_table(spark, sf_dir, "documents")))
+    order = F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("s"), (-r["period"]).alias("p")))
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    best = found.withColumn("best", F.array_max(order))
+    return best.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.s")).alias("start"),
+        F.col("best.length").alias("length"), (-F.col("best.p")).alias("period"),
+        F.floor(1000 * F.col("best.length") / -F.col("best.p")).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(line, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("collapsed_sha256"))
