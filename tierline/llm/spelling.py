@@ -40,7 +40,7 @@ RUN = f"[A-Za-z{ACCENTED[0]}-{ACCENTED[-1]}]"
 # Knuth's multiplier, to spread neighbouring code points over the symbols.
 MULTIPLIER = 2654435761
 # Cells that a reduced alphabet offers to the shortest words, per word.
-CELLS_PER_WORD = 4
+CELLS_PER_WORD = 1
 MIN_SYMBOLS, MAX_SYMBOLS = 4, 32
 
 
@@ -104,7 +104,11 @@ def near_words(words: DataFrame, symbols: int) -> DataFrame:
     apart. ``words`` (word, n) holds each word once, none of them empty."""
     keyed = words.withColumn("reduced", reduced(F.col("word"), symbols)).withColumn("cell", F.xxhash64("reduced"))
     cells = keyed.select("cell").distinct()
-    around = keyed.select("reduced").distinct().select(
+    # Few bytes that become many rows: dealt to as many tasks as there are
+    # partitions, not merged into a few by their size.
+    spark = words.sparkSession
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    around = keyed.select("reduced").repartition(tasks, "reduced").distinct().select(
         F.xxhash64("reduced").alias("cell"), F.explode(neighbourhood(F.col("reduced"), symbols)).alias("near_cell"))
     cell_pairs = around.join(cells.withColumnRenamed("cell", "near_cell"), "near_cell")
     others = keyed.select(F.col("word").alias("near"), F.col("n").alias("near_n"), F.col("cell").alias("near_cell"))
