@@ -6,7 +6,7 @@ import pytest
 from helpers import SF_SMOKE, write_text
 from tierline.plans.chain import ChainPaths, run_chain
 from tierline.registry import ORACLES, QUERIES
-from tierline.sinks.snapshots import read_current
+from tierline.sinks.target import read_target
 
 import __spark_entry__ as spark_entry
 from scripts.parity import TABLES, digest
@@ -23,7 +23,7 @@ def test_chain_on_templates(spark, workdir):
     write_text(f"{workdir}/landing", "batch_1.json", json.dumps(tickets, indent=2))
     paths = ChainPaths.under(workdir)
     res = run_chain(spark, paths)
-    gold = {r["product_id"]: r for r in read_current(spark, paths.gold).collect()}
+    gold = {r["product_id"]: r for r in read_target(spark, paths.gold).collect()}
     assert set(gold) == {"PROD-1001"}                      # null product went to rejects
     g = gold["PROD-1001"]
     assert (g["total_reviews"], g["avg_urgency"]) == (6, 3.0)
@@ -32,7 +32,7 @@ def test_chain_on_templates(spark, workdir):
     assert spark.read.parquet(paths.rejects).count() == 1
     # replay: nothing new lands, the published values stay the same
     res2 = run_chain(spark, paths)
-    g2 = read_current(spark, paths.gold).collect()[0]
+    g2 = read_target(spark, paths.gold).collect()[0]
     assert (g2["total_reviews"], g2["avg_urgency"]) == (6, 3.0)
 
 
@@ -121,7 +121,7 @@ def test_unparsable_landing_file_is_rejected_with_its_text(spark, workdir):
     write_text(f"{workdir}/landing", "broken.json", "[{this is not json")
     paths = ChainPaths.under(workdir)
     res = run_chain(spark, paths)
-    assert read_current(spark, paths.gold).collect()[0]["total_reviews"] == 1
+    assert read_target(spark, paths.gold).collect()[0]["total_reviews"] == 1
     rej = {r["reject_reason"]: r for r in spark.read.parquet(paths.silver_rejects).collect()}
     assert set(rej) == {"unparsable landing file", "missing ticket_id"}
     assert rej["unparsable landing file"]["_corrupt_record"].startswith("[{this is not json")

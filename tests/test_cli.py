@@ -2,7 +2,7 @@ import json
 
 from helpers import write_text
 from tierline.cli import dispatch, parser
-from tierline.sinks.snapshots import read_current
+from tierline.sinks.target import read_target
 
 # Two satisfied, two delayed, two broken: mean urgency 3.
 TEXTS = ["fine kettle", "a confusing lamp", "the battery is flat", "delayed twice", "good value", "it broke"]
@@ -14,14 +14,14 @@ def test_chain_and_gold_jobs(spark, workdir, capsys):
     write_text(f"{workdir}/landing", "batch_1.json", json.dumps(tickets, indent=2))
     assert dispatch(spark, parser().parse_args(["chain", "--root", workdir])) == 0
     published = json.loads(capsys.readouterr().out.strip().splitlines()[-1])["published"]
-    assert published.startswith(f"{workdir}/gold/version-")
-    row = read_current(spark, f"{workdir}/gold").collect()[0]
+    assert published == f"{workdir}/gold"
+    row = read_target(spark, f"{workdir}/gold").collect()[0]
     assert (row["total_reviews"], row["avg_urgency"]) == (6, 3.0)
     # the gold job alone, incremental, on the silver the chain wrote
     args = parser().parse_args(["gold", "--silver", f"{workdir}/silver", "--target", f"{workdir}/gold2",
                                 "--incremental-checkpoint", f"{workdir}/ck-gold2"])
     assert dispatch(spark, args) == 0
-    assert read_current(spark, f"{workdir}/gold2").collect()[0]["total_reviews"] == 6
+    assert read_target(spark, f"{workdir}/gold2").collect()[0]["total_reviews"] == 6
 
 
 def test_silver_events_job(spark, workdir):

@@ -1,14 +1,8 @@
-import os
-
 import pytest
 from pyspark.sql import functions as F
 
-from tierline.plans.gold import merge_into_target, run_gold, run_gold_incremental
 from tierline.schemas import GOLD_DEFAULTS, GOLD_TARGET
-from tierline.sinks.snapshots import (
-    ConcurrentPublish, evolve, latest_entry, latest_version, publish, publish_merge, read_current, upsert,
-)
-from tierline.streaming.runner import batch_count
+from tierline.sinks.snapshots import evolve, upsert
 
 
 def _target(spark):
@@ -58,20 +52,6 @@ def test_evolve_heals_missing_columns(spark):
     assert dict(out.dtypes)["total_reviews"] == "bigint"
 
 
-def test_publish_versions(spark, workdir):
-    root = f"{workdir}/gold"
-    assert latest_version(spark, root) is None
-    assert read_current(spark, root, GOLD_TARGET).count() == 0
-    staged = spark.createDataFrame([("A", 1, 1.0)], "product_id string, total_reviews long, avg_urgency double")
-    p1 = publish(merge_into_target(read_current(spark, root, GOLD_TARGET), staged), root)
-    staged2 = spark.createDataFrame([("B", 2, 2.0)], "product_id string, total_reviews long, avg_urgency double")
-    p2 = publish(merge_into_target(read_current(spark, root), staged2), root)
-    assert p1 != p2 and latest_version(spark, root)[0] == 2
-    cur = {r["product_id"]: r["total_reviews"] for r in read_current(spark, root).collect()}
-    assert cur == {"A": 1, "B": 2}
-    assert spark.read.parquet(p1).count() == 1   # old version untouched
-
-
 def test_broadcast_upsert_does_not_shuffle_target(spark):
     target = spark.range(1000).selectExpr("cast(id as string) as product_id", "id as total_reviews")
     staged = spark.createDataFrame([("5", 50), ("x", 1)], "product_id string, total_reviews long")
@@ -87,98 +67,3 @@ def test_broadcast_upsert_does_not_shuffle_target(spark):
         assert dict(rows(small))["5"] == 50 and dict(rows(small))["x"] == 1 and len(rows(small)) == 1001
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-
-
-def test_current_version_as_sql_view(spark, workdir):
-    from tierline.sinks.snapshots import register_current_view
-    root = f"{workdir}/gold"
-    staged = spark.createDataFrame([("A", 3, 2.0), ("B", 1, 5.0)],
-                                   "product_id string, total_reviews long, avg_urgency double")
-    publish(merge_into_target(read_current(spark, root, GOLD_TARGET), staged), root)
-    register_current_view(spark, root, "gold_current")
-    got = spark.sql("select product_id from gold_current where avg_urgency > 3 order by product_id").collect()
-    assert [r[0] for r in got] == ["B"]
-
-
-def test_of_two_writers_one_fails_and_destroys_nothing(spark, workdir):
-    root = f"{workdir}/gold"
-    rows = lambda n: spark.createDataFrame([(n, 1)], "product_id string, total_reviews long")
-    publish(rows("A"), root)
-    seen = latest_version(spark, root)
-    publish(rows("B"), root, previous=seen)
-    with pytest.raises(ConcurrentPublish):
-        publish(rows("C"), root, previous=seen)
-    assert [r["product_id"] for r in read_current(spark, root).collect()] == ["B"]
-    assert latest_version(spark, root)[0] == 2
-
-
-def test_target_keys_are_checked(spark, workdir):
-    for i, keys in enumerate(([None], ["A", "A"])):
-        df = spark.createDataFrame([(k, 1) for k in keys], "product_id string, total_reviews long")
-        with pytest.raises(ValueError):
-            publish(df, f"{workdir}/gold{i}", key="product_id")
-        assert latest_version(spark, f"{workdir}/gold{i}") is None
-
-
-def test_old_versions_are_removed(spark, workdir):
-    root = f"{workdir}/gold"
-    paths = [publish(spark.range(i + 1), root, keep_versions=2) for i in range(5)]
-    assert [os.path.isdir(p) for p in paths] == [False, False, False, True, True]
-    assert read_current(spark, root).count() == 5
-
-
-def test_a_drain_of_many_batches_publishes_once(spark, workdir):
-    rows = spark.range(60).selectExpr("cast(id as string) as ticket_id", "concat('P', id % 3) as product_id",
-                                      "cast(1 as double) as urgency_score", "'Positive' as sentiment")
-    rows.repartition(6).write.parquet(f"{workdir}/silver")
-    args = (spark, f"{workdir}/silver", f"{workdir}/gold", f"{workdir}/ck", rows.schema)
-    streams = run_gold_incremental(*args, max_files_per_trigger=1)
-    assert batch_count(streams) >= 6 and latest_version(spark, f"{workdir}/gold")[0] == 1
-    assert {r["total_reviews"] for r in read_current(spark, f"{workdir}/gold").collect()} == {20}
-    run_gold_incremental(*args)  # nothing new: no version
-    assert latest_version(spark, f"{workdir}/gold")[0] == 1
-    rows.filter("product_id = 'P0'").write.mode("append").parquet(f"{workdir}/silver")
-    run_gold_incremental(*args)
-    totals = {r["product_id"]: r["total_reviews"] for r in read_current(spark, f"{workdir}/gold").collect()}
-    assert totals == {"P0": 40, "P1": 20, "P2": 20}
-
-
-def test_gold_rejects_are_tickets_written_once(spark, workdir):
-    schema = "ticket_id string, product_id string, urgency_score double, sentiment string"
-    loads = [[("a", None, 1.0, None), ("b", "P", 2.0, None)], [("c", None, 1.0, None), ("d", None, 1.0, None)]]
-    full = spark.createDataFrame([], schema).schema
-    for load in loads:
-        spark.createDataFrame(load, schema).write.mode("append").parquet(f"{workdir}/silver")
-        run_gold_incremental(spark, f"{workdir}/silver", f"{workdir}/gold", f"{workdir}/ck", full, f"{workdir}/rejects")
-        result = run_gold(spark, f"{workdir}/silver", f"{workdir}/gold-full", full, f"{workdir}/rejects-full")
-    for path in ("rejects", "rejects-full"):
-        rows = spark.read.parquet(f"{workdir}/{path}").collect()
-        assert sorted(r["ticket_id"] for r in rows) == ["a", "c", "d"]
-        assert {r["reject_reason"] for r in rows} == {"missing product_id"}
-    assert result.path and read_current(spark, f"{workdir}/gold-full").count() == 1
-
-
-def test_merges_rewrite_only_touched_buckets(spark, workdir):
-    root = f"{workdir}/gold"
-    schema = spark.createDataFrame([], "product_id string, total_reviews long").schema
-
-    def merge(target, staged):
-        return upsert(target, staged, "product_id", stamp=None)
-
-    everything = spark.range(200).selectExpr("concat('P', id) as product_id", "id as total_reviews")
-    publish_merge(everything, root, "product_id", merge, schema, buckets=16)
-    before = latest_entry(spark, root)["buckets"]
-    expected = {f"P{i}": i for i in range(200)}
-    for n in range(4):
-        staged = spark.createDataFrame([(f"P{n}", -n), (f"new{n}", n)], schema)
-        path = publish_merge(staged, root, "product_id", merge, schema, buckets=16)
-        after = latest_entry(spark, root)["buckets"]
-        changed = {b for b in after if after[b] != before.get(b)}
-        assert 1 <= len(changed) <= 2 and all(after[b].startswith(path) for b in changed)
-        before = after
-        expected |= {f"P{n}": -n, f"new{n}": n}
-        assert {r[0]: r[1] for r in read_current(spark, root).collect()} == expected
-    publish_merge(staged, root, "product_id", merge, schema, buckets=8)  # another number: rewritten once
-    assert {r[0]: r[1] for r in read_current(spark, root).collect()} == expected
-    live = set(latest_entry(spark, root)["buckets"].values())
-    assert all(os.path.isdir(p) for p in live)

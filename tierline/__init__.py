@@ -8,7 +8,7 @@ codegen can fuse the rest.
 Where things are:
 
 * ``tierline.sources``   - landing/event JSON streams, guarded parquet, JDBC, ticket generator
-* ``tierline.sinks``     - landing writer, keyed upsert and versioned snapshots
+* ``tierline.sinks``     - landing writer, keyed upsert and the bucketed target
 * ``tierline.functions`` - triage rules, time helpers, repeatable picks
 * ``tierline.operators`` - keys and rejects, column ops, dimension joins, gold aggregates
 * ``tierline.streaming`` - starting and draining append streams

@@ -14,7 +14,7 @@ from pyspark.sql import SparkSession
 from ..functions.triage import DEFAULT_OUTCOME, DEFAULT_RULES, Outcome, Rule
 from ..schemas import TICKET
 from ..streaming.runner import BATCH_FILES
-from ..sinks.snapshots import latest_version
+from ..sinks.target import target_exists
 from .bronze import run_bronze
 from .gold import GoldResult, run_gold, run_gold_incremental
 from .silver import run_silver_tickets, silver_tickets, BRONZE_TICKET
@@ -74,5 +74,4 @@ def run_chain(
     run_gold_incremental(
         spark, paths.silver, paths.gold, f"{paths.checkpoints}/gold", schema, paths.rejects,
     )
-    latest = latest_version(spark, paths.gold)
-    return GoldResult(latest[1] if latest else None, None, None)
+    return GoldResult(paths.gold if target_exists(spark, paths.gold) else None, None, None)

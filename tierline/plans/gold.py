@@ -12,7 +12,8 @@ from pyspark.sql.types import LongType, StructField, StructType
 from ..operators.gold import product_metrics
 from ..operators.keys import split_by_key
 from ..schemas import GOLD_DEFAULTS, GOLD_KEY, GOLD_MAX_LENGTH, GOLD_STAMP, GOLD_TARGET
-from ..sinks.snapshots import evolve, latest_version, publish_merge, published_batch, read_current, upsert
+from ..sinks.snapshots import evolve, upsert
+from ..sinks.target import merge_target, read_target
 from ..session import scratch_root
 from ..sources.files import read_parquet_guarded
 from ..sources.jdbc import write_jdbc
@@ -22,8 +23,8 @@ from .silver import gold_input
 
 @dataclass
 class GoldResult:
-    """``path`` holds the buckets the run rewrote; the whole current version
-    is read with ``sinks.snapshots.read_current``."""
+    """``path`` is the target that the run merged into, None if there was
+    nothing to do; it is read with ``sinks.target.read_target``."""
 
     path: str | None
     staged: DataFrame | None
@@ -35,6 +36,9 @@ def gold_staged(silver: DataFrame) -> DataFrame:
     return product_metrics(gold_input(silver), sentiment="sentiment", rating=True)
 
 
+# Partition column of the deltas of a drain.
+BATCH = "batch"
+
 # Staged products up to this many are merged without shuffling the target.
 UPSERT_BROADCAST_ROWS = 5_000_000
 
@@ -60,9 +64,9 @@ def run_gold(
     silver_schema: StructType,
     rejects_path: str | None = None,
 ) -> GoldResult:
-    """Aggregate silver tickets and publish the next target version.
+    """Aggregate silver tickets and merge them into the target.
 
-    Missing or empty silver is "nothing to do": no version is published.
+    Missing or empty silver is "nothing to do": the target stays as it is.
     Tickets without a product cannot be keyed; they go to ``rejects_path``
     one by one, with the reason. The per-product aggregate is checkpointed
     once (it is small: one row per product) and then feeds the upsert.
@@ -75,11 +79,8 @@ def run_gold(
         rejects.write.mode("overwrite").parquet(rejects_path)
     if staged.isEmpty():
         return GoldResult(None, None, rejects)
-    return GoldResult(_publish_staged(staged, target_root), staged, rejects)
-
-
-def _publish_staged(staged: DataFrame, target_root: str, through_batch: int | None = None) -> str:
-    return publish_merge(staged, target_root, GOLD_KEY, merge_into_target, GOLD_TARGET, through_batch)
+    merge_target(staged, target_root, GOLD_KEY, merge_into_target, GOLD_TARGET)
+    return GoldResult(target_root, staged, rejects)
 
 
 def run_gold_incremental(
@@ -98,11 +99,12 @@ def run_gold_incremental(
     counts) in the state store under ``checkpoint``; partial aggregation runs
     before the shuffle as in batch. Each micro-batch emits only the products
     it touched, with their full totals (update mode). A drain writes them as
-    small per-batch deltas and merges the newest row of each product into the
-    target once, at its end, so a backlog of many micro-batches rewrites each
-    touched bucket of the target once; a delta that a failed run left behind is merged by the next.
-    With a continuous trigger every micro-batch is merged. A replayed
-    micro-batch brings the same totals, so the merge is idempotent.
+    small deltas, merges the newest row of each product into the target once,
+    at its end, and removes the deltas, so a backlog of many micro-batches
+    rewrites each touched bucket of the target once. Deltas that a failed run
+    left behind are merged by the next: totals only grow newer, so merging a
+    delta again changes nothing. With a continuous trigger every micro-batch is
+    merged at once, without deltas.
 
     Tickets without a product are appended to ``rejects_path`` one by one by a
     second stream. A silver folder that does not exist yet is "nothing to do"
@@ -120,11 +122,14 @@ def run_gold_incremental(
     keyed, rejects = split_by_key(rows, GOLD_KEY)
     deltas = f"{checkpoint.rstrip('/')}-deltas"
     drains = bool(trigger and trigger.get("availableNow"))
+    scratch_root(spark)  # reliable checkpoints need the shared folder
+    _merge_deltas(spark, deltas, target_root)  # of a run that failed
 
     def keep_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{deltas}/batch={batch_id}")
-        if not drains:
-            _merge_deltas(spark, deltas, target_root)
+        if drains:
+            batch.write.mode("overwrite").parquet(f"{deltas}/{BATCH}={batch_id}")
+        else:
+            merge_target(batch.checkpoint(eager=True), target_root, GOLD_KEY, merge_into_target, GOLD_TARGET)
 
     writer = (
         gold_staged(keyed).writeStream.outputMode("update")
@@ -143,17 +148,17 @@ def run_gold_incremental(
 
 
 def _merge_deltas(spark: SparkSession, deltas: str, target_root: str) -> None:
-    """Merge the micro-batches that no published version holds yet, the newest
-    row of each product."""
-    done = published_batch(spark, target_root)
-    schema = StructType([*gold_staged_schema(spark).fields, StructField("batch", LongType())])
-    rows = read_parquet_guarded(spark, deltas, schema).filter(F.col("batch") > done)
-    last = rows.agg(F.max("batch")).first()[0]
-    if last is None:
+    """Merge the newest row of each product that waits as a delta, then remove
+    the deltas: an overwrite by no rows leaves no batch folder."""
+    schema = StructType([*gold_staged_schema(spark).fields, StructField(BATCH, LongType())])
+    rows = read_parquet_guarded(spark, deltas, schema)
+    if rows.isEmpty():
         return
-    columns = [c for c in rows.columns if c != "batch"]
-    newest = rows.groupBy(GOLD_KEY).agg(F.max_by(F.struct(*columns), "batch").alias("r")).select("r.*")
-    _publish_staged(newest.checkpoint(eager=True), target_root, through_batch=last)
+    columns = [c for c in rows.columns if c != BATCH]
+    newest = rows.groupBy(GOLD_KEY).agg(F.max_by(F.struct(*columns), BATCH).alias("r")).select("r.*")
+    merge_target(newest.checkpoint(eager=True), target_root, GOLD_KEY, merge_into_target, GOLD_TARGET)
+    spark.createDataFrame([], schema).write.mode("overwrite") \
+        .option("partitionOverwriteMode", "static").partitionBy(BATCH).parquet(deltas)
 
 
 def gold_staged_schema(spark: SparkSession) -> StructType:
@@ -170,20 +175,17 @@ def export_jdbc(
     num_partitions: int = 4,
     **jdbc_kwargs,
 ) -> str:
-    """Publish the current gold version to a serving database table.
+    """Publish the gold target to a serving database table.
 
-    The whole current version replaces the table's rows (``truncate`` keeps
+    The whole target replaces the table's rows (``truncate`` keeps
     the table and its grants). The table is emptied first and then filled
     partition by partition, not in one transaction: readers can see it empty
     or half filled, and after a failure it stays so until a retry succeeds. Text keys are
     checked against their VARCHAR bound first, and at most
     ``num_partitions`` connections write concurrently.
     """
-    latest = latest_version(spark, target_root)
-    if latest is None:
-        raise FileNotFoundError(f"nothing published under {target_root}")
     write_jdbc(
-        read_current(spark, target_root).select(*[f.name for f in GOLD_TARGET.fields]),
+        read_target(spark, target_root).select(*[f.name for f in GOLD_TARGET.fields]),
         url,
         table,
         mode="overwrite",
@@ -193,4 +195,4 @@ def export_jdbc(
         num_partitions=num_partitions,
         **jdbc_kwargs,
     )
-    return latest[1]
+    return target_root

@@ -21,30 +21,31 @@ def _array_lines(records_per_file: int, max_bytes_per_file: int):
         import pyarrow as pa
         import pyarrow.compute as pc
 
-        def lines(records: pa.Array, cuts: list[int]) -> pa.RecordBatch:
-            """One line per stretch between two cuts."""
-            lists = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), records)
+        def line(parts: list[pa.Array]) -> pa.RecordBatch:
+            records = pa.concat_arrays(parts)
+            lists = pa.ListArray.from_arrays(pa.array([0, len(records)], pa.int32()), records)
             joined = pc.binary_join_element_wise("[", pc.binary_join(lists, ","), "]", "")
             return pa.RecordBatch.from_arrays([joined], names=["value"])
 
-        held = pa.array([], pa.string())
+        held, count, size = [], 0, 0  # records of the next line, not copied until it is full
         for batch in batches:
-            held = pa.concat_arrays([held, batch.column(0)])
-            ends = np.cumsum(pc.binary_length(held).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
-            cuts = [0]
-            while True:
-                begin = cuts[-1]
+            records = batch.column(0)
+            ends = np.cumsum(pc.binary_length(records).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
+            begin = 0
+            while begin < len(records):
                 before = int(ends[begin - 1]) if begin else 0
-                fits = int(np.searchsorted(ends, before + max_bytes_per_file, side="right"))
-                end = max(begin + 1, min(begin + records_per_file, fits))
-                if end >= len(held):  # more may come
-                    break
-                cuts.append(end)
-            if len(cuts) > 1:
-                yield lines(held.slice(0, cuts[-1]), cuts)
-                held = held.slice(cuts[-1])
-        if len(held):
-            yield lines(held, [0, len(held)])
+                fits = int(np.searchsorted(ends, before + max_bytes_per_file - size, side="right")) - begin
+                take = max(min(records_per_file - count, fits), 0 if count else 1)
+                if take:
+                    part = records.slice(begin, take)
+                    held.append(part)
+                    begin, count = begin + len(part), count + len(part)
+                    size += int(ends[begin - 1]) - before
+                if begin < len(records) or count >= records_per_file:
+                    yield line(held)
+                    held, count, size = [], 0, 0
+        if held:
+            yield line(held)
 
     return run
 

@@ -1,27 +1,12 @@
-"""Keyed mutable tables on plain parquet: evolve, upsert, publish versions.
+"""Keyed tables: conforming rows to a target's schema, and the keyed upsert.
 
-Parquet folders cannot be updated in place and overwriting the folder being
-read destroys it, so a keyed table is a series of immutable version folders
-plus an append-only log. A version becomes current only after its data
-commit succeeded and its log entry was created; readers always take the
-highest logged version. Every attempt writes a folder of its own, and a log
-entry is created only if its number is free, so of two writers that started
-from the same version one fails and destroys nothing.
-
-A table published by :func:`publish_merge` is cut into buckets by a hash of
-its key. A version then lists the folder of each bucket, and a merge rewrites
-only the buckets its staged rows touch; the others are taken over as they are.
+Both are DataFrame in, DataFrame out; :mod:`tierline.sinks.target` writes the
+result.
 """
 
 from __future__ import annotations
 
-import json
-import uuid
-from datetime import datetime, timezone
-
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -31,13 +16,6 @@ from ..operators.keys import assert_no_null_keys, assert_unique
 IN_STAGED = "__in_staged"
 IN_TARGET = "__in_target"
 STAGED_PREFIX = "__s_"
-LOG_DIR = "_versions"
-LOG_SCHEMA = ("version long, path string, published_at timestamp, through_batch long, "
-              "n_buckets int, buckets map<string, string>")
-BUCKET = "_bucket"
-BUCKETS = 64
-# Versions that are kept; older folders are removed after a publish.
-KEEP_VERSIONS = 3
 
 
 def evolve(
@@ -146,175 +124,3 @@ def _split_by_staged_keys(t: DataFrame, s: DataFrame, key: str) -> DataFrame:
     replaced = t.join(keys, on=key, how="left_semi")
     staged_side = s.join(replaced, on=key, how="left")
     return survivors.unionByName(staged_side, allowMissingColumns=True)
-
-
-def _log_path(root: str) -> str:
-    return f"{root.rstrip('/')}/{LOG_DIR}"
-
-
-def _log(spark: SparkSession, root: str) -> DataFrame | None:
-    try:
-        return spark.read.schema(LOG_SCHEMA).json(_log_path(root))
-    except AnalysisException as exc:
-        if exc.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
-
-
-def latest_entry(spark: SparkSession, root: str) -> dict | None:
-    """The log entry of the current version, or None if nothing was published."""
-    log = _log(spark, root)
-    row = None if log is None else log.orderBy(F.col("version").desc()).limit(1).collect()
-    return row[0].asDict() if row else None
-
-
-def latest_version(spark: SparkSession, root: str) -> tuple[int, str] | None:
-    """``(version, path)`` of the current version, or None if nothing was
-    published; ``path`` holds what that version wrote."""
-    entry = latest_entry(spark, root)
-    return (int(entry["version"]), entry["path"]) if entry else None
-
-
-def _paths(entry: dict) -> list[str]:
-    return sorted(entry["buckets"].values()) if entry["buckets"] is not None else [entry["path"]]
-
-
-def published_batch(spark: SparkSession, root: str) -> int:
-    """The last micro-batch that a published version holds, or -1."""
-    log = _log(spark, root)
-    last = None if log is None else log.agg(F.max("through_batch")).first()[0]
-    return -1 if last is None else int(last)
-
-
-def read_current(spark: SparkSession, root: str, schema: StructType | None = None) -> DataFrame:
-    """The current version; an empty frame of ``schema`` when none exists."""
-    entry = latest_entry(spark, root)
-    if entry is None:
-        if schema is None:
-            raise FileNotFoundError(f"no published version under {root}")
-        return spark.createDataFrame([], schema)
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(*_paths(entry))
-
-
-class ConcurrentPublish(RuntimeError):
-    """Another writer has published the version this one was based on."""
-
-
-_UNKNOWN = object()
-
-
-def publish(
-    df: DataFrame,
-    root: str,
-    previous=_UNKNOWN,
-    through_batch: int | None = None,
-    key: str | None = None,
-    keep_versions: int = KEEP_VERSIONS,
-) -> str:
-    """Write ``df`` as the next version and log it; returns the version path.
-
-    ``previous`` is the ``latest_version`` the caller already read; a version
-    published meanwhile raises :class:`ConcurrentPublish` and stays as it is.
-    A failed attempt leaves no log entry, so readers keep the previous
-    version. With ``key``, null or repeated keys in the written version refuse
-    the publish. Only the last ``keep_versions`` versions are kept.
-    """
-    spark = df.sparkSession
-    latest = latest_version(spark, root) if previous is _UNKNOWN else previous
-    version = 1 if latest is None else latest[0] + 1
-    path = _attempt_path(root, version)
-    df.write.parquet(path)
-    _finish(spark, root, version, path, key, through_batch, None, None, keep_versions)
-    return path
-
-
-def publish_merge(
-    staged: DataFrame,
-    root: str,
-    key: str,
-    merge,
-    schema: StructType,
-    through_batch: int | None = None,
-    buckets: int = BUCKETS,
-    keep_versions: int = KEEP_VERSIONS,
-) -> str:
-    """Publish ``merge(target, staged)`` as the next version, rewriting only
-    the buckets that ``staged`` touches; ``target`` holds the current rows of
-    these buckets. Returns the folder of the rewritten buckets."""
-    spark = staged.sparkSession
-    entry = latest_entry(spark, root)
-    version = 1 if entry is None else int(entry["version"]) + 1
-    bucket = F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
-    same = entry is not None and entry["n_buckets"] == buckets
-    kept = dict(entry["buckets"]) if same else {}
-    if same:
-        touched = [str(r[0]) for r in staged.select(bucket).distinct().collect()]  # at most ``buckets`` rows
-        paths = [kept[b] for b in touched if b in kept]
-    else:  # not bucketed so far, or into another number: rewritten once
-        paths = [] if entry is None else _paths(entry)
-    target = spark.read.parquet(*paths) if paths else spark.createDataFrame([], schema)
-    path = _attempt_path(root, version)
-    merged = merge(target, staged).withColumn(BUCKET, bucket)
-    merged.repartition(BUCKET).write.partitionBy(BUCKET).parquet(path)
-    written = spark.read.parquet(path).select(BUCKET).distinct().collect()  # at most ``buckets`` rows
-    kept |= {str(r[0]): f"{path}/{BUCKET}={r[0]}" for r in written}
-    _finish(spark, root, version, path, key, through_batch, buckets, kept, keep_versions)
-    return path
-
-
-def _attempt_path(root: str, version: int) -> str:
-    return f"{root.rstrip('/')}/version-{version:010d}-{uuid.uuid4().hex[:12]}"
-
-
-def _finish(spark, root, version, path, key, through_batch, n_buckets, buckets, keep_versions) -> None:
-    """Check the written keys, log the version, drop what became old."""
-    if key:
-        written = spark.read.parquet(path).select(key)
-        assert_no_null_keys(written, key, what="target")
-        assert_unique(written, key, what="target")
-    _create_log_entry(spark, root, {
-        "version": version, "path": path, "through_batch": through_batch, "n_buckets": n_buckets, "buckets": buckets,
-        "published_at": datetime.now(timezone.utc).isoformat(),
-    })
-    _drop_old_versions(spark, root, version - keep_versions)
-
-
-def _file_system(spark: SparkSession, path: str):
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
-
-
-def _create_log_entry(spark: SparkSession, root: str, entry: dict) -> None:
-    """Create the entry's file, which fails if its number is taken."""
-    fs, where = _file_system(spark, f"{_log_path(root)}/{entry['version']:010d}.json")
-    try:
-        out = fs.create(where, False)
-    except Py4JJavaError as exc:
-        if "FileAlreadyExists" in str(exc.java_exception.getClass().getName()) or fs.exists(where):
-            raise ConcurrentPublish(f"version {entry['version']} of {root} exists") from exc
-        raise
-    try:
-        out.write(bytearray((json.dumps(entry) + "\n").encode()))
-    finally:
-        out.close()
-
-
-def _drop_old_versions(spark: SparkSession, root: str, up_to: int) -> None:
-    """Remove the folders that the log entry ``up_to`` lists and the next one
-    does not; older ones went with earlier publishes. Entries stay as history."""
-    if up_to < 1:
-        return
-    entries = {int(r["version"]): _paths(r.asDict()) for r in
-               _log(spark, root).filter(F.col("version").between(up_to, up_to + 1)).collect()}
-    for path in set(entries.get(up_to, [])).difference(entries.get(up_to + 1, [])):
-        fs, where = _file_system(spark, path)
-        fs.delete(where, True)
-
-
-def register_current_view(spark: SparkSession, root: str, name: str, schema: StructType | None = None) -> DataFrame:
-    """Expose the current version as a temporary view, so that SQL (e.g. the
-    dashboard queries a serving database would take) runs on it in Spark."""
-    current = read_current(spark, root, schema)
-    current.createOrReplaceTempView(name)
-    return current
