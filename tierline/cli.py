@@ -40,6 +40,8 @@ def parser() -> argparse.ArgumentParser:
     e.add_argument("--broadcast-max-rows", type=int, default=5_000_000)
     e.add_argument("--salt-buckets", type=int, default=0)
     e.add_argument("--snapshot-dimension", action="store_true")
+    e.add_argument("--refresh-dimension", action="store_true",
+                   help="read the parquet dimension again in every micro-batch")
     e.add_argument("--rejects")
 
     t = sub.add_parser("silver-tickets", help="bronze tickets -> triaged silver parquet")
@@ -48,7 +50,7 @@ def parser() -> argparse.ArgumentParser:
     t.add_argument("--checkpoint", required=True)
     t.add_argument("--rejects")
 
-    g = sub.add_parser("gold", help="silver tickets -> published gold version")
+    g = sub.add_parser("gold", help="silver tickets -> gold target")
     g.add_argument("--silver", required=True)
     g.add_argument("--target", required=True)
     g.add_argument("--rejects")
@@ -60,7 +62,7 @@ def parser() -> argparse.ArgumentParser:
     c.add_argument("--landing")
     c.add_argument("--incremental", action="store_true")
 
-    x = sub.add_parser("export-jdbc", help="current gold version -> serving database table")
+    x = sub.add_parser("export-jdbc", help="gold target -> serving database table")
     x.add_argument("--target", required=True)
     x.add_argument("--url", required=True)
     x.add_argument("--table", required=True)
@@ -98,7 +100,10 @@ def dispatch(spark, args) -> int:
             opts = json.loads(args.dimension_jdbc)
             dim = read_jdbc(spark, opts.pop("url"), opts.pop("table"), **opts)
         elif args.dimension_parquet:
-            dim = spark.read.parquet(args.dimension_parquet)
+            def read_dimension():
+                return spark.read.parquet(args.dimension_parquet)
+
+            dim = read_dimension if args.refresh_dimension else read_dimension()
         else:
             raise SystemExit("silver-events needs --dimension-parquet or --dimension-jdbc")
         run_silver_events(

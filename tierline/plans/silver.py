@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
 from ..functions.triage import DEFAULT_OUTCOME, DEFAULT_RULES, Outcome, Rule, with_triage
@@ -12,6 +15,7 @@ from ..operators.enrich import left_enrich
 from ..operators.keys import REASON, key_rejects, require_key
 from ..schemas import CORRUPT, RAW_EVENT, TICKET
 from ..sources.files import event_json_stream
+from ..streaming.enrich import enrich_each_batch
 from ..streaming.runner import AVAILABLE_NOW, BATCH_FILES, Streams, drain, start_append
 from .bronze import BRONZE_STAMP
 
@@ -37,15 +41,26 @@ def silver_events(
     ingestion_timestamp, event_timestamp.
     """
     kept = require_key(raw, event_key).drop(CORRUPT)
-    joined = left_enrich(kept, dim, key, **join_options)
-    stamped = stamp(joined, "ingestion_timestamp")
-    return parse_timestamp(stamped, "timestamp", "event_timestamp")
+    return _timed(left_enrich(kept, dim, key, **join_options))
+
+
+def _timed(joined: DataFrame) -> DataFrame:
+    return parse_timestamp(stamp(joined, "ingestion_timestamp"), "timestamp", "event_timestamp")
+
+
+def _start_silver(raw: DataFrame, dim, out: str, checkpoint: str, trigger: dict | None, key: str = "user_id",
+                  event_key: str = "event_id", **join_options) -> StreamingQuery:
+    if not callable(dim):
+        return start_append(silver_events(raw, dim, key, event_key, **join_options), out, checkpoint, trigger)
+    join_options.pop("snapshot", None)  # each micro-batch takes its own
+    kept = require_key(raw, event_key).drop(CORRUPT)
+    return enrich_each_batch(kept, dim, key, out, checkpoint, trigger, _timed, **join_options)
 
 
 def run_silver_events(
     spark: SparkSession,
     source: str,
-    dim: DataFrame,
+    dim: DataFrame | Callable[[], DataFrame],
     out: str,
     checkpoint: str,
     max_files_per_trigger: int | None = 100,
@@ -58,6 +73,10 @@ def run_silver_events(
 ) -> Streams:
     """Raw event JSON files -> silver parquet, drained with ``availableNow``.
 
+    A ``dim`` that is a function is called in every micro-batch, which then
+    measures, checks and joins the version it gets; silver is partitioned by
+    ``batch`` in that case (see :mod:`tierline.streaming.enrich`).
+
     With ``rejects`` the rows without an event id, and the lines that do not
     parse, are appended there too (with a reason and the text). The lines are
     then parsed once, by a first stream that lands every row as parquet under
@@ -72,7 +91,7 @@ def run_silver_events(
                             corrupt_column=CORRUPT if keep_corrupt else None)
     drains = bool(trigger and trigger.get("availableNow"))
     if not rejects:
-        streams = Streams(start_append(silver_events(raw, dim, **join_options), out, checkpoint, trigger))
+        streams = Streams(_start_silver(raw, dim, out, checkpoint, trigger, **join_options))
         return streams.drain() if drains else streams
     root = checkpoint.rstrip("/")
     landed = f"{root}-landed"
@@ -81,7 +100,7 @@ def run_silver_events(
         drain(landing)
     rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", BATCH_FILES).parquet(landed)
     streams = Streams(landing)
-    streams.add(lambda: start_append(silver_events(rows, dim, **join_options), out, checkpoint, trigger))
+    streams.add(lambda: _start_silver(rows, dim, out, checkpoint, trigger, **join_options))
     streams.add(lambda: start_append(_rejected(rows, "event_id", UNPARSABLE_EVENT), rejects,
                                      rejects_checkpoint or f"{root}-rejects", trigger))
     return streams.drain() if drains else streams

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from .functions.rule_table import with_rule_table
 from .functions.timefmt import epoch_seconds, iso_text
 from .functions.triage import (
     DEFAULT_OUTCOME,
@@ -42,7 +43,8 @@ from .plans.silver import run_silver_events, run_silver_tickets
 from .schemas import CORRUPT, GOLD_DEFAULTS, GOLD_KEY, GOLD_TARGET, RAW_EVENT, TICKET
 from .session import scratch_path, use_utc
 from .sinks.landing import landing_arrays, write_landing_files
-from .sinks.snapshots import evolve, publish, publish_merge, read_current
+from .sinks.snapshots import evolve
+from .sinks.target import merge_target, read_target, replace_target
 from .sources.files import (
     event_json_stream,
     landing_json_stream,
@@ -60,6 +62,7 @@ from .sources.synthetic import (
     TICKET_PREFIX,
     tickets_from_rows,
 )
+from .streaming.enrich import enrich_each_batch
 from .streaming.runner import batch_count, batches_with_input, run_available_now
 from .testbed import (
     DIMENSION_COLUMNS,
@@ -270,9 +273,49 @@ def triage_templates(spark, sf):
     return t.drop("review_text")
 
 
+# Keywords of the rule table: the first letters of the words of the benchmark
+# items, one rule each, ordered by a hash; outcomes repeat over the rules.
+KEYWORD_LETTERS = 6
+_RULES_SQL = f"""
+    select cast('0x' || substr(md5(keyword), 1, 12) as bigint) as rule_order, keyword from (
+        select distinct substr(word, 1, {KEYWORD_LETTERS}) as keyword
+        from (select unnest(string_split(lower(text), ' ')) as word from benchmark) where length(word) >= {KEYWORD_LETTERS})"""
+
+
+@register("triage_rule_table", f"""
+    with rules as ({_RULES_SQL}),
+    firsts as (select t.ticket_id, min(r.rule_order) as rule_order
+               from ({DOC_TICKETS_SQL}) t join rules r on contains(lower(t.review_text), r.keyword) group by t.ticket_id)
+    select t.ticket_id,
+           case when f.rule_order is null then {_sql_text(DEFAULT_OUTCOME.sentiment)} else 'Negative' end as sentiment,
+           coalesce((f.rule_order % 5)::int, {DEFAULT_OUTCOME.urgency_score}) as urgency_score,
+           coalesce(r.keyword, {_sql_text(DEFAULT_OUTCOME.summary)}) as summary
+    from ({DOC_TICKETS_SQL}) t left join firsts f on t.ticket_id = f.ticket_id left join rules r on f.rule_order = r.rule_order
+    where t.review_text is not null
+    union all
+    select ticket_id, null, null, null from ({DOC_TICKETS_SQL}) t where review_text is null""")
+def triage_rule_table(spark, sf):
+    """F2-F3 with rules as rows: a keyword for each word of the benchmark items,
+    all found in one pass over every whole text; the first rule wins."""
+    words = table(spark, sf, "benchmark").select(F.explode(F.split(F.lower("text"), " ")).alias("word"))
+    keywords = words.filter(F.length("word") >= KEYWORD_LETTERS) \
+        .select(F.substring("word", 1, KEYWORD_LETTERS).alias("keyword")).distinct()
+    order = F.conv(F.substring(F.md5("keyword"), 1, 12), 16, 10).cast("long")
+    rules = keywords.withColumn("rule_order", order).select(
+        "rule_order", "keyword", F.lit("Negative").alias("sentiment"),
+        (F.col("rule_order") % 5).cast("int").alias("urgency_score"), F.col("keyword").alias("summary"))
+    tickets = doc_tickets(spark, sf).select("ticket_id", "review_text")
+    return with_rule_table(tickets, "review_text", rules).select("ticket_id", "triage.*")
+
+
 # ============================================================ landing / bronze
+def _spread(rows: DataFrame) -> DataFrame:
+    """At least ``LANDING_PARTS`` partitions; more stay as they are."""
+    return rows if rows.rdd.getNumPartitions() >= LANDING_PARTS else rows.repartition(LANDING_PARTS)
+
+
 def _land(rows: DataFrame, landing: str) -> None:
-    write_landing_files(rows.repartition(LANDING_PARTS), landing, records_per_file=1_000_000)
+    write_landing_files(_spread(rows), landing, records_per_file=1_000_000)
 
 
 def _land_tickets(spark, sf, name: str) -> str:
@@ -416,6 +459,28 @@ def rate_limit_invariance(spark, sf):
     return outs[small]
 
 
+@register("byte_limit_invariance", _EVENTS_SQL)
+def byte_limit_invariance(spark, sf):
+    """T4 by size: many small files of clicks and few large ones of the rest, a
+    quarter of the bytes per micro-batch; all rows, whatever the limit."""
+    landing = scratch_path(spark, "byte-limit-landing")
+    events, click = raw_events(spark, sf), F.col("event_type") == F.lit("click")
+    write_landing_files(_spread(events.filter(click)), landing, records_per_file=200)
+    _land(events.filter(~click), landing)
+    total = spark.read.format("binaryFile").load(landing).agg(F.sum("length")).first()[0]
+    outs = []
+    for limit in (-(-total // DRAIN_BATCHES), total + 1):
+        out = scratch_path(spark, "byte-limit-out")
+        stream = event_json_stream(spark, landing, RAW_EVENT, max_bytes_per_trigger=limit)
+        query = run_available_now(stream, out, scratch_path(spark, "byte-limit-ckpt"))
+        outs.append(spark.read.schema(RAW_EVENT).parquet(out))
+        if batch_count(query) < -(-total // limit):
+            raise AssertionError(f"{total} bytes at {limit} per batch ran {batch_count(query)} batches")
+    if not same_rows(*outs):
+        raise AssertionError("result depends on the byte limit")
+    return outs[0]
+
+
 @register("require_key", f"{_EVENTS_SQL} where event_id is not null")
 def require_key_q(spark, sf):
     """Rows without an event id are dropped (an empty string would pass)."""
@@ -529,6 +594,54 @@ def silver_event_flow(spark, sf):
     )
 
 
+# Events of the first load of a changing dimension; the others come later.
+FIRST_LOAD = ("view", "click")
+
+
+@register("changing_dimension_join", f"""
+    select e.user_id, e.event_id, e.event_type, e."timestamp", e.payload, d.c_name, d.c_nationkey, d.c_acctbal,
+           case when e.event_type in {FIRST_LOAD} then d.c_mktsegment else 'new ' || d.c_mktsegment end as c_mktsegment
+    from ({RAW_EVENTS_SQL}) e left join ({USER_DIMENSION_SQL}) d
+      on e.user_id = d.user_id and (e.event_type in {FIRST_LOAD} or d.c_nationkey <> 0)""")
+def changing_dimension_join(spark, sf):
+    """J1 with a dimension that gains a version between two micro-batches: other
+    segments, and the users of one nation gone. Every event is joined with the
+    version of its own micro-batch."""
+    root = scratch_path(spark, "changing-dimension")
+    events, first = raw_events(spark, sf), F.col("event_type").isin(*FIRST_LOAD)
+    versions = (user_dimension(spark, sf), user_dimension(spark, sf).filter("c_nationkey <> 0").withColumn(
+        "c_mktsegment", F.concat(F.lit("new "), "c_mktsegment")))
+    for load, version in zip((events.filter(first), events.filter(~first)), versions):
+        _land(load, f"{root}/landing")
+        version.write.mode("overwrite").parquet(f"{root}/dim")
+        enrich_each_batch(event_json_stream(spark, f"{root}/landing", RAW_EVENT), lambda: spark.read.parquet(f"{root}/dim"),
+                          "user_id", f"{root}/out", f"{root}/ckpt", broadcast_max_rows=5_000_000)
+    return spark.read.parquet(f"{root}/out").drop("batch")
+
+
+HOT_USER = "7"
+_HOT_EVENTS_SQL = f"""
+    select event_id, case when event_type in {FIRST_LOAD} and user_id is not null then '{HOT_USER}' else user_id end as user_id,
+           event_type, "timestamp", payload from ({RAW_EVENTS_SQL}) r"""
+
+
+@register("hot_key_stream_join", f"""
+    select e.user_id, e.event_id, e.event_type, e."timestamp", e.payload, {', '.join('d.' + c for c in DIMENSION_COLUMNS)}
+    from ({_HOT_EVENTS_SQL}) e left join ({USER_DIMENSION_SQL}) d on e.user_id = d.user_id""")
+def hot_key_stream_join(spark, sf):
+    """J1 with a user that holds two fifths of a stream: a sketch carried from
+    micro-batch to micro-batch names the hot keys, which are salted."""
+    root = scratch_path(spark, "hot-keys")
+    hot = F.col("event_type").isin(*FIRST_LOAD) & F.col("user_id").isNotNull()
+    _land(raw_events(spark, sf).withColumn("user_id", F.when(hot, F.lit(HOT_USER)).otherwise(F.col("user_id"))),
+          f"{root}/landing")
+    limit = _rate_limit(_files_in(spark, f"{root}/landing"))
+    enrich_each_batch(event_json_stream(spark, f"{root}/landing", RAW_EVENT, max_files_per_trigger=limit),
+                      lambda: user_dimension(spark, sf), "user_id", f"{root}/out", f"{root}/ckpt",
+                      salt_buckets=8, hot_share=0.05)
+    return spark.read.parquet(f"{root}/out").drop("batch")
+
+
 # ==================================================================== upsert
 def _load_metrics_sql(where: str) -> str:
     return f"""
@@ -561,7 +674,7 @@ _LOADS_SQL = [_load_metrics_sql(where) for where in (
     from loads qualify row_number() over (partition by product_id order by load desc) = 1""")
 def gold_upsert(spark, sf):
     """K4-K5: three loads that cover all order lines, upserted in order; the
-    current version has each product's metrics of its latest load: replaced,
+    target has each product's metrics of its latest load: replaced,
     surviving and inserted products (staged keys broadcast, target not shuffled)."""
     return _gold_upsert(spark, sf, "gold-upsert", UPSERT_BROADCAST_ROWS)
 
@@ -573,9 +686,9 @@ def _gold_upsert(spark, sf, name: str, broadcast_max_rows):
     for load in (shipped < first, (shipped >= first) & (shipped < second), (shipped >= second) | shipped.isNull()):
         # staged metrics are small (one row per product): materialized once, as run_gold does
         staged = _load_metrics(spark, sf, load).checkpoint()
-        publish_merge(staged, root, GOLD_KEY, partial(merge_into_target, broadcast_max_rows=broadcast_max_rows),
-                      GOLD_TARGET)
-    cur = read_current(spark, root)
+        merge_target(staged, root, GOLD_KEY, partial(merge_into_target, broadcast_max_rows=broadcast_max_rows),
+                     GOLD_TARGET)
+    cur = read_target(spark, root)
     return cur.select(
         *[c for c in cur.columns if c != "last_updated_at"],
         F.col("last_updated_at").isNotNull().alias("has_last_updated_at"),
@@ -602,8 +715,8 @@ def target_evolve(spark, sf):
         line_tickets(spark, sf).withColumn("product_id", F.col("product_id").cast("string"))
     )
     root = scratch_path(spark, "target-evolve")
-    publish(narrow, root)
-    healed = evolve(read_current(spark, root), GOLD_TARGET, GOLD_DEFAULTS, now_columns=("last_updated_at",))
+    replace_target(narrow, root, GOLD_KEY)
+    healed = evolve(read_target(spark, root), GOLD_TARGET, GOLD_DEFAULTS, now_columns=("last_updated_at",))
     return healed.select(
         *[c for c in healed.columns if c != "last_updated_at"],
         F.col("last_updated_at").isNotNull().alias("has_last_updated_at"),
@@ -665,7 +778,7 @@ def medallion_run(spark, sf):
     _land(doc_tickets(spark, sf), landing)
     paths = ChainPaths.under(root, landing)
     run_chain(spark, paths, rules=TEXT_RULES)
-    cur = read_current(spark, paths.gold)
+    cur = read_target(spark, paths.gold)
     return cur.select(
         *[c for c in cur.columns if c != "last_updated_at"],
         F.col("last_updated_at").isNotNull().alias("has_last_updated_at"),
@@ -685,7 +798,7 @@ def medallion_incremental(spark, sf):
     for load in (F.col("lang") == F.lit("en"), ~(F.col("lang") == F.lit("en")) | F.col("lang").isNull()):
         _land(tickets.filter(load).drop("lang"), landing)
         run_chain(spark, paths, rules=TEXT_RULES, incremental=True)
-    cur = read_current(spark, paths.gold)
+    cur = read_target(spark, paths.gold)
     return cur.select(
         *[c for c in cur.columns if c != "last_updated_at"],
         F.col("last_updated_at").isNotNull().alias("has_last_updated_at"),
@@ -736,7 +849,7 @@ def gold_incremental_loads(spark, sf):
     for load in (early, ~early | F.col("l_shipdate").isNull()):
         rows.filter(load).drop("l_shipdate").write.mode("append").parquet(f"{root}/silver")
         run_gold_incremental(spark, f"{root}/silver", f"{root}/gold", f"{root}/ckpt", schema)
-    cur = read_current(spark, f"{root}/gold")
+    cur = read_target(spark, f"{root}/gold")
     return cur.select(
         *[c for c in cur.columns if c != "last_updated_at"],
         F.col("last_updated_at").isNotNull().alias("has_last_updated_at"),
@@ -759,7 +872,7 @@ def landing_rejects(spark, sf):
     known = F.coalesce(F.col("lang").isin(*damage), F.lit(False))
     _land(tickets.filter(~known).drop("lang"), f"{root}/landing")
     for lang, broken in damage.items():
-        arrays = landing_arrays(tickets.filter(F.col("lang") == lang).drop("lang").repartition(LANDING_PARTS), 1_000_000)
+        arrays = landing_arrays(_spread(tickets.filter(F.col("lang") == lang).drop("lang")), 1_000_000)
         arrays.select(broken.alias("value")).write.mode("append").option("maxRecordsPerFile", 1) \
             .option("lineSep", "\n").text(f"{root}/landing")
     run_bronze(spark, f"{root}/landing", f"{root}/bronze", f"{root}/ckpt/bronze")
@@ -768,7 +881,7 @@ def landing_rejects(spark, sf):
     kept = spark.read.parquet(f"{root}/silver").select("ticket_id", F.lit("kept").alias("outcome"))
     ids = F.explode(F.array_distinct(F.regexp_extract_all(CORRUPT, F.lit('"ticket_id":"(DOC-[0-9]+)"'), F.lit(1))))
     lost = spark.read.parquet(f"{root}/rejects").select(ids.alias("ticket_id"), F.col("reject_reason").alias("outcome"))
-    return kept.unionByName(lost)
+    return kept.unionByName(lost.distinct())  # a ticket of two arrays is rejected with each
 
 
 @register("gold_rejects", """
