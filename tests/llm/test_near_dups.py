@@ -3,6 +3,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tierline.llm import near_dups as nd
 
@@ -88,6 +89,45 @@ def test_edges(spark, edge_docs, no_docs):
     assert nd.keep_one(no_docs).columns == no_docs.columns
 
 
+A = "the first of two passages that each have enough words to be told apart"
+B = "another passage, about other things, whose words the first does not hold"
+
+
+def test_texts_that_share_an_id_are_kept_each_for_itself(spark):
+    near_a = A.replace("first", "very first of all")
+    for rows, want in (
+        ([(1, A), (5, A), (5, B), (9, B)], [(1, A), (5, B)]),
+        ([(5, A), (5, B), (3, A), (5, B)], [(3, A), (5, B)]),
+        ([(5, A), (5, B), (None, A), (None, A)], [(5, A), (5, B), (None, A), (None, A)]),
+        ([(5, A + " " + A + " " + B), (5, A + " " + A + " " + B + " x"), (7, near_a)], [(5, None), (7, near_a)]),
+    ):
+        docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("dup_node", F.lit("x"))
+        kept = nd.keep_one(docs, 2, 80, 100)
+        assert kept.columns == docs.columns
+        got = [(r.doc_id, r.text) for r in kept.collect()]
+        assert len(got) == len(want)
+        assert all(any(g[0] == w[0] and w[1] in (None, g[1]) for g in got) for w in want)
+
+
+def test_repeated_ids_equal_brute_force(spark):
+    rng = random.Random(11)
+    rows = [(rng.randrange(40), text) for _, text in near_copies(5, 20, 6, 0.06)]
+    rows += rng.sample(rows, 15)
+    texts = sorted(set(rows))  # (doc_id, text) pairs are the documents, in the order of their ids
+    groups = brute_force([(i, t) for i, (_, t) in enumerate(texts)], 3, 85, 100)
+    lowest = {}
+    for i, (doc_id, _) in enumerate(texts):
+        lowest[groups[i][1]] = min(lowest.get(groups[i][1], doc_id), doc_id)
+    want = {texts[i]: (n, lowest[c]) for i, (n, c) in groups.items()}
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = nd.near_duplicates(docs, 3, 85, 100).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in got) == \
+        sorted((d, *want[d, t], want[d, t][1] == d) for d, t in rows)
+    kept = [(r.doc_id, r.text) for r in nd.keep_one(docs, 3, 85, 100).collect()]
+    of_text = {t: c for i, (_, t) in enumerate(texts) for c in [groups[i][1]]}
+    assert sorted(of_text[t] for _, t in kept) == sorted({c for _, c in groups.values()})
+
+
 def test_posterior_bounds_keep_similar_pairs():
     for hashes, batches in ((120, range(20, 121, 20)), (nd.LONG_HASHES, nd.LONG_BATCHES)):
         least = nd.least_matches(0.85, batches)

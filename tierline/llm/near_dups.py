@@ -27,8 +27,10 @@ No link between different texts is lost to a cap.
 Defined results: a null or empty text, or one without words, has an empty set
 and is linked with nothing; a text with fewer words than a shingle has one
 shingle, its whole word sequence; a row without doc_id is linked with nothing
-and stays (component null); rows that repeat a doc_id are one document; other
-columns are ignored; an empty table gives no rows.
+and stays (component null); rows that repeat both doc_id and text are one
+document; texts that share a doc_id are documents of their own, linked only if
+they are similar, so none is dropped for what another one is; other columns are
+ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -274,6 +276,40 @@ def near_duplicates(
     of their shingle sets; a component is named by its smallest doc_id, which
     is the one that is kept.
     """
+    nodes = _text_nodes(docs)
+    if nodes is None:
+        return _groups(docs, shingle_words, numerator, denominator)
+    numbered = _with_node(docs, nodes, "node")
+    groups = _groups(numbered.select(F.col("node").alias("doc_id"), "text"), shingle_words, numerator, denominator)
+    own = nodes.select("node", "doc_id")
+    named = groups.withColumnsRenamed({"doc_id": "node", "component_id": "root"}).join(own, "node", "left") \
+        .join(own.select(F.col("node").alias("root"), F.col("doc_id").alias("component_id")), "root", "left")
+    return named.select("doc_id", "n_shingles", "component_id",
+                        F.coalesce(F.col("component_id") == F.col("doc_id"), F.lit(True)).alias("kept"))
+
+
+def _text_nodes(docs: DataFrame) -> DataFrame | None:
+    """(doc_id, text_key, node): a number for each text of each doc_id, in the
+    order of the ids; None if every id has one text, which then stands for it."""
+    keyed = docs.filter(F.col("doc_id").isNotNull()) \
+        .select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"))
+    several = keyed.groupBy("doc_id").agg(F.min("text_key").alias("a"), F.max("text_key").alias("b")).filter("a <> b")
+    if several.isEmpty():
+        return None
+    # Numbers grow along the partitions of a sorted frame; written once, they stay.
+    ordered = keyed.distinct().sort("doc_id", "text_key").withColumn("node", F.monotonically_increasing_id())
+    return materialize(ordered, "dups-nodes-of-texts")
+
+
+def _with_node(docs: DataFrame, nodes: DataFrame, name: str) -> DataFrame:
+    """``docs`` with the node of each row (null without doc_id)."""
+    named = nodes.select(F.col("doc_id").alias(f"{name}_id"), F.col("text_key").alias(f"{name}_key"), F.col("node").alias(name))
+    same = (F.col("doc_id").cast("long") == F.col(f"{name}_id")) & (F.xxhash64("text") == F.col(f"{name}_key"))
+    return docs.join(named, same, "left").drop(f"{name}_id", f"{name}_key")
+
+
+def _groups(docs: DataFrame, shingle_words: int, numerator: int, denominator: int) -> DataFrame:
+    """:func:`near_duplicates` where rows that repeat a doc_id repeat its text."""
     threshold = numerator / denominator
     n_bands = band_count(threshold)
     hashes = n_bands * BAND_ROWS
@@ -328,19 +364,20 @@ def near_duplicates(
 
 def keep_one(docs: DataFrame, shingle_words: int = 5, numerator: int = 80, denominator: int = 100) -> DataFrame:
     """``docs`` with one document of each group; rows that repeat both doc_id
-    and text count as one, other rows are kept or dropped by their doc_id."""
-    rows = materialize(near_duplicates(docs, shingle_words, numerator, denominator)
-                       .select("doc_id", "kept"), "dups-kept")
-    name = free_name(docs, "dup_doc_id")
-    dropped = few(materialize(rows.filter(~F.col("kept")).select(F.col("doc_id").alias(name)).distinct(), "dups-dropped"))
-    repeated = rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 and doc_id is not null") \
-        .select(F.col("doc_id").alias(name))
-    of_row = F.col("doc_id").cast("long") == F.col(name)
-    left = docs.join(dropped, of_row, "left_anti")
+    and text count as one document and leave one row, texts that share a doc_id
+    are kept or dropped each for itself. Rows without doc_id stay."""
+    nodes = _text_nodes(docs)
+    name = free_name(docs, "dup_node")
+    numbered = docs.withColumn(name, F.col("doc_id").cast("long")) if nodes is None else _with_node(docs, nodes, name)
+    rows = materialize(_groups(numbered.select(F.col(name).alias("doc_id"), "text"), shingle_words, numerator, denominator)
+                       .select(F.col("doc_id").alias(name), "kept"), "dups-kept")
+    dropped = few(materialize(rows.filter(~F.col("kept")).select(name).distinct(), "dups-dropped"))
+    repeated = rows.groupBy(name).agg(F.count(F.lit(1)).alias("n")).filter((F.col("n") > 1) & F.col(name).isNotNull()).select(name)
+    left = numbered.join(dropped, name, "left_anti")
     if not repeated.isEmpty():
         repeated = materialize(repeated, "dups-repeated")
-        left = left.join(repeated, of_row, "left_anti").unionByName(
-            left.join(repeated, of_row, "left_semi").dropDuplicates(["doc_id", "text"]))
+        left = left.join(repeated, name, "left_anti").unionByName(
+            left.join(repeated, name, "left_semi").dropDuplicates([name]))
     return left.select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
