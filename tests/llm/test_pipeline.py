@@ -90,6 +90,10 @@ def test_stages_keep_the_columns(spark, edge_docs, no_docs, sf):
     for docs in (edge_docs, no_docs):
         for _, stage in corpus_pipeline.STAGES[:-1]:
             assert stage(spark, docs, sf).columns == docs.columns
+    clashing = edge_docs.selectExpr("*", "'x' as lid_lang", "1 as lid_score", "'y' as dup_node")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        clashing_out = stage(spark, clashing, sf)
+        assert clashing_out.columns == clashing.columns and clashing_out.filter("lid_lang <> 'x'").count() == 0
     texts = {r.text for r in corpus_pipeline.identify_language(spark, edge_docs, sf).collect()}
     assert None not in texts and "" not in texts and "12 34 !!" not in texts
     assert corpus_pipeline.write_token_files(spark, edge_docs, sf).count() == 12

@@ -284,9 +284,9 @@ def train(labelled: DataFrame) -> Model:
     return model
 
 
-def predict(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
-    """The columns ``keep`` of ``docs``, which must not have these names, with
-    ``lid_lang`` and ``lid_score``."""
+def predict(docs: DataFrame, model: Model, keep: list[str], lang: str = "lid_lang", score: str = "lid_score") -> DataFrame:
+    """The columns ``keep`` of ``docs`` with the predicted language and its
+    score in columns ``lang`` and ``score``, names that ``keep`` must not have."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)
     columns = [F.col(f"`{c}`") for c in keep] + ([] if "text" in keep else [F.col("text")])
@@ -307,10 +307,10 @@ def predict(docs: DataFrame, model: Model, keep: list[str]) -> DataFrame:
                         names[at + k], scores[at + k] = language, value
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:len(keep)], pa.array(names, pa.string()), pa.array(scores, pa.float64())],
-                names=[*keep, "lid_lang", "lid_score"])
+                names=[*keep, lang, score])
 
     small_batches(spark)
-    return source.mapInArrow(label, f"{fields}, lid_lang string, lid_score double")
+    return source.mapInArrow(label, f"{fields}, `{lang}` string, `{score}` double")
 
 
 def held_out() -> Column:
