@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierline.llm import contamination, language_id, mixing, near_dups, token_files
-from tierline.llm.common import materialize, read_table
+from tierline.llm.common import free_name, materialize, read_table
 from tierline.session import scratch_path
 
 # SQL cannot express trained classifiers or the tokenizer.
@@ -34,8 +34,9 @@ END_ID = 2
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents in a recognized language; texts without a letter go."""
     model = language_id.train(docs)
-    named = language_id.predict(docs, model, docs.columns)
-    known = (F.col("lid_lang") != language_id.UNDETERMINED) & (F.col("lid_score") >= LEAST_LANGUAGE_SCORE)
+    lang, score = free_name(docs, "lid_lang"), free_name(docs, "lid_score")
+    named = language_id.predict(docs, model, docs.columns, lang, score)
+    known = (F.col(lang) != language_id.UNDETERMINED) & (F.col(score) >= LEAST_LANGUAGE_SCORE)
     return named.filter(known).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 

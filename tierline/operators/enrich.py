@@ -30,7 +30,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import scratch_root
+from ..session import materialize
 
 SALT = "__salt"
 HOT = "__hot"
@@ -120,8 +120,8 @@ def left_enrich(
     """Left join ``facts`` with ``dim`` on the shared column(s) ``on``.
 
     ``validate_unique`` refuses a dimension with repeated keys (they would
-    multiply fact rows). ``snapshot`` materializes the dimension once with a
-    reliable checkpoint in the session's checkpoint folder, so a stream sees
+    multiply fact rows). ``snapshot`` materializes the dimension once in the
+    session's checkpoint folder, so a stream sees
     one version of it instead of re-reading the source in every micro-batch;
     a stream with a broadcast bound always takes one.
     """
@@ -130,8 +130,7 @@ def left_enrich(
         if dim.schema[k].dataType != facts.schema[k].dataType:
             dim = dim.withColumn(k, F.col(k).try_cast(facts.schema[k].dataType))
     if snapshot or facts.isStreaming and broadcast_max_rows is not None:
-        scratch_root(dim.sparkSession)  # reliable checkpoints need the shared folder
-        dim = dim.checkpoint(eager=True)
+        dim = materialize(dim, "dimension")
     fits = False
     if validate_unique:
         rows, widest, size = dimension_profile(dim.filter(~_any_null(keys)), keys)

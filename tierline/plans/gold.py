@@ -14,7 +14,7 @@ from ..operators.keys import split_by_key
 from ..schemas import GOLD_DEFAULTS, GOLD_KEY, GOLD_MAX_LENGTH, GOLD_STAMP, GOLD_TARGET
 from ..sinks.snapshots import evolve, upsert
 from ..sinks.target import merge_target, read_target
-from ..session import scratch_root
+from ..session import materialize
 from ..sources.files import read_parquet_guarded
 from ..sources.jdbc import write_jdbc
 from ..streaming.runner import AVAILABLE_NOW, BATCH_FILES, Streams, start_append
@@ -68,13 +68,12 @@ def run_gold(
 
     Missing or empty silver is "nothing to do": the target stays as it is.
     Tickets without a product cannot be keyed; they go to ``rejects_path``
-    one by one, with the reason. The per-product aggregate is checkpointed
-    once (it is small: one row per product) and then feeds the upsert.
+    one by one, with the reason. The per-product aggregate is
+    materialized once (it is small: one row per product) and feeds the upsert.
     """
-    scratch_root(spark)  # reliable checkpoints need the shared folder
     rows = read_parquet_guarded(spark, silver, silver_schema)
     keyed, rejects = split_by_key(rows, GOLD_KEY)
-    staged = gold_staged(keyed).checkpoint(eager=True)
+    staged = materialize(gold_staged(keyed), "gold-staged")
     if rejects_path and not rows.isEmpty():
         rejects.write.mode("overwrite").parquet(rejects_path)
     if staged.isEmpty():
@@ -122,14 +121,13 @@ def run_gold_incremental(
     keyed, rejects = split_by_key(rows, GOLD_KEY)
     deltas = f"{checkpoint.rstrip('/')}-deltas"
     drains = bool(trigger and trigger.get("availableNow"))
-    scratch_root(spark)  # reliable checkpoints need the shared folder
     _merge_deltas(spark, deltas, target_root)  # of a run that failed
 
     def keep_batch(batch: DataFrame, batch_id: int) -> None:
         if drains:
             batch.write.mode("overwrite").parquet(f"{deltas}/{BATCH}={batch_id}")
         else:
-            merge_target(batch.checkpoint(eager=True), target_root, GOLD_KEY, merge_into_target, GOLD_TARGET)
+            merge_target(materialize(batch, "gold-batch"), target_root, GOLD_KEY, merge_into_target, GOLD_TARGET)
 
     writer = (
         gold_staged(keyed).writeStream.outputMode("update")
@@ -156,7 +154,7 @@ def _merge_deltas(spark: SparkSession, deltas: str, target_root: str) -> None:
         return
     columns = [c for c in rows.columns if c != BATCH]
     newest = rows.groupBy(GOLD_KEY).agg(F.max_by(F.struct(*columns), BATCH).alias("r")).select("r.*")
-    merge_target(newest.checkpoint(eager=True), target_root, GOLD_KEY, merge_into_target, GOLD_TARGET)
+    merge_target(materialize(newest, "gold-newest"), target_root, GOLD_KEY, merge_into_target, GOLD_TARGET)
     spark.createDataFrame([], schema).write.mode("overwrite") \
         .option("partitionOverwriteMode", "static").partitionBy(BATCH).parquet(deltas)
 

@@ -41,7 +41,7 @@ from .plans.chain import ChainPaths, run_chain
 from .plans.gold import UPSERT_BROADCAST_ROWS, merge_into_target, run_gold_incremental
 from .plans.silver import run_silver_events, run_silver_tickets
 from .schemas import CORRUPT, GOLD_DEFAULTS, GOLD_KEY, GOLD_TARGET, RAW_EVENT, TICKET
-from .session import scratch_path, use_utc
+from .session import materialize, scratch_path, use_utc
 from .sinks.landing import landing_arrays, write_landing_files
 from .sinks.snapshots import evolve
 from .sinks.target import merge_target, read_target, replace_target
@@ -562,7 +562,7 @@ def salted_left_join(spark, sf):
 @register("stream_static_left_join", _JOIN_SQL)
 def stream_static_left_join(spark, sf):
     """J1 stream x static: dimension checked unique, size-checked broadcast,
-    snapshotted once by a reliable checkpoint."""
+    materialized once in the checkpoint folder."""
     landing = _land_events(spark, sf, "stream-join")
     out = scratch_path(spark, "stream-join-out")
     stream = event_json_stream(spark, landing, RAW_EVENT)
@@ -685,7 +685,7 @@ def _gold_upsert(spark, sf, name: str, broadcast_max_rows):
     shipped = F.col("l_shipdate")
     for load in (shipped < first, (shipped >= first) & (shipped < second), (shipped >= second) | shipped.isNull()):
         # staged metrics are small (one row per product): materialized once, as run_gold does
-        staged = _load_metrics(spark, sf, load).checkpoint()
+        staged = materialize(_load_metrics(spark, sf, load), "gold-load")
         merge_target(staged, root, GOLD_KEY, partial(merge_into_target, broadcast_max_rows=broadcast_max_rows),
                      GOLD_TARGET)
     cur = read_target(spark, root)

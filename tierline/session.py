@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every tierline job expects. Timestamps are interpreted in UTC, ANSI
 # mode stays on (Spark 4 default) so that real faults surface, and adaptive
@@ -90,3 +90,14 @@ def _context(spark: SparkSession):
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused location under :func:`scratch_root`."""
     return f"{scratch_root(spark)}/tierline/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """``df``, computed once: written under :func:`scratch_root` and read back.
+
+    Cuts the lineage like a reliable checkpoint, but computes the rows a single
+    time (an eager checkpoint counts them first) and keeps them in columns.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -125,45 +125,47 @@ def merge_target(
     grown = buckets == 0 or held + rows > GROWTH * buckets * ROWS_PER_BUCKET
     if grown:
         merged = merge(spark.createDataFrame([], schema) if current is None else current.drop(*LAYOUT), staged)
-        _write(merged, root, key, buckets_for(held + rows), True)
+        buckets = buckets_for(held + rows)
+        _write(merged, root, key, buckets, True, buckets)
         return
     here = current if touched is None else current.filter(F.col(BUCKET).isin(touched))
     merged = merge(here.drop(*LAYOUT), staged)
     new_columns = set(merged.columns) != set(current.columns).difference(LAYOUT)
     if new_columns:
         merged = merge(current.drop(*LAYOUT), staged)
-    _write(merged, root, key, buckets, new_columns)
+    _write(merged, root, key, buckets, new_columns, buckets if new_columns or touched is None else len(touched))
 
 
 def replace_target(df: DataFrame, root: str, key: str) -> None:
     """Write ``df`` as the whole target. It must not read the target itself."""
     rows, _ = _profile(df, key, 1, "target")
-    _write(df, root, key, buckets_for(rows), True)
+    _write(df, root, key, buckets_for(rows), True, buckets_for(rows))
 
 
-def _write(df: DataFrame, root: str, key: str, buckets: int, whole: bool) -> None:
-    pending = _pending(root)
-    df.withColumns({BUCKETS: F.lit(buckets), BUCKET: _bucket(key, buckets), WHOLE: F.lit(whole)}) \
-        .write.mode("overwrite").parquet(pending)
-    complete_pending(df.sparkSession, root)
+def _write(df: DataFrame, root: str, key: str, buckets: int, whole: bool, touched: int | None = None) -> None:
+    rows = df.withColumns({BUCKETS: F.lit(buckets), BUCKET: _bucket(key, buckets), WHOLE: F.lit(whole)})
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(WHOLE, BUCKETS).parquet(_pending(root))
+    complete_pending(df.sparkSession, root, touched)
 
 
 def _pending(root: str) -> str:
     return f"{root.rstrip('/')}-pending"
 
 
-def complete_pending(spark: SparkSession, root: str) -> bool:
-    """Bring the rows that wait beside the target into it; whether there were any."""
+def complete_pending(spark: SparkSession, root: str, touched: int | None = None) -> bool:
+    """Bring the rows that wait beside the target into it; whether there were
+    any. ``touched`` is the number of buckets they belong to, counted if None."""
     pending = _open(spark, _pending(root))
     if pending is None:
         return False
-    row = pending.agg(F.max(BUCKETS).alias("buckets"), F.max(WHOLE).alias("whole"),
-                      F.count_distinct(BUCKET).alias("touched")).first()
-    if row["buckets"] is None:
-        return False
+    whole = any(f"/{WHOLE}=true/" in f for f in pending.inputFiles())
+    if touched is None:
+        touched = pending.agg(F.count_distinct(BUCKET)).first()[0]
     # As many tasks as buckets, each written whole by one of them.
-    dealt = pending.drop(WHOLE).repartition(int(row["touched"]), BUCKET)
-    dealt.write.mode("overwrite").option("partitionOverwriteMode", "static" if row["whole"] else "dynamic") \
+    dealt = pending.drop(WHOLE).repartition(max(int(touched), 1), BUCKET)
+    dealt.write.mode("overwrite").option("partitionOverwriteMode", "static" if whole else "dynamic") \
         .partitionBy(*LAYOUT).parquet(root)
-    spark.createDataFrame([], pending.schema).write.mode("overwrite").parquet(_pending(root))
+    # An overwrite by no rows leaves no partition, which reads as no pending rows.
+    spark.createDataFrame([], pending.schema).write.mode("overwrite").option("partitionOverwriteMode", "static") \
+        .partitionBy(WHOLE, BUCKETS).parquet(_pending(root))
     return True

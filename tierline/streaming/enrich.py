@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.enrich import left_enrich, measured_hot_keys
-from ..session import scratch_root
+from ..session import materialize
 from ..sources.files import read_parquet_guarded
 from .runner import AVAILABLE_NOW, drain
 
@@ -107,7 +107,6 @@ def enrich_each_batch(
     which runs again after a restart. The default trigger drains and stops.
     """
     spark = stream.sparkSession
-    scratch_root(spark)  # reliable checkpoints need the shared folder
     keys = [on] if isinstance(on, str) else list(on)
     sketch = HotKeys(spark, f"{checkpoint.rstrip('/')}-hot-keys", keys[0], hot_share) if len(keys) == 1 else None
 
@@ -117,7 +116,7 @@ def enrich_each_batch(
             hot = None
             if salt_buckets:
                 hot = sketch.update(batch, batch_id) if sketch else measured_hot_keys(batch, keys, hot_share)
-            joined = left_enrich(batch, dimension().checkpoint(eager=True), keys, validate_unique=validate_unique,
+            joined = left_enrich(batch, materialize(dimension(), "dimension"), keys, validate_unique=validate_unique,
                                  salt_buckets=salt_buckets, hot_keys=hot, **join_options)
             (then(joined) if then else joined).write.mode("overwrite").parquet(f"{out}/{BATCH}={batch_id}")
         finally:
