@@ -62,6 +62,12 @@ def parser() -> argparse.ArgumentParser:
     c.add_argument("--landing")
     c.add_argument("--incremental", action="store_true")
 
+    k = sub.add_parser("compact", help="many small files of a tier -> few large ones")
+    k.add_argument("--source", required=True)
+    k.add_argument("--out", required=True)
+    k.add_argument("--checkpoint", required=True)
+    k.add_argument("--target-bytes", type=int, default=128 * 1024 * 1024)
+
     x = sub.add_parser("export-jdbc", help="gold target -> serving database table")
     x.add_argument("--target", required=True)
     x.add_argument("--url", required=True)
@@ -91,6 +97,7 @@ def dispatch(spark, args) -> int:
     from .plans.silver import run_silver_events, run_silver_tickets
     from .functions.triage import DEFAULT_OUTCOME, DEFAULT_RULES
     from .sources.jdbc import read_jdbc
+    from .streaming.compact import run_compaction
 
     if args.job == "bronze":
         run_bronze(spark, args.landing, args.bronze, args.checkpoint,
@@ -125,6 +132,9 @@ def dispatch(spark, args) -> int:
     elif args.job == "chain":
         result = run_chain(spark, ChainPaths.under(args.root, args.landing), incremental=args.incremental)
         print(json.dumps({"published": result.path}))
+    elif args.job == "compact":
+        run_compaction(spark, args.source, args.out, args.checkpoint, spark.read.parquet(args.source).schema,
+                       target_bytes=args.target_bytes)
     elif args.job == "export-jdbc":
         path = export_jdbc(spark, args.target, args.url, args.table,
                            user=args.user, password=args.password, driver=args.driver)

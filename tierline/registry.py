@@ -62,6 +62,7 @@ from .sources.synthetic import (
     TICKET_PREFIX,
     tickets_from_rows,
 )
+from .streaming.compact import run_compaction
 from .streaming.enrich import enrich_each_batch
 from .streaming.runner import batch_count, batches_with_input, run_available_now
 from .testbed import (
@@ -403,6 +404,25 @@ def bronze_continuous(spark, sf):
     return b.select(*TICKET_COLUMNS, F.col("ingested_at").isNotNull().alias("has_ingested_at"))
 
 
+@register("bronze_compacted", ORACLES["bronze_append"])
+def bronze_compacted(spark, sf):
+    """K1, K2: a bronze table of many small files, compacted twice on one
+    checkpoint (English tickets first, the rest later) into a few large ones;
+    every ticket once, in at most a fifth of the files."""
+    root = scratch_path(spark, "bronze-compacted")
+    tickets, english = doc_tickets(spark, sf, F.col("lang")), F.col("lang") == F.lit("en")
+    for load in (english, ~english | F.col("lang").isNull()):
+        write_landing_files(_spread(tickets.filter(load).drop("lang")), f"{root}/landing", records_per_file=10)
+        run_bronze(spark, f"{root}/landing", f"{root}/bronze", f"{root}/ckpt/bronze",
+                   max_files_per_trigger=_rate_limit(_files_in(spark, f"{root}/landing")))
+        run_compaction(spark, f"{root}/bronze", f"{root}/compacted", f"{root}/ckpt/compacted",
+                       spark.read.parquet(f"{root}/bronze").schema)
+    small, large = (spark.read.parquet(f"{root}/{name}") for name in ("bronze", "compacted"))
+    if len(large.inputFiles()) > max(2, len(small.inputFiles()) // 5):
+        raise AssertionError(f"{len(small.inputFiles())} files became {len(large.inputFiles())}")
+    return large.select(*TICKET_COLUMNS, F.col("ingested_at").isNotNull().alias("has_ingested_at"))
+
+
 # ==================================================================== events
 _EVENT_COLUMNS = ["event_id", "user_id", "event_type", "timestamp", "payload"]
 _EVENTS_SQL = f"select * from ({RAW_EVENTS_SQL}) e"
