@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
 from tierline.llm import sharding
+from tierline.llm.queries import op9_extendible_shards
 from tierline.session import scratch_path
 
 
@@ -42,6 +43,22 @@ def test_files_hold_every_row(spark, documents):
     assert back.select("shard").distinct().count() > 3
 
 
+def test_one_id_is_written_by_several_tasks(spark):
+    docs = spark.range(0, 4000, numPartitions=8).selectExpr("if(id % 3 = 0, 7, id) as doc_id", "repeat('x', 100) as text")
+    path = scratch_path(spark, "test-shards")
+    sharding.write_shards(docs, path, 20_000)
+    back = spark.read.parquet(path)
+    per_file = back.filter("doc_id = 7").groupBy(F.input_file_name()).count().collect()
+    assert sum(r["count"] for r in per_file) == 1335 and len(per_file) > 4
+    assert max(r["count"] for r in back.groupBy(F.input_file_name()).count().collect()) < 600
+
+
+def test_query_with_a_column_of_the_same_name(spark, edge_docs, tmp_path):
+    edge_docs.withColumn("shard", F.lit("x")).write.parquet(str(tmp_path / "documents.parquet"))
+    rows = op9_extendible_shards(spark, str(tmp_path)).collect()
+    assert len(rows) == 12 and {r.shard for r in rows} == {"s"} and {r.shard_docs for r in rows} == {12}
+
+
 def test_edges(spark, edge_docs, no_docs):
     clash = edge_docs.withColumnsRenamed({"lang": "shard", "source": "shard_bits"})
     out, shard = shards(clash, 1000)

@@ -18,7 +18,7 @@ from . import (
     contamination, language_id, licenses, mixing, near_dups, oracles, personal_data, secret_scan, sharding, simhash,
     spans, spelling, token_files, warc, word_runs,
 )
-from .common import WORD_PATTERN, materialize, read_table
+from .common import WORD_PATTERN, free_name, materialize, read_table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -109,8 +109,9 @@ def op9_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     path = scratch_path(spark, "llm-shards")
     sharding.write_shards(docs, path)
-    files = spark.read.schema(StructType(docs.schema.fields).add("shard", StringType())).parquet(path)
-    rows = files.select("doc_id", "shard", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"))
+    shard = free_name(docs, "shard")
+    files = spark.read.schema(StructType(docs.schema.fields).add(shard, StringType())).parquet(path)
+    rows = files.select("doc_id", F.col(shard).alias("shard"), F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"))
     totals = rows.groupBy("shard").agg(F.sum("n_bytes").alias("shard_bytes"), F.count(F.lit(1)).alias("shard_docs"))
     return rows.join(totals, "shard").select(
         "doc_id", "shard", (F.length("shard") - 1).alias("depth"), "n_bytes", "shard_bytes", "shard_docs",

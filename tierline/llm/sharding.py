@@ -88,7 +88,19 @@ def assign_shards(docs: DataFrame, directory: list[DataFrame]) -> DataFrame:
 
 
 def write_shards(docs: DataFrame, path: str, limit_bytes: int = LIMIT_BYTES) -> None:
-    """Write ``docs`` as one folder of Parquet files per shard under ``path``."""
-    sharded = assign_shards(docs, build_directory(docs, limit_bytes))
+    """Write ``docs`` as one folder of Parquet files per shard under ``path``.
+
+    The number of write tasks follows the number of shards, so a task holds a
+    few shards of bounded size however large the corpus is. A shard that the
+    hash cannot split (rows of one id) is written by as many tasks, each a file
+    of its folder.
+    """
+    directory = build_directory(docs, limit_bytes)
+    n_shards = sum(level.filter(F.col("shard").isNotNull()).select("shard").distinct().count() for level in directory)
+    sharded = assign_shards(docs, directory)
     shard = sharded.columns[-1]
-    sharded.repartition(F.col(shard)).write.partitionBy(shard).parquet(path)
+    tasks = max(2, 2 * n_shards)
+    unsplit = F.length(shard) > HASH_BITS
+    spread = F.pmod(F.xxhash64(F.spark_partition_id(), "text"), F.lit(tasks))
+    dealt = sharded.repartition(tasks, F.col(shard), F.when(unsplit, spread).otherwise(F.lit(0)))
+    dealt.write.partitionBy(shard).parquet(path)
