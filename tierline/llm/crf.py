@@ -5,10 +5,10 @@ Tokens have named features; a label path scores the sum of the weights of its
 penalized log-likelihood of a small labelled table by forward-backward on
 padded batches. Decoding is Viterbi, also on padded batches.
 
-Sequences are framed by the label O on both sides. So a document need not be
-decoded whole: tokens that cannot be part of a span are O by definition, and
-the runs between them (*islands*) are decoded independently, with the same
-result as the whole sequence under that constraint.
+Sequences are framed by the label O on both sides. A document need not be
+decoded whole: where a token's scores prove that its label on the best path is
+O, whatever its neighbours are, the path falls into parts that are decoded
+independently, with the same result as the whole sequence.
 """
 
 from __future__ import annotations
@@ -23,6 +23,8 @@ STEPS = 250
 RATE = 0.15
 # Cells (islands x tokens) that are decoded at a time.
 DECODE_CELLS = 1 << 16
+# Below this, a difference between sums of scores may be rounding.
+SLACK = 1e-6
 
 
 class Crf:
@@ -107,6 +109,26 @@ class Crf:
         known = [self.index[f] for f in features if f in self.index]
         return self.weights[known].sum(axis=0)
 
+    def most(self, scores: np.ndarray) -> np.ndarray:
+        """The most that each token, given its (tokens, labels) scores, can add
+        to a path by another label than O, with the move to that label."""
+        into = self.moves.max(axis=0)[1:] - self.moves[0, 0]
+        return (scores[:, 1:] - scores[:, :1] + into).max(axis=1)
+
+    def undecided(self, most: np.ndarray) -> np.ndarray:
+        """The tokens of a sequence whose label on the best path may be other
+        than O, from what each can add at ``most``.
+
+        The best path gains from each of its runs of labels other than O, else
+        O throughout the run were better. So a token in no stretch whose sum,
+        with the move back to O, is above 0 is O.
+        """
+        back = (self.moves[1:, 0] - self.moves[0, 0]).max()
+        sums = np.concatenate([[0.0], np.cumsum(most)])
+        from_here = np.maximum.accumulate(sums[:0:-1])[::-1]
+        up_to_here = np.minimum.accumulate(sums[:-1])
+        return np.flatnonzero(from_here - up_to_here + back >= -SLACK)
+
     def decode(self, islands: list[np.ndarray]) -> list[np.ndarray]:
         """The best label numbers of each island, given its (tokens, labels) scores."""
         out: list[np.ndarray] = [np.empty(0, dtype=np.int64)] * len(islands)

@@ -3,11 +3,14 @@ over word-shape features for the forms they miss.
 
 The exact spans (email, ip, card, phone) are leftmost and do not overlap within
 a kind. The tagger, trained from the labelled lines below, adds spelled-out
-mail addresses, telephone numbers without a country code, numbers that stand
-beside each other and the like; it never takes an exact span away.
-
-Defined results: a null or empty text has no spans; rows that repeat are
-treated alike; other columns are ignored; texts are searched whole, in time
+mail addresses (``tom at example dot com``), telephone numbers without a
+country code or across a line break, numbers that stand beside each other and
+the like; it never takes an exact span away.
+
+Defined results: a null or empty text has no spans; a null id stays null and
+its text is searched; rows that repeat are treated alike; of spans that start
+together the kind listed first comes first; an empty table gives no rows; other
+columns are ignored, whatever their names; texts are searched whole, in time
 linear in their length.
 """
 
@@ -27,7 +30,9 @@ _IP = re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
-_TRIGGER = re.compile(r"[0-9@]|[\[(](?:at|dot)[\])]")
+# A mail address has an @ or a spelled at, then a dot or a spelled dot.
+_SPELLED = re.compile(r"[A-Za-z0-9]\W*(?:@|\bat\b).*[A-Za-z0-9]\s*(?:\.|\W*\bdot\b)\W*[A-Za-z]{2,}", re.IGNORECASE | re.DOTALL)
+_LONGEST_MAIL = 320
 _EDGES = ".,;:!?*#%$&|\"'<>"
 
 # The labelled table: one line per row, spans in braces.
@@ -39,6 +44,15 @@ send it to {email m.weber (at) post.example.de} today
 contact {email lena [at] example [dot] org} for this
 you can reach {email sam(at)example.com} as well
 email {email kim[at]mail.example.net} first
+{email joe at example dot com}
+reach {email nina at example dot org} for help
+write to {email paul at mail dot example dot net} please
+mail {email lisa.k at example dot com} or call
+it is {email ben_07 at example dot de} and the
+contact {email maria at post dot example dot org} today
+ask {email d.ross at example dot net} about the
+{email olga AT example DOT com}
+send to {email peter (at) example (dot) com} now
 call {phone +1 (212) 555-0143} in the morning
 call {phone (212) 555-0143} in the morning
 the number is {phone (646) 555-0199} and he waits
@@ -48,6 +62,10 @@ tel {phone 415.555.0132} then ask
 telephone {phone 030 555 01234} in the evening
 mobile {phone +44 20 7946 0958} works too
 fax {phone +49 30 555 0123} is old
+ask for {phone (917) 555-0164}
+phone: {phone 718-555-0101} or {phone 718-555-0102}
+{phone 02 5550 1234} is the office
+cell {phone 347.555.0198}
 reach me at {phone (305) 555-0188} or there
 from {ip 192.168.10.4} to {ip 10.0.0.12} it went
 host {ip 203.0.113.77:8080} answered
@@ -92,6 +110,17 @@ the 1st and 2nd and 3rd
 follow @anna and @tom42 there
 meet at noon (at) the place
 the at sign (at) is a sign
+look at the dot on the map
+he arrived at nine on the dot and left
+at a dot in the line we stop
+she works at example for the dot project
+they met at noon and at dot level
+we are at home and at work
+the dot com years came at once
+a dot of ink at the end
+at the dot com company in the city
+looked at each dot of it
+at last
 3 x 4 = 12
 10% of 250 and $99
 """
@@ -136,10 +165,9 @@ class PersonalData(Finder):
     kinds = ("email", "ip", "card", "phone")
     tagged_kinds = ("email", "ip", "card", "phone")
     labelled = LABELLED
+    edges = _EDGES
 
     def exact(self, text: str) -> list[Span]:
-        if not _TRIGGER.search(text):
-            return []
         spans = [("email", s, e) for s, e in emails(text)]
         spans += [("ip", m.start(), m.end()) for m in _IP.finditer(text) if _ip_ok(m[0])]
         for m in _CARD.finditer(text):
@@ -151,18 +179,6 @@ class PersonalData(Finder):
             spans += [("phone", m.start(), m.end()) for m in _PHONE.finditer(text) if 10 <= len(_digits(m[0])) <= 15]
         return spans
 
-    def lines(self, text: str) -> Iterator[tuple[int, str]]:
-        m = _TRIGGER.search(text)
-        while m:
-            begin = text.rfind("\n", 0, m.start()) + 1
-            end = text.find("\n", m.start())
-            end = len(text) if end < 0 else end
-            yield begin, text[begin:end]
-            m = _TRIGGER.search(text, end)
-
-    def is_trigger(self, token: str) -> bool:
-        return _TRIGGER.search(token) is not None
-
     def own(self, token: str) -> list[str]:
         core = token.strip(_EDGES)
         digits = _digits(core)
@@ -174,10 +190,16 @@ class PersonalData(Finder):
             out.append("ip" if _ip_ok(_IP.match(core)[0]) else "no-ip")
         if "@" in core:
             out.append("mail" if next(emails(core), None) else "at")
-        if core.isalpha() and len(core) <= 10 or core.strip("[]()") in ("at", "dot"):
+        bare = core.strip("[]()").lower()
+        if core.isalpha() and len(core) <= 10 or bare in ("at", "dot"):
             out.append(f"w={core.lower()}")
+        if bare in ("at", "dot"):
+            out.append(f"sign={bare}")
         return out
 
+    def far(self, features: list[str]) -> list[str]:
+        return [f for f in features if f.startswith("sign=")]
+
     def trim(self, kind: str, text: str, start: int, end: int) -> Span | None:
         while start < end and not (text[start].isalnum() or text[start] in "+("):
             start += 1
@@ -185,5 +207,5 @@ class PersonalData(Finder):
             end -= 1
         n = len(_digits(text[start:end]))
         fits = {"card": 12 < n < 20 and luhn(_digits(text[start:end])), "phone": 9 < n < 16,
-                "ip": 3 < n, "email": end - start > 4}[kind]
+                "ip": 3 < n, "email": end - start <= _LONGEST_MAIL and _SPELLED.search(text[start:end]) is not None}[kind]
         return (kind, start, end) if fits else None

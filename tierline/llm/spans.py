@@ -1,10 +1,15 @@
 """Finding spans in whole texts: exact patterns plus a trained tagger.
 
-A *finder* knows its kinds, finds the exact spans of each kind, says which
-tokens may belong to a span at all, and turns a token into features. This
-module holds what personal data and secrets have in common: cutting texts into
-tokens and islands, tagging the islands of a batch of texts together, and
-merging the tagger's spans with the exact ones, which always stay.
+A *finder* knows its kinds, finds the exact spans of each kind and turns a token
+into features. This module holds what personal data and secrets have in common:
+cutting texts into tokens, tagging the texts of a batch together, and merging
+the tagger's spans with the exact ones, which always stay.
+
+Every token of a text takes part in the tagging; no rule decides beforehand
+which tokens may belong to a span. A token's score is the sum of what it adds
+itself and of what the two tokens on either side add, across line breaks. Most
+tokens are proven outside by their scores alone (:meth:`Crf.undecided`); Viterbi
+runs on the others, with the result of a run over the whole text.
 """
 
 from __future__ import annotations
@@ -22,7 +27,17 @@ from .common import WORD_RE, small_batches
 from .crf import Crf
 
 Span = tuple[str, int, int]
-CACHE_TOKENS = 100_000
+# Remembered tokens: at most this many, of this many characters together and
+# with this many different weights, beyond those of one text.
+CACHE_TOKENS = 400_000
+CACHE_CHARS = 8_000_000
+CACHE_ROWS = 50_000
+# Tokens scored at a time, and cells that wait to be decoded together.
+BLOCK_TOKENS = 1 << 16
+WAITING_CELLS = 1 << 20
+# Places around a token whose tokens have a say in its score.
+PLACES = (0, -1, 1, -2, 2)
+_PLAIN = re.compile(r"[A-Za-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF][a-z\u00DF-\u00F6\u00F8-\u00FF]*")
 _MARK = re.compile(r"\{(\w+) ([^}]*)\}")
 
 
@@ -44,21 +59,25 @@ class Finder:
     kinds: tuple[str, ...] = ()
     tagged_kinds: tuple[str, ...] = ()
     labelled = ""
+    # Characters that are cut from both sides of a token.
+    edges = ""
 
     def exact(self, text: str) -> list[Span]:
         raise NotImplementedError
 
-    def lines(self, text: str) -> Iterator[tuple[int, str]]:
-        """(offset, line) of the lines that hold a token worth tagging."""
-        raise NotImplementedError
-
-    def is_trigger(self, token: str) -> bool:
-        raise NotImplementedError
-
     def own(self, token: str) -> list[str]:
         """Features of a token; its neighbours see them with a prefix."""
         raise NotImplementedError
 
+    def is_special(self, word: str) -> bool:
+        """Whether a word of small letters has features by its letters, not
+        only by its shape and length."""
+        return False
+
+    def far(self, features: list[str]) -> list[str]:
+        """Those features that tokens two places away see, too."""
+        return []
+
     def whole(self, text: str) -> list[str]:
         """Features of the text that every token of it has."""
         return []
@@ -81,59 +100,72 @@ class Finder:
                 span = next((x for x in spans if s < x[2] and e > x[1]), None)
                 row.append("O" if span is None else f"{'I' if span == open_span else 'B'}-{span[0]}")
                 open_span = span
-            sequences.append([[*self.own(w), *_before(self.own(words[i - 1]) if i else ["edge"]),
-                               *_after(self.own(words[i + 1]) if i + 1 < len(words) else ["edge"]), *whole, "any"]
-                              for i, w in enumerate(words)])
+            seen = [self._seen(w) for w in ("", "", *words, "", "")]
+            sequences.append([[*(f for k, at in enumerate(PLACES) for f in seen[i + 2 + at][k]), *whole, "any"]
+                              for i in range(len(words))])
             tags.append(row)
         self.crf = Crf(labels).fit(sequences, tags)
-        self._cache: dict[str, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
         self._any = self.crf.score(["any"])
+        self._known: _Known | None = None
         return self
 
-    def _scores(self, token: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """What a token adds to its own scores and to those of its neighbours."""
-        found = self._cache.get(token)
-        if found is None:
-            own = self.own(token) if token else ["edge"]
-            found = (self.crf.score(own), self.crf.score(_before(own)), self.crf.score(_after(own)))
-            if len(token) <= 64:
-                if len(self._cache) >= CACHE_TOKENS:
-                    self._cache.clear()
-                self._cache[token] = found
-        return found
+    def _seen(self, token: str) -> list[list[str]]:
+        """The features that a token gives to each of PLACES: to itself, to the
+        tokens after and before it, to those two places after and before it."""
+        own = self.own(token) if token else ["edge"]
+        far = self.far(own)
+        return [own, [f"<{f}" for f in own], [f">{f}" for f in own], [f"<<{f}" for f in far], [f">>{f}" for f in far]]
+
+    def is_plain(self, core: str) -> bool:
+        """Whether a token has the same weights as any other Latin word in
+        small letters, or with a capital, of its length."""
+        if not _PLAIN.fullmatch(core):
+            return False
+        low = core.lower()
+        return f"w={low}" not in self.crf.index and not self.is_special(low)
 
     # -------------------------------------------------------------- tagging
 
+    def _undecided(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """(numbers, scores) of the tokens of a text not proven outside."""
+        known = self._known
+        if known is None or known.full():
+            known = self._known = _Known(self)
+        ids = np.array([0, 0, *map(known.__getitem__, WORD_RE.findall(text)), 0, 0], dtype=np.int64)
+        n = len(ids) - 4
+        always = self._any + self.crf.score(self.whole(text))
+
+        def scores(tokens: np.ndarray) -> np.ndarray:
+            return sum(known.tables[k][ids[tokens + (2 + at)]] for k, at in enumerate(PLACES)) + always
+
+        most = [self.crf.most(scores(np.arange(b, min(n, b + BLOCK_TOKENS)))) for b in range(0, n, BLOCK_TOKENS)]
+        numbers = self.crf.undecided(np.concatenate([np.empty(0), *most]))
+        return numbers, scores(numbers)
+
     def tag(self, texts: list[str]) -> list[list[Span]]:
         """The tagger's spans of each text."""
-        places: list[tuple[int, int, list[tuple[int, int]]]] = []
-        islands: list[np.ndarray] = []
-        for d, text in enumerate(texts):
-            whole = None
-            for offset, line in self.lines(text):
-                tokens = [(m.start(), m.end()) for m in WORD_RE.finditer(line)]
-                hot = np.array([self.is_trigger(line[s:e]) for s, e in tokens], dtype=bool)
-                if not hot.any():
-                    continue
-                if whole is None:
-                    whole = self._any + self.crf.score(self.whole(text))
-                # A span holds triggers and tokens beside them, nothing else.
-                near = hot.copy()
-                near[1:] |= hot[:-1]
-                near[:-1] |= hot[1:]
-                edges = np.flatnonzero(np.diff(np.concatenate([[False], near, [False]]).astype(np.int8)))
-                for b, e in zip(edges[::2].tolist(), edges[1::2].tolist()):
-                    words = [line[s:t] for s, t in tokens[max(0, b - 1):e + 1]]
-                    if b == 0:
-                        words.insert(0, "")
-                    if e == len(tokens):
-                        words.append("")
-                    parts = [self._scores(w) for w in words]
-                    islands.append(np.stack([whole + parts[i][0] + parts[i - 1][1] + parts[i + 1][2]
-                                             for i in range(1, len(parts) - 1)]))
-                    places.append((d, offset, tokens[b:e]))
         out: list[list[Span]] = [[] for _ in texts]
-        for (d, offset, tokens), path in zip(places, self.crf.decode(islands)):
+        waiting: list[tuple[int, list[tuple[int, int]], np.ndarray]] = []
+        cells = 0
+        for d, text in enumerate(texts):
+            numbers, scores = self._undecided(text)
+            if len(numbers):
+                tokens = [m.span() for m in WORD_RE.finditer(text)]
+                cuts = [0, *(np.flatnonzero(np.diff(numbers) > 1) + 1).tolist(), len(numbers)]
+                for b, e in zip(cuts, cuts[1:]):
+                    first = int(numbers[b])
+                    waiting.append((d, tokens[first:first + e - b], scores[b:e]))
+                cells += scores.size
+            if cells > WAITING_CELLS or d + 1 == len(texts):
+                self._decode(texts, waiting, out)
+                waiting, cells = [], 0
+        return out
+
+    def _decode(self, texts: list[str], waiting: list[tuple[int, list[tuple[int, int]], np.ndarray]],
+                out: list[list[Span]]) -> None:
+        for (d, tokens, _), path in zip(waiting, self.crf.decode([scores for _, _, scores in waiting])):
+            if not path.any():
+                continue
             open_kind, begin, end = None, 0, 0
             for (s, e), label in zip([*tokens, (0, 0)], [*path.tolist(), 0]):
                 name = self.crf.labels[label]
@@ -141,11 +173,10 @@ class Finder:
                     end = e
                     continue
                 if open_kind is not None:
-                    span = self.trim(open_kind, texts[d], offset + begin, offset + end)
+                    span = self.trim(open_kind, texts[d], begin, end)
                     if span:
                         out[d].append(span)
                 open_kind, begin, end = (None if name == "O" else name[2:]), s, e
-        return out
 
     def find(self, texts: list[str]) -> list[tuple[list[Span], list[Span]]]:
         """(exact spans, all spans) of each text, sorted by start, then kind.
@@ -173,12 +204,42 @@ class Finder:
         return result
 
 
-def _before(features: list[str]) -> list[str]:
-    return [f"<{f}" for f in features]
-
-
-def _after(features: list[str]) -> list[str]:
-    return [f">{f}" for f in features]
+class _Known(dict):
+    """Rows of the tokens met so far in a table for each of PLACES, which holds
+    what they add there. Row 0 is the edge of a text. Plain words share the row
+    of a word of as many q."""
+
+    def __init__(self, finder: Finder):
+        self._finder, self._rows, self._chars = finder, 0, 0
+        self._plain: dict[tuple[str, bool, int, str], int] = {}
+        self.tables = [np.zeros((1024, len(finder.crf.labels))) for _ in PLACES]
+        self[""]
+
+    def full(self) -> bool:
+        return len(self) > CACHE_TOKENS or self._chars > CACHE_CHARS or self._rows > CACHE_ROWS
+
+    def __missing__(self, token: str) -> int:
+        core = token.strip(self._finder.edges)
+        if core and self._finder.is_plain(core):
+            at = token.index(core)
+            like = (token[:at], core[0].islower(), len(core), token[at + len(core):])
+            row = self._plain.get(like)
+            if row is None:
+                row = self._plain[like] = self._new(f"{like[0]}{'q' if like[1] else 'Q'}{'q' * (len(core) - 1)}{like[3]}")
+        else:
+            row = self._new(token)
+        self._chars += len(token)
+        self[token] = row
+        return row
+
+    def _new(self, token: str) -> int:
+        row = self._rows
+        if row == len(self.tables[0]):
+            self.tables = [np.concatenate([t, np.zeros_like(t)]) for t in self.tables]
+        for table, features in zip(self.tables, self._finder._seen(token)):
+            table[row] = self._finder.crf.score(features)
+        self._rows += 1
+        return row
 
 
 def joined(spans: list[Span]) -> str:
