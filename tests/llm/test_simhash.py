@@ -56,8 +56,33 @@ def test_query_counts_near_documents(spark, sf, documents):
     assert len(rows) == documents.count()
     prints = {r.doc_id: int(r.fingerprint, 16) for r in rows}
     for r in rows:
-        near = sum((x ^ prints[r.doc_id]).bit_count() <= 3 for x in prints.values()) - 1
-        assert r.n_near == (near if r.doc_id % 100 == 0 else None)
+        for n, radius in ((r.n_near, 3), (r.n_near_edits, 11)):
+            near = sum((x ^ prints[r.doc_id]).bit_count() <= radius for x in prints.values()) - 1
+            assert n == (near if r.doc_id % 100 == 0 else None)
+
+
+def plain_fingerprint(text):
+    """SimHash word by word and bit by bit, from the same term hashes."""
+    words, sizes = sh.sized_word_hashes(text)
+    terms = [(int(w), min(max(float(n) - 2, 0.5), 8.0)) for w, n in zip(words, sizes)]
+    pairs = sh.shingle_hashes(words, 2) if len(words) > 1 else []
+    terms += [(int(p), (x[1] + y[1]) / 2) for p, x, y in zip(pairs, terms, terms[1:])]
+    bits = ""
+    for salt in sh._SALTS:
+        votes = [0.0] * 64
+        for term, weight in terms:
+            hashed = int(sh.mix(np.array([term], dtype=np.uint64) + salt)[0])
+            for byte in range(8):
+                for bit in range(8):
+                    votes[8 * byte + bit] += weight if hashed >> (8 * byte + bit) & 1 else -weight
+        bits += "".join("1" if v > 0 else "0" for v in votes)
+    return int(bits, 2).to_bytes(16)
+
+
+def test_fingerprint_equals_the_plain_vote(documents):
+    texts = [r.text or "" for r in documents.limit(12).collect()]
+    for text in ["", "one", "one two", "a a a b", *(t[:600] for t in texts)]:
+        assert sh.fingerprint(text) == plain_fingerprint(text)
 
 
 def test_no_rows(spark, no_docs):
