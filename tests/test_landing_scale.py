@@ -32,3 +32,30 @@ def test_files_in_counts_empty_files(spark, workdir):
         with open(f"{workdir}/{name}", "w") as f:
             f.write(text)
     assert _files_in(spark, workdir) == 2
+
+
+def test_writer_holds_a_line_once_and_no_batches():
+    """A line of 32 MB from batches of 1 MB: while it grows, no batch is kept."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from tierline.sinks.landing import _array_lines
+
+    records = [f'{{"ticket_id":"{i}","review_text":"{"x" * 10_000}"}}' for i in range(100)]
+    start, seen = pa.total_allocated_bytes(), []
+
+    def batches():
+        for _ in range(32):
+            seen.append(pa.total_allocated_bytes() - start)
+            yield pa.RecordBatch.from_arrays([pa.array(records)], names=["record"])
+
+    tracemalloc.start()
+    lines = []
+    for batch in _array_lines(1_000_000, 64 << 20)(batches()):
+        lines.append(len(batch.column(0)[0].as_buffer()))
+        seen.append(pa.total_allocated_bytes() - start)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert lines == [sum(map(len, records)) * 32 + 3200 + 1]
+    assert max(seen) < 6 << 20 and peak < 1.3 * lines[0]
