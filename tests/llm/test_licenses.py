@@ -179,3 +179,27 @@ def test_threshold_is_the_highest_held_out_paragraph(spark, documents):
 def test_clashing_columns(spark, documents):
     rows = licenses.document_licenses(documents.limit(20).selectExpr("*", "'x' as row", "1 as pair", "2 as families", "3 as line"))
     assert rows.count() == 20
+
+
+def test_every_ordinary_paragraph_counts(spark):
+    """More documents and paragraphs than the sample of former times had."""
+    rows = [(i, f"plain words {i}\nThe software is furnished to do so {i}" if i % 500 == 7 else f"plain words {i}") for i in range(6000)]
+    docs = spark.createDataFrame([*rows, (6000, None), (6001, "All rights reserved.\n\n")], "doc_id long, text string")
+    pair = spark.range(1).select(F.xxhash64(F.lit("is"), F.lit("furnished"))).first()[0]
+    sets = licenses.count_sets(licenses.ordinary_lines(docs), F.col("line"), [pair], ["software"], "held_out").collect()
+    assert sum(r.n for r in sets) == 6012 and len({r.held_out for r in sets}) == 2
+    assert sum(r.n for r in sets if r.terms == [pair] and r.named == ["software"]) == 12
+    assert sum(r.n for r in sets if r.terms) == 12
+
+
+def test_threshold_counts_sets_by_their_number(spark, documents):
+    classifier = licenses.train(documents)
+    line = "Text. All rights reserved."
+    one = spark.createDataFrame([("b", line)], "id string, line string")
+    highest = licenses._highest_unknown(one, classifier)
+    pairs = [r.pair for r in classifier.weights.collect()]
+    terms = licenses.count_sets(one, F.col("line"), pairs, []).first().terms
+    sets = spark.createDataFrame([(terms, 20), ([], 10_000)], "terms array<long>, n long")
+    assert licenses._highest_unknown(sets, classifier) == highest  # 20 of 10,000 are more than one in a thousand
+    rare = spark.createDataFrame([(terms, 2), ([], 10_000_000)], "terms array<long>, n long")
+    assert licenses._highest_unknown(rare, classifier) == 0.0

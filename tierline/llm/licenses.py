@@ -19,9 +19,10 @@ its words). A family is reported where one window passes both tests:
   notice of the family, and at least 60 % of those that no other family has.
 
 Training takes the notices of :mod:`license_templates`, alone and embedded in
-ordinary text, and ordinary paragraphs of a bounded sample of the corpus
-(``SAMPLE_DOCUMENTS`` documents, ``SAMPLE_PARAGRAPHS`` paragraphs; half of
-them are held out). Scanning covers every text whole, in one pass: a text that
+ordinary text, and the ordinary paragraphs of the whole corpus (half of them
+are held out). These are counted by the pairs of notices that they hold, in one
+pass; a set of pairs is one example, its weight the number of paragraphs, and
+all together weigh as much as ``ORDINARY_WEIGHT`` examples. Scanning covers every text whole, in one pass: a text that
 holds none of the anchors (words of which every confirmed window must hold one,
 derived from the notices) is done with a few substring searches; of the others
 only the words pairs of notices leave the scan, with their places.
@@ -48,10 +49,10 @@ from .common import materialize
 from .license_templates import ORDINARY, OTHER, OTHER_HELD_OUT, TEMPLATES
 
 UNKNOWN = "unknown"
-SAMPLE_DOCUMENTS = 400
-SAMPLE_PARAGRAPHS = 4000
+# All ordinary paragraphs together weigh as much as so many examples in training.
+ORDINARY_WEIGHT = 2000
 EMBEDDINGS = 6
-# A pair or word in more than this share of the sampled paragraphs is no evidence.
+# A pair or word in more than this share of the ordinary paragraphs is no evidence.
 COMMON_SHARE = 0.005
 FALSE_ALARMS = 0.001
 LEAST_PROBABILITY = 0.5
@@ -111,15 +112,32 @@ class Classifier:
     threshold: float = LEAST_PROBABILITY
 
 
-def sample_ordinary(docs: DataFrame) -> DataFrame:
-    """(id, line, held_out): ordinary paragraphs of a bounded sample of documents."""
-    n = max(1, docs.count())
-    draw = F.pmod(F.xxhash64(F.lit("license"), "doc_id"), F.lit(1_000_003))
-    picked = docs.select("doc_id", "text").filter(draw <= int(min(1.0, SAMPLE_DOCUMENTS / n) * 1_000_003))
-    lines = paragraphs(picked, "doc_id").filter((F.length("line") > 0) & ~F.lower("line").rlike(_CUES))
-    order = F.xxhash64("line", "doc_id", "paragraph")
-    return lines.orderBy(order, "line").limit(SAMPLE_PARAGRAPHS).select(
-        F.concat(F.lit("s"), F.monotonically_increasing_id()).alias("id"), "line", (F.pmod(order, F.lit(2)) == 1).alias("held_out"))
+def ordinary_lines(docs: DataFrame) -> DataFrame:
+    """(line, place, held_out): the ordinary paragraphs of all documents, half
+    of them held out; ``place`` orders them by a hash."""
+    lines = paragraphs(docs.select("doc_id", "text"), "doc_id").filter((F.length("line") > 0) & ~F.lower("line").rlike(_CUES))
+    place = F.xxhash64("line", "doc_id", "paragraph")
+    return lines.select("line", place.alias("place"), (F.pmod(place, F.lit(2)) == 1).alias("held_out"))
+
+
+def _half_wrapped(line: str, place: Column) -> Column:
+    """``line``, for half of the places over lines of three words."""
+    half = F.pmod(F.xxhash64(place), F.lit(2)) == 1
+    return F.when(half, F.regexp_replace(line, "( [^ ]+ [^ ]+ [^ ]+) ", "$1\n")).otherwise(F.col(line))
+
+
+def count_sets(lines: DataFrame, text: Column, pairs: list[int], words: list[str], *keep: str) -> DataFrame:
+    """(keep, terms, named, n): how many ``lines`` hold which of ``pairs`` and
+    ``words``. One pass over every line; what is alike is counted together."""
+    split = F.flatten(F.transform(F.split(text, "\n"), _words))
+    held = lines.select(*keep, F.explode(F.array(split)).alias("words"))  # see word_pairs
+    less = F.size("words") - 1
+    hashes = F.zip_with(F.slice("words", 1, less), F.slice("words", 2, less),
+                        lambda a, b: F.when((a != "") & (b != ""), F.xxhash64(a, b)))
+    return held.select(
+        *keep, F.array_sort(F.array_distinct(F.filter(hashes, lambda p: p.isin(pairs)))).alias("terms"),
+        F.array_sort(F.array_distinct(F.filter("words", lambda w: w.isin(words)))).alias("named"),
+    ).groupBy(*keep, "terms", "named").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _wrapped(text: str) -> str:
@@ -172,71 +190,88 @@ def anchors_of(common_words: set[str], common_pairs: set[tuple[str, str]]) -> tu
 
 
 def train(docs: DataFrame) -> Classifier:
-    """Train and calibrate on the notices and a sample of ``docs``."""
+    """Train and calibrate on the notices and all ordinary paragraphs of ``docs``."""
     spark = docs.sparkSession
-    ordinary = materialize(sample_ordinary(docs), "license-ordinary")
-    n_ordinary = max(1, ordinary.count())
-    words = ordinary.select("id", F.explode(F.array_distinct(_words(F.col("line")))).alias("word"))
-    often = F.count(F.lit(1)) > COMMON_SHARE * n_ordinary
-    common_words = {r["word"] for r in words.groupBy("word").agg(often.alias("c")).filter("c").collect()}  # of the sample
-    pairs = word_pairs(ordinary, "line", "id").select("id", "pair").distinct()
-    common = materialize(pairs.groupBy("pair").agg(often.alias("c")).filter("c").select("pair"), "license-common")
+    ordinary = ordinary_lines(docs)
+    taught = ORDINARY + OTHER + [f"{no} {text[0].lower()}{text[1:]}" for texts in TEMPLATES.values() for text in texts
+                                 if text.startswith(("Licensed", "Released")) for no in NEGATIONS]
+    notice_words = [_WORD.findall(t.lower()) for texts in TEMPLATES.values() for t in texts]
+    labelled = spark.createDataFrame([(t,) for texts in TEMPLATES.values() for t in texts] + [(t,) for t in taught], "line string")
+    labelled_pairs = sorted(r["pair"] for r in word_pairs(labelled, "line").select("pair").distinct().collect())  # of the notices
+    text = F.when(F.col("held_out"), _half_wrapped("line", F.col("place"))).otherwise(F.col("line"))
+    sets = materialize(count_sets(ordinary, text, labelled_pairs, sorted({w for ws in notice_words for w in ws}), "held_out"),
+                       "license-ordinary")
+    counted = {r["held_out"]: r["n"] for r in sets.groupBy("held_out").agg(F.sum("n").alias("n")).collect()}
+    often = F.sum("n") > COMMON_SHARE * max(1, sum(counted.values()))
+    common_words = {r["word"] for r in sets.select("n", F.explode("named").alias("word")).groupBy("word")
+                    .agg(often.alias("c")).filter("c").collect()}  # of the notices
+    common = materialize(sets.select("n", F.explode("terms").alias("pair")).groupBy("pair").agg(often.alias("c")).filter("c").select("pair"),
+                         "license-common")
     notices = materialize(_notices(spark, common), "license-notices")
-    spelled = sorted({p for texts in TEMPLATES.values() for t in texts
-                      for w in [_WORD.findall(t.lower())] for p in zip(w, w[1:])})
-    named = spark.createDataFrame(spelled, "a string, b string")
+    named = spark.createDataFrame(sorted({p for w in notice_words for p in zip(w, w[1:])}), "a string, b string")
     common_pairs = {(r["a"], r["b"]) for r in named.withColumn("pair", F.xxhash64("a", "b")).join(common, "pair").collect()}
     chosen, patterns = anchors_of(common_words, common_pairs)
 
     families = sorted(TEMPLATES)
     labels = [UNKNOWN, *families]
-    context = [r["line"] for r in ordinary.filter("not held_out").orderBy("id").limit(EMBEDDINGS).collect()]
+    context = [r["line"] for r in ordinary.filter("not held_out").orderBy("place", "line").limit(EMBEDDINGS).collect()]
     examples = [(family, form) for family, texts in TEMPLATES.items() for text in texts
                 for form in [text, *[f"{c} {text} {c}" for c in context]]]
-    taught = ORDINARY + OTHER + [f"{no} {text[0].lower()}{text[1:]}" for texts in TEMPLATES.values() for text in texts
-                                 if text.startswith(("Licensed", "Released")) for no in NEGATIONS]
     examples += [(UNKNOWN, form) for text in taught for form in [text, *[f"{c} {text} {c}" for c in context]]]
     examples += [(UNKNOWN, "") for _ in families]
     frame = spark.createDataFrame([(f"e{i}", labels.index(f), t) for i, (f, t) in enumerate(examples)],
                                   "id string, label int, line string")
-    frame = frame.unionByName(ordinary.filter("not held_out").select("id", F.lit(0).alias("label"), "line"))
-    taught_pairs = word_pairs(spark.createDataFrame([(t,) for t in taught], "line string"), "line").select("pair")
-    known = materialize(notices.select("pair").unionByName(taught_pairs).distinct().join(common, "pair", "left_anti"),
-                        "license-vocabulary")
-    hits = word_pairs(frame, "line", "id").join(F.broadcast(known), "pair").groupBy("id") \
-        .agg(F.collect_set(F.col("pair").cast("string")).alias("terms"))
-    no_terms = F.array().cast("array<string>")
-    terms = frame.select("id", F.col("label").cast("double").alias("label")).join(hits, "id", "left") \
-        .select("id", "label", F.coalesce("terms", no_terms).alias("terms"))
-    terms = materialize(terms.orderBy("id").coalesce(1), "license-terms")
+    often_used = {r["pair"] for r in common.collect()}
+    known = [p for p in labelled_pairs if p not in often_used]
+    known_pairs = spark.createDataFrame([(p,) for p in known], "pair long")
+    hits = word_pairs(frame, "line", "id").join(F.broadcast(known_pairs), "pair").groupBy("id") \
+        .agg(F.sort_array(F.collect_set("pair")).alias("terms"))
+    weighed = frame.select("id", "label").join(hits, "id", "left").groupBy("label", F.coalesce("terms", F.array().cast("array<long>")).alias("terms")) \
+        .agg(F.count(F.lit(1)).cast("double").alias("weight"))
+    # Ordinary paragraphs that hold the same pairs are one example of their number's weight.
+    share = min(1.0, ORDINARY_WEIGHT / max(1, counted.get(False, 0)))
+    plain = sets.filter("not held_out").groupBy(F.filter("terms", lambda p: p.isin(known)).alias("terms")) \
+        .agg((F.sum("n") * share).alias("weight")).select(F.lit(0).alias("label"), "terms", "weight")
+    terms = weighed.unionByName(plain).select(
+        F.col("label").cast("double").alias("label"), F.col("terms").cast("array<string>").alias("terms"), "weight")
+    terms = materialize(terms.orderBy("label", "terms", "weight"), "license-terms")
     counter = CountVectorizer(inputCol="terms", outputCol="features", binary=True, minDF=1.0, vocabSize=1 << 16).fit(terms)
-    model = LogisticRegression(family="multinomial", regParam=PENALTY, elasticNetParam=1.0, maxIter=60,
+    model = LogisticRegression(family="multinomial", regParam=PENALTY, elasticNetParam=1.0, maxIter=60, weightCol="weight",
                                standardization=False).fit(counter.transform(terms))
     matrix, intercepts = model.coefficientMatrix.toArray(), model.interceptVector.toArray()
     rows = [(int(term), [float(matrix[k][j] - matrix[0][j]) for k in range(1, len(labels))])
             for j, term in enumerate(counter.vocabulary)]
     weights = materialize(spark.createDataFrame(rows, "pair long, w array<double>"), "license-weights")
     classifier = Classifier(families, [float(b - intercepts[0]) for b in intercepts[1:]], weights, notices, chosen, patterns)
-    classifier.threshold = max(LEAST_PROBABILITY, _highest_unknown(ordinary.filter("held_out"), classifier))
+    classifier.threshold = max(LEAST_PROBABILITY, _highest_unknown(sets.filter("held_out"), classifier))
     return classifier
 
 
 def _highest_unknown(ordinary: DataFrame, classifier: Classifier) -> float:
     """The probability that all but ``FALSE_ALARMS`` of the held-out unknown
-    paragraphs stay below, half of them wrapped."""
+    paragraphs stay below, half of them wrapped; 0 if that is at most
+    ``LEAST_PROBABILITY``. ``ordinary`` has them counted by their pairs
+    (terms, n) or as they are (id, line)."""
     spark = ordinary.sparkSession
+    pairs = [r["pair"] for r in classifier.weights.select("pair").collect()]  # of the notices
+    if "terms" not in ordinary.columns:
+        ordinary = count_sets(ordinary, _half_wrapped("line", F.col("id")), pairs, [])
     texts = [(f"h{i}", t) for i, t in enumerate(OTHER_HELD_OUT)] + [(f"w{i}", _wrapped(t)) for i, t in enumerate(OTHER_HELD_OUT)]
-    half = F.pmod(F.xxhash64("id"), F.lit(2)) == 1
-    wrapped = F.regexp_replace("line", "( [^ ]+ [^ ]+ [^ ]+) ", "$1\n")
-    lines = ordinary.select("id", F.when(half, wrapped).otherwise(F.col("line")).alias("line"))
-    lines = lines.unionByName(spark.createDataFrame(texts, "id string, line string"))
-    n = max(1, lines.count())
-    hits = word_pairs(lines, "line", "id").select("id", "pair").distinct().join(F.broadcast(classifier.weights), "pair")
+    others = count_sets(spark.createDataFrame(texts, "id string, line string"), F.col("line"), pairs, [])
+    held = ordinary.select("terms", "n").unionByName(others.select("terms", "n"))
+    sets = materialize(held.groupBy(F.filter("terms", lambda p: p.isin(pairs)).alias("terms")).agg(F.sum("n").alias("n"))
+                       .withColumn("id", F.monotonically_increasing_id()), "license-held-out")
+    n = sets.agg(F.sum("n")).first()[0] or 1
+    hits = sets.select("id", "n", F.explode("terms").alias("pair")).join(F.broadcast(classifier.weights), "pair")
     best = F.array_max(F.transform("probabilities", lambda p: p["p"]))
-    scored = _probabilities(hits, classifier, ["id"]).select(best.alias("p"))
-    allowed = int(FALSE_ALARMS * n)
-    highest = [r["p"] for r in scored.orderBy(F.col("p").desc()).limit(allowed + 1).collect()]
-    return highest[allowed] if len(highest) > allowed else 0.0
+    scored = _probabilities(hits, classifier, ["id", "n"]).select(best.alias("p"), "n")
+    allowed, above = int(FALSE_ALARMS * n), 0
+    highest = scored.filter(F.col("p") > LEAST_PROBABILITY).groupBy("p").agg(F.sum("n").alias("n"))
+    for r in highest.orderBy(F.col("p").desc()).limit(allowed + 1).collect():
+        above += r["n"]
+        if above > allowed:
+            return r["p"]
+    return 0.0
 
 
 def _probabilities(hits: DataFrame, c: Classifier, keys: list[str]) -> DataFrame:
