@@ -14,7 +14,7 @@ from ..operators.keys import split_by_key
 from ..schemas import GOLD_DEFAULTS, GOLD_KEY, GOLD_MAX_LENGTH, GOLD_STAMP, GOLD_TARGET
 from ..sinks.snapshots import evolve, upsert
 from ..sinks.target import merge_target, read_target
-from ..session import materialize
+from ..session import file_stream, materialize
 from ..sources.files import read_parquet_guarded
 from ..sources.jdbc import write_jdbc
 from ..streaming.runner import AVAILABLE_NOW, BATCH_FILES, Streams, start_append
@@ -109,7 +109,7 @@ def run_gold_incremental(
     second stream. A silver folder that does not exist yet is "nothing to do"
     (returns None).
     """
-    reader = spark.readStream.schema(silver_schema)
+    reader = file_stream(spark).schema(silver_schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     try:

@@ -14,6 +14,7 @@ from ..operators.columns import parse_timestamp, stamp
 from ..operators.enrich import left_enrich
 from ..operators.keys import REASON, key_rejects, require_key
 from ..schemas import CORRUPT, RAW_EVENT, TICKET
+from ..session import file_stream
 from ..sources.files import event_json_stream
 from ..streaming.enrich import enrich_each_batch
 from ..streaming.runner import AVAILABLE_NOW, BATCH_FILES, Streams, drain, start_append
@@ -98,7 +99,7 @@ def run_silver_events(
     landing = start_append(raw, landed, f"{root}-landing", trigger)
     if drains:
         drain(landing)
-    rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", BATCH_FILES).parquet(landed)
+    rows = file_stream(spark).schema(schema).option("maxFilesPerTrigger", BATCH_FILES).parquet(landed)
     streams = Streams(landing)
     streams.add(lambda: _start_silver(rows, dim, out, checkpoint, trigger, **join_options))
     streams.add(lambda: start_append(_rejected(rows, "event_id", UNPARSABLE_EVENT), rejects,
@@ -142,7 +143,7 @@ def run_silver_tickets(
 ) -> Streams:
     """Bronze parquet (as a stream) -> triaged silver parquet; unkeyed bronze
     rows (e.g. from unparsable landing files) optionally go to ``rejects``."""
-    reader = spark.readStream.schema(BRONZE_TICKET)
+    reader = file_stream(spark).schema(BRONZE_TICKET)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     bronze_rows = reader.parquet(bronze)

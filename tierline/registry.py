@@ -10,7 +10,8 @@ Values that vary per run (arrival stamps) are returned as ``has_*`` flags.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -99,6 +100,8 @@ TEXT_RULES = (
 # Landed feeds: at least this many files, however small the table; beyond
 # that, files are filled up to the landing writer's byte bound.
 LANDING_PARTS = 8
+# Records of a landing file of the feed that bronze turns into many small files.
+SMALL_FILE_RECORDS = 320
 # Micro-batches that a rate-limited drain takes, whatever the number of files.
 DRAIN_BATCHES = 4
 
@@ -404,17 +407,31 @@ def bronze_continuous(spark, sf):
     return b.select(*TICKET_COLUMNS, F.col("ingested_at").isNotNull().alias("has_ingested_at"))
 
 
+@contextmanager
+def _file_per_task(spark) -> Iterator[None]:
+    """Streams that start in here read, and so write, a small file per task."""
+    name = "spark.sql.files.openCostInBytes"
+    held = spark.conf.get(name)
+    spark.conf.set(name, spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, held)
+
+
 @register("bronze_compacted", ORACLES["bronze_append"])
 def bronze_compacted(spark, sf):
-    """K1, K2: a bronze table of many small files, compacted twice on one
-    checkpoint (English tickets first, the rest later) into a few large ones;
-    every ticket once, in at most a fifth of the files."""
+    """K1, K2: a bronze table of many small files (one for each landing file),
+    compacted twice on one checkpoint (English tickets first, the rest later)
+    into a few large ones; every ticket once, in at most a fifth of the files."""
     root = scratch_path(spark, "bronze-compacted")
     tickets, english = doc_tickets(spark, sf, F.col("lang")), F.col("lang") == F.lit("en")
     for load in (english, ~english | F.col("lang").isNull()):
-        write_landing_files(_spread(tickets.filter(load).drop("lang")), f"{root}/landing", records_per_file=10)
-        run_bronze(spark, f"{root}/landing", f"{root}/bronze", f"{root}/ckpt/bronze",
-                   max_files_per_trigger=_rate_limit(_files_in(spark, f"{root}/landing")))
+        write_landing_files(_spread(tickets.filter(load).drop("lang")), f"{root}/landing",
+                            records_per_file=SMALL_FILE_RECORDS)
+        with _file_per_task(spark):
+            run_bronze(spark, f"{root}/landing", f"{root}/bronze", f"{root}/ckpt/bronze",
+                       max_files_per_trigger=_rate_limit(_files_in(spark, f"{root}/landing")))
         run_compaction(spark, f"{root}/bronze", f"{root}/compacted", f"{root}/ckpt/compacted",
                        spark.read.parquet(f"{root}/bronze").schema)
     small, large = (spark.read.parquet(f"{root}/{name}") for name in ("bronze", "compacted"))

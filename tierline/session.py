@@ -6,6 +6,13 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import DataStreamReader
+
+# A file stream lists the files of each micro-batch by a job of a task per file,
+# up to 10,000 by default; starting the tasks then takes longer than the listing.
+LISTING_TASKS = 100
+_LISTING_SETTING = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+_LISTING_DEFAULT = 10_000
 
 # Settings every tierline job expects. Timestamps are interpreted in UTC, ANSI
 # mode stays on (Spark 4 default) so that real faults surface, and adaptive
@@ -27,6 +34,7 @@ DEFAULT_CONF = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    _LISTING_SETTING: str(LISTING_TASKS),
 }
 
 
@@ -58,6 +66,14 @@ def use_utc(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+def file_stream(spark: SparkSession) -> DataStreamReader:
+    """A reader for streams of files, whose listing takes ``LISTING_TASKS`` tasks
+    at most (runtime setting; a number that the session chose itself stays)."""
+    if int(spark.conf.get(_LISTING_SETTING)) == _LISTING_DEFAULT:
+        spark.conf.set(_LISTING_SETTING, str(LISTING_TASKS))
+    return spark.readStream
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for intermediate tables and stream checkpoints.
 

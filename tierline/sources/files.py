@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructType
 
 from ..schemas import RAW_EVENT, TICKET
+from ..session import file_stream
 from .json_elements import LISTING, array_elements
 
 
@@ -85,7 +86,7 @@ def read_json_stream(
     ``archive`` with ``sourceArchiveDir`` (or ``delete``) so that a landing
     folder that grows for years is not listed in full on every trigger.
     """
-    reader = spark.readStream
+    reader = file_stream(spark)
     if max_bytes_per_trigger:
         reader = reader.option("maxBytesPerTrigger", int(max_bytes_per_trigger))
     elif max_files_per_trigger:

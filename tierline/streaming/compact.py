@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from ..session import file_stream
 from .runner import AVAILABLE_NOW, drain
 
 TARGET_BYTES = 128 * 1024 * 1024
@@ -46,7 +47,7 @@ def run_compaction(
     returns when everything there is compacted; run it as often as it pays,
     since what is new since the last run makes at least one file. A source that
     does not exist yet is nothing to do (returns None)."""
-    reader = spark.readStream.schema(schema).option("maxBytesPerTrigger", int(target_bytes) * int(files_per_batch))
+    reader = file_stream(spark).schema(schema).option("maxBytesPerTrigger", int(target_bytes) * int(files_per_batch))
     if max_file_age:
         reader = reader.option("maxFileAge", max_file_age)
     try:
