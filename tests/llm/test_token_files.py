@@ -3,6 +3,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -82,3 +83,19 @@ def test_cache_limit_changes_nothing(monkeypatch):
     rng = random.Random(1)
     texts = [" ".join(rng.choice(["ab", "cd.", "Ef", "gh!!", "ij"]) for _ in range(20)) for _ in range(30)]
     assert [encoder.encode([t])[0] for t in texts] == [whole(t) for t in texts]
+
+
+def test_workers_hold_no_words_and_no_memory_back_after_a_write(spark, documents):
+    """What a worker holds after the write adds to the memory of every later step."""
+    def held(batches):
+        for _ in batches:
+            words = sum(len(e.cache) + len(e.tails) for e in tf._ENCODERS.values())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([len(tf._ENCODERS)]), pa.array([words]), pa.array([pa.default_memory_pool().backend_name])],
+                names=["encoders", "words", "pool"])
+
+    tf.write_tokens(documents, scratch_path(spark, "test-tokens"), FILE, 2)
+    rows = spark.range(0, 64, 1, 16).mapInArrow(held, "encoders long, words long, pool string").collect()
+    assert any(r.encoders for r in rows)
+    assert {r.words for r in rows} == {0}
+    assert {r.pool for r in rows} == {"system"}

@@ -20,6 +20,9 @@ WORD_RE = re.compile(WORD_PATTERN)
 # kept short; memory is then bounded by a few hundred whole texts.
 ARROW_ROWS = 256
 ARROW_BYTES = 16 * 1024 * 1024
+# Python workers outlive a query, so what their allocators hold back adds to the
+# memory of every later step: one arena, and Arrow's buffers go through malloc too.
+WORKER_MEMORY = {"ARROW_DEFAULT_MEMORY_POOL": "system", "MALLOC_ARENA_MAX": "1"}
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,7 +30,8 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Settings for Python steps: bound what one Arrow batch can hold, and let
+    """Settings for Python steps: bound what one Arrow batch can hold and what
+    idle workers hold back (values that the session set itself stay), and let
     workers find this package where it is not installed (a path that does not
     exist on a worker is ignored there)."""
     root = str(Path(__file__).resolve().parents[2])
@@ -35,6 +39,8 @@ def small_batches(spark: SparkSession) -> None:
     known = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
     if root not in known:
         environment["PYTHONPATH"] = os.pathsep.join([root, *known])
+    for name, value in WORKER_MEMORY.items():
+        environment.setdefault(name, value)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
 

@@ -44,8 +44,8 @@ BYTE_PLANES, BIT_PLANES = 0, 1
 BLOCK_IDS = 65_536
 CHUNK_IDS = 4 * BLOCK_IDS
 ZSTD_LEVEL = 3
-# Distinct words whose ids a Python worker remembers (about 200 MB at most).
-CACHE_WORDS = 800_000
+# Distinct words whose ids a task remembers (about 100 MB at most).
+CACHE_WORDS = 400_000
 
 CHUNK_COLUMNS = ["shard", "chunk", "start", "n_ids", "doc_ids", "n_tokens", "payload"]
 CHUNK_SCHEMA = ("shard int, chunk int, start long, n_ids long, doc_ids array<long>, "
@@ -110,6 +110,11 @@ class WordEncoder:
             out[i] = self._whole(texts[i]) if texts[i] else b""
         return out
 
+    def forget(self) -> None:
+        """Drop the words remembered so far."""
+        self.cache.clear()
+        self.tails.clear()
+
     def _by_word(self, texts: list[str]) -> list[bytes]:
         pieces: list[str] = []
         ends: list[int] = []
@@ -179,7 +184,7 @@ _ENCODERS: dict[str, WordEncoder] = {}
 
 
 def encoder(tokenizer_file: str) -> WordEncoder:
-    """One encoder per Python worker and file; its cache outlives the task."""
+    """One encoder per Python worker and file; tasks forget their words."""
     if tokenizer_file not in _ENCODERS:
         _ENCODERS[tokenizer_file] = WordEncoder(tokenizer_file)
     return _ENCODERS[tokenizer_file]
@@ -263,15 +268,18 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_file: str, end_id: int, m
             held.clear()
             return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(row, kinds)], names=CHUNK_COLUMNS)
 
-        for batch in batches:
-            for doc_id, ids in zip(batch.column(0).to_pylist(), enc.encode(batch.column(1).to_pylist())):
-                doc_ids.append(doc_id)
-                held.append(ids + end)
-                n_held += len(ids) // 4 + 1
-                if n_held >= CHUNK_IDS:
-                    yield flush()
-        if held:
-            yield flush()
+        try:
+            for batch in batches:
+                for doc_id, ids in zip(batch.column(0).to_pylist(), enc.encode(batch.column(1).to_pylist())):
+                    doc_ids.append(doc_id)
+                    held.append(ids + end)
+                    n_held += len(ids) // 4 + 1
+                    if n_held >= CHUNK_IDS:
+                        yield flush()
+            if held:
+                yield flush()
+        finally:
+            enc.forget()  # else the worker holds them through all later steps
 
     ordered.mapInArrow(chunks, CHUNK_SCHEMA).write.option("compression", "zstd").parquet(f"{path}/chunks")
     index = _chunks(spark, path).select(
